@@ -74,13 +74,15 @@ def first_by_order(df: DataFrame, key: str, value: str, order: Sequence[str],
     )
 
 
-def dense_grid(xs: DataFrame, series: DataFrame, cells: DataFrame,
-               keys: Sequence[str], fill: dict) -> DataFrame:
-    """Every (x, series) pair with the cell value or a fill.
-
-    Both axes are distinct values of low-cardinality dimensions (months,
-    exception ids, categories), so the cross product is bounded by the
-    product of the two axis sizes, not by the data.
+def dense_grid(xs: DataFrame, x: str, series_values: Column, series: str,
+               cells: DataFrame, fill: dict) -> DataFrame:
+    """Every (x, series) pair with the cell value or a fill.
+
+    ``series_values`` is an array column holding the distinct series values
+    (for example a scalar subquery over ``collect_set``, bounded by the
+    dimension's domain). Each x row is expanded with ``explode`` over that
+    array, so the grid is built without a cross join, and its size is
+    |x| * |series values|.
     """
-    grid = xs.crossJoin(series)
-    return grid.join(cells, on=list(keys), how="left").na.fill(fill)
+    grid = xs.select(F.col(x), F.explode(series_values).alias(series))
+    return grid.join(cells, on=[x, series], how="left").na.fill(fill)
