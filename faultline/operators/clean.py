@@ -6,7 +6,7 @@ the scans below and fuses it into the surrounding codegen stage.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from faultline.config import LogSchema, Params
@@ -93,6 +93,26 @@ def universe(f: DataFrame, m: DataFrame, s: LogSchema,
     )
 
 
+def universe_single_pass(f: DataFrame, s: LogSchema, p: Params) -> DataFrame:
+    """U when the material log is the full log minus the immaterial ids.
+
+    Same result as ``universe(f, material(f))`` from one pass over F: group by
+    (document, channel, category) keeping whether the group saw a material
+    event, then spread the flag over the document with a window. The window
+    runs over distinct triples, so a document has at most |channels| x
+    |categories| rows in it, and the grouping, the window and the log's last
+    join all share the partitioning on the document key (no extra exchange).
+    """
+    e = F.col(s.exc_id)
+    mat = (e.isNull() | ~e.isin(*p.immaterial_ids)).cast("int")
+    g = (f.where(F.col(s.doc).isNotNull())
+         .groupBy(s.doc, s.channel, s.category).agg(F.max(mat).alias("_mat")))
+    w = Window.partitionBy(s.doc)
+    return (g.withColumn("First_Pass", F.max("_mat").over(w) == 0)
+            .where(F.col(s.channel).isNotNull() & F.col(s.category).isNotNull())
+            .drop("_mat"))
+
+
 def cleaning_funnel(log: DataFrame, s: LogSchema, p: Params) -> DataFrame:
     """Rows at each stage, for the full and the material log, in one pass."""
     sup = normalized_supplier(s, p)

@@ -37,10 +37,13 @@ class LogContext:
 
     @cached_property
     def u(self) -> DataFrame:
-        # M is derived from the same F plan so the scans and exchanges below
-        # are reused instead of recomputed.
-        f = self.f(("channel", "category"))
-        return C.universe(f, C.material(f, self.s, self.p), self.s)
+        # M is F minus the immaterial ids here, so the universe and its
+        # first-pass flag come from one pass over F (no second join branch).
+        return C.universe_single_pass(self.f(("channel", "category")), self.s, self.p)
+
+    def u_two_logs(self) -> DataFrame:
+        """The general form for two separate extracts (full and material)."""
+        return C.universe(self.f(("channel", "category")), self.m(()), self.s)
 
 
 def _q(v: str) -> str:

@@ -216,8 +216,9 @@ def j02(ctx):
 SELECT "First_Pass", count(*) AS "Rows", count(DISTINCT "Document Id") AS "Documents" FROM u GROUP BY 1
 """)
 def j04(ctx):
+    """The explicit mark join of two extracts (full log, material log)."""
     s = ctx.s
-    return ctx.u.groupBy("First_Pass").agg(F.count(F.lit(1)).alias("Rows"),
+    return ctx.u_two_logs().groupBy("First_Pass").agg(F.count(F.lit(1)).alias("Rows"),
                                            F.countDistinct(s.doc).alias("Documents"))
 
 

@@ -33,8 +33,18 @@ NULL_DESC_SUPPKEY_MOD = 7
 ROLES = ("vendor_name", "category", "channel")
 
 
+_TABLES: dict[tuple[str, str], DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Parquet table, resolved once per session (file listing and footer
+    schema are not re-read for every query)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (str(id(spark._jsparkSession)), path)
+    df = _TABLES.get(key)
+    if df is None:
+        df = _TABLES[key] = spark.read.parquet(path)
+    return df
 
 
 def _exc_id() -> F.Column:
