@@ -48,9 +48,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _exc_id() -> F.Column:
-    cyc = F.when(F.lit(False), F.lit(None))
-    for i, v in enumerate(MATERIAL_ID_CYCLE):
-        cyc = cyc.when(F.col("l_partkey") % 10 == i, F.lit(v))
+    # One array lookup, not a CASE per id: the optimizer copies this
+    # expression into every predicate it pushes down, so it must stay small.
+    cyc = F.element_at(F.array(*[F.lit(v) for v in MATERIAL_ID_CYCLE]),
+                       (F.col("l_partkey") % len(MATERIAL_ID_CYCLE) + 1).cast("int"))
     return (
         F.when(F.col("l_linenumber") == 1, F.lit(0))
         .when(F.col("l_linenumber") == 2, F.lit(91))
@@ -114,10 +115,10 @@ def exception_log(
 
 
 def _sql_exc_id() -> str:
-    whens = " ".join(f"WHEN {i} THEN {v}" for i, v in enumerate(MATERIAL_ID_CYCLE))
+    ids = ", ".join(str(v) for v in MATERIAL_ID_CYCLE)
     return (
         "CAST(CASE WHEN l_linenumber = 1 THEN 0 WHEN l_linenumber = 2 THEN 91 "
-        f"ELSE CASE l_partkey % 10 {whens} END END AS INTEGER)"
+        f"ELSE list_extract([{ids}], CAST(l_partkey % {len(MATERIAL_ID_CYCLE)} + 1 AS INTEGER)) END AS INTEGER)"
     )
 
 
