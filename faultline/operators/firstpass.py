@@ -91,7 +91,8 @@ def channel_monthly(u: DataFrame, f: DataFrame, s: LogSchema, p: Params, channel
                     digits: int = 1) -> DataFrame:
     """One channel's universe, each document placed in the month of its
     earliest full-log row (J5 lookup, D2 keep-first), then first-pass by
-    month x category; undated and partial months dropped."""
+    month x category; undated and partial months dropped. ``f`` only needs
+    the document, month and order columns."""
     first_month = first_by_order(f, s.doc, s.month, [s.created_ts, *s.order_cols])
     cu = u.where(F.col(s.channel) == channel).join(first_month, on=s.doc, how="left")
     g = (cu.groupBy(s.month, s.category)

@@ -60,7 +60,7 @@ GROUP BY 1, 2
         s = ctx.s
         base = ctx.f(("category",))
         rows = base if src == "f" else base.where(~F.col(s.exc_id).isin(*ctx.p.immaterial_ids))
-        return DD.by_month_category(DD.events_of(rows, s, x), s, resolve_partial_month(base, s, ctx.p))
+        return DD.by_month_category(DD.events_of(rows, s, x), s, resolve_partial_month(ctx.f(()), s, ctx.p))
 
     avg_sql = (', round_even(CAST("Events" AS DOUBLE) / "Unique_Inv", 2) AS "Avg_Exc_Per_Inv"'
                if src == "m" else "")
@@ -187,7 +187,7 @@ FROM mo CROSS JOIN ca LEFT JOIN ce ON mo."Month" = ce."Month" AND ca."PO categor
 def g37(ctx):
     s = ctx.s
     f = ctx.f(("category",))
-    return DD.monthly_category_grid(DD.events_of(f, s, 91), s, resolve_partial_month(f, s, ctx.p))
+    return DD.monthly_category_grid(DD.events_of(f, s, 91), s, resolve_partial_month(ctx.f(()), s, ctx.p))
 
 
 @query("j03_semi_join", sql="""

@@ -42,7 +42,7 @@ def p12(ctx):
     s = ctx.s
     f = ctx.f(("channel", "category"))
     m = f.where(~F.col(s.exc_id).isin(*ctx.p.immaterial_ids))
-    rows = drop_partial_month(m, s, resolve_partial_month(f, s, ctx.p))
+    rows = drop_partial_month(m, s, resolve_partial_month(ctx.f(()), s, ctx.p))
     rows = rows.where(F.col(s.channel).isNotNull() & (F.col(s.channel) != SEG_CHANNEL)
                       & F.col(s.category).isNotNull() & (F.col(s.category) != SEG_CAT_A))
     return rows.groupBy(s.month).agg(F.count(F.lit(1)).alias("Events"))
