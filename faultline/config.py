@@ -9,7 +9,7 @@ derived from the driver's TPC-H-style tables (see ``sources/tpch_log.py``).
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 
 @dataclass(frozen=True)
@@ -79,7 +79,6 @@ class Params:
     null_tokens: tuple[str, ...] = REFERENCE_NULL_TOKENS
     # Strict compatibility with text conversion of a null supplier ("nan").
     null_supplier_as_text: bool = True
-    extra: dict = field(default_factory=dict)
 
     def with_(self, **kw) -> "Params":
         return replace(self, **kw)

@@ -54,3 +54,23 @@ def test_query_matches_oracle(spark, con, name):
     a = sorted((tuple(_norm(r[i]) for i in ia) for r in rows), key=repr)
     b = sorted((tuple(_norm(r[i]) for i in ib) for r in orows), key=repr)
     assert a == b
+
+
+SUITE_SAMPLE = ["g01_exception_frequency", "g07_first_pass_by_channel", "g07w_workload_concentration",
+                "g10_kpi_row", "g12_exception_sequence", "g13_exception_pairs", "g17_monthly_trend",
+                "g20_dive91_monthly_by_category", "g21_dive151_top_vendors", "g25_vendor_exception_detail",
+                "g28_channel_monthly_by_category", "g37_dense_month_category_grid", "w06_adjacent_row_pairing",
+                "s07_cleaning_funnel", "p12_exclusion_filters"]
+
+
+def test_suite_mode_matches_oracle(spark, con):
+    """With the cleaned log persisted once, queries give the same answers."""
+    from faultline.plans.context import LogContext
+
+    ctx = LogContext(spark, SF)
+    ctx.persist()
+    try:
+        for name in SUITE_SAMPLE:
+            test_query_matches_oracle(spark, con, name)
+    finally:
+        ctx.unpersist()
