@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from faultline.config import LogSchema
 from faultline.functions import clip_upper, pct
 from faultline.operators.relational import (
-    dense_grid, events_and_invoices, group_count, nonnull, semi, top_k, with_share,
+    attach_names, dense_grid, events_and_invoices, group_count, nonnull, semi, top_k, with_share,
 )
 
 
@@ -42,9 +42,14 @@ def by_month_category(ev: DataFrame, s: LogSchema, partial) -> DataFrame:
     return g if partial is None else g.where(F.col(s.month) != partial)
 
 
-def dive_vendors(ev: DataFrame, s: LogSchema, k: int = 20, with_avg: bool = True) -> DataFrame:
-    """Top-k vendors of one exception by events."""
-    g = events_and_invoices(ev, s.vendor, s.doc)
+def dive_vendors(ev: DataFrame, s: LogSchema, k: int = 20, with_avg: bool = True,
+                 names: DataFrame | None = None) -> DataFrame:
+    """Top-k vendors of one exception by events (names attached to the
+    per-supplier aggregate when ``names`` is given)."""
+    if names is None:
+        g = events_and_invoices(ev, s.vendor, s.doc)
+    else:
+        g = attach_names(events_and_invoices(ev, [s.supplier], s.doc), names, s.supplier, s.vendor_name)
     t = top_k(g, [F.col("Events").desc(), F.col(s.supplier), F.col(s.vendor_name)], k)
     if with_avg:
         t = t.withColumn("Avg_Exc_Per_Inv", F.bround(F.col("Events").cast("double") / F.col("Unique_Inv"), 2))
@@ -90,15 +95,22 @@ def exception_totals(parts: Sequence[tuple[int, DataFrame]], s: LogSchema) -> Da
     return out
 
 
-def vendor_exception_detail(m: DataFrame, s: LogSchema, k: int = 20) -> DataFrame:
+def vendor_exception_detail(m: DataFrame, s: LogSchema, k: int = 20,
+                            names: DataFrame | None = None) -> DataFrame:
     """For the suppliers of the top-k vendors by events, counts per
     (vendor, exception). The semi-join is on the supplier alone, so another
     name of a top supplier is included too."""
-    vend = group_count(m, s.vendor, "Events")
+    if names is None:
+        vend = group_count(m, s.vendor, "Events")
+    else:
+        vend = attach_names(group_count(m, [s.supplier], "Events"), names, s.supplier, s.vendor_name)
     top = top_k(vend, [F.col("Events").desc(), F.col(s.supplier), F.col(s.vendor_name)], k)
     sups = top.select(s.supplier).distinct()  # at most k rows
     rows = m.join(F.broadcast(sups), on=s.supplier, how="left_semi")
-    return group_count(rows, [*s.vendor, *s.exc], "Count")
+    if names is None:
+        return group_count(rows, [*s.vendor, *s.exc], "Count")
+    g = group_count(rows, [s.supplier, *s.exc], "Count")
+    return attach_names(g, names, s.supplier, s.vendor_name)
 
 
 def top_ids_over_vendor_set(detail: DataFrame, s: LogSchema, k: int = 10) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from faultline.config import LogSchema
 from faultline.functions import pct
 from faultline.operators.relational import (
-    grand_total, group_count, nonnull, top_k, with_share,
+    attach_names, grand_total, group_count, nonnull, top_k, with_share,
 )
 
 # Fixed values of the original key-exception table: the ids it ranks, and the
@@ -27,14 +27,22 @@ def exception_frequency(m: DataFrame, s: LogSchema, digits: int = 2) -> DataFram
     return with_share(g, "Count", "Pct", digits)
 
 
-def vendor_stats(m: DataFrame, s: LogSchema, digits: int = 2) -> DataFrame:
+def vendor_stats(m: DataFrame, s: LogSchema, digits: int = 2,
+                 names: DataFrame | None = None) -> DataFrame:
     """Per (supplier, name): distinct invoices, event rows, events per invoice.
-    One aggregate replaces the two groupings + self-join of the source (J1)."""
+    One aggregate replaces the two groupings + self-join of the source (J1).
+
+    ``names`` (supplier -> name), when the name is a function of the
+    supplier: aggregate by supplier, then attach names to the aggregate."""
+    aggs = [F.countDistinct(F.col(s.doc)).alias("Unique_Invoices"),
+            F.count(F.lit(1)).alias("Exception_Events")]
+    if names is None:
+        g = nonnull(m, s.vendor).groupBy(*s.vendor).agg(*aggs)
+    else:
+        g = attach_names(nonnull(m, [s.supplier]).groupBy(s.supplier).agg(*aggs),
+                         names, s.supplier, s.vendor_name)
     return (
-        nonnull(m, s.vendor).groupBy(*s.vendor)
-        .agg(F.countDistinct(F.col(s.doc)).alias("Unique_Invoices"),
-             F.count(F.lit(1)).alias("Exception_Events"))
-        .withColumn("Avg_Exc_Per_Inv",
+        g.withColumn("Avg_Exc_Per_Inv",
                     F.bround(F.try_divide(F.col("Exception_Events").cast("double"),
                                           F.col("Unique_Invoices").cast("double")), digits))
     )
@@ -45,15 +53,16 @@ def vendor_order(s: LogSchema):
     return [F.col("Exception_Events").desc(), F.col(s.supplier).asc(), F.col(s.vendor_name).asc()]
 
 
-def top_vendors(m: DataFrame, s: LogSchema, k: int = 50) -> DataFrame:
+def top_vendors(m: DataFrame, s: LogSchema, k: int = 50, names: DataFrame | None = None) -> DataFrame:
     """G3 + T3: top-k vendors by events."""
-    return top_k(vendor_stats(m, s), vendor_order(s), k)
+    return top_k(vendor_stats(m, s, names=names), vendor_order(s), k)
 
 
-def vendor_intensity(m: DataFrame, s: LogSchema, min_invoices: int = 10, k: int = 20) -> DataFrame:
+def vendor_intensity(m: DataFrame, s: LogSchema, min_invoices: int = 10, k: int = 20,
+                     names: DataFrame | None = None) -> DataFrame:
     """Vendors with at least ``min_invoices`` invoices (P25 HAVING), by
     events per invoice desc, top k."""
-    v = vendor_stats(m, s).where(F.col("Unique_Invoices") >= min_invoices)
+    v = vendor_stats(m, s, names=names).where(F.col("Unique_Invoices") >= min_invoices)
     return top_k(v, [F.col("Avg_Exc_Per_Inv").desc(), *vendor_order(s)], k)
 
 
@@ -74,11 +83,11 @@ def crosstab(df: DataFrame, rows: str, cols: str, values: Sequence[str]) -> Data
             .agg(F.count(F.lit(1))).na.fill(0, subset=list(values)))
 
 
-def kpi_row(u: DataFrame, m: DataFrame, s: LogSchema) -> DataFrame:
+def kpi_row(u: DataFrame, m: DataFrame, s: LogSchema, names: DataFrame | None = None) -> DataFrame:
     """One row of headline figures. Each figure is a one-row aggregate;
     they are combined with scalar subqueries (no driver round trip)."""
-    vend = vendor_stats(m, s)
-    top10 = top_vendors(m, s, 10)
+    vend = vendor_stats(m, s, names=names)
+    top10 = top_k(vend, vendor_order(s), 10)
     fp = u.agg(
         F.countDistinct(F.col(s.doc)).alias("total_invoices"),
         F.count_if(F.col("First_Pass")).alias("first_pass_count"),

@@ -37,6 +37,15 @@ def events_and_invoices(df: DataFrame, keys: Sequence[str], doc: str,
     )
 
 
+def attach_names(g: DataFrame, names: DataFrame, supplier: str, name: str) -> DataFrame:
+    """Attach vendor names to a table aggregated by supplier; suppliers
+    without a name drop out, as null group keys do (rule 1). Columns come
+    out as (supplier, name, rest...)."""
+    rest = [c for c in g.columns if c != supplier]
+    j = g.join(names.where(F.col(name).isNotNull()), on=supplier, how="inner")
+    return j.select(supplier, name, *rest)
+
+
 def grand_total(df: DataFrame, measure: str) -> Column:
     """Scalar subquery holding the sum of ``measure``: evaluated once, not a
     single-partition window over the whole result."""

@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from faultline.config import LogSchema, Params, tpch_params, tpch_schema
 from faultline.operators import clean as C
-from faultline.sources.tpch_log import LOG_VIEW_SQL, ROLES, exception_log, read_table
+from faultline.sources.tpch_log import (
+    LOG_VIEW_SQL, ROLES, exception_log, read_table, vendor_name_lookup,
+)
 
 
 # Views already built (and analysed) in a session, keyed by session, data
@@ -53,6 +55,10 @@ class LogContext:
             df = _VIEWS[key] = C.full_posted(self.log(need), self.s, self.p)
         return df
 
+    def vendor_names(self) -> DataFrame:
+        """Supplier -> name lookup for late name attachment (vendor analyses)."""
+        return vendor_name_lookup(self.spark, self.sf_dir, self.s)
+
     def persist(self) -> DataFrame:
         """Suite mode: keep the cleaned, posted log (all attributes) in
         executor memory/disk, so a run of many analyses scans and joins the

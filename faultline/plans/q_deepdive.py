@@ -73,8 +73,8 @@ SELECT *{avg_sql} FROM g
 """)
     def g21(ctx):
         s = ctx.s
-        ev = DD.events_of(_src(ctx, src, ("vendor_name",)), s, x)
-        return DD.dive_vendors(ev, s, 20, with_avg=(src == "m"))
+        ev = DD.events_of(_src(ctx, src, ()), s, x)
+        return DD.dive_vendors(ev, s, 20, with_avg=(src == "m"), names=ctx.vendor_names())
 
     @query(f"g22_dive{x}_cooccurring", sql=f"""
 , d AS (SELECT DISTINCT "Document Id" FROM {src} WHERE "Exception ID" = {x} AND "Document Id" IS NOT NULL)
@@ -129,7 +129,7 @@ det AS (
 
 @query("g25_vendor_exception_detail", sql=VED_SQL + "\nSELECT * FROM det")
 def g25(ctx):
-    return DD.vendor_exception_detail(ctx.m(("vendor_name",)), ctx.s).orderBy(
+    return DD.vendor_exception_detail(ctx.m(()), ctx.s, names=ctx.vendor_names()).orderBy(
         F.col(ctx.s.supplier).asc(), F.col("Count").desc())
 
 
@@ -138,7 +138,7 @@ SELECT * FROM det ORDER BY "Supplier" ASC, "Count" DESC, "Exception ID", "Name 1
 """)
 def t02(ctx):
     s = ctx.s
-    d = DD.vendor_exception_detail(ctx.m(("vendor_name",)), s)
+    d = DD.vendor_exception_detail(ctx.m(()), s, names=ctx.vendor_names())
     return d.orderBy(F.col(s.supplier).asc(), F.col("Count").desc(), F.col(s.exc_id), F.col(s.vendor_name)).limit(25)
 
 
@@ -147,7 +147,7 @@ SELECT "Exception ID", CAST(sum("Count") AS BIGINT) AS "Count" FROM det GROUP BY
 """)
 def g38(ctx):
     s = ctx.s
-    return DD.top_ids_over_vendor_set(DD.vendor_exception_detail(ctx.m(("vendor_name",)), s), s)
+    return DD.top_ids_over_vendor_set(DD.vendor_exception_detail(ctx.m(()), s, names=ctx.vendor_names()), s)
 
 
 def _segment_sql(cat: str, passed: bool, src: str) -> str:
@@ -211,7 +211,7 @@ WHERE upper(trim("Name 1")) NOT IN ({", ".join("'" + n.strip().upper() + "'" for
 """)
 def p21(ctx):
     s = ctx.s
-    top = DD.dive_vendors(DD.events_of(ctx.m(("vendor_name",)), s, 151), s, 20)
+    top = DD.dive_vendors(DD.events_of(ctx.m(()), s, 151), s, 20, names=ctx.vendor_names())
     return SH.drop_named(top, s.vendor_name, EXCLUDED_VENDOR_NAMES)
 
 

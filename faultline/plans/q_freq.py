@@ -55,7 +55,7 @@ def g02(ctx):
 SELECT * FROM vend ORDER BY "Exception_Events" DESC, "Supplier", "Name 1" LIMIT 50
 """)
 def g03(ctx):
-    return FQ.top_vendors(ctx.m(("vendor_name",)), ctx.s, 50)
+    return FQ.top_vendors(ctx.m(()), ctx.s, 50, names=ctx.vendor_names())
 
 
 @query("g04_category_by_exception", sql="""
@@ -147,14 +147,14 @@ SELECT * FROM vend WHERE "Unique_Invoices" >= 10
 ORDER BY "Avg_Exc_Per_Inv" DESC, "Exception_Events" DESC, "Supplier", "Name 1" LIMIT 20
 """)
 def g39(ctx):
-    return FQ.vendor_intensity(ctx.m(("vendor_name",)), ctx.s, ctx.p.min_invoices, 20)
+    return FQ.vendor_intensity(ctx.m(()), ctx.s, ctx.p.min_invoices, 20, names=ctx.vendor_names())
 
 
 @query("p25_having_min_invoices", sql=VEND_CTE + """
 SELECT * FROM vend WHERE "Unique_Invoices" >= 10
 """)
 def p25(ctx):
-    return FQ.vendor_stats(ctx.m(("vendor_name",)), ctx.s).where(F.col("Unique_Invoices") >= ctx.p.min_invoices)
+    return FQ.vendor_stats(ctx.m(()), ctx.s, names=ctx.vendor_names()).where(F.col("Unique_Invoices") >= ctx.p.min_invoices)
 
 
 @query("g07w_workload_concentration", sql=CONC_CTE + """
@@ -163,7 +163,7 @@ SELECT "Supplier", "Name 1", "Unique_Invoices", "Exception_Events", "Avg_Exc_Per
 """)
 def g07w(ctx):
     s = ctx.s
-    v = FQ.vendor_stats(ctx.m(("vendor_name",)), s)
+    v = FQ.vendor_stats(ctx.m(()), s, names=ctx.vendor_names())
     return PA.workload_concentration(v, s.vendor).drop("Rank")
 
 
@@ -172,7 +172,7 @@ SELECT "Supplier", "Name 1", "Exception_Events", "Cumulative_Events" FROM conc
 """)
 def w01(ctx):
     s = ctx.s
-    v = FQ.vendor_stats(ctx.m(("vendor_name",)), s)
+    v = FQ.vendor_stats(ctx.m(()), s, names=ctx.vendor_names())
     return PA.global_running_sum(v, "Exception_Events", s.vendor).select(
         *s.vendor, "Exception_Events", "Cumulative_Events")
 
@@ -182,7 +182,7 @@ SELECT "Supplier", "Name 1", "Cumulative_Pct" FROM concp
 """)
 def w02(ctx):
     s = ctx.s
-    v = FQ.vendor_stats(ctx.m(("vendor_name",)), s)
+    v = FQ.vendor_stats(ctx.m(()), s, names=ctx.vendor_names())
     return PA.workload_concentration(v, s.vendor).select(*s.vendor, "Cumulative_Pct")
 
 
@@ -191,7 +191,7 @@ SELECT "Supplier", "Name 1", "Rank" FROM conc
 """)
 def w03(ctx):
     s = ctx.s
-    v = FQ.vendor_stats(ctx.m(("vendor_name",)), s)
+    v = FQ.vendor_stats(ctx.m(()), s, names=ctx.vendor_names())
     return PA.global_running_sum(v, "Exception_Events", s.vendor).select(*s.vendor, "Rank")
 
 
@@ -204,7 +204,7 @@ FROM concp
 """)
 def w04(ctx):
     s = ctx.s
-    v = FQ.vendor_stats(ctx.m(("vendor_name",)), s)
+    v = FQ.vendor_stats(ctx.m(()), s, names=ctx.vendor_names())
     return PA.top_n_concentration(PA.workload_concentration(v, s.vendor))
 
 
@@ -250,4 +250,4 @@ SELECT "Supplier", "Name 1", "Unique_Invoices", "Exception_Events" FROM vend
 """)
 def j01(ctx):
     """The source joins two groupings of the same key; one aggregate does both."""
-    return FQ.vendor_stats(ctx.m(("vendor_name",)), ctx.s).drop("Avg_Exc_Per_Inv")
+    return FQ.vendor_stats(ctx.m(()), ctx.s, names=ctx.vendor_names()).drop("Avg_Exc_Per_Inv")

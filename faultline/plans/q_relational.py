@@ -136,7 +136,7 @@ ORDER BY 3 DESC, 1, 2 LIMIT 15
 """)
 def t03(ctx):
     s = ctx.s
-    v = FQ.vendor_stats(ctx.m(("vendor_name",)), s).select(*s.vendor, "Exception_Events")
+    v = FQ.vendor_stats(ctx.m(()), s, names=ctx.vendor_names()).select(*s.vendor, "Exception_Events")
     return top_k(v, FQ.vendor_order(s), 15)
 
 

@@ -114,6 +114,19 @@ def exception_log(
     return log.select(*[v.alias(k) for k, v in cols.items()], *order)
 
 
+def vendor_name_lookup(spark: SparkSession, sf_dir: str, schema: LogSchema | None = None) -> DataFrame:
+    """Supplier (as the cleaned log spells it: trimmed key text) -> vendor name.
+
+    In this log the name is a function of the supplier key, so vendor
+    analyses can aggregate by supplier first and attach names to the
+    aggregate: one row per supplier is joined instead of the whole log.
+    """
+    s = schema or tpch_schema()
+    sup = read_table(spark, sf_dir, "supplier")
+    return sup.select(F.col("s_suppkey").cast("string").alias(s.supplier),
+                      F.col("s_name").alias(s.vendor_name))
+
+
 def _sql_exc_id() -> str:
     ids = ", ".join(str(v) for v in MATERIAL_ID_CYCLE)
     return (
