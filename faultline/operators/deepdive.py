@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from faultline.config import LogSchema
 from faultline.functions import clip_upper, pct
 from faultline.operators.relational import (
-    attach_names, dense_grid, events_and_invoices, group_count, nonnull, semi, top_k, with_share,
+    attach_names, count_via_lookup, dense_grid, events_and_invoices, group_count, nonnull, semi, top_k, with_share,
 )
 
 
@@ -36,9 +36,13 @@ def by_channel_category(ev: DataFrame, s: LogSchema, with_pct: bool = True,
     return with_share(g, "Events", "Pct_of_exc", digits) if with_pct else g
 
 
-def by_month_category(ev: DataFrame, s: LogSchema, partial) -> DataFrame:
+def by_month_category(ev: DataFrame, s: LogSchema, partial,
+                      lookup: tuple[str, DataFrame] | None = None) -> DataFrame:
     """Events per month x category, undated and partial months dropped."""
-    g = group_count(ev, [s.month, s.category], "Events")
+    if lookup is None:
+        g = group_count(ev, [s.month, s.category], "Events")
+    else:
+        g = count_via_lookup(ev, [s.month, s.category], s.category, lookup[0], lookup[1], "Events")
     return g if partial is None else g.where(F.col(s.month) != partial)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from faultline.config import LogSchema
 from faultline.functions import pct
 from faultline.operators.relational import (
-    attach_names, grand_total, group_count, nonnull, top_k, with_share,
+    attach_names, count_via_lookup, grand_total, group_count, nonnull, top_k, with_share,
 )
 
 # Fixed values of the original key-exception table: the ids it ranks, and the
@@ -66,14 +66,20 @@ def vendor_intensity(m: DataFrame, s: LogSchema, min_invoices: int = 10, k: int
     return top_k(v, [F.col("Avg_Exc_Per_Inv").desc(), *vendor_order(s)], k)
 
 
-def category_exceptions(m: DataFrame, s: LogSchema) -> DataFrame:
-    """(category, id, description) counts."""
-    return group_count(m, [s.category, *s.exc], "Count")
+def category_exceptions(m: DataFrame, s: LogSchema, lookup: tuple[str, DataFrame] | None = None) -> DataFrame:
+    """(category, id, description) counts. ``lookup`` = (key column,
+    key -> category table) counts per key first (``count_via_lookup``)."""
+    keys = [s.category, *s.exc]
+    if lookup is None:
+        return group_count(m, keys, "Count")
+    return count_via_lookup(m, keys, s.category, lookup[0], lookup[1], "Count")
 
 
-def category_totals(m: DataFrame, s: LogSchema) -> DataFrame:
+def category_totals(m: DataFrame, s: LogSchema, lookup: tuple[str, DataFrame] | None = None) -> DataFrame:
     """Events per category."""
-    return group_count(m, [s.category], "Exception_Events")
+    if lookup is None:
+        return group_count(m, [s.category], "Exception_Events")
+    return count_via_lookup(m, [s.category], s.category, lookup[0], lookup[1], "Exception_Events")
 
 
 def crosstab(df: DataFrame, rows: str, cols: str, values: Sequence[str]) -> DataFrame:

@@ -28,6 +28,22 @@ def group_count(df: DataFrame, keys: Sequence[str], name: str = "Count") -> Data
     return nonnull(df, keys).groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 
+def count_via_lookup(df: DataFrame, keys: Sequence[str], attr: str, key_col: str,
+                     lookup: DataFrame, name: str = "Count") -> DataFrame:
+    """``group_count(df, keys)`` where ``attr`` (one of ``keys``) is a function
+    of ``key_col``, looked up in ``lookup`` (key_col -> attr).
+
+    Counts add up, so rows are first counted per ``key_col`` (map-side
+    partial aggregation), the attribute is attached to those partial counts,
+    and they are summed per ``keys``. The lookup joins the pre-aggregated
+    table, not the log."""
+    other = [k for k in keys if k != attr]
+    pre = [key_col if k == attr else k for k in keys]
+    g = nonnull(df.drop(attr), other).groupBy(*pre).agg(F.count(F.lit(1)).alias("_n"))
+    j = g.join(lookup, on=key_col, how="inner")
+    return nonnull(j, [attr]).groupBy(*keys).agg(F.sum("_n").cast("long").alias(name))
+
+
 def events_and_invoices(df: DataFrame, keys: Sequence[str], doc: str,
                         events: str = "Events", invoices: str = "Unique_Inv") -> DataFrame:
     """Event rows and distinct documents per key in one aggregate."""

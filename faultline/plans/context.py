@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from faultline.config import LogSchema, Params, tpch_params, tpch_schema
 from faultline.operators import clean as C
 from faultline.sources.tpch_log import (
-    LOG_VIEW_SQL, ROLES, exception_log, read_table, vendor_name_lookup,
+    LOG_VIEW_SQL, ROLES, category_lookup, exception_log, read_table, vendor_name_lookup,
 )
 
 
@@ -59,16 +59,31 @@ class LogContext:
         """Supplier -> name lookup for late name attachment (vendor analyses)."""
         return vendor_name_lookup(self.spark, self.sf_dir, self.s)
 
-    def persist(self) -> DataFrame:
-        """Suite mode: keep the cleaned, posted log (all attributes) in
-        executor memory/disk, so a run of many analyses scans and joins the
-        tables once, as the original script does with its in-memory table.
-        Lost cached blocks are recomputed from lineage."""
+    def category_lookup(self) -> tuple[str, DataFrame]:
+        """(key column in the log, key -> category lookup) for count queries."""
+        return "l_partkey", category_lookup(self.spark, self.sf_dir, self.s)
+
+    def persist(self, mode: str = "cache") -> DataFrame:
+        """Suite mode: materialise the cleaned, posted log (all attributes)
+        once, so a run of many analyses scans and joins the tables once, as
+        the original script does with its in-memory table.
+
+        ``mode="cache"`` keeps it in executor memory/disk (lost blocks are
+        recomputed from lineage); ``mode="checkpoint"`` writes it to the
+        cluster's shared ``spark.checkpoint.dir`` and cuts the lineage, so a
+        lost executor costs a re-read, not a re-join."""
         from pyspark import StorageLevel
+
+        from faultline.session import ensure_checkpoint_dir
         pkey = (self._sid, self.sf_dir, self.s, self.p)
         if pkey not in _PERSISTED:
-            full = C.full_posted(self.log(ROLES), self.s, self.p).persist(StorageLevel.MEMORY_AND_DISK)
-            full.count()
+            full = C.full_posted(self.log(ROLES), self.s, self.p)
+            if mode == "checkpoint":
+                ensure_checkpoint_dir(self.spark)
+                full = full.checkpoint(eager=True)
+            else:
+                full = full.persist(StorageLevel.MEMORY_AND_DISK)
+                full.count()
             _PERSISTED[pkey] = full
         return _PERSISTED[pkey]
 

@@ -58,9 +58,10 @@ GROUP BY 1, 2
 """)
     def g20(ctx):
         s = ctx.s
-        base = ctx.f(("category",))
+        base = ctx.f(())
         rows = base if src == "f" else base.where(~F.col(s.exc_id).isin(*ctx.p.immaterial_ids))
-        return DD.by_month_category(DD.events_of(rows, s, x), s, resolve_partial_month(ctx.f(()), s, ctx.p))
+        return DD.by_month_category(DD.events_of(rows, s, x), s, resolve_partial_month(base, s, ctx.p),
+                                    ctx.category_lookup())
 
     avg_sql = (', round_even(CAST("Events" AS DOUBLE) / "Unique_Inv", 2) AS "Avg_Exc_Per_Inv"'
                if src == "m" else "")

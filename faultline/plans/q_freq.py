@@ -48,7 +48,7 @@ SELECT *, round_even(CAST("Exception_Events" AS DOUBLE) / (SELECT sum("Exception
 """)
 def g02(ctx):
     from faultline.operators.relational import with_share
-    return with_share(FQ.category_totals(ctx.m(("category",)), ctx.s), "Exception_Events", "Pct", 1)
+    return with_share(FQ.category_totals(ctx.m(()), ctx.s, ctx.category_lookup()), "Exception_Events", "Pct", 1)
 
 
 @query("g03_top_vendors", sql=VEND_CTE + """
@@ -65,7 +65,7 @@ GROUP BY 1, 2, 3
 """)
 def g04(ctx):
     s = ctx.s
-    return FQ.category_exceptions(ctx.m(("category",)), s).orderBy(
+    return FQ.category_exceptions(ctx.m(()), s, ctx.category_lookup()).orderBy(
         F.col(s.category).asc(), F.col("Count").desc(), s.exc_id)
 
 
@@ -74,7 +74,7 @@ SELECT "PO category decription", count(*) AS "Exception_Events" FROM m
 WHERE "PO category decription" IS NOT NULL GROUP BY 1
 """)
 def g05(ctx):
-    return FQ.category_totals(ctx.m(("category",)), ctx.s).orderBy(F.col("Exception_Events").desc())
+    return FQ.category_totals(ctx.m(()), ctx.s, ctx.category_lookup()).orderBy(F.col("Exception_Events").desc())
 
 
 CHANNELS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
@@ -223,7 +223,7 @@ GROUP BY 1, 2, 3 ORDER BY 1, 4 DESC, 2 LIMIT 60
 """)
 def t06(ctx):
     s = ctx.s
-    return top_k(FQ.category_exceptions(ctx.m(("category",)), s),
+    return top_k(FQ.category_exceptions(ctx.m(()), s, ctx.category_lookup()),
                  [F.col(s.category).asc(), F.col("Count").desc(), F.col(s.exc_id).asc()], 60)
 
 

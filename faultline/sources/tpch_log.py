@@ -127,6 +127,14 @@ def vendor_name_lookup(spark: SparkSession, sf_dir: str, schema: LogSchema | Non
                       F.col("s_name").alias(s.vendor_name))
 
 
+def category_lookup(spark: SparkSession, sf_dir: str, schema: LogSchema | None = None) -> DataFrame:
+    """``l_partkey`` -> category: counts by category can be taken per part
+    key first and the category attached to the partial counts."""
+    s = schema or tpch_schema()
+    part = read_table(spark, sf_dir, "part")
+    return part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias(s.category))
+
+
 def _sql_exc_id() -> str:
     ids = ", ".join(str(v) for v in MATERIAL_ID_CYCLE)
     return (

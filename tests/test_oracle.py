@@ -67,10 +67,11 @@ def test_suite_mode_matches_oracle(spark, con):
     """With the cleaned log persisted once, queries give the same answers."""
     from faultline.plans.context import LogContext
 
-    ctx = LogContext(spark, SF)
-    ctx.persist()
-    try:
-        for name in SUITE_SAMPLE:
-            test_query_matches_oracle(spark, con, name)
-    finally:
-        ctx.unpersist()
+    for mode in ("cache", "checkpoint"):
+        ctx = LogContext(spark, SF)
+        ctx.persist(mode)
+        try:
+            for name in SUITE_SAMPLE:
+                test_query_matches_oracle(spark, con, name)
+        finally:
+            ctx.unpersist()
