@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from faultline.config import LogSchema
-from faultline.functions import clip_upper, pct
+from faultline.functions import clip_upper
 from faultline.operators.relational import (
     attach_names, count_via_lookup, dense_grid, events_and_invoices, group_count, nonnull, semi, top_k, with_share,
 )
@@ -143,6 +143,3 @@ def monthly_category_grid(ev: DataFrame, s: LogSchema, partial) -> DataFrame:
     cats = nonnull(ev, [s.category]).select(F.array_sort(F.collect_set(s.category))).scalar()
     return dense_grid(months, s.month, cats, s.category, cells, {"Events": 0})
 
-
-def rate_of(count: str, total: str, digits: int = 1):
-    return pct(count, total, digits)

@@ -208,7 +208,7 @@ def w04(ctx):
     return PA.top_n_concentration(PA.workload_concentration(v, s.vendor))
 
 
-@query("t01_sort_desc_top", sql=FREQ_SQL.replace("SELECT *,", "SELECT *,", 1) + """
+@query("t01_sort_desc_top", sql=FREQ_SQL + """
 ORDER BY "Count" DESC, "Exception ID" LIMIT 5
 """)
 def t01(ctx):

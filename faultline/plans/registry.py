@@ -33,7 +33,7 @@ def query(name: str, sql: str | None = None):
 def _load_all() -> None:
     # Importing the modules registers their queries.
     from faultline.plans import (  # noqa: F401
-        q_clean, q_deepdive, q_firstpass, q_freq, q_pareto, q_relational, q_sequences, q_shape,
+        q_clean, q_deepdive, q_firstpass, q_freq, q_relational, q_sequences,
     )
 
 

@@ -43,7 +43,8 @@ def tune(spark: SparkSession) -> SparkSession:
     for k, v in SCALE_DEFAULTS.items():
         if conf.get(k, None) in (None, ""):
             conf.set(k, v)
-    ensure_checkpoint_dir(spark)
+    if spark.sparkContext.master.startswith("local"):
+        ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -57,7 +58,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not configured:
-        configured = tempfile.mkdtemp(prefix="faultline-ckpt-")  # tests / local only
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: point it at the cluster's shared storage")
+        configured = tempfile.mkdtemp(prefix="faultline-ckpt-")  # local runs and tests only
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
