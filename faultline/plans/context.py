@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from faultline.config import LogSchema, Params, tpch_params, tpch_schema
 from faultline.operators import clean as C
+from faultline.session import session_key
 from faultline.sources.tpch_log import (
     LOG_VIEW_SQL, ROLES, category_lookup, exception_log, read_table, vendor_name_lookup,
 )
@@ -31,7 +32,7 @@ class LogContext:
         self.sf_dir = sf_dir
         self.s = schema or tpch_schema()
         self.p = params or tpch_params()
-        self._sid = str(id(spark._jsparkSession))
+        self._sid = session_key(spark)
 
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name)

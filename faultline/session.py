@@ -34,16 +34,34 @@ SCALE_DEFAULTS = {
 _TUNED: set[str] = set()
 
 
+def session_key(spark: SparkSession) -> str:
+    """Identity of a session that is never reused by a later session."""
+    try:
+        return f"{spark.sparkContext.applicationId}/{spark._jsparkSession.sessionUUID()}"
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session
+        return f"session-{spark.session_id}" if hasattr(spark, "session_id") else f"obj-{id(spark)}"
+
+
+def _is_local(spark: SparkSession) -> bool:
+    try:
+        return spark.sparkContext.master.startswith("local")
+    except Exception:  # noqa: BLE001 - no SparkContext on a Connect client
+        return False
+
+
 def tune(spark: SparkSession) -> SparkSession:
-    key = str(id(spark._jsparkSession))
+    key = session_key(spark)
     if key in _TUNED:
         return spark
     _TUNED.add(key)
     conf = spark.conf
     for k, v in SCALE_DEFAULTS.items():
-        if conf.get(k, None) in (None, ""):
-            conf.set(k, v)
-    if spark.sparkContext.master.startswith("local"):
+        try:
+            if conf.get(k, None) in (None, ""):
+                conf.set(k, v)
+        except Exception:  # noqa: BLE001 - a setting the session does not allow
+            pass
+    if _is_local(spark):
         ensure_checkpoint_dir(spark)
     return spark
 

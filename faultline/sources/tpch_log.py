@@ -40,7 +40,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Parquet table, resolved once per session (file listing and footer
     schema are not re-read for every query)."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (str(id(spark._jsparkSession)), path)
+    from faultline.session import session_key
+    key = (session_key(spark), path)
     df = _TABLES.get(key)
     if df is None:
         df = _TABLES[key] = spark.read.parquet(path)
