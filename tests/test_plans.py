@@ -38,3 +38,38 @@ def test_running_sum_reuses_range_exchange(spark):
     final = df._jdf.queryExecution().executedPlan().toString()
     assert "rangepartitioning" in final.lower()
     assert "ReusedExchange" in final
+
+
+def _no_broadcast(spark):
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold",
+                                          "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    for k in old:
+        spark.conf.set(k, "-1")
+    return old
+
+
+def test_per_document_aggregate_reuses_join_partitioning(spark):
+    """As at scale (no table small enough to broadcast): the log is shuffled
+    once by document (line items and orders), and the per-document
+    aggregate runs on that partitioning without another exchange."""
+    old = _no_broadcast(spark)
+    try:
+        p = _plan(QUERIES["g11_exception_count_histogram"](spark, SF))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    hashed = [ln for ln in p.splitlines() if "Exchange hashpartitioning" in ln]
+    # line items by order key, orders by order key, histogram by N_Exceptions.
+    assert len(hashed) == 3, hashed
+    assert sum("l_orderkey" in ln or "o_orderkey" in ln for ln in hashed) == 2
+
+
+def test_universe_needs_no_exchange_after_the_log_join(spark):
+    old = _no_broadcast(spark)
+    try:
+        p = _plan(QUERIES["g07_first_pass_by_channel"](spark, SF))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    hashed = [ln.strip() for ln in p.splitlines() if "Exchange hashpartitioning" in ln]
+    assert not any("Document Id" in ln for ln in hashed), hashed
