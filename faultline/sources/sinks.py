@@ -60,3 +60,19 @@ def read_document(spark: SparkSession, path: str, field: str) -> DataFrame:
     as rows."""
     doc = spark.read.option("multiLine", True).json(path)
     return doc.select(F.inline(F.col(f"`{field}`")))
+
+
+def write_clean_log(df: DataFrame, path: str, month_col: str, doc_col: str,
+                    mode: str = "overwrite", num_files: int | None = None) -> None:
+    """Write a cleaned log once for many analyses: partitioned by month (a
+    month filter prunes whole directories) and sorted by document inside each
+    file (row-group statistics on the document key stay tight).
+
+    Rows are range-partitioned on (month, document), not hashed on the month,
+    so a month holding most rows is still split over many tasks and each
+    task writes only a few month directories. Rows without a month land in
+    the default partition."""
+    n = num_files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (df.repartitionByRange(n, month_col, doc_col)
+       .sortWithinPartitions(month_col, doc_col)
+       .write.mode(mode).partitionBy(month_col).parquet(path))

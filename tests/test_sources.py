@@ -45,3 +45,19 @@ def test_intake_stream_cleans_new_files(spark, tmpdir_path):
     out = spark.read.parquet(os.path.join(tmpdir_path, "out")).collect()
     assert len(out) == 1 and out[0]["Amount"] == 1000.0 and out[0]["Month"] == "2025-03"
     assert out[0]["PO Type"] == "NB"
+
+
+def test_clean_log_table_prunes_months(spark, tmpdir_path):
+    from faultline.plans.context import LogContext
+
+    ctx = LogContext(spark, "/root/testdata/sf0.001")
+    s = ctx.s
+    f = ctx.f(())
+    path = os.path.join(tmpdir_path, "clean_log")
+    sinks.write_clean_log(f, path, s.month, s.doc)
+    back = spark.read.parquet(path)
+    assert back.count() == f.count()
+    one = back.where(back[s.month] == "1997-05")
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(Month" in plan and "1997-05" in plan
+    assert one.count() == f.where(f[s.month] == "1997-05").count()
