@@ -48,7 +48,7 @@ def first_seen(m: DataFrame, s: LogSchema) -> DataFrame:
 def distinct_sequence(m: DataFrame, s: LogSchema, pos_col: str = "Distinct_Position") -> DataFrame:
     """D4 / A3 long form: (document, position among distinct ids, id)."""
     w = Window.partitionBy(s.doc).orderBy("_first")
-    return first_seen(m, s).withColumn(pos_col, F.row_number().over(w)).drop("_first")
+    return first_seen(m, s).withColumn(pos_col, F.row_number().over(w).cast("long")).drop("_first")
 
 
 def distinct_sequence_arrays(m: DataFrame, s: LogSchema, out: str = "Exc_Seq") -> DataFrame:
@@ -92,13 +92,15 @@ def flatten_and_count(grams: DataFrame, col: str, key: str) -> DataFrame:
             .groupBy(key).agg(F.count(F.lit(1)).alias("Count")))
 
 
-def group_positions(df: DataFrame, group: Sequence[str], order: Sequence[str],
-                    pos_col: str = "Position", num_partitions: int | None = None) -> DataFrame:
-    """Row number inside each group in ``order`` (unique within a group)
-    without a per-group window: a hot group is spread over many tasks."""
+def _range_positions(df: DataFrame, group: Sequence[str], order: Sequence[str],
+                     pos_col: str, num_partitions: int | None) -> DataFrame:
+    """Row number inside each group without a per-group window: range
+    partition on (group, order), number rows inside each partition, add the
+    group's rows in earlier partitions from a small per-(partition, group)
+    table. A group of any size is spread over many tasks."""
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cols = [F.col(c) for c in (*group, *order)] + payload_order(df, [*group, *order])
-    ranged = (nonnull(df, group).repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+    ranged = (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
               .withColumns({"_pid": F.spark_partition_id(), "_mid": F.monotonically_increasing_id()}))
     w = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     runs = (ranged.groupBy("_pid", *group)
@@ -109,6 +111,33 @@ def group_positions(df: DataFrame, group: Sequence[str], order: Sequence[str],
             .drop("_pid", "_mid", "_first", "_before"))
 
 
+def group_positions(df: DataFrame, group: Sequence[str], order: Sequence[str],
+                    pos_col: str = "Position", num_partitions: int | None = None,
+                    max_share: float = 0.001, min_heavy_rows: int = 1_000_000) -> DataFrame:
+    """Row number inside each group in ``order`` (unique within a group).
+
+    Groups are split by size. A group is heavy when it holds more than
+    max(``max_share`` of all rows, ``min_heavy_rows``) rows, so there are
+    at most 1 / ``max_share`` heavy groups: that list has a proven bound and
+    is broadcast. Light groups (each at most an average task's share of the
+    rows) use a plain per-group window, which needs no shuffle when the data
+    is already partitioned by the group key (the log is, by document).
+    Heavy groups go through ``_range_positions`` and are spread over many
+    tasks.
+    """
+    df = nonnull(df, group)
+    counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows"))
+    total = df.select(F.count(F.lit(1))).scalar()
+    limit = F.greatest(F.floor(total * F.lit(max_share)), F.lit(min_heavy_rows))
+    heavy = F.broadcast(counts.where(F.col("_rows") > limit).select(*group))
+    w = Window.partitionBy(*group).orderBy(*[F.col(c) for c in order])
+    light = (df.join(heavy, on=list(group), how="left_anti")
+             .withColumn(pos_col, F.row_number().over(w).cast("long")))
+    hot = _range_positions(df.join(heavy, on=list(group), how="left_semi"), group, order,
+                           pos_col, num_partitions)
+    return light.unionByName(hot)
+
+
 def exception_sequence(m: DataFrame, s: LogSchema) -> DataFrame:
     """G12 long form: (document, position, id) of every event, in event order."""
     seq = group_positions(m.select(s.doc, s.exc_id, *s.order_cols), [s.doc], list(s.order_cols))

@@ -117,7 +117,9 @@ def test_group_positions_hot_group_brute_force(spark):
     data = [("hot", i, rnd.randint(0, 50)) for i in range(3000)] + \
            [(f"k{j}", i, rnd.randint(0, 50)) for j in range(40) for i in range(rnd.randint(1, 5))]
     df = spark.createDataFrame(data, "g string, o long, v long")
-    out = SQ.group_positions(df, ["g"], ["o"], num_partitions=7).collect()
+    # min_heavy_rows=100 sends the hot group through the range-split path and
+    # the others through the per-group window.
+    out = SQ.group_positions(df, ["g"], ["o"], num_partitions=7, min_heavy_rows=100).collect()
     by = {}
     for r in out:
         by.setdefault(r["g"], []).append((r["o"], r["Position"]))
