@@ -42,12 +42,15 @@ def read_header(spark: SparkSession, path: str) -> list[str]:
 
 
 def read_log_csv(spark: SparkSession, path: str, names: Sequence[str] | None = None,
-                 null_tokens: Sequence[str] = REFERENCE_NULL_TOKENS) -> DataFrame:
+                 null_tokens: Sequence[str] = REFERENCE_NULL_TOKENS,
+                 multi_line: bool = False) -> DataFrame:
     """S1 + S2 + S3: all-text DataFrame with unique column names and null
     tokens turned into nulls.
 
     ``names`` gives the header when it is known (then no file is touched to
-    plan the read); otherwise the first line is read.
+    plan the read); otherwise the first line is read. ``multi_line`` only for
+    extracts whose quoted fields hold line breaks: such files cannot be split,
+    so each is read by one task.
     """
     header = list(names) if names is not None else read_header(spark, path)
     cols = dedupe_names(header)
@@ -57,7 +60,7 @@ def read_log_csv(spark: SparkSession, path: str, names: Sequence[str] | None = N
           .option("enforceSchema", True)  # positional: duplicate names are fine
           .option("encoding", "UTF-8")
           .option("quote", '"').option("escape", '"')
-          .option("multiLine", True)
+          .option("multiLine", multi_line)
           .option("mode", "PERMISSIVE")
           .csv(path))
     tokens = list(null_tokens)

@@ -58,6 +58,8 @@ def test_raw_csv_edges(spark, tmpdir_path):
     assert [r["a"] for r in t] == [1234.5, None, None]
     assert t[0]["t"] is not None and t[1]["t"] is None
     assert dedupe_names(["a", "b", "a", "a"]) == ["a", "b", "a_1", "a_2"]
+    multi = read_log_csv(spark, path, multi_line=True).collect()
+    assert [tuple(r) for r in multi] == [tuple(r) for r in rows]
 
 
 def test_null_keys_dropped_and_share_of_grouped_total(spark):
