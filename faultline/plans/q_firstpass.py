@@ -10,8 +10,8 @@ from faultline.operators import freq as FQ
 from faultline.operators.relational import first_by_order, with_share
 from faultline.plans.registry import query
 
-# Segment used for the single-channel deep dives (the source's COUPA + Service
-# and COUPA + Standard; here two of the test data's channel/category values).
+# Segment used for the single-channel deep dives (one channel and two of its
+# categories; here values of the test data's channel and category columns).
 SEG_CHANNEL = "BUILDING"
 SEG_CAT_A = "PROMO"
 SEG_CAT_B = "STANDARD"
