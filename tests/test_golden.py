@@ -73,3 +73,44 @@ def test_event_totals_reconcile(spark):
     assert monthly.agg(F.sum("Exc_Invoices")).first()[0] == 8303
     m = monthly.withColumn("R", pct(F.col("Total_Invoices") - F.col("Exc_Invoices"), "Total_Invoices", 2))
     assert m.where(F.col("R") != F.col("First_Pass_Rate")).count() == 0
+
+
+def test_top_vendors_are_the_head_of_the_concentration_table(spark):
+    top = _csv(spark, "02_top_vendors.csv")
+    conc = _csv(spark, "07_workload_concentration.csv")
+    assert top.count() == 50
+    # Same event counts as the 50 largest of the full vendor table; rows
+    # outside the last tie group are the same vendors.
+    head = sorted((r[0] for r in conc.select("Exception_Events").collect()), reverse=True)[:50]
+    assert sorted((r[0] for r in top.select("Exception_Events").collect()), reverse=True) == head
+    cut = head[-1]
+    key = ["Supplier", "Name 1", "Unique_Invoices", "Exception_Events", "Avg_Exc_Per_Inv"]
+    above = lambda df: {tuple(r) for r in df.where(F.col("Exception_Events") > cut).select(*key).collect()}
+    assert above(top) == above(conc)
+
+
+def test_frequency_and_category_totals_from_category_table(spark):
+    cat = _csv(spark, "03_exception_by_category.csv")
+    freq = _csv(spark, "01_exception_frequency.csv")
+    by_id = cat.groupBy("Exception ID", "Exception description").agg(F.sum("Count").alias("S"))
+    j = by_id.join(freq, ["Exception ID", "Exception description"], "full")
+    assert j.where(F.col("S").isNull() | F.col("Count").isNull() | (F.col("S") != F.col("Count"))).count() == 0
+    assert cat.agg(F.sum("Count")).first()[0] == 13362
+    totals = cat.groupBy("PO category decription").agg(F.sum("Count").alias("Exception_Events"))
+    assert totals.count() == 4 and totals.agg(F.sum("Exception_Events")).first()[0] == 13362
+
+
+def test_dive_91_totals(spark):
+    assert _csv(spark, "91_channel_category.csv").agg(F.sum("Events")).first()[0] == 6557
+    # The monthly table drops the partial month: 18 events fewer.
+    assert _csv(spark, "91_monthly_by_cat.csv").agg(F.sum("Events")).first()[0] == 6539
+
+
+def test_dive_vendor_averages_half_even(spark):
+    for name in ("151_top_vendors.csv", "29_top_vendors.csv"):
+        g = _csv(spark, name)
+        assert g.count() == 20
+        mine = g.withColumn("mine", F.bround(F.col("Events") / F.col("Unique_Inv"), 2))
+        assert mine.where(F.col("mine") != F.col("Avg_Exc_Per_Inv")).count() == 0
+        ev = [r[0] for r in g.select("Events").collect()]
+        assert ev == sorted(ev, reverse=True)
