@@ -135,12 +135,13 @@ def g25(ctx):
 
 
 @query("t02_multi_key_mixed_sort", sql=VED_SQL + """
-SELECT * FROM det ORDER BY "Supplier" ASC, "Count" DESC, "Exception ID", "Name 1" LIMIT 25
+SELECT * FROM det ORDER BY "Supplier" ASC, "Count" DESC, "Exception ID", "Name 1"
 """)
 def t02(ctx):
+    """The whole detail table in (supplier asc, count desc) order."""
     s = ctx.s
     d = DD.vendor_exception_detail(ctx.m(()), s, names=ctx.vendor_names())
-    return d.orderBy(F.col(s.supplier).asc(), F.col("Count").desc(), F.col(s.exc_id), F.col(s.vendor_name)).limit(25)
+    return d.orderBy(F.col(s.supplier).asc(), F.col("Count").desc(), F.col(s.exc_id), F.col(s.vendor_name))
 
 
 @query("g38_top_ids_over_vendor_set", sql=VED_SQL + """

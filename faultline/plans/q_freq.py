@@ -208,12 +208,13 @@ def w04(ctx):
     return PA.top_n_concentration(PA.workload_concentration(v, s.vendor))
 
 
-@query("t01_sort_desc_top", sql=FREQ_SQL + """
-ORDER BY "Count" DESC, "Exception ID" LIMIT 5
+@query("t01_sort_desc", sql=FREQ_SQL + """
+ORDER BY "Count" DESC, "Exception ID"
 """)
 def t01(ctx):
+    """The whole frequency table, single-key descending sort (ties by id)."""
     s = ctx.s
-    return top_k(FQ.exception_frequency(ctx.m(()), s), [F.col("Count").desc(), F.col(s.exc_id)], 5)
+    return FQ.exception_frequency(ctx.m(()), s).orderBy(F.col("Count").desc(), F.col(s.exc_id))
 
 
 @query("t06_limit_in_category_order", sql="""
