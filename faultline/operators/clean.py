@@ -31,10 +31,17 @@ def is_posted(s: LogSchema, p: Params) -> F.Column:
 def clean(log: DataFrame, s: LogSchema, p: Params, filter_po: bool = True) -> DataFrame:
     """Typed, filtered log: supplier/PO normalised, transport vendors removed,
     optional PO-type filter (P5), amount and dates parsed, month added."""
-    df = log.withColumns({s.supplier: normalized_supplier(s, p), s.po_type: normalized_po(s)})
+    df = log.withColumns({
+        s.supplier: normalized_supplier(s, p),
+        s.po_type: normalized_po(s),
+        # Typed as the source's reader infers them (text extracts hold digits).
+        s.exc_id: F.col(s.exc_id).try_cast("int"),
+    })
     df = df.where(~F.col(s.supplier).startswith(p.transport_prefix))  # P2
     if filter_po:
         df = df.where(F.col(s.po_type).isin(*p.valid_po_types))  # P4
+    if s.touches in df.columns:
+        df = df.withColumn(s.touches, F.col(s.touches).try_cast("int"))
     df = df.withColumns(
         {
             s.amount: parse_amount(s.amount_raw),  # P7
