@@ -79,6 +79,49 @@ def extended_results(f: DataFrame, m: DataFrame, u: DataFrame, s: LogSchema, p:
     return out
 
 
+# Fixed values of the original result document: its fields, the result each
+# one holds, and how many leading rows (None = all rows).
+DOCUMENT_FIELDS = (
+    ("kpi", "kpi", None),
+    ("exc_freq", "01_exception_frequency", 20),
+    ("vendor_top30", "02_top_vendors", 30),
+    ("vendor_intensity", "vendor_intensity", None),
+    ("cat_summary", "cat_summary", None),
+    ("cat_exc", "03_exception_by_category", 60),
+    ("channel_fp", "04_channel_firstpass", None),
+    ("channel_cat_fp", "04b_channel_cat_firstpass", None),
+    ("exc_dist", "05_exception_count_dist", None),
+    ("exc_pairs", "05_exception_pairs", 15),
+    ("exc_triples", "05_exception_triples", 10),
+    ("monthly", "06_monthly_trends", None),
+    ("workload_conc", "07_workload_concentration", 50),
+)
+
+
+def document(results: dict[str, DataFrame], s: LogSchema) -> DataFrame:
+    """The result document, one row per field with its records as a JSON
+    array. Every field is bounded: a top-k list or a table over a small
+    dimension (channels, categories, months, event counts)."""
+    from pyspark.sql import functions as F
+
+    order = {
+        "01_exception_frequency": [F.col("Count").desc(), F.col(s.exc_id)],
+        "02_top_vendors": FQ.vendor_order(s),
+        "03_exception_by_category": [F.col(s.category), F.col("Count").desc(), F.col(s.exc_id)],
+        "07_workload_concentration": FQ.vendor_order(s),
+    }
+    parts = {}
+    for field, name, k in DOCUMENT_FIELDS:
+        df = results[name]
+        if k is None:
+            parts[field] = df
+        elif name in order:
+            parts[field] = top_k(df, order[name], k)
+        else:  # already an ordered top-k (n-grams, first-seen ties): the limits combine
+            parts[field] = df.limit(k)
+    return sinks.result_document(parts)
+
+
 def build_from_views(f: DataFrame, m: DataFrame, s: LogSchema, p: Params,
                      channel: str, categories: tuple[str, str]) -> dict[str, DataFrame]:
     """All result tables from the cleaned full (F) and material (M) logs."""
@@ -109,6 +152,7 @@ def run(spark: SparkSession, full_path: str, material_path: str, out_dir: str,
         results = build_from_views(f, m, s, p, channel, categories)
         sinks.write_results(results, f"{out_dir.rstrip('/')}/csv", fmt="csv")
         sinks.write_results(results, f"{out_dir.rstrip('/')}/json", fmt="json")
+        document(results, s).write.mode("overwrite").json(f"{out_dir.rstrip('/')}/document")
     finally:
         f.unpersist()
         m.unpersist()

@@ -96,5 +96,9 @@ def test_report_from_csv_extracts(spark, tmpdir_path):
     assert rows(res["06_monthly_trends"], cols) == rows(q["g17_monthly_trend"](spark, sf), cols)
     kpi = res["kpi"].first().asDict()
     assert kpi == q["g10_kpi_row"](spark, sf).first().asDict()
+    doc = {r["name"]: r["records"] for r in spark.read.json(os.path.join(out, "document")).collect()}
+    assert len(doc) == 13 and doc["exc_freq"].startswith("[{")
+    import json
+    assert len(json.loads(doc["workload_conc"])) == min(50, q["g07w_workload_concentration"](spark, sf).count())
     back = spark.read.option("header", True).csv(os.path.join(out, "csv", "07_workload_concentration"))
     assert back.count() == q["g07w_workload_concentration"](spark, sf).count()
