@@ -56,7 +56,11 @@ def events_and_invoices(df: DataFrame, keys: Sequence[str], doc: str,
 def attach_names(g: DataFrame, names: DataFrame, supplier: str, name: str) -> DataFrame:
     """Attach vendor names to a table aggregated by supplier; suppliers
     without a name drop out, as null group keys do (rule 1). Columns come
-    out as (supplier, name, rest...)."""
+    out as (supplier, name, rest...).
+
+    Only for a lookup with one name per supplier (a supplier master keyed by
+    supplier). When the log itself carries several names for one supplier,
+    group by (supplier, name) on the log instead."""
     rest = [c for c in g.columns if c != supplier]
     j = g.join(names.where(F.col(name).isNotNull()), on=supplier, how="inner")
     return j.select(supplier, name, *rest)
