@@ -193,3 +193,17 @@ def test_labels_and_bands(spark):
     out = SH.with_band(SH.exception_label(df, "i", "d", width=35), "r").collect()
     assert out[0]["Label"] == ("ID 1: " + "x" * 50)[:35] + "…" and out[1]["Label"] == "ID 2: short"
     assert [r["Band"] for r in out] == ["high", "low"]
+
+
+def test_fewer_vendors_than_rank_and_min_invoice_boundary(spark):
+    # Vendor 1 has exactly 10 invoices (kept by ">= 10"), vendor 2 has 9.
+    rows = [ev(f"A{i}", 5, i, sup="1", name="One") for i in range(10)] + \
+           [ev(f"B{i}", 5, i, sup="2", name="Two") for i in range(9)]
+    m = C.material_posted(log_df(spark, rows), S, P)
+    inten = FQ.vendor_intensity(m, S, min_invoices=10, k=20).collect()
+    assert [(r["Supplier"], r["Unique_Invoices"]) for r in inten] == [("1", 10)]
+    conc = PA.workload_concentration(FQ.vendor_stats(m, S), S.vendor)
+    r = PA.top_n_concentration(conc).first()
+    # Two vendors only: the top-10 share is everything, the value at rank 10 is undefined.
+    assert r["Top10_Pct"] == 100.0 and r["Cum_Pct_At_10"] is None
+    assert sorted(x["Cumulative_Pct"] for x in conc.collect()) == [52.63, 100.0]
