@@ -207,3 +207,13 @@ def test_fewer_vendors_than_rank_and_min_invoice_boundary(spark):
     # Two vendors only: the top-10 share is everything, the value at rank 10 is undefined.
     assert r["Top10_Pct"] == 100.0 and r["Cum_Pct_At_10"] is None
     assert sorted(x["Cumulative_Pct"] for x in conc.collect()) == [52.63, 100.0]
+
+
+def test_parse_failure_rate(spark):
+    rows = [ev("A", 5, 1, amount="1,234.50"), ev("B", 5, 1, amount="bad"), ev("C", 5, 1, amount=None),
+            ev("D", 5, 1, amount='"12"')]
+    f = C.full_posted(log_df(spark, rows), S, P)
+    r = C.parse_failure_rate(f, S).first()
+    # Only "bad" fails; a missing amount is not a parse failure.
+    assert (r["Rows"], r["Unparsed"], r["Unparsed_Pct"]) == (4, 1, 25.0)
+    assert sorted((x["Amount"] is None) for x in f.select(S.amount).collect()) == [False, False, True, True]
