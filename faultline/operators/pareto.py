@@ -8,20 +8,14 @@ A running sum over a global order is usually written as a window without
   measure values (value, how many rows). Its size is bounded by the data:
   if d distinct positive counts sum to at most N, then 1 + 2 + ... + d <= N,
   so d <= sqrt(2N) (about 1.4 million for 10^12 events). A window over that
-  small table gives, per value, the sum and count of all larger values;
-* inside one tie group (rows with the same measure) the position of a row is
-  found without a per-group window, so a tie group holding most rows (for
-  example every vendor with a single event) is still spread over all tasks:
-  the rows are range-partitioned on the full order, each row gets its offset
-  inside its partition, and a small table (one row per partition and measure
-  value, at most #partitions + d rows) gives the count of the same tie group
-  in earlier partitions.
-
-Both small tables are joined back with a broadcast whose size bound is the
-one stated above. The partition numbers come from one range exchange that
-both branches reuse (an explicit partition count, which AQE does not
-coalesce), and the order inside a partition is a total order, so the
-numbering is the same if a task is re-run.
+  small table gives, per value, the sum and count of all larger values, and
+  it is broadcast with that bound;
+* inside one tie group (rows with the same measure) the position of a row
+  comes from ``sequences.group_positions``: small tie groups use a window
+  per group; the few heavy ones (for example every vendor with a single
+  event) are range-partitioned over many tasks, numbered from a
+  checkpointed copy, so the numbering does not depend on exchange reuse and
+  survives re-run tasks.
 """
 
 from __future__ import annotations
@@ -30,37 +24,20 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType
 
 from faultline.functions import pct
 
 
-def payload_order(df: DataFrame, leading: Sequence[str]) -> list:
-    """The remaining columns as trailing sort keys.
-
-    The leading keys already give a total order, so trailing keys never change
-    it. They make every consumer of the range exchange need the same columns,
-    so column pruning cannot give the two branches different exchanges and
-    both read one shuffle (``ReusedExchange``), which keeps the partition
-    numbering identical between them.
-    """
-    lead = set(leading)
-    return [F.col(f.name).asc() for f in df.schema.fields
-            if f.name not in lead and not isinstance(f.dataType, MapType)]
-
-
 def global_running_sum(df: DataFrame, measure: str, keys: Sequence[str],
                        rank_col: str = "Rank", cum_col: str = "Cumulative_Events",
-                       num_partitions: int | None = None) -> DataFrame:
+                       num_partitions: int | None = None,
+                       min_heavy_rows: int = 1_000_000) -> DataFrame:
     """Add ``rank_col`` (1..n) and ``cum_col`` (running sum of ``measure``)
     over the order (measure desc, keys asc). ``keys`` must be unique and
     non-null; ``measure`` non-negative integers."""
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = [F.col(measure).desc(), *[F.col(k).asc() for k in keys]]
-    order += payload_order(df, [measure, *keys])
-    e = F.col(measure)
+    from faultline.operators.sequences import group_positions
 
+    e = F.col(measure)
     # Distinct measure values: rows and sum of all strictly larger values.
     # Window without partitionBy over at most sqrt(2N) rows.
     w_before = Window.orderBy(e.desc()).rowsBetween(Window.unboundedPreceding, -1)
@@ -69,24 +46,14 @@ def global_running_sum(df: DataFrame, measure: str, keys: Sequence[str],
                   "_rows_gt": F.coalesce(F.sum("_n").over(w_before), F.lit(0)),
                   "_sum_gt": F.coalesce(F.sum(e * F.col("_n")).over(w_before), F.lit(0)),
               }).drop("_n"))
-
-    ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-              .withColumns({"_pid": F.spark_partition_id(), "_mid": F.monotonically_increasing_id()}))
-    # Per (partition, value): first offset and rows; rows of the same value in
-    # earlier partitions (a value spans a contiguous run of partitions).
-    w_part = Window.partitionBy(measure).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    runs = (ranged.groupBy("_pid", measure)
-            .agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_cnt"))
-            .withColumn("_before", F.coalesce(F.sum("_cnt").over(w_part), F.lit(0)))
-            .drop("_cnt"))
-
-    out = (ranged.join(F.broadcast(runs), on=["_pid", measure])
-           .join(F.broadcast(levels), on=measure)
-           .withColumn("_r", F.col("_mid") - F.col("_first") + 1 + F.col("_before")))
+    # Position inside the tie group (same measure), in key order.
+    ranked = group_positions(df, [measure], list(keys), pos_col="_r", num_partitions=num_partitions,
+                             min_heavy_rows=min_heavy_rows)
+    out = ranked.join(F.broadcast(levels), on=measure)
     return (out.withColumns({
         rank_col: F.col("_rows_gt") + F.col("_r"),
         cum_col: F.col("_sum_gt") + e * F.col("_r"),
-    }).drop("_pid", "_mid", "_first", "_before", "_r", "_rows_gt", "_sum_gt"))
+    }).drop("_r", "_rows_gt", "_sum_gt"))
 
 
 def workload_concentration(vendors: DataFrame, keys: Sequence[str], measure: str = "Exception_Events",

@@ -25,7 +25,6 @@ from pyspark.sql import functions as F
 
 from faultline.config import LogSchema
 from faultline.functions import chain_key, ngram_array
-from faultline.operators.pareto import payload_order
 from faultline.operators.relational import nonnull, top_k
 
 
@@ -97,11 +96,20 @@ def _range_positions(df: DataFrame, group: Sequence[str], order: Sequence[str],
     """Row number inside each group without a per-group window: range
     partition on (group, order), number rows inside each partition, add the
     group's rows in earlier partitions from a small per-(partition, group)
-    table. A group of any size is spread over many tasks."""
+    table. A group of any size is spread over many tasks.
+
+    The numbered rows are checkpointed to ``spark.checkpoint.dir`` before the
+    offset table is built from them: partition ids and offsets then come from
+    one stored copy (a re-run task or a second read cannot see other range
+    bounds), and the lineage is cut."""
+    from faultline.session import ensure_checkpoint_dir
+
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cols = [F.col(c) for c in (*group, *order)] + payload_order(df, [*group, *order])
+    cols = [F.col(c) for c in (*group, *order)]
+    ensure_checkpoint_dir(df.sparkSession)
     ranged = (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
-              .withColumns({"_pid": F.spark_partition_id(), "_mid": F.monotonically_increasing_id()}))
+              .withColumns({"_pid": F.spark_partition_id(), "_mid": F.monotonically_increasing_id()})
+              .checkpoint(eager=True))
     w = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     runs = (ranged.groupBy("_pid", *group)
             .agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_cnt"))

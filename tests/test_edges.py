@@ -121,26 +121,40 @@ def test_group_positions_hot_group_brute_force(spark):
     df = spark.createDataFrame(data, "g string, o long, v long")
     # min_heavy_rows=100 sends the hot group through the range-split path and
     # the others through the per-group window.
-    out = SQ.group_positions(df, ["g"], ["o"], num_partitions=7, min_heavy_rows=100).collect()
-    by = {}
-    for r in out:
-        by.setdefault(r["g"], []).append((r["o"], r["Position"]))
-    for g, lst in by.items():
-        lst.sort()
-        assert [p for _, p in lst] == list(range(1, len(lst) + 1)), g
+    for reuse in ("true", "false"):
+        spark.conf.set("spark.sql.exchange.reuse", reuse)
+        try:
+            out = SQ.group_positions(df.repartition(5), ["g"], ["o"], num_partitions=7, min_heavy_rows=100).collect()
+        finally:
+            spark.conf.set("spark.sql.exchange.reuse", "true")
+        by = {}
+        for r in out:
+            by.setdefault(r["g"], []).append((r["o"], r["Position"]))
+        for g, lst in by.items():
+            lst.sort()
+            assert [p for _, p in lst] == list(range(1, len(lst) + 1)), (g, reuse)
 
 
 def test_global_running_sum_hot_tie_group_brute_force(spark):
     rnd = random.Random(3)
     vend = [(f"s{i:05d}", "n", 1) for i in range(2500)] + [(f"t{i:04d}", "n", rnd.randint(2, 60)) for i in range(300)]
     df = spark.createDataFrame(vend, "Supplier string, `Name 1` string, Exception_Events long")
-    got = {(r["Supplier"]): (r["Rank"], r["Cumulative_Events"])
-           for r in PA.global_running_sum(df, "Exception_Events", ["Supplier", "Name 1"], num_partitions=9).collect()}
     order = sorted(vend, key=lambda x: (-x[2], x[0], x[1]))
-    cum = 0
-    for i, (s, _, e) in enumerate(order, 1):
-        cum += e
-        assert got[s] == (i, cum)
+    # Default: every tie group is light (per-group window). min_heavy_rows=100
+    # sends the 2,500-vendor tie group through the range split. The result may
+    # not depend on the session reusing exchanges.
+    for heavy, reuse in ((1_000_000, "true"), (100, "true"), (100, "false")):
+        spark.conf.set("spark.sql.exchange.reuse", reuse)
+        try:
+            got = {(r["Supplier"]): (r["Rank"], r["Cumulative_Events"])
+                   for r in PA.global_running_sum(df.repartition(5), "Exception_Events", ["Supplier", "Name 1"],
+                                                  num_partitions=9, min_heavy_rows=heavy).collect()}
+        finally:
+            spark.conf.set("spark.sql.exchange.reuse", "true")
+        cum = 0
+        for i, (s, _, e) in enumerate(order, 1):
+            cum += e
+            assert got[s] == (i, cum), (heavy, reuse)
 
 
 def test_monthly_trend_fills_zero_and_keeps_partial_month(spark):
