@@ -1,5 +1,6 @@
 """Plan shape: no Python evaluation, pruned scans, top-k without a global
-sort, reused range exchange in the running sum, no cartesian products."""
+sort, no cartesian products, per-document work on the log's partitioning,
+running sums independent of exchange reuse."""
 
 import pytest
 
