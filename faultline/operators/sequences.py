@@ -131,14 +131,20 @@ def group_positions(df: DataFrame, group: Sequence[str], order: Sequence[str],
     rows) use a plain per-group window, which needs no shuffle when the data
     is already partitioned by the group key (the log is, by document).
     Heavy groups go through ``_range_positions`` and are spread over many
-    tasks.
+    tasks. Whether any group is heavy is asked first (one boolean to the
+    driver); without heavy groups the plan is the per-group window alone.
     """
     df = nonnull(df, group)
     counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows"))
     total = df.select(F.count(F.lit(1))).scalar()
     limit = F.greatest(F.floor(total * F.lit(max_share)), F.lit(min_heavy_rows))
-    heavy = F.broadcast(counts.where(F.col("_rows") > limit).select(*group))
+    heavy_keys = counts.where(F.col("_rows") > limit).select(*group)
     w = Window.partitionBy(*group).orderBy(*[F.col(c) for c in order])
+    if heavy_keys.isEmpty():
+        # One small job answers one yes/no question; with no heavy group the
+        # plan is the per-group window alone.
+        return df.withColumn(pos_col, F.row_number().over(w).cast("long"))
+    heavy = F.broadcast(heavy_keys)
     light = (df.join(heavy, on=list(group), how="left_anti")
              .withColumn(pos_col, F.row_number().over(w).cast("long")))
     hot = _range_positions(df.join(heavy, on=list(group), how="left_semi"), group, order,
