@@ -48,6 +48,20 @@ def test_intake_stream_cleans_new_files(spark, tmpdir_path):
     assert len(out) == 1 and out[0]["Amount"] == 1000.0 and out[0]["Month"] == "2025-03"
     assert out[0]["PO Type"] == "NB"
 
+    # A new extract lands; a restarted stream with the same checkpoint picks
+    # up only that file (no duplicates of the first one).
+    with open(os.path.join(src, "part2.csv"), "w") as f:
+        f.write(",".join(header) + "\n")
+        f.write('101,zcp,"2,500.00",2025-04-01 09:00:00,2025-04-01,15,D3,7,x\n')
+    q = stream_clean_log(spark, src, header, os.path.join(tmpdir_path, "out"),
+                         os.path.join(tmpdir_path, "ckpt"), LogSchema(), Params())
+    q.awaitTermination(120)
+    out = spark.read.parquet(os.path.join(tmpdir_path, "out"))
+    assert sorted((r["Document Id"], r["Month"]) for r in out.collect()) == [("D1", "2025-03"), ("D3", "2025-04")]
+    # Month directories prune: only the April file is read for an April filter.
+    plan = out.where(out["Month"] == "2025-04")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "2025-04" in plan
+
 
 def test_clean_log_table_prunes_months(spark, tmpdir_path):
     from faultline.plans.context import LogContext
