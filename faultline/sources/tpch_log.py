@@ -51,8 +51,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def _exc_id() -> F.Column:
     # One array lookup, not a CASE per id: the optimizer copies this
     # expression into every predicate it pushes down, so it must stay small.
+    # pmod keeps the index in 1..len for any key (element_at raises under ANSI
+    # for an index out of range).
+    n = len(MATERIAL_ID_CYCLE)
     cyc = F.element_at(F.array(*[F.lit(v) for v in MATERIAL_ID_CYCLE]),
-                       (F.col("l_partkey") % len(MATERIAL_ID_CYCLE) + 1).cast("int"))
+                       (F.pmod(F.col("l_partkey"), F.lit(n)) + 1).cast("int"))
     return (
         F.when(F.col("l_linenumber") == 1, F.lit(0))
         .when(F.col("l_linenumber") == 2, F.lit(91))
@@ -138,9 +141,10 @@ def category_lookup(spark: SparkSession, sf_dir: str, schema: LogSchema | None =
 
 def _sql_exc_id() -> str:
     ids = ", ".join(str(v) for v in MATERIAL_ID_CYCLE)
+    n = len(MATERIAL_ID_CYCLE)
     return (
         "CAST(CASE WHEN l_linenumber = 1 THEN 0 WHEN l_linenumber = 2 THEN 91 "
-        f"ELSE list_extract([{ids}], CAST(l_partkey % {len(MATERIAL_ID_CYCLE)} + 1 AS INTEGER)) END AS INTEGER)"
+        f"ELSE list_extract([{ids}], CAST(((l_partkey % {n}) + {n}) % {n} + 1 AS INTEGER)) END AS INTEGER)"
     )
 
 
