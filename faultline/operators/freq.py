@@ -34,18 +34,27 @@ def vendor_stats(m: DataFrame, s: LogSchema, digits: int = 2,
 
     ``names`` (supplier -> name), when the name is a function of the
     supplier: aggregate by supplier, then attach names to the aggregate."""
-    aggs = [F.countDistinct(F.col(s.doc)).alias("Unique_Invoices"),
-            F.count(F.lit(1)).alias("Exception_Events")]
     if names is None:
-        g = nonnull(m, s.vendor).groupBy(*s.vendor).agg(*aggs)
+        g = nonnull(m, s.vendor).groupBy(*s.vendor).agg(*_vendor_aggs(s))
     else:
-        g = attach_names(nonnull(m, [s.supplier]).groupBy(s.supplier).agg(*aggs),
-                         names, s.supplier, s.vendor_name)
-    return (
-        g.withColumn("Avg_Exc_Per_Inv",
-                    F.bround(F.try_divide(F.col("Exception_Events").cast("double"),
-                                          F.col("Unique_Invoices").cast("double")), digits))
-    )
+        g = attach_names(supplier_stats(m, s), names, s.supplier, s.vendor_name)
+    return _with_avg(g, digits)
+
+
+def _vendor_aggs(s: LogSchema):
+    return [F.countDistinct(F.col(s.doc)).alias("Unique_Invoices"),
+            F.count(F.lit(1)).alias("Exception_Events")]
+
+
+def _with_avg(g: DataFrame, digits: int = 2) -> DataFrame:
+    return g.withColumn("Avg_Exc_Per_Inv",
+                        F.bround(F.try_divide(F.col("Exception_Events").cast("double"),
+                                              F.col("Unique_Invoices").cast("double")), digits))
+
+
+def supplier_stats(m: DataFrame, s: LogSchema) -> DataFrame:
+    """Distinct invoices and events per supplier (before names are attached)."""
+    return nonnull(m, [s.supplier]).groupBy(s.supplier).agg(*_vendor_aggs(s))
 
 
 def vendor_order(s: LogSchema):
@@ -92,7 +101,16 @@ def crosstab(df: DataFrame, rows: str, cols: str, values: Sequence[str]) -> Data
 def kpi_row(u: DataFrame, m: DataFrame, s: LogSchema, names: DataFrame | None = None) -> DataFrame:
     """One row of headline figures. Each figure is a one-row aggregate;
     they are combined with scalar subqueries (no driver round trip)."""
-    vend = vendor_stats(m, s, names=names)
+    if names is None:
+        vend = vendor_stats(m, s)
+        total_events = m.select(F.count(F.lit(1))).scalar()
+    else:
+        # A cleaned log has a supplier on every row (a missing one becomes
+        # "nan" or fails the prefix filter), so the per-supplier counts add
+        # up to all events: one aggregate of the log serves both figures.
+        pre = supplier_stats(m, s)
+        vend = _with_avg(attach_names(pre, names, s.supplier, s.vendor_name))
+        total_events = grand_total(pre, "Exception_Events")
     top10 = top_k(vend, vendor_order(s), 10)
     fp = u.agg(
         F.countDistinct(F.col(s.doc)).alias("total_invoices"),
@@ -101,7 +119,7 @@ def kpi_row(u: DataFrame, m: DataFrame, s: LogSchema, names: DataFrame | None =
     )
     return fp.select(
         "*",
-        m.select(F.count(F.lit(1))).scalar().alias("total_exception_events"),
+        total_events.cast("long").alias("total_exception_events"),
         vend.select(F.countDistinct(F.col(s.supplier))).scalar().alias("unique_vendors_with_exceptions"),
         pct(grand_total(top10, "Exception_Events"), grand_total(vend, "Exception_Events"), 1)
         .alias("top10_vendor_pct"),
