@@ -56,11 +56,9 @@ class ChunkEncoder:
         # A few hundred texts at a time bound the lists of chunks.
         for at in range(0, len(texts), 256):
             cut = [self.chunks(t or "") for t in texts[at:at + 256]]
-            new = set().union(*[c for c in cut if c is not None]) - self.cache.keys()
-            if len(self.cache) + len(new) > CACHE_CHUNKS:
+            if len(self.cache) > CACHE_CHUNKS:
                 self.cache.clear()
-                new = set().union(*[c for c in cut if c is not None])
-            miss = list(new)
+            miss = [c for c in set().union(*[c for c in cut if c is not None]) if c not in self.cache]
             self.cache.update(zip(miss, self._encode(miss)))
             get = self.cache.__getitem__
             for t, c in zip(texts[at:at + 256], cut):

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from faultline.llm.util import boxed, shared_path, table, unboxed
+from faultline.llm.util import boxed, shared_path, stored, table, unboxed
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -64,10 +64,9 @@ def _keyed_state(landed: DataFrame, path: str, where: str) -> DataFrame:
             .groupBy("_digest").agg(F.max("_keep").alias("_keep"), F.max("_n").alias("_n")))
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                digest: Callable[[Column], Column] = sha256) -> DataFrame:
-    """All rows and columns of ``docs`` plus ``_digest``, ``_keep_id``,
-    ``_group_size`` and ``_kept`` (true for the row that stays)."""
+def _decide(docs: DataFrame, id_col: str, text_col: str, digest: Callable[[Column], Column]):
+    """(landed rows, state, clash, mixed): the state holds for digests outside
+    ``clash``; ``mixed`` has the rows of the others, grouped by their bytes."""
     spark = docs.sparkSession
     where = shared_path(spark, "exact-dedup")
     landing = f"{where}/landing"
@@ -81,31 +80,43 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     else:
         state = _keyed_state(landed, landing, where)
 
-    repeated = state.where("_n > 1").select("_digest", "_keep", "_n")
-    # Full bytes of the retained rows of repeated digests, found by locator.
+    # Full bytes: only rows of repeated digests carry their text on.
     body = F.coalesce(F.col("_doc").getField(text_col), F.lit(""))
-    kept_bytes = (landed.select("_digest", "_row", body.alias("_bytes"))
-                  .join(repeated.select("_digest", F.col("_keep._row").alias("_row"), "_keep", "_n"),
-                        on=["_digest", "_row"])
-                  .drop("_row"))
-    hit = landed.join(kept_bytes, on="_digest", how="left")
-    same = F.col("_bytes").isNull() | (F.col("_bytes") == body)
-    hit = hit.withColumn("_same", same).drop("_bytes")
-    # A digest with a row that differs from the retained one is grouped anew
-    # by its bytes; such digests are looked for, and none are expected.
-    clash = hit.where(~F.col("_same")).select("_digest").distinct().withColumn("_clash", F.lit(True))
-    out = hit.join(clash, on="_digest", how="left")
-    plain = (out.where(F.col("_clash").isNull())
-             .withColumns({"_win": F.coalesce(F.col("_keep"), F.struct("_id", "_row")),
-                           "_group_size": F.coalesce(F.col("_n"), F.lit(1).cast("long"))}))
-    byte_key = Window.partitionBy("_digest", body)
-    mixed = (out.where(F.col("_clash").isNotNull())
-             .withColumns({"_win": F.max(F.struct("_id", "_row")).over(byte_key),
-                           "_group_size": F.count(F.lit(1)).over(byte_key)}))
-    rows = plain.unionByName(mixed)
+    rows = stored(landed.select("_digest", "_id", "_row", body.alias("_bytes"))
+                  .join(state.where("_n > 1").select("_digest", F.col("_keep._row").alias("_keep_row")), on="_digest"),
+                  "repeated")
+    kept = rows.where("_row = _keep_row").select("_digest", F.col("_bytes").alias("_kept_bytes"))
+    clash = (rows.where("_row <> _keep_row").join(kept, on="_digest")
+             .where("_bytes <> _kept_bytes").select("_digest").distinct())
+    same = Window.partitionBy("_digest", "_bytes")
+    mixed = (rows.join(clash, on="_digest", how="left_semi")
+             .select("_row", F.max(F.struct("_id", "_row")).over(same).alias("_keep"),
+                     F.count(F.lit(1)).over(same).alias("_n")))
+    return landed, state, clash, mixed
+
+
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                digest: Callable[[Column], Column] = sha256) -> DataFrame:
+    """All rows and columns of ``docs`` plus ``_digest``, ``_keep_id``,
+    ``_group_size`` and ``_kept`` (true for the row that stays)."""
+    landed, state, clash, mixed = _decide(docs, id_col, text_col, digest)
+    plain = landed.join(state.join(clash, on="_digest", how="left_anti"), on="_digest")
+    rows = plain.unionByName(landed.join(mixed, on="_row"))
     return unboxed(rows, docs, {
-        "_digest": F.col("_digest"), "_keep_id": F.col("_win._id"),
-        "_group_size": F.col("_group_size"), "_kept": F.col("_win._row") == F.col("_row")})
+        "_digest": F.col("_digest"), "_keep_id": F.col("_keep._id"),
+        "_group_size": F.col("_n"), "_kept": F.col("_keep._row") == F.col("_row")})
+
+
+def kept_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+              digest: Callable[[Column], Column] = sha256) -> DataFrame:
+    """The rows of ``docs`` that stay: those that go are found without their
+    texts and left out."""
+    landed, state, clash, mixed = _decide(docs, id_col, text_col, digest)
+    plain = (landed.select("_digest", "_row")
+             .join(state.where("_n > 1").join(clash, on="_digest", how="left_anti"), on="_digest"))
+    gone = (plain.select("_row", "_keep").unionByName(mixed.select("_row", "_keep"))
+            .where("_row <> _keep._row").select("_row"))
+    return unboxed(landed.join(gone, on="_row", how="left_anti"), docs, {})
 
 
 def query(spark, sf_dir):

@@ -5,6 +5,9 @@ from __future__ import annotations
 from importlib import import_module
 
 MODULES = {
+    "op4_simhash_near_dedup": "op4_simhash",
+    "op6_substring_dedup": "op6_substring_dedup",
+    "op9_toxicity": "op9_toxicity",
     "op7_best_fit_packing": "op7_packing",
     "op8_exact_dedup": "op8_exact_dedup",
 }
