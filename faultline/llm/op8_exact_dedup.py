@@ -27,7 +27,14 @@ from pyspark.sql import types as T
 
 from faultline.llm.util import boxed, shared_path, stored, table, unboxed
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: Disk-backed state; with one small store for each partition, none sets disk
+#: space aside in advance, and a commit writes its changes and no whole copy.
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 def sha256(text: Column) -> Column:
@@ -38,9 +45,9 @@ def _keyed_state(landed: DataFrame, path: str, where: str) -> DataFrame:
     """Run the stream over the landed records to its present end; one row per
     digest: retained identifier and locator, number of rows."""
     spark = landed.sparkSession
-    provider = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(provider, None)
-    spark.conf.set(provider, ROCKSDB)
+    before = {k: spark.conf.get(k, None) for k in STATE_STORE}
+    for k, v in STATE_STORE.items():
+        spark.conf.set(k, v)
     try:
         records = (spark.readStream.schema(landed.schema).parquet(path)
                    .select("_digest", F.struct("_id", "_row").alias("_who")))
@@ -54,10 +61,11 @@ def _keyed_state(landed: DataFrame, path: str, where: str) -> DataFrame:
              .option("checkpointLocation", f"{where}/state").trigger(availableNow=True).start())
         q.awaitTermination()
     finally:
-        if before is None:
-            spark.conf.unset(provider)
-        else:
-            spark.conf.set(provider, before)
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
     schema = state.schema.add("epoch", T.IntegerType())
     # The newest record of a digest holds its state: both fields only grow.
     return (spark.read.schema(schema).parquet(f"{where}/out")
