@@ -7,12 +7,14 @@ from importlib import import_module
 MODULES = {
     "op1_ann_kmeans_tree": "op1_ann",
     "op2_bpe_segment_tree": "op2_bpe",
+    "op3_license_scan": "op3_licenses",
     "op4_simhash_near_dedup": "op4_simhash",
     "op5_token_files": "op5_token_files",
     "op6_substring_dedup": "op6_substring_dedup",
     "op7_best_fit_packing": "op7_packing",
     "op8_exact_dedup": "op8_exact_dedup",
     "op9_toxicity": "op9_toxicity",
+    "op10_html_extraction": "op10_html",
 }
 
 
