@@ -192,7 +192,7 @@ def links(fps: DataFrame, t: int = 2, block: int = BLOCK) -> DataFrame:
         for rows in runs():
             home = np.concatenate([x[0] for x in rows]).astype(bool)
             fp = np.concatenate([x[1] for x in rows]).view(np.uint64)
-            if home.any() and len(fp) > 2:
+            if home.any() and not home.all():
                 node, root = forest(fp[home], fp[~home], t)
                 a.append(node.view(np.int64))
                 b.append(root.view(np.int64))
