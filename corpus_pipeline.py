@@ -16,7 +16,7 @@ import faultline.llm.op6_substring_dedup as op6_substring_dedup
 import faultline.llm.op7_packing as op7_packing
 import faultline.llm.op8_exact_dedup as op8_exact_dedup
 import faultline.llm.op9_toxicity as op9_toxicity
-from faultline.llm.util import stored, table
+from faultline.llm.util import ship, stored, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -67,6 +67,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name)

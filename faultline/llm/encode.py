@@ -1,4 +1,4 @@
-"""Whole-text encoding with the ``tokenizers`` library, one call for each distinct chunk.
+"""Whole-text encoding with the ``tokenizers`` library, once for each distinct chunk.
 
 A text is cut where the tokenizer's own pre-tokenizer always cuts, and each
 distinct chunk is encoded once per worker (a bounded cache). Joining the ids
@@ -6,64 +6,112 @@ of the chunks gives the ids of the whole text:
 
 * word tokenizers (white space dropped): cut at spaces and line feeds. Tokens
   and special tokens never span one.
-* byte-level tokenizers: cut before a space that follows a non-space. A run of
-  two spaces is grouped by look-ahead, so texts with such a run, and texts
-  with a special token's string, go to the library whole.
+* byte-level tokenizers: cut before a space or line feed between two
+  non-spaces. Runs of white space are grouped by look-ahead, so texts with
+  such a run, or with other white space, or with a special token's string, go
+  to the library whole. A chunk stands for itself after a space; after a line
+  feed it has ``BREAK`` before it.
 
-``tests/llm`` holds both against the library on whole texts.
+A chunk of Latin letters with a mark or two after them has two pre-tokens
+whatever the tokenizer: its letters go to the library's model as they are,
+without the general normalizer and pre-tokenizer before it.
+
+``tests/llm`` holds all this against the library on whole texts.
 """
 
 from __future__ import annotations
 
 import os
+import re
+from array import array
 
 import numpy as np
 
-#: Chunks kept per Python worker; the cache starts anew when it is full.
+#: Chunks kept per Python worker, in a new and an old half: a full new half
+#: becomes the old one, and what is asked for again moves back.
 CACHE_CHUNKS = 400_000
+#: Letters that Unicode normal form C leaves alone and that lower-case one to one.
+PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:]*)")
+BREAK = "\0"
+
+
+def byte_alphabet() -> dict[int, str]:
+    """The printable character that stands for each byte in byte-level
+    vocabularies: itself if printable, else the next of U+0100 upward."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
-class ChunkEncoder:
-    """Ids of a text as little-endian unsigned 32-bit bytes."""
+class ChunkEncoder(dict):
+    """chunk -> ids as little-endian unsigned 32-bit bytes, filled as chunks are asked for."""
 
     def __init__(self, path: str):
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
         self.tok.no_truncation()
         self.tok.no_padding()
+        self.model = self.tok.model
         self.specials = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-        self.words = "ByteLevel" not in str(self.tok.decoder) and self.tok.normalizer is not None
-        self.cache: dict[str, bytes] = {}
-
-    def chunks(self, text: str) -> list[str] | None:
-        """None: this text must be encoded whole."""
+        self.words = self.tok.normalizer is not None  # this kind lower-cases and drops white space
+        alphabet = byte_alphabet()
+        self.shown = {i: "".join(alphabet[b] for b in chr(i).encode()) for i in range(256)}
+        self.letters: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
+        self.old: tuple[dict, dict] = {}, {}
+
+    def whole(self, text: str) -> bytes:
+        ids = self.tok.encode(text, add_special_tokens=False).ids
+        return np.asarray(ids, dtype="<u4").tobytes()
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self.old[0].get(chunk)
+        if ids is not None:
+            self[chunk] = ids
+            return ids
+        if not self.words and chunk[:1] == BREAK:
+            self[chunk] = ids = self._piece("\n", "") + self._piece(chunk[1:], "")
+        else:
+            self[chunk] = ids = self._piece(chunk, "" if self.words else " ")
+        return ids
+
+    def _piece(self, chunk: str, before: str) -> bytes:
+        m = PLAIN.fullmatch(chunk)
+        if m is None:
+            return self.whole(before + chunk)
+        word = m[1].lower() if self.words else before + m[1]
+        ids = self.letters.get(word) or self.old[1].get(word)
+        if ids is None:
+            found = self.model.tokenize(word.translate(self.shown))
+            ids = self.letters[word] = array("I", [t.id for t in found]).tobytes()
+        if m[2]:
+            marks = self.marks.get(m[2])
+            if marks is None:
+                marks = self.marks[m[2]] = self.whole(m[2])
+            ids += marks
+        return ids
+
+    def ids(self, text: str | None) -> bytes:
+        """Ids of a whole text; null is empty."""
+        if not text:
+            return b""
+        if 2 * len(self) > CACHE_CHUNKS:
+            self.old = dict(self), self.letters
+            self.clear()
+            self.letters, self.marks = {}, {}
+        get = self.__getitem__
         if self.words:
-            return text.replace("\n", " ").split(" ")
-        if "  " in text or any(s in text for s in self.specials):
-            return None
-        first, *rest = text.split(" ")
-        # A chunk holds the space before it; "" stands for the lone last space.
-        return [first, *[" " + x for x in rest]] if rest else [first]
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, dtype="<u4").tobytes()
-                for e in self.tok.encode_batch(texts, add_special_tokens=False)]
+            return b"".join(map(get, text.replace("\n", " ").split(" ")))
+        chunks = text.replace("\n", " " + BREAK).split(" ")
+        if len(text.split()) != len(chunks) or BREAK in text or any(s in text for s in self.specials):
+            return self.whole(text)
+        return self._piece(chunks[0], "") + b"".join(map(get, chunks[1:]))
 
     def batch(self, texts: list[str | None]) -> list[bytes]:
-        out = []
-        # A few hundred texts at a time bound the lists of chunks.
-        for at in range(0, len(texts), 256):
-            cut = [self.chunks(t or "") for t in texts[at:at + 256]]
-            if len(self.cache) > CACHE_CHUNKS:
-                self.cache.clear()
-            miss = [c for c in set().union(*[c for c in cut if c is not None]) if c not in self.cache]
-            self.cache.update(zip(miss, self._encode(miss)))
-            get = self.cache.__getitem__
-            for t, c in zip(texts[at:at + 256], cut):
-                out.append(b"".join(map(get, c)) if c is not None else self._encode([t])[0])
-        return out
+        return [self.ids(t) for t in texts]
 
 
 _ENCODERS: dict[str, ChunkEncoder] = {}

@@ -30,21 +30,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from faultline.llm.encode import CACHE_CHUNKS, vocabulary
+from faultline.llm.encode import CACHE_CHUNKS, byte_alphabet, vocabulary
 from faultline.llm.util import boxed, table, unboxed
 
 ARRAY_MAX = 64
 NONE = np.iinfo(np.int64).max
 
 
-def byte_alphabet() -> dict[int, str]:
-    """The printable character that stands for each byte in byte-level
-    vocabularies: itself if printable, else the next of U+0100 upward."""
-    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    hidden = [b for b in range(256) if b not in shown]
-    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
-
-
 class SegmentTreeBPE:
     """Encoder and decoder of one vocabulary file of the word kind."""
 

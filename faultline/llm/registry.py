@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from importlib import import_module
 
+from faultline.llm.util import ship
+
 MODULES = {
     "op1_ann_kmeans_tree": "op1_ann",
     "op2_bpe_segment_tree": "op2_bpe",
@@ -19,8 +21,13 @@ MODULES = {
 
 
 def spark_queries():
-    out = {name: import_module(f"faultline.llm.{mod}").query for name, mod in MODULES.items()}
-    return out
+    def shipped(query):
+        def run(spark, sf_dir):
+            ship(spark)
+            return query(spark, sf_dir)
+        return run
+
+    return {name: shipped(import_module(f"faultline.llm.{mod}").query) for name, mod in MODULES.items()}
 
 
 def oracle_queries():

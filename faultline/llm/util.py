@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,6 +13,20 @@ from pyspark.sql import functions as F
 from faultline.session import ensure_checkpoint_dir
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, whose Python functions import it
+    (once for an application; a no-op where they have it on their path anyway)."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _SHIPPED:
+        _SHIPPED.add(sc.applicationId)
+        root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+        base = os.path.join(tempfile.mkdtemp(prefix="faultline-ship-"), "faultline")
+        sc.addPyFile(shutil.make_archive(base, "zip", root, "faultline"))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
