@@ -163,10 +163,10 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     window: int = 13) -> DataFrame:
     """``docs`` plus ``_n_words``, ``_n_removed`` and ``_kept_text`` (kept words, single-spaced)."""
     n = n_parts(docs.sparkSession)
-    parts = 2 * n
+    parts = n
     rows = docs.select(boxed(docs), F.col(id_col).cast("long").alias("_id"))
-    # Several small blocks for each partition even out; both passes below read this one exchange.
-    blocks = (rows.withColumn("_g", id_range("_id", id_bounds(docs, id_col, 4 * n)))
+    # Two blocks a partition even out, and blocks times ranges stay few rows; both passes below read this one exchange.
+    blocks = (rows.withColumn("_g", id_range("_id", id_bounds(docs, id_col, 2 * n)))
               .repartition(n, "_g"))
     index = blocks.groupBy("_g").applyInArrow(_index_block(text_col, window, parts), "p int, g int, h binary")
     answers = index.groupBy("p").applyInArrow(_merge_range, "g int, p int, n long, bits binary")
