@@ -58,9 +58,11 @@ REFERENCE_NULL_TOKENS = (
     "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a",
     "nan", "null",
 )
+# Spellings of dates that extracts use; sections in brackets may be missing.
 REFERENCE_TIMESTAMP_FORMATS = (
-    "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd",
-    "M/d/yyyy H:mm:ss", "M/d/yyyy H:mm", "M/d/yyyy", "d.M.yyyy H:mm:ss", "d.M.yyyy",
+    "yyyy-MM-dd[ HH:mm[:ss[.SSSSSSSSS]]][XXX]", "yyyy-MM-dd'T'HH:mm[:ss[.SSSSSSSSS]][XXX]",
+    "yyyy/MM/dd[ HH:mm[:ss[.SSSSSSSSS]]]", "d-MMM-yyyy[ HH:mm[:ss]]",
+    "M/d/yyyy[ H:mm[:ss]]", "M/d/yyyy h:mm[:ss] a", "d.M.yyyy[ H:mm[:ss]]",
 )
 
 

@@ -1,6 +1,7 @@
 """Column expressions shared by the operators (all JVM built-ins, no UDFs)."""
 
 from faultline.functions.expr import (  # noqa: F401
+    WHITE_SPACE,
     band,
     chain_key,
     clip_upper,
@@ -10,5 +11,7 @@ from faultline.functions.expr import (  # noqa: F401
     parse_timestamp,
     pct,
     ratio,
+    strip,
     truncate_label,
+    whole_number,
 )

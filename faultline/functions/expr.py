@@ -33,12 +33,28 @@ def parse_amount(c: str | Column) -> Column:
     return F.regexp_replace(_c(c).cast("string"), '[,"]', "").try_cast("double")
 
 
+#: The characters that Unicode (and a text editor's "trim") counts as white space.
+WHITE_SPACE = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+                                0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+
+
+def strip(c: str | Column) -> Column:
+    """Text without white space of any kind at either end."""
+    return F.btrim(_c(c).cast("string"), F.lit(WHITE_SPACE))
+
+
+def whole_number(c: str | Column) -> Column:
+    """Integer written as text, also as ``91.0``; null if it has a fraction or is no number."""
+    d = strip(c).try_cast("decimal(38,6)")
+    return F.when(d == F.floor(d), d).try_cast("int")
+
+
 def parse_timestamp(c: str | Column, formats: Sequence[str]) -> Column:
     """First format that parses wins; unparseable text gives null.
 
     ``try_to_timestamp`` never raises under ANSI mode.
     """
-    col = _c(c).cast("string")
+    col = strip(c)
     return F.coalesce(*[F.try_to_timestamp(col, F.lit(f)) for f in formats])
 
 

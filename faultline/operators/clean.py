@@ -10,22 +10,22 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from faultline.config import LogSchema, Params
-from faultline.functions import month_label, parse_amount, parse_timestamp
+from faultline.functions import month_label, parse_amount, parse_timestamp, strip, whole_number
 
 
 def normalized_supplier(s: LogSchema, p: Params) -> F.Column:
-    sup = F.trim(F.col(s.supplier).cast("string"))  # P1
+    sup = strip(s.supplier)  # P1
     # Text conversion turns a missing supplier into "nan", which survives the
     # prefix filter (rule 3). Plain null propagation would drop the row.
     return F.coalesce(sup, F.lit("nan")) if p.null_supplier_as_text else sup
 
 
 def normalized_po(s: LogSchema) -> F.Column:
-    return F.upper(F.trim(F.col(s.po_type).cast("string")))  # P3
+    return F.upper(strip(s.po_type))  # P3
 
 
 def is_posted(s: LogSchema, p: Params) -> F.Column:
-    return F.trim(F.col(s.status).cast("string")) == F.lit(p.posted_status)  # P6
+    return strip(s.status) == F.lit(p.posted_status)  # P6
 
 
 def clean(log: DataFrame, s: LogSchema, p: Params, filter_po: bool = True) -> DataFrame:
@@ -35,13 +35,13 @@ def clean(log: DataFrame, s: LogSchema, p: Params, filter_po: bool = True) -> Da
         s.supplier: normalized_supplier(s, p),
         s.po_type: normalized_po(s),
         # Typed as the source's reader infers them (text extracts hold digits).
-        s.exc_id: F.col(s.exc_id).try_cast("int"),
+        s.exc_id: whole_number(s.exc_id),
     })
     df = df.where(~F.col(s.supplier).startswith(p.transport_prefix))  # P2
     if filter_po:
         df = df.where(F.col(s.po_type).isin(*p.valid_po_types))  # P4
     if s.touches in df.columns:
-        df = df.withColumn(s.touches, F.col(s.touches).try_cast("int"))
+        df = df.withColumn(s.touches, whole_number(s.touches))
     df = df.withColumns(
         {
             s.amount: parse_amount(s.amount_raw),  # P7
@@ -56,10 +56,15 @@ def posted(df: DataFrame, s: LogSchema, p: Params) -> DataFrame:
     return df.where(is_posted(s, p))
 
 
+def is_material(s: LogSchema, p: Params) -> F.Column:
+    """Not one of the immaterial ids; an event without an id counts as material."""
+    e = F.col(s.exc_id)
+    return e.isNull() | ~e.isin(*p.immaterial_ids)
+
+
 def material(df: DataFrame, s: LogSchema, p: Params) -> DataFrame:
     """Drop the immaterial exception ids (the material extract)."""
-    e = F.col(s.exc_id)
-    return df.where(e.isNull() | ~e.isin(*p.immaterial_ids))
+    return df.where(is_material(s, p))
 
 
 def full_posted(log: DataFrame, s: LogSchema, p: Params) -> DataFrame:
@@ -110,8 +115,7 @@ def universe_single_pass(f: DataFrame, s: LogSchema, p: Params) -> DataFrame:
     |categories| rows in it, and the grouping, the window and the log's last
     join all share the partitioning on the document key (no extra exchange).
     """
-    e = F.col(s.exc_id)
-    mat = (e.isNull() | ~e.isin(*p.immaterial_ids)).cast("int")
+    mat = is_material(s, p).cast("int")
     g = (f.where(F.col(s.doc).isNotNull())
          .groupBy(s.doc, s.channel, s.category).agg(F.max(mat).alias("_mat")))
     w = Window.partitionBy(s.doc)
@@ -127,8 +131,7 @@ def cleaning_funnel(log: DataFrame, s: LogSchema, p: Params) -> DataFrame:
     keep = ~sup.startswith(p.transport_prefix)
     valid = po.isin(*p.valid_po_types)
     post = is_posted(s, p)
-    e = F.col(s.exc_id)
-    mat = e.isNull() | ~e.isin(*p.immaterial_ids)
+    mat = is_material(s, p)
 
     def cnt(cond):
         return F.count_if(F.coalesce(cond, F.lit(False)))
@@ -145,12 +148,17 @@ def cleaning_funnel(log: DataFrame, s: LogSchema, p: Params) -> DataFrame:
 
 
 def parse_failure_rate(f: DataFrame, s: LogSchema, digits: int = 2) -> DataFrame:
-    """Share of rows whose raw amount is present but does not parse."""
+    """Share of rows whose raw amount is present but does not parse, and
+    the same of the creation date."""
     raw = F.col(s.amount_raw)
-    bad = raw.isNotNull() & parse_amount(raw).isNull()
+    bad = raw.isNotNull() & F.col(s.amount).isNull()
+    undated = F.col(s.created_at).isNotNull() & F.col(s.created_ts).isNull()
     return f.agg(
         F.count(F.lit(1)).alias("Rows"),
         F.count_if(bad).alias("Unparsed"),
         F.bround(F.try_divide(F.count_if(bad).cast("double"), F.count(F.lit(1)).cast("double"))
                  * F.lit(100.0), digits).alias("Unparsed_Pct"),
+        F.count_if(undated).alias("Undated"),
+        F.bround(F.try_divide(F.count_if(undated).cast("double"), F.count(F.lit(1)).cast("double"))
+                 * F.lit(100.0), digits).alias("Undated_Pct"),
     )

@@ -91,11 +91,11 @@ def category_totals(m: DataFrame, s: LogSchema, lookup: tuple[str, DataFrame] |
     return count_via_lookup(m, [s.category], s.category, lookup[0], lookup[1], "Exception_Events")
 
 
-def crosstab(df: DataFrame, rows: str, cols: str, values: Sequence[str]) -> DataFrame:
-    """Row x column event counts, 0-filled. ``values`` are the column
-    values (given, so Spark does not run a job to discover them)."""
-    return (nonnull(df, [rows]).groupBy(rows).pivot(cols, list(values))
-            .agg(F.count(F.lit(1))).na.fill(0, subset=list(values)))
+def crosstab(df: DataFrame, rows: str, cols: str) -> DataFrame:
+    """Row x column event counts in long form, one row for each cell that
+    has events. The columns are those of the data, however many; an event
+    without one counts under null."""
+    return nonnull(df, [rows]).groupBy(rows, cols).agg(F.count(F.lit(1)).alias("Count"))
 
 
 def kpi_row(u: DataFrame, m: DataFrame, s: LogSchema, names: DataFrame | None = None) -> DataFrame:

@@ -11,11 +11,9 @@ A running sum over a global order is usually written as a window without
   small table gives, per value, the sum and count of all larger values, and
   it is broadcast with that bound;
 * inside one tie group (rows with the same measure) the position of a row
-  comes from ``sequences.group_positions``: small tie groups use a window
-  per group; the few heavy ones (for example every vendor with a single
-  event) are range-partitioned over many tasks, numbered from a
-  checkpointed copy, so the numbering does not depend on exchange reuse and
-  survives re-run tasks.
+  comes from ``sequences.group_positions``, which numbers buckets of the key
+  order apart, so a tie group of any size (for example every vendor with a
+  single event) is spread over many tasks.
 """
 
 from __future__ import annotations
@@ -24,19 +22,20 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from faultline.functions import pct
+from faultline.operators.sequences import group_positions
 
 
 def global_running_sum(df: DataFrame, measure: str, keys: Sequence[str],
-                       rank_col: str = "Rank", cum_col: str = "Cumulative_Events",
-                       num_partitions: int | None = None,
-                       min_heavy_rows: int = 1_000_000) -> DataFrame:
+                       rank_col: str = "Rank", cum_col: str = "Cumulative_Events") -> DataFrame:
     """Add ``rank_col`` (1..n) and ``cum_col`` (running sum of ``measure``)
     over the order (measure desc, keys asc). ``keys`` must be unique and
-    non-null; ``measure`` non-negative integers."""
-    from faultline.operators.sequences import group_positions
-
+    non-null; ``measure`` counts (a whole-number type), which is what bounds
+    the number of its distinct values."""
+    if not isinstance(df.schema[measure].dataType, T.IntegralType):
+        raise TypeError(f"{measure} is no count: the table of its distinct values has no bound")
     e = F.col(measure)
     # Distinct measure values: rows and sum of all strictly larger values.
     # Window without partitionBy over at most sqrt(2N) rows.
@@ -47,8 +46,7 @@ def global_running_sum(df: DataFrame, measure: str, keys: Sequence[str],
                   "_sum_gt": F.coalesce(F.sum(e * F.col("_n")).over(w_before), F.lit(0)),
               }).drop("_n"))
     # Position inside the tie group (same measure), in key order.
-    ranked = group_positions(df, [measure], list(keys), pos_col="_r", num_partitions=num_partitions,
-                             min_heavy_rows=min_heavy_rows)
+    ranked = group_positions(df, [measure], list(keys), pos_col="_r")
     out = ranked.join(F.broadcast(levels), on=measure)
     return (out.withColumns({
         rank_col: F.col("_rows_gt") + F.col("_r"),

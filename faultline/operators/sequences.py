@@ -9,19 +9,19 @@ ever holds all events of one document:
   combined map-side, so even a document holding a third of all events
   shrinks to at most one row per distinct exception id before any window
   runs. Windows then see at most |ids| rows per document.
-* positions in the raw sequence (with repeats) use a range partition over
-  (document, order) plus a small per-(partition, document) offset table,
-  the same device as the global running sum, so a hot document is split
-  over many tasks. Adjacent raw events are then paired with an equi-join on
-  (document, position + 1) instead of a per-document window.
+* positions in the raw sequence (with repeats) are numbered inside
+  (document, bucket of the order key) and get an offset from the small table
+  of bucket sizes, so a hot document is split over many tasks. Adjacent raw
+  events are paired inside buckets and across their borders.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from faultline.config import LogSchema
 from faultline.functions import chain_key, ngram_array
@@ -91,65 +91,42 @@ def flatten_and_count(grams: DataFrame, col: str, key: str) -> DataFrame:
             .groupBy(key).agg(F.count(F.lit(1)).alias("Count")))
 
 
-def _range_positions(df: DataFrame, group: Sequence[str], order: Sequence[str],
-                     pos_col: str, num_partitions: int | None) -> DataFrame:
-    """Row number inside each group without a per-group window: range
-    partition on (group, order), number rows inside each partition, add the
-    group's rows in earlier partitions from a small per-(partition, group)
-    table. A group of any size is spread over many tasks.
-
-    The numbered rows are checkpointed to ``spark.checkpoint.dir`` before the
-    offset table is built from them: partition ids and offsets then come from
-    one stored copy (a re-run task or a second read cannot see other range
-    bounds), and the lineage is cut."""
-    from faultline.session import ensure_checkpoint_dir
-
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cols = [F.col(c) for c in (*group, *order)]
-    ensure_checkpoint_dir(df.sparkSession)
-    ranged = (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
-              .withColumns({"_pid": F.spark_partition_id(), "_mid": F.monotonically_increasing_id()})
-              .checkpoint(eager=True))
-    w = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    runs = (ranged.groupBy("_pid", *group)
-            .agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_cnt"))
-            .withColumn("_before", F.coalesce(F.sum("_cnt").over(w), F.lit(0))).drop("_cnt"))
-    return (ranged.join(runs, on=["_pid", *group])
-            .withColumn(pos_col, F.col("_mid") - F.col("_first") + 1 + F.col("_before"))
-            .drop("_pid", "_mid", "_first", "_before"))
+def order_bucket(df: DataFrame, col: str) -> Column:
+    """A coarse value that never falls as ``col`` rises, without looking at
+    the data: the month of a time, the leading characters of a text, a number
+    without its low bits. Rows of one bucket are numbered together."""
+    t = df.schema[col].dataType
+    c = F.col(col)
+    if isinstance(t, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return F.year(c) * 12 + F.month(c)
+    if isinstance(t, T.StringType):
+        return F.substring(c, 1, 4)
+    return F.floor(c.cast("double") / 65536)
+
+
+def _buckets(df: DataFrame, group: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Rows dealt out by (group, bucket): the buckets of one large group are many tasks' work."""
+    # In a struct a null bucket sorts first and joins like any other.
+    df = nonnull(df, group).withColumn("_b", F.struct(order_bucket(df, order[0]).alias("b")))
+    return df.repartition(*[F.col(c) for c in group], F.col("_b"))
 
 
 def group_positions(df: DataFrame, group: Sequence[str], order: Sequence[str],
-                    pos_col: str = "Position", num_partitions: int | None = None,
-                    max_share: float = 0.001, min_heavy_rows: int = 1_000_000) -> DataFrame:
+                    pos_col: str = "Position") -> DataFrame:
     """Row number inside each group in ``order`` (unique within a group).
 
-    Groups are split by size. A group is heavy when it holds more than
-    max(``max_share`` of all rows, ``min_heavy_rows``) rows, so there are
-    at most 1 / ``max_share`` heavy groups: that list has a proven bound and
-    is broadcast. Light groups (each at most an average task's share of the
-    rows) use a plain per-group window, which needs no shuffle when the data
-    is already partitioned by the group key (the log is, by document).
-    Heavy groups go through ``_range_positions`` and are spread over many
-    tasks. Whether any group is heavy is asked first (one boolean to the
-    driver); without heavy groups the plan is the per-group window alone.
+    One plan for every size: rows are numbered inside (group, bucket), where
+    the bucket is a fixed monotone function of the first order column, and
+    get the group's rows in earlier buckets from the small table of bucket
+    sizes. No task holds more than one bucket of a group.
     """
-    df = nonnull(df, group)
-    counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows"))
-    total = df.select(F.count(F.lit(1))).scalar()
-    limit = F.greatest(F.floor(total * F.lit(max_share)), F.lit(min_heavy_rows))
-    heavy_keys = counts.where(F.col("_rows") > limit).select(*group)
-    w = Window.partitionBy(*group).orderBy(*[F.col(c) for c in order])
-    if heavy_keys.isEmpty():
-        # One small job answers one yes/no question; with no heavy group the
-        # plan is the per-group window alone.
-        return df.withColumn(pos_col, F.row_number().over(w).cast("long"))
-    heavy = F.broadcast(heavy_keys)
-    light = (df.join(heavy, on=list(group), how="left_anti")
-             .withColumn(pos_col, F.row_number().over(w).cast("long")))
-    hot = _range_positions(df.join(heavy, on=list(group), how="left_semi"), group, order,
-                           pos_col, num_partitions)
-    return light.unionByName(hot)
+    rows = _buckets(df, group, order)
+    inside = Window.partitionBy(*group, "_b").orderBy(*[F.col(c) for c in order])
+    past = Window.partitionBy(*group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = rows.groupBy(*group, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(past), F.lit(0))).drop("_n")
+    return (rows.withColumn("_at", F.row_number().over(inside)).join(offsets, on=[*group, "_b"])
+            .withColumn(pos_col, F.col("_before") + F.col("_at")).drop("_b", "_before", "_at"))
 
 
 def exception_sequence(m: DataFrame, s: LogSchema) -> DataFrame:
@@ -159,10 +136,19 @@ def exception_sequence(m: DataFrame, s: LogSchema) -> DataFrame:
 
 
 def adjacent_pairs(m: DataFrame, s: LogSchema) -> DataFrame:
-    """Counts of (id, next id) over raw sequences (repeats kept), paired
-    by an equi-join on (document, position + 1)."""
-    seq = exception_sequence(m, s)
-    a = seq.select(s.doc, "Position", F.col(s.exc_id).alias("From_ID"))
-    b = seq.select(s.doc, (F.col("Position") - 1).alias("Position"), F.col(s.exc_id).alias("To_ID"))
-    return (a.join(b, on=[s.doc, "Position"]).groupBy("From_ID", "To_ID")
-            .agg(F.count(F.lit(1)).alias("Count")))
+    """Counts of (id, next id) over raw sequences (repeats kept). Pairs
+    inside a bucket come from a window over it; the pair across each border
+    of a document's buckets from the table of first and last ids."""
+    order = list(s.order_cols)
+    rows = _buckets(m.select(s.doc, s.exc_id, *order), [s.doc], order)
+    key = F.struct(*[F.col(c) for c in order])
+    inside = Window.partitionBy(s.doc, "_b").orderBy(*order)
+    pairs = (rows.select(F.col(s.exc_id).alias("From_ID"), F.lead(s.exc_id).over(inside).alias("To_ID"),
+                         F.lead(F.lit(1)).over(inside).alias("_next"))
+             .where(F.col("_next").isNotNull()).drop("_next"))
+    ends = rows.groupBy(s.doc, "_b").agg(F.min_by(s.exc_id, key).alias("_first"), F.max_by(s.exc_id, key).alias("From_ID"))
+    across = Window.partitionBy(s.doc).orderBy("_b")
+    borders = (ends.select("From_ID", F.lead("_first").over(across).alias("To_ID"),
+                           F.lead(F.lit(1)).over(across).alias("_next"))
+               .where(F.col("_next").isNotNull()).drop("_next"))
+    return pairs.union(borders).groupBy("From_ID", "To_ID").agg(F.count(F.lit(1)).alias("Count"))

@@ -7,7 +7,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faultline.functions import band, truncate_label
+from faultline.functions import WHITE_SPACE, band, strip, truncate_label
 
 # Fixed values of the original charts: label widths, first-pass bands
 # (>= 80 / >= 50 / below) and intensity bands (>= 3 / >= 2 / below).
@@ -38,8 +38,8 @@ def with_band(df: DataFrame, col: str, bands=FP_BANDS, out: str = "Band") -> Dat
 def drop_named(df: DataFrame, name_col: str, names: Iterable[str]) -> DataFrame:
     """Drop rows whose name (trimmed, upper-case) is in ``names``.
     Applied to an already limited list, so the list comes out shorter."""
-    norm = [n.strip().upper() for n in names]
-    return df.where(~F.coalesce(F.upper(F.trim(F.col(name_col))).isin(*norm), F.lit(False)))
+    norm = [n.strip(WHITE_SPACE).upper() for n in names]
+    return df.where(~F.coalesce(F.upper(strip(name_col)).isin(*norm), F.lit(False)))
 
 
 def rename(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:

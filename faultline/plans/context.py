@@ -10,51 +10,37 @@ from pyspark.sql import DataFrame, SparkSession
 
 from faultline.config import LogSchema, Params, tpch_params, tpch_schema
 from faultline.operators import clean as C
-from faultline.session import session_key
+from faultline.functions import WHITE_SPACE
 from faultline.sources.tpch_log import (
     LOG_VIEW_SQL, ROLES, category_lookup, exception_log, read_table, vendor_name_lookup,
 )
 
 
-# Views already built (and analysed) in a session, keyed by session, data
-# directory and attached lookups: later queries start from an analysed plan.
-_VIEWS: dict[tuple, DataFrame] = {}
-# Cleaned logs persisted for a suite run (see ``LogContext.persist``).
-_PERSISTED: dict[tuple, DataFrame] = {}
-
-
 class LogContext:
     """Lazily built views of the TPC-H-derived exception log."""
 
     def __init__(self, spark: SparkSession, sf_dir: str,
-                 schema: LogSchema | None = None, params: Params | None = None):
+                 schema: LogSchema | None = None, params: Params | None = None,
+                 full: DataFrame | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
         self.s = schema or tpch_schema()
         self.p = params or tpch_params()
-        self._sid = session_key(spark)
+        # A cleaned log to use in place of the tables (see ``persist``).
+        self.full = full
 
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name)
 
     def log(self, need: Iterable[str] = ROLES) -> DataFrame:
-        key = (self._sid, self.sf_dir, "log", frozenset(need), self.s, self.p)
-        df = _VIEWS.get(key)
-        if df is None:
-            df = _VIEWS[key] = exception_log(self.spark, self.sf_dir, need=need, schema=self.s)
-        return df
+        return exception_log(self.spark, self.sf_dir, need=need, schema=self.s)
 
     def f(self, need: Iterable[str] = ROLES) -> DataFrame:
-        pkey = (self._sid, self.sf_dir, self.s, self.p)
-        if pkey in _PERSISTED:
+        if self.full is not None:
             # Lookups are left joins, so the fully attached log has the same
-            # rows as any lighter view; a suite reads it from the cache.
-            return _PERSISTED[pkey]
-        key = (self._sid, self.sf_dir, "f", frozenset(need), self.s, self.p)
-        df = _VIEWS.get(key)
-        if df is None:
-            df = _VIEWS[key] = C.full_posted(self.log(need), self.s, self.p)
-        return df
+            # rows as any lighter view.
+            return self.full
+        return C.full_posted(self.log(need), self.s, self.p)
 
     def vendor_names(self) -> DataFrame:
         """Supplier -> name lookup for late name attachment (vendor analyses)."""
@@ -67,7 +53,8 @@ class LogContext:
     def persist(self, mode: str = "cache") -> DataFrame:
         """Suite mode: materialise the cleaned, posted log (all attributes)
         once, so a run of many analyses scans and joins the tables once, as
-        the original script does with its in-memory table.
+        the original script does with its in-memory table. Only queries built
+        from this context (``registry.suite_queries``) read it.
 
         ``mode="cache"`` keeps it in executor memory/disk (lost blocks are
         recomputed from lineage); ``mode="checkpoint"`` writes it to the
@@ -76,8 +63,7 @@ class LogContext:
         from pyspark import StorageLevel
 
         from faultline.session import ensure_checkpoint_dir
-        pkey = (self._sid, self.sf_dir, self.s, self.p)
-        if pkey not in _PERSISTED:
+        if self.full is None:
             full = C.full_posted(self.log(ROLES), self.s, self.p)
             if mode == "checkpoint":
                 ensure_checkpoint_dir(self.spark)
@@ -85,14 +71,13 @@ class LogContext:
             else:
                 full = full.persist(StorageLevel.MEMORY_AND_DISK)
                 full.count()
-            _PERSISTED[pkey] = full
-        return _PERSISTED[pkey]
+            self.full = full
+        return self.full
 
     def unpersist(self) -> None:
-        pkey = (self._sid, self.sf_dir, self.s, self.p)
-        df = _PERSISTED.pop(pkey, None)
-        if df is not None:
-            df.unpersist()
+        if self.full is not None:
+            self.full.unpersist()
+            self.full = None
 
     def m(self, need: Iterable[str] = ROLES) -> DataFrame:
         return C.material(self.f(need), self.s, self.p)
@@ -112,6 +97,16 @@ def _q(v: str) -> str:
     return "'" + v.replace("'", "''") + "'"
 
 
+def _strip(col: str) -> str:
+    """DuckDB: text without white space of any kind at either end."""
+    return f"trim(CAST({col} AS VARCHAR), {_q(WHITE_SPACE)})"
+
+
+def _timestamp(col: str) -> str:
+    return (f"CASE WHEN contains({col}, '/') THEN try_strptime({_strip(col)}, '%m/%d/%Y') "
+            f"ELSE TRY_CAST({_strip(col)} AS TIMESTAMP) END")
+
+
 def sql_prelude(p: Params | None = None) -> str:
     """``WITH`` clause defining log, f (full posted), m (material posted),
     u (universe with First_Pass) and pm (partial month) in DuckDB."""
@@ -120,20 +115,21 @@ def sql_prelude(p: Params | None = None) -> str:
     imm = ", ".join(str(i) for i in p.immaterial_ids)
     return f"""WITH {LOG_VIEW_SQL},
 cl AS (
-  SELECT * REPLACE (coalesce(trim(CAST("Supplier" AS VARCHAR)), 'nan') AS "Supplier",
-                    upper(trim(CAST("PO Type" AS VARCHAR))) AS "PO Type")
+  SELECT * REPLACE (coalesce({_strip('"Supplier"')}, 'nan') AS "Supplier",
+                    upper({_strip('"PO Type"')}) AS "PO Type"),
+         {_strip('"Document Status"')} = {_q(p.posted_status)} AS "_posted"
   FROM log
 ),
 f AS (
   SELECT *,
     TRY_CAST(regexp_replace(CAST("Gross Invoice Amount" AS VARCHAR), '[,"]', '', 'g') AS DOUBLE) AS "Amount",
-    TRY_CAST("Created at" AS TIMESTAMP) AS "Created at_dt",
-    TRY_CAST("Document Date" AS TIMESTAMP) AS "Document Date_dt",
-    strftime(TRY_CAST("Created at" AS TIMESTAMP), '%Y-%m') AS "Month"
+    {_timestamp('"Created at"')} AS "Created at_dt",
+    {_timestamp('"Document Date"')} AS "Document Date_dt",
+    strftime({_timestamp('"Created at"')}, '%Y-%m') AS "Month"
   FROM cl
   WHERE NOT starts_with("Supplier", {_q(p.transport_prefix)})
     AND "PO Type" IN ({valid})
-    AND trim(CAST("Document Status" AS VARCHAR)) = {_q(p.posted_status)}
+    AND "_posted"
 ),
 m AS (SELECT * FROM f WHERE "Exception ID" IS NULL OR "Exception ID" NOT IN ({imm})),
 xd AS (SELECT DISTINCT "Document Id" FROM m WHERE "Document Id" IS NOT NULL),

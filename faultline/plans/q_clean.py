@@ -13,12 +13,12 @@ SELECT count(*) AS full_raw,
        count(*) FILTER (WHERE NOT starts_with("Supplier", '5')) AS full_clean_any_po,
        count(*) FILTER (WHERE NOT starts_with("Supplier", '5') AND "PO Type" IN ('1-URGENT','2-HIGH')) AS full_clean,
        count(*) FILTER (WHERE NOT starts_with("Supplier", '5') AND "PO Type" IN ('1-URGENT','2-HIGH')
-                        AND trim("Document Status") = 'F') AS full_posted,
-       count(*) FILTER (WHERE "Exception ID" NOT IN (0, 91)) AS material_raw,
-       count(*) FILTER (WHERE "Exception ID" NOT IN (0, 91) AND NOT starts_with("Supplier", '5')
+                        AND "_posted") AS full_posted,
+       count(*) FILTER (WHERE ("Exception ID" IS NULL OR "Exception ID" NOT IN (0, 91))) AS material_raw,
+       count(*) FILTER (WHERE ("Exception ID" IS NULL OR "Exception ID" NOT IN (0, 91)) AND NOT starts_with("Supplier", '5')
                         AND "PO Type" IN ('1-URGENT','2-HIGH')) AS material_clean,
-       count(*) FILTER (WHERE "Exception ID" NOT IN (0, 91) AND NOT starts_with("Supplier", '5')
-                        AND "PO Type" IN ('1-URGENT','2-HIGH') AND trim("Document Status") = 'F') AS material_posted
+       count(*) FILTER (WHERE ("Exception ID" IS NULL OR "Exception ID" NOT IN (0, 91)) AND NOT starts_with("Supplier", '5')
+                        AND "PO Type" IN ('1-URGENT','2-HIGH') AND "_posted") AS material_posted
 FROM cl
 """)
 def s07(ctx):
@@ -67,7 +67,7 @@ def p04(ctx):
 
 @query("p05_optional_po_filter", sql="""
 SELECT "PO Type", count(*) AS "Count" FROM cl WHERE NOT starts_with("Supplier", '5')
-  AND trim("Document Status") = 'F' GROUP BY "PO Type"
+  AND "_posted" GROUP BY "PO Type"
 """)
 def p05(ctx):
     s, p = ctx.s, ctx.p
@@ -76,7 +76,7 @@ def p05(ctx):
 
 
 @query("p06_status_filter", sql="""
-SELECT "Document Status", count(*) AS "Count" FROM cl WHERE trim("Document Status") = 'F' GROUP BY 1
+SELECT "Document Status", count(*) AS "Count" FROM cl WHERE "_posted" GROUP BY 1
 """)
 def p06(ctx):
     s, p = ctx.s, ctx.p
@@ -120,7 +120,10 @@ def p09(ctx):
 SELECT count(*) AS "Rows",
        count(*) FILTER (WHERE "Gross Invoice Amount" IS NOT NULL AND "Amount" IS NULL) AS "Unparsed",
        round_even(CAST(count(*) FILTER (WHERE "Gross Invoice Amount" IS NOT NULL AND "Amount" IS NULL) AS DOUBLE)
-                  / count(*) * 100, 2) AS "Unparsed_Pct"
+                  / count(*) * 100, 2) AS "Unparsed_Pct",
+       count(*) FILTER (WHERE "Created at" IS NOT NULL AND "Created at_dt" IS NULL) AS "Undated",
+       round_even(CAST(count(*) FILTER (WHERE "Created at" IS NOT NULL AND "Created at_dt" IS NULL) AS DOUBLE)
+                  / count(*) * 100, 2) AS "Undated_Pct"
 FROM f
 """)
 def g36(ctx):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from faultline.operators import clean as C
 from faultline.operators import deepdive as DD
 from faultline.operators import shape as SH
 from faultline.operators.firstpass import resolve_partial_month
@@ -59,7 +60,7 @@ GROUP BY 1, 2
     def g20(ctx):
         s = ctx.s
         base = ctx.f(())
-        rows = base if src == "f" else base.where(~F.col(s.exc_id).isin(*ctx.p.immaterial_ids))
+        rows = base if src == "f" else C.material(base, s, ctx.p)
         return DD.by_month_category(DD.events_of(rows, s, x), s, resolve_partial_month(base, s, ctx.p),
                                     ctx.category_lookup())
 
@@ -113,7 +114,7 @@ SELECT 29, count(*), count(DISTINCT "Document Id") FROM m WHERE "Exception ID" =
 """)
 def g30(ctx):
     f = ctx.f(())
-    m = f.where(~F.col(ctx.s.exc_id).isin(*ctx.p.immaterial_ids))
+    m = C.material(f, ctx.s, ctx.p)
     return DD.exception_totals([(91, f), (151, m), (29, m)], ctx.s)
 
 

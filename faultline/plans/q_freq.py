@@ -77,18 +77,14 @@ def g05(ctx):
     return FQ.category_totals(ctx.m(()), ctx.s, ctx.category_lookup()).orderBy(F.col("Exception_Events").desc())
 
 
-CHANNELS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
-
-
 @query("g24_crosstab_category_channel", sql="""
-SELECT "PO category decription",
-""" + ",\n".join(f"""  count(*) FILTER (WHERE "Channel ID" = '{c}') AS "{c}\"""" for c in CHANNELS) + """
-FROM f WHERE "Exception ID" = 91 AND "PO category decription" IS NOT NULL GROUP BY 1
+SELECT "PO category decription", "Channel ID", count(*) AS "Count"
+FROM f WHERE "Exception ID" = 91 AND "PO category decription" IS NOT NULL GROUP BY 1, 2
 """)
 def g24(ctx):
     s = ctx.s
     f91 = ctx.f(("category", "channel")).where(F.col(s.exc_id) == 91)
-    return FQ.crosstab(f91, s.category, s.channel, CHANNELS)
+    return FQ.crosstab(f91, s.category, s.channel)
 
 
 @query("g31_key_exception_table", sql="""

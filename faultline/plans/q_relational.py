@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from faultline.functions import clip_upper, pct
+from faultline.operators import clean as C
 from faultline.operators import deepdive as DD
 from faultline.operators import freq as FQ
 from faultline.operators.firstpass import drop_partial_month, resolve_partial_month
@@ -41,7 +42,7 @@ def p12(ctx):
     """Inequality filters with explicit null handling: a null never passes."""
     s = ctx.s
     f = ctx.f(("channel", "category"))
-    m = f.where(~F.col(s.exc_id).isin(*ctx.p.immaterial_ids))
+    m = C.material(f, s, ctx.p)
     rows = drop_partial_month(m, s, resolve_partial_month(ctx.f(()), s, ctx.p))
     rows = rows.where(F.col(s.channel).isNotNull() & (F.col(s.channel) != SEG_CHANNEL)
                       & F.col(s.category).isNotNull() & (F.col(s.category) != SEG_CAT_A))

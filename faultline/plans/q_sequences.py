@@ -61,11 +61,11 @@ def p18(ctx):
     return SQ.ngram_counts(ctx.m(()), ctx.s, 2, "Pair").drop("_first_seen")
 
 
-@query("a01_collect_ordered_list", sql=f"""
+@query("a03_ordered_distinct_list", sql=f"""
 , fs AS (SELECT "Document Id", "Exception ID", min({ORDER}) AS fo FROM m WHERE "Document Id" IS NOT NULL GROUP BY 1, 2)
 SELECT "Document Id", list("Exception ID" ORDER BY fo) AS "Exc_Seq" FROM fs GROUP BY 1
 """)
-def a01(ctx):
+def a03(ctx):
     return SQ.distinct_sequence_arrays(ctx.m(()), ctx.s)
 
 

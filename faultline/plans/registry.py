@@ -46,6 +46,12 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {n: bind(e) for n, e in REGISTRY.items()}
 
 
+def suite_queries(ctx: LogContext) -> dict[str, Callable[[], DataFrame]]:
+    """The queries over one context, such as one whose cleaned log is persisted."""
+    _load_all()
+    return {n: (lambda e=e: e.build(ctx)) for n, e in REGISTRY.items()}
+
+
 def oracle_queries() -> dict[str, str]:
     _load_all()
     pre = sql_prelude()

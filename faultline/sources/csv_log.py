@@ -10,35 +10,74 @@ from __future__ import annotations
 
 import csv
 from collections.abc import Sequence
+from itertools import count
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from faultline.config import REFERENCE_NULL_TOKENS
 
+#: Header line of a file without its byte-order mark or line end.
+BOM = "\ufeff"
+
 
 def dedupe_names(names: Sequence[str]) -> list[str]:
-    """The first copy keeps its name, later copies get ``_1``, ``_2``..."""
-    seen: dict[str, int] = {}
-    out = []
-    for n in names:
-        if n in seen:
-            seen[n] += 1
-            out.append(f"{n}_{seen[n]}")
-        else:
-            seen[n] = 0
-            out.append(n)
-    return out
+    """Unique column names. The first column of a name keeps it; a repeat
+    takes the lowest free number behind it, and no number gives a name that
+    the header itself has."""
+    given, taken = [], set(names)
+    for at, name in enumerate(names):
+        if name in names[:at]:
+            name = next(x for x in (f"{name}_{k}" for k in count(1)) if x not in taken)
+            taken.add(name)
+        given.append(name)
+    return given
+
+
+def split_header(line: str) -> list[str]:
+    return next(csv.reader([line.lstrip(BOM).rstrip("\r\n")]), [])
 
 
 def read_header(spark: SparkSession, path: str) -> list[str]:
     """Column names from the first line of the first file (one line only)."""
-    first = spark.read.option("wholetext", False).text(path).limit(1).collect()
-    if not first:
-        return []
-    line = first[0][0].lstrip("﻿")
-    return next(csv.reader([line]))
+    first = spark.read.text(path).limit(1).collect()
+    return split_header(first[0][0]) if first else []
+
+
+def text_schema(header: Sequence[str]) -> StructType:
+    return StructType([StructField(c, StringType(), True) for c in dedupe_names(header)])
+
+
+def csv_options(multi_line: bool = False) -> dict[str, str]:
+    """Reader options of an extract, for batch and stream alike. Header lines
+    are read as rows, so that ``rows_below`` can compare each file's own."""
+    return {"header": "false", "encoding": "UTF-8", "quote": '"', "escape": '"',
+            "multiLine": str(multi_line).lower(), "mode": "PERMISSIVE"}
+
+
+def rows_below(df: DataFrame, header: Sequence[str]) -> DataFrame:
+    """The rows that are not header lines. Columns are assigned by position
+    (names may repeat), so a file that has the columns in another order must
+    not be read silently: its header line raises an error."""
+    first, *rest = [F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in df.columns]
+    cells = F.array(F.regexp_replace(first, f"^{BOM}", ""), *rest)
+    names = F.array(*[F.lit(n) for n in header])
+    # Compared only where the first cell is a column name at all.
+    candidate = cells[0].isin(*header)
+    moved = candidate & (cells != names) & (F.array_sort(cells) == F.array_sort(names))
+    message = F.concat(F.lit("a file has its columns in another order: "), F.array_join(cells, ","))
+    return df.where(F.when(moved, F.raise_error(message).cast("boolean"))
+                    .otherwise(~(candidate & (cells == names))))
+
+
+def null_tokens_out(df: DataFrame, null_tokens: Sequence[str] = REFERENCE_NULL_TOKENS) -> DataFrame:
+    """S3: the tokens become nulls in every column."""
+    def known(c: str) -> Column:
+        col = F.col(f"`{c}`")
+        return F.when(~col.isin(*null_tokens), col).alias(c)
+
+    return df.select(*[known(c) for c in df.columns])
 
 
 def read_log_csv(spark: SparkSession, path: str, names: Sequence[str] | None = None,
@@ -48,23 +87,11 @@ def read_log_csv(spark: SparkSession, path: str, names: Sequence[str] | None = N
     tokens turned into nulls.
 
     ``names`` gives the header when it is known (then no file is touched to
-    plan the read); otherwise the first line is read. ``multi_line`` only for
-    extracts whose quoted fields hold line breaks: such files cannot be split,
-    so each is read by one task.
+    plan the read); otherwise the first line is read. A file with the same
+    columns in another order raises an error when it is read. ``multi_line``
+    only for extracts whose quoted fields hold line breaks: such files cannot
+    be split, so each is read by one task.
     """
     header = list(names) if names is not None else read_header(spark, path)
-    cols = dedupe_names(header)
-    schema = StructType([StructField(c, StringType(), True) for c in cols])
-    df = (spark.read.schema(schema)
-          .option("header", True)
-          .option("enforceSchema", True)  # positional: duplicate names are fine
-          .option("encoding", "UTF-8")
-          .option("quote", '"').option("escape", '"')
-          .option("multiLine", multi_line)
-          .option("mode", "PERMISSIVE")
-          .csv(path))
-    tokens = list(null_tokens)
-    return df.select(*[
-        F.when(F.col(f"`{c}`").isin(*tokens), F.lit(None)).otherwise(F.col(f"`{c}`")).alias(c)
-        for c in cols
-    ])
+    raw = spark.read.schema(text_schema(header)).options(**csv_options(multi_line)).csv(path)
+    return null_tokens_out(rows_below(raw, header) if header else raw, null_tokens)

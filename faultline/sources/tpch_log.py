@@ -30,22 +30,32 @@ MATERIAL_ID_CYCLE = (1, 2, 3, 5, 7, 11, 29, 37, 38, 151)
 NULL_DESC_ID = 7
 NULL_DESC_SUPPKEY_MOD = 7
 
+# Faults of real extracts, at fixed keys: part keys without a readable amount;
+# order keys with no creation date, with one that is none, with the month
+# first (remainder 1 of 4); white space of several kinds around keys and codes.
+BAD_AMOUNT_MOD, UNDATED_MOD, BAD_DATE_MOD = 53, 89, 97
+
 ROLES = ("vendor_name", "category", "channel")
 
 
-_TABLES: dict[tuple[str, str], DataFrame] = {}
+# The schemas of the tables read here. Giving them saves reading
+# a footer for each query; the files are listed anew by every read, so rows
+# that were appended are seen.
+SCHEMAS = {
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_shipdate timestamp_ntz",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "part": "p_partkey long, p_type string",
+    "supplier": "s_suppkey long, s_name string",
+    "customer": "c_custkey long, c_mktsegment string",
+}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet table, resolved once per session (file listing and footer
-    schema are not re-read for every query)."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    from faultline.session import session_key
-    key = (session_key(spark), path)
-    df = _TABLES.get(key)
-    if df is None:
-        df = _TABLES[key] = spark.read.parquet(path)
-    return df
+    """Parquet table; only its columns that the log uses, if the name is one of ``SCHEMAS``."""
+    reader = spark.read.schema(SCHEMAS[name]) if name in SCHEMAS else spark.read
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _exc_id() -> F.Column:
@@ -95,16 +105,23 @@ def exception_log(
         orders = orders.join(cust, orders.o_custkey == cust.c_custkey, "left")
     log = li.join(orders, li.l_orderkey == orders.o_orderkey, "inner")
 
-    exc = _exc_id()
+    exc, order = _exc_id(), F.col("o_orderkey")
     cols = {
         s.doc: F.col("l_orderkey"),
-        s.supplier: F.concat(F.lit(" "), F.col("l_suppkey").cast("string"), F.lit(" ")),
+        s.supplier: F.when(F.col("l_linenumber") % 2 == 0,
+                           F.concat(F.lit("\t"), F.col("l_suppkey").cast("string"), F.lit("\u00a0")))
+        .otherwise(F.concat(F.lit(" "), F.col("l_suppkey").cast("string"), F.lit(" "))),
         s.vendor_name: F.col("s_name") if "vendor_name" in need else F.lit(None).cast("string"),
-        s.po_type: F.concat(F.lit(" "), F.lower(F.col("o_orderpriority"))),
-        s.amount_raw: F.format_number(F.col("l_extendedprice"), 2),
-        s.created_at: F.col("o_orderdate").cast("string"),
+        s.po_type: F.concat(F.lit(" "), F.lower(F.col("o_orderpriority")),
+                            F.when(order % 3 == 0, F.lit("\t")).otherwise(F.lit(""))),
+        s.amount_raw: F.when(F.col("l_partkey") % BAD_AMOUNT_MOD == 0, F.lit("n/a"))
+        .otherwise(F.format_number(F.col("l_extendedprice"), 2)),
+        s.created_at: F.when(order % UNDATED_MOD == 0, F.lit(None))
+        .when(order % BAD_DATE_MOD == 0, F.lit("unknown"))
+        .when(order % 4 == 1, F.date_format("o_orderdate", "MM/dd/yyyy"))
+        .otherwise(F.col("o_orderdate").cast("string")),
         s.doc_date: F.col("l_shipdate").cast("string"),
-        s.status: F.col("o_orderstatus"),
+        s.status: F.concat(F.col("o_orderstatus"), F.when(order % 5 == 0, F.lit("\r\n")).otherwise(F.lit(""))),
         s.exc_id: exc,
         s.exc_desc: F.when(
             (exc == NULL_DESC_ID) & (F.col("l_suppkey") % NULL_DESC_SUPPKEY_MOD == 0),
@@ -114,8 +131,7 @@ def exception_log(
         s.channel: F.col("c_mktsegment") if "channel" in need else F.lit(None).cast("string"),
         s.touches: (F.col("l_quantity").cast("int") % 15).cast("int"),
     }
-    order = [F.col(c) for c in s.order_cols]
-    return log.select(*[v.alias(k) for k, v in cols.items()], *order)
+    return log.select(*[v.alias(k) for k, v in cols.items()], *s.order_cols)
 
 
 def vendor_name_lookup(spark: SparkSession, sf_dir: str, schema: LogSchema | None = None) -> DataFrame:
@@ -156,13 +172,17 @@ log_base AS (
 ),
 log AS (
   SELECT b.l_orderkey AS "Document Id",
-         ' ' || CAST(b.l_suppkey AS VARCHAR) || ' ' AS "Supplier",
+         CASE WHEN b.l_linenumber % 2 = 0 THEN chr(9) || CAST(b.l_suppkey AS VARCHAR) || chr(160)
+              ELSE ' ' || CAST(b.l_suppkey AS VARCHAR) || ' ' END AS "Supplier",
          s.s_name AS "Name 1",
-         ' ' || lower(b.o_orderpriority) AS "PO Type",
-         format('{{:,.2f}}', b.l_extendedprice) AS "Gross Invoice Amount",
-         CAST(b.o_orderdate AS VARCHAR) AS "Created at",
+         ' ' || lower(b.o_orderpriority) || CASE WHEN b.o_orderkey % 3 = 0 THEN chr(9) ELSE '' END AS "PO Type",
+         CASE WHEN b.l_partkey % {BAD_AMOUNT_MOD} = 0 THEN 'n/a'
+              ELSE format('{{:,.2f}}', b.l_extendedprice) END AS "Gross Invoice Amount",
+         CASE WHEN b.o_orderkey % {UNDATED_MOD} = 0 THEN NULL WHEN b.o_orderkey % {BAD_DATE_MOD} = 0 THEN 'unknown'
+              WHEN b.o_orderkey % 4 = 1 THEN strftime(b.o_orderdate, '%m/%d/%Y')
+              ELSE CAST(b.o_orderdate AS VARCHAR) END AS "Created at",
          CAST(b.l_shipdate AS VARCHAR) AS "Document Date",
-         b.o_orderstatus AS "Document Status",
+         b.o_orderstatus || CASE WHEN b.o_orderkey % 5 = 0 THEN chr(13) || chr(10) ELSE '' END AS "Document Status",
          b.exc AS "Exception ID",
          CASE WHEN b.exc = {NULL_DESC_ID} AND b.l_suppkey % {NULL_DESC_SUPPKEY_MOD} = 0 THEN NULL
               ELSE 'EXC_' || CAST(b.exc AS VARCHAR) END AS "Exception description",

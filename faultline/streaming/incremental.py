@@ -15,11 +15,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StringType, StructField, StructType
 
 from faultline.config import LogSchema, Params
 from faultline.operators.clean import clean
-from faultline.sources.csv_log import dedupe_names
+from faultline.sources.csv_log import csv_options, null_tokens_out, rows_below, text_schema
 
 
 def stream_clean_log(spark: SparkSession, source_dir: str, header: Sequence[str], sink_dir: str,
@@ -28,11 +27,8 @@ def stream_clean_log(spark: SparkSession, source_dir: str, header: Sequence[str]
     """Start the intake stream; ``available_now`` processes what is there and stops."""
     s = s or LogSchema()
     p = p or Params()
-    cols = dedupe_names(header)
-    schema = StructType([StructField(c, StringType(), True) for c in cols])
-    raw = (spark.readStream.schema(schema).option("header", True).option("enforceSchema", True)
-           .option("quote", '"').option("escape", '"').csv(source_dir))
-    typed = clean(raw, s, p, filter_po=filter_po)
+    raw = spark.readStream.schema(text_schema(header)).options(**csv_options()).csv(source_dir)
+    typed = clean(null_tokens_out(rows_below(raw, header), p.null_tokens), s, p, filter_po=filter_po)
     w = (typed.writeStream.format("parquet").option("path", sink_dir)
          .option("checkpointLocation", checkpoint_dir).partitionBy(s.month).outputMode("append"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")

@@ -1,9 +1,11 @@
 """Hand-written edge fixtures (invented names) checked against brute force."""
 
+import datetime
 import os
 import random
 from collections import Counter
 
+import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
@@ -39,6 +41,13 @@ def log_df(spark, rows):
     return spark.createDataFrame(rows, schema)
 
 
+def log_df_text_ids(spark, rows):
+    rows = [(*r[:9], None if r[9] is None else str(r[9]), *r[10:]) for r in rows]
+    df = log_df(spark, [(*r[:9], None, *r[10:]) for r in rows])
+    ids = spark.createDataFrame([(r[7], r[9]) for r in rows], "`Document Id` string, `Exception ID` string")
+    return df.drop("Exception ID").join(ids, on="Document Id")
+
+
 def test_raw_csv_edges(spark, tmpdir_path):
     path = os.path.join(tmpdir_path, "raw_edges.csv")
     with open(path, "w", encoding="utf-8-sig") as f:
@@ -116,23 +125,32 @@ def test_sequences_and_ngrams(spark):
 
 def test_group_positions_hot_group_brute_force(spark):
     rnd = random.Random(7)
-    data = [("hot", i, rnd.randint(0, 50)) for i in range(3000)] + \
-           [(f"k{j}", i, rnd.randint(0, 50)) for j in range(40) for i in range(rnd.randint(1, 5))]
+    # One group holds 90 % of the rows; its buckets are 65,536 wide.
+    data = [("hot", i * 997, rnd.randint(0, 50)) for i in range(3000)] + [("hot", None, 1), ("hot", -70_000, 1)] + \
+           [(f"k{j}", i * 50_000, rnd.randint(0, 50)) for j in range(40) for i in range(rnd.randint(1, 12))]
     df = spark.createDataFrame(data, "g string, o long, v long")
-    # min_heavy_rows=100 sends the hot group through the range-split path and
-    # the others through the per-group window.
-    for reuse in ("true", "false"):
-        spark.conf.set("spark.sql.exchange.reuse", reuse)
-        try:
-            out = SQ.group_positions(df.repartition(5), ["g"], ["o"], num_partitions=7, min_heavy_rows=100).collect()
-        finally:
-            spark.conf.set("spark.sql.exchange.reuse", "true")
-        by = {}
-        for r in out:
-            by.setdefault(r["g"], []).append((r["o"], r["Position"]))
-        for g, lst in by.items():
-            lst.sort()
-            assert [p for _, p in lst] == list(range(1, len(lst) + 1)), (g, reuse)
+    by = {}
+    for r in SQ.group_positions(df.repartition(5), ["g"], ["o"]).collect():
+        by.setdefault(r["g"], []).append((r["o"] is not None, r["o"] or 0, r["Position"]))
+    assert sum(map(len, by.values())) == len(data)
+    for g, lst in by.items():
+        assert [x[2] for x in sorted(lst)] == list(range(1, len(lst) + 1)), g
+
+
+@pytest.mark.parametrize("kind,make", [
+    ("long", lambda i: i * 30_000 - 10 ** 6), ("string", lambda i: f"{i // 7:03d}x{i:05d}"),
+    ("timestamp", lambda i: datetime.datetime(2024, 1, 1) + datetime.timedelta(days=3 * i, seconds=i))])
+def test_adjacent_pairs_over_bucket_borders(spark, kind, make):
+    rnd = random.Random(5)
+    rows = [(d, make(i), rnd.randint(1, 4)) for d in ("A", "B") for i in rnd.sample(range(200), 60)]
+    s = LogSchema(order_cols=("o",))
+    df = spark.createDataFrame(rows, f"`Document Id` string, o {kind}, `Exception ID` int")
+    want = Counter()
+    for d in ("A", "B"):
+        ids = [x[2] for x in sorted(r for r in rows if r[0] == d)]
+        want.update(zip(ids, ids[1:]))
+    got = {(r["From_ID"], r["To_ID"]): r["Count"] for r in SQ.adjacent_pairs(df.repartition(3), s).collect()}
+    assert got == dict(want)
 
 
 def test_global_running_sum_hot_tie_group_brute_force(spark):
@@ -140,21 +158,55 @@ def test_global_running_sum_hot_tie_group_brute_force(spark):
     vend = [(f"s{i:05d}", "n", 1) for i in range(2500)] + [(f"t{i:04d}", "n", rnd.randint(2, 60)) for i in range(300)]
     df = spark.createDataFrame(vend, "Supplier string, `Name 1` string, Exception_Events long")
     order = sorted(vend, key=lambda x: (-x[2], x[0], x[1]))
-    # Default: every tie group is light (per-group window). min_heavy_rows=100
-    # sends the 2,500-vendor tie group through the range split. The result may
-    # not depend on the session reusing exchanges.
-    for heavy, reuse in ((1_000_000, "true"), (100, "true"), (100, "false")):
-        spark.conf.set("spark.sql.exchange.reuse", reuse)
-        try:
-            got = {(r["Supplier"]): (r["Rank"], r["Cumulative_Events"])
-                   for r in PA.global_running_sum(df.repartition(5), "Exception_Events", ["Supplier", "Name 1"],
-                                                  num_partitions=9, min_heavy_rows=heavy).collect()}
-        finally:
-            spark.conf.set("spark.sql.exchange.reuse", "true")
-        cum = 0
-        for i, (s, _, e) in enumerate(order, 1):
-            cum += e
-            assert got[s] == (i, cum), (heavy, reuse)
+    got = {(r["Supplier"]): (r["Rank"], r["Cumulative_Events"])
+           for r in PA.global_running_sum(df.repartition(5), "Exception_Events", ["Supplier", "Name 1"]).collect()}
+    cum = 0
+    for i, (s, _, e) in enumerate(order, 1):
+        cum += e
+        assert got[s] == (i, cum)
+    with pytest.raises(TypeError):
+        PA.global_running_sum(df.withColumn("Exception_Events", F.lit(0.5)), "Exception_Events", ["Supplier"])
+
+
+def test_header_names_are_unique_whatever_the_input():
+    assert dedupe_names(["a", "a", "a_1"]) == ["a", "a_2", "a_1"]
+    for names in (["a", "a_1", "a", "a", "a_2"], ["x"] * 5, [], ["a", "b"]):
+        got = dedupe_names(names)
+        assert len(set(got)) == len(names) and all(got[names.index(n)] == n for n in names)
+
+
+def test_files_with_columns_in_another_order_are_not_swapped(spark, tmpdir_path):
+    for name, text in (("1.csv", "A,B\n1,2\n"), ("2.csv", "A,B\n3,4\n")):
+        with open(os.path.join(tmpdir_path, name), "w", encoding="utf-8-sig") as f:
+            f.write(text)
+    assert sorted(map(tuple, read_log_csv(spark, tmpdir_path).collect())) == [("1", "2"), ("3", "4")]
+    with open(os.path.join(tmpdir_path, "3.csv"), "w", encoding="utf-8-sig") as f:
+        f.write("B,A\n6,5\n")
+    with pytest.raises(Exception, match="another order"):
+        read_log_csv(spark, tmpdir_path).collect()
+
+
+def test_date_spellings(spark):
+    seen = ["2025-10-01 10:00:00.123", "2025-10-01T10:00:00Z", "2025-10-01 10:00", "2025/10/01", "01-Oct-2025",
+            "10/01/2025 10:00:00 AM", "2025-10-01", "2025-10-01 10:00:00", "10/1/2025 9:05", " 2025-10-01\t",
+            "2025-10-01T10:00:00.5+00:00", "1.10.2025"]
+    df = spark.createDataFrame([(x,) for x in [*seen, "unknown", "", None, "2025-13-45"]], "t string")
+    got = [r[0] for r in df.select(C.month_label(C.parse_timestamp("t", P.timestamp_formats))).collect()]
+    assert got == ["2025-10"] * len(seen) + [None] * 4
+
+
+def test_ids_and_white_space(spark):
+    rows = [ev("A", "91.0", 1), ev("B", " 5 ", 1, sup="\t5201"), ev("C", "7", 1, po="nb\t"), ev("D", "7.5", 1),
+            ev("E", "x", 1, status="15\u00a0")]
+    f = {r["Document Id"]: r["Exception ID"] for r in C.full_posted(log_df_text_ids(spark, rows), S, P).collect()}
+    assert f == {"A": 91, "C": 7, "D": None, "E": None}
+
+
+def test_crosstab_keeps_every_channel(spark):
+    rows = [ev(f"D{i}", 91, 1, ch=f"C{i % 6}") for i in range(12)]
+    got = {(r["PO category decription"], r["Channel ID"]): r["Count"]
+           for r in FQ.crosstab(C.full_posted(log_df(spark, rows), S, P), S.category, S.channel).collect()}
+    assert len(got) == 6 and set(got.values()) == {2}
 
 
 def test_monthly_trend_fills_zero_and_keeps_partial_month(spark):
