@@ -9,13 +9,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from faultline.config import LogSchema
+from faultline.config import LogSchema, Params
 from faultline.functions import clip_upper
+from faultline.operators.clean import is_material
 from faultline.operators.relational import (
-    attach_names, count_via_lookup, dense_grid, events_and_invoices, group_count, nonnull, semi, top_k, with_share,
+    attach_names, count_via_lookup, dense_grid, events_and_invoices, group_count, nonnull,
+    per_document_counts, semi, top_k, with_share,
 )
 
 
@@ -69,15 +71,20 @@ def exc_order(s: LogSchema):
     return [F.col("Count").desc(), F.col(s.exc_id), F.col(s.exc_desc)]
 
 
-def cooccurring(src: DataFrame, ev: DataFrame, s: LogSchema, exc_id: int, k: int = 10) -> DataFrame:
-    """G22 + J3: other exceptions raised on the documents that raised ``exc_id``.
+def cooccurring(src: DataFrame, s: LogSchema, exc_id: int, k: int = 10) -> DataFrame:
+    """G22 + J3: other exceptions raised on the documents that raised
+    ``exc_id``. One pass: the log is counted per (document, exception), and
+    whether the document raised the id is spread over those counts."""
+    pre = per_document_counts(src, s.doc, s.exc)
+    e = F.col(s.exc_id)
+    raised = F.max(F.coalesce(e == exc_id, F.lit(False))).over(Window.partitionBy(s.doc))
+    rows = pre.withColumn("_raised", raised).where(F.col("_raised") & (e != exc_id))
+    return top_k(_summed(rows, s), exc_order(s), k)
 
-    The document set is joined as a ``left_semi``; Spark broadcasts it only
-    when its measured size is under the broadcast threshold, else it is a
-    shuffle join on the document key."""
-    docs = nonnull(ev.select(s.doc), [s.doc]).distinct()
-    rows = semi(src, docs, s.doc).where(F.col(s.exc_id) != exc_id)
-    return top_k(exception_counts(rows, s), exc_order(s), k)
+
+def _summed(rows: DataFrame, s: LogSchema) -> DataFrame:
+    """``exception_counts`` of rows counted per document."""
+    return nonnull(rows, s.exc).groupBy(*s.exc).agg(F.sum("_n").cast("long").alias("Count"))
 
 
 def touches_histogram(ev: DataFrame, s: LogSchema, cap: int = 10) -> DataFrame:
@@ -88,15 +95,16 @@ def touches_histogram(ev: DataFrame, s: LogSchema, cap: int = 10) -> DataFrame:
     return clipped.groupBy("Touches").agg(F.count(F.lit(1)).alias("Invoice_Count"))
 
 
-def exception_totals(parts: Sequence[tuple[int, DataFrame]], s: LogSchema) -> DataFrame:
-    """Events and distinct invoices for each (id, source log)."""
-    out = None
-    for exc_id, src in parts:
-        g = events_of(src, s, exc_id).agg(
-            F.count(F.lit(1)).alias("Events"), F.countDistinct(F.col(s.doc)).alias("Unique_Inv")
-        ).select(F.lit(exc_id).cast("int").alias(s.exc_id), "Events", "Unique_Inv")
-        out = g if out is None else out.unionByName(g)
-    return out
+def exception_totals(src: DataFrame, ids: Sequence[int], s: LogSchema) -> DataFrame:
+    """Events and distinct invoices of each id (0 if it has none), in one
+    pass over the full log, which holds the material events too."""
+    e = F.col(s.exc_id)
+    pre = src.where(e.isin(*ids)).groupBy(s.doc, s.exc_id).agg(F.count(F.lit(1)).alias("_n"))
+    one = pre.agg(F.array(*[F.struct(
+        F.lit(x).cast("int").alias(s.exc_id),
+        F.coalesce(F.sum(F.when(e == x, F.col("_n"))), F.lit(0)).cast("long").alias("Events"),
+        F.count_if((e == x) & F.col(s.doc).isNotNull()).alias("Unique_Inv")) for x in ids]).alias("_all"))
+    return one.select(F.explode("_all").alias("_x")).select("_x.*")
 
 
 def vendor_exception_detail(m: DataFrame, s: LogSchema, k: int = 20,
@@ -106,15 +114,17 @@ def vendor_exception_detail(m: DataFrame, s: LogSchema, k: int = 20,
     name of a top supplier is included too."""
     if names is None:
         vend = group_count(m, s.vendor, "Events")
-    else:
-        vend = attach_names(group_count(m, [s.supplier], "Events"), names, s.supplier, s.vendor_name)
-    top = top_k(vend, [F.col("Events").desc(), F.col(s.supplier), F.col(s.vendor_name)], k)
-    sups = top.select(s.supplier).distinct()  # at most k rows
-    rows = m.join(F.broadcast(sups), on=s.supplier, how="left_semi")
-    if names is None:
+        top = top_k(vend, [F.col("Events").desc(), F.col(s.supplier), F.col(s.vendor_name)], k)
+        rows = m.join(F.broadcast(top.select(s.supplier).distinct()), on=s.supplier, how="left_semi")  # k rows
         return group_count(rows, [*s.vendor, *s.exc], "Count")
-    g = group_count(rows, [s.supplier, *s.exc], "Count")
-    return attach_names(g, names, s.supplier, s.vendor_name)
+    # One pass: counts per (supplier, exception), gathered per supplier (a
+    # list no longer than the exception ids there are), cut to the top k.
+    counts = nonnull(m, [s.supplier]).groupBy(s.supplier, *s.exc).agg(F.count(F.lit(1)).alias("Count"))
+    per = counts.groupBy(s.supplier).agg(F.sum("Count").alias("Events"),
+                                         F.collect_list(F.struct(*s.exc, "Count")).alias("_d"))
+    vend = attach_names(per, names, s.supplier, s.vendor_name)
+    top = top_k(vend, [F.col("Events").desc(), F.col(s.supplier), F.col(s.vendor_name)], k)
+    return nonnull(top.select(*s.vendor, F.explode("_d").alias("_x")).select(*s.vendor, "_x.*"), s.exc)
 
 
 def top_ids_over_vendor_set(detail: DataFrame, s: LogSchema, k: int = 10) -> DataFrame:
@@ -125,14 +135,27 @@ def top_ids_over_vendor_set(detail: DataFrame, s: LogSchema, k: int = 10) -> Dat
 
 def segment_profile(u: DataFrame, rows: DataFrame, s: LogSchema, channel: str, category: str,
                     passed: bool) -> DataFrame:
-    """Exception counts on the documents of one channel x category
-    segment that failed (``passed=False``, read from the material log) or
-    passed (``passed=True``, read from the full log)."""
+    """G26 / G27 for two extracts: exception counts on the documents of one
+    channel x category segment that failed (``passed=False``, read from the
+    material log) or passed (``passed=True``, read from the full log)."""
     docs = u.where((F.col(s.channel) == channel) & (F.col(s.category) == category)
                    & (F.col("First_Pass") == F.lit(passed))).select(s.doc).distinct()
     return exception_counts(semi(rows, docs, s.doc), s)
 
 
+def segment_profile_single_pass(f: DataFrame, s: LogSchema, p: Params, channel: str, category: str,
+                                passed: bool) -> DataFrame:
+    """G26 / G27 when the material log is the full log minus the immaterial
+    ids: counts per (document, channel, category, exception), then whether the
+    document is in the segment and whether it failed, spread by a window."""
+    pre = per_document_counts(f, s.doc, [s.channel, s.category, *s.exc])
+    w = Window.partitionBy(s.doc)
+    inside = F.coalesce((F.col(s.channel) == channel) & (F.col(s.category) == category), F.lit(False))
+    rows = pre.withColumns({"_in": F.max(inside).over(w), "_failed": F.max(is_material(s, p)).over(w)})
+    rows = rows.where(F.col("_in") & (F.col("_failed") == F.lit(not passed)))
+    return _summed(rows if passed else rows.where(is_material(s, p)), s)
+
+
 def monthly_category_grid(ev: DataFrame, s: LogSchema, partial) -> DataFrame:
     """Dense month x category grid of one exception's events, 0-filled.
     Axes are the distinct months and categories (bounded dimensions)."""

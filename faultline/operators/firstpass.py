@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from faultline.config import LogSchema, Params
 from faultline.functions import pct
+from faultline.operators.clean import is_material
 from faultline.operators.relational import first_by_order, nonnull
 
 
@@ -72,6 +73,24 @@ def monthly_trend(f: DataFrame, m: DataFrame, s: LogSchema, digits: int = 2) ->
     })
 
 
+def monthly_counts(f: DataFrame, s: LogSchema, special, name: str) -> DataFrame:
+    """Per month, all documents and those with an event for which ``special``
+    holds, in one pass: a (month, document) aggregate with a flag (J2, P17)."""
+    pre = nonnull(f, [s.month]).groupBy(s.month, s.doc).agg(
+        F.max(F.coalesce(special, F.lit(False))).alias("_special"))
+    known = F.col(s.doc).isNotNull()
+    return pre.groupBy(s.month).agg(F.count_if(known).alias("Total_Invoices"),
+                                    F.count_if(known & F.col("_special")).alias(name))
+
+
+def monthly_trend_single_pass(f: DataFrame, s: LogSchema, p: Params, digits: int = 2) -> DataFrame:
+    """G17 when the material log is the full log minus the immaterial ids."""
+    return monthly_counts(f, s, is_material(s, p), "Exc_Invoices").withColumns({
+        "First_Pass_Rate": pct(F.col("Total_Invoices") - F.col("Exc_Invoices"), "Total_Invoices", digits),
+        "Month_str": F.col(s.month),
+    })
+
+
 def resolve_partial_month(f: DataFrame, s: LogSchema, p: Params):
     """The partial month as a Column (literal, or the last month of ``f``)."""
     if p.partial_month is None:

@@ -53,6 +53,13 @@ def events_and_invoices(df: DataFrame, keys: Sequence[str], doc: str,
     )
 
 
+def per_document_counts(df: DataFrame, doc: str, keys: Sequence[str]) -> DataFrame:
+    """Rows of each (document, keys...), nulls in ``keys`` kept: what questions
+    about whole documents need of the log. Combined map-side, so a document
+    with very many events shrinks to its distinct keys before any window."""
+    return nonnull(df, [doc]).groupBy(doc, *keys).agg(F.count(F.lit(1)).alias("_n"))
+
+
 def attach_names(g: DataFrame, names: DataFrame, supplier: str, name: str) -> DataFrame:
     """Attach vendor names to a table aggregated by supplier; suppliers
     without a name drop out, as null group keys do (rule 1). Columns come

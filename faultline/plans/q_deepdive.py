@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from faultline.operators import clean as C
 from faultline.operators import deepdive as DD
 from faultline.operators import shape as SH
 from faultline.operators.firstpass import resolve_partial_month
+from faultline.operators.relational import per_document_counts
 from faultline.plans.q_firstpass import SEG_CAT_A, SEG_CAT_B, SEG_CHANNEL
 from faultline.plans.registry import query
 
@@ -88,7 +90,7 @@ GROUP BY 1, 2 ORDER BY "Count" DESC, 1, 2 LIMIT 10
     def g22(ctx):
         s = ctx.s
         rows = _src(ctx, src, ())
-        return DD.cooccurring(rows, DD.events_of(rows, s, x), s, x, 10)
+        return DD.cooccurring(rows, s, x, 10)
 
 
 for _x, _w in DIVES:
@@ -114,8 +116,7 @@ SELECT 29, count(*), count(DISTINCT "Document Id") FROM m WHERE "Exception ID" =
 """)
 def g30(ctx):
     f = ctx.f(())
-    m = C.material(f, ctx.s, ctx.p)
-    return DD.exception_totals([(91, f), (151, m), (29, m)], ctx.s)
+    return DD.exception_totals(f, (91, 151, 29), ctx.s)
 
 
 VED_SQL = """
@@ -165,17 +166,17 @@ GROUP BY 1, 2
 
 @query("g26_failed_segment_profile", sql=_segment_sql(SEG_CAT_A, False, "m"))
 def g26(ctx):
-    return DD.segment_profile(ctx.u, ctx.m(()), ctx.s, SEG_CHANNEL, SEG_CAT_A, passed=False)
+    return DD.segment_profile_single_pass(ctx.f(("channel", "category")), ctx.s, ctx.p, SEG_CHANNEL, SEG_CAT_A, False)
 
 
 @query("g26b_failed_segment_profile_std", sql=_segment_sql(SEG_CAT_B, False, "m"))
 def g26b(ctx):
-    return DD.segment_profile(ctx.u, ctx.m(()), ctx.s, SEG_CHANNEL, SEG_CAT_B, passed=False)
+    return DD.segment_profile_single_pass(ctx.f(("channel", "category")), ctx.s, ctx.p, SEG_CHANNEL, SEG_CAT_B, False)
 
 
 @query("g27_passed_segment_profile", sql=_segment_sql(SEG_CAT_A, True, "f"))
 def g27(ctx):
-    return DD.segment_profile(ctx.u, ctx.f(()), ctx.s, SEG_CHANNEL, SEG_CAT_A, passed=True)
+    return DD.segment_profile_single_pass(ctx.f(("channel", "category")), ctx.s, ctx.p, SEG_CHANNEL, SEG_CAT_A, True)
 
 
 @query("g37_dense_month_category_grid", sql="""
@@ -199,10 +200,10 @@ WHERE "Document Id" IN (SELECT "Document Id" FROM m WHERE "Exception ID" = 151)
 """)
 def j03(ctx):
     s = ctx.s
-    f = ctx.f(())
-    docs = f.where(F.col(s.exc_id) == 151).select(s.doc)
-    return (f.join(docs.distinct(), on=s.doc, how="left_semi")
-            .groupBy(s.exc_id).agg(F.count(F.lit(1)).alias("Rows")))
+    pre = per_document_counts(ctx.f(()), s.doc, [s.exc_id])
+    raised = F.max(F.coalesce(F.col(s.exc_id) == 151, F.lit(False))).over(Window.partitionBy(s.doc))
+    return (pre.withColumn("_raised", raised).where("_raised")
+            .groupBy(s.exc_id).agg(F.sum("_n").cast("long").alias("Rows")))
 
 
 @query("p21_drop_named_after_topk", sql=f"""

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from faultline.operators import clean as C
 from faultline.operators import firstpass as FP
-from faultline.operators.clean import material
 from faultline.operators import freq as FQ
 from faultline.operators.relational import first_by_order, with_share
 from faultline.plans.registry import query
@@ -112,7 +112,7 @@ FROM t LEFT JOIN e ON t."Month" = e."Month"
 """)
 def g17(ctx):
     f = ctx.f(())
-    return FP.monthly_trend(f, material(f, ctx.s, ctx.p), ctx.s).orderBy(ctx.s.month)
+    return FP.monthly_trend_single_pass(f, ctx.s, ctx.p).orderBy(ctx.s.month)
 
 
 @query("g28_channel_monthly_by_category", sql=f"""
@@ -206,10 +206,19 @@ FROM t LEFT JOIN e ON t."Month" = e."Month"
 def j02(ctx):
     """Months without any event of one id keep a zero row (J2 + P17)."""
     s = ctx.s
-    f = ctx.f(())
-    t = FP.monthly_invoices(f, s, "Total_Invoices")
-    e = FP.monthly_invoices(material(f, ctx.s, ctx.p).where(F.col(s.exc_id) == 151), s, "Exc_Invoices")
-    return t.join(e, on=s.month, how="left").na.fill(0, subset=["Exc_Invoices"])
+    return FP.monthly_counts(ctx.f(()), s, F.col(s.exc_id) == 151, "Exc_Invoices")
+
+
+@query("p27b_monthly_first_pass_count", sql="""
+, t AS (SELECT "Month", count(DISTINCT "Document Id") AS "Total_Invoices" FROM f WHERE "Month" IS NOT NULL GROUP BY 1),
+e AS (SELECT "Month", count(DISTINCT "Document Id") AS "Exc_Invoices" FROM m WHERE "Month" IS NOT NULL GROUP BY 1)
+SELECT t."Month", t."Total_Invoices", coalesce(e."Exc_Invoices", 0) AS "Exc_Invoices",
+       t."Total_Invoices" - coalesce(e."Exc_Invoices", 0) AS "First_Pass_Count"
+FROM t LEFT JOIN e ON t."Month" = e."Month"
+""")
+def p27b(ctx):
+    t = FP.monthly_counts(ctx.f(()), ctx.s, C.is_material(ctx.s, ctx.p), "Exc_Invoices")
+    return t.withColumn("First_Pass_Count", F.col("Total_Invoices") - F.col("Exc_Invoices"))
 
 
 @query("j04_existence_join", sql="""

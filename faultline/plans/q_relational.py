@@ -98,11 +98,8 @@ SELECT t."Month", coalesce(e.n, 0) AS "Events" FROM t LEFT JOIN e ON t."Month" =
 def p17(ctx):
     s = ctx.s
     f = ctx.f(("channel", "category"))
-    t = f.select(s.month).where(F.col(s.month).isNotNull()).distinct()
-    e = (f.where((F.col(s.exc_id) == 38) & (F.col(s.channel) == "AUTOMOBILE") & (F.col(s.category) == "SMALL")
-                 & F.col(s.month).isNotNull())
-         .groupBy(s.month).agg(F.count(F.lit(1)).alias("Events")))
-    return t.join(e, on=s.month, how="left").na.fill(0, subset=["Events"])
+    hit = (F.col(s.exc_id) == 38) & (F.col(s.channel) == "AUTOMOBILE") & (F.col(s.category) == "SMALL")
+    return f.where(F.col(s.month).isNotNull()).groupBy(s.month).agg(F.count_if(hit).alias("Events"))
 
 
 @query("d01_distinct_key_columns", sql="""

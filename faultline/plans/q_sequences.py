@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from faultline.operators import sequences as SQ
+from faultline.operators.relational import per_document_counts
 from faultline.plans.registry import query
 
 ORDER = '("l_shipdate", l_linenumber, l_partkey, l_suppkey)'
@@ -76,9 +77,9 @@ FROM m WHERE "Document Id" IS NOT NULL GROUP BY 1
 def a02(ctx):
     s = ctx.s
     m = ctx.m(())
-    n = m.where(F.col(s.doc).isNotNull()).groupBy(s.doc).agg(F.count(F.lit(1)).alias("N_Exceptions"))
-    d = SQ.distinct_sequence_arrays(m, s).select(s.doc, F.size("Exc_Seq").cast("long").alias("N_Distinct"))
-    return n.join(d, on=s.doc)
+    pre = per_document_counts(m, s.doc, [s.exc_id])
+    return pre.groupBy(s.doc).agg(F.sum("_n").cast("long").alias("N_Exceptions"),
+                                  F.count(s.exc_id).alias("N_Distinct"))
 
 
 @query("a04_adjacent_ngrams", sql=FS_CTE + """

@@ -63,9 +63,10 @@ def extended_results(f: DataFrame, m: DataFrame, u: DataFrame, s: LogSchema, p:
         out[f"{x}_channel_category"] = DD.by_channel_category(ev, s, with_pct=material)
         out[f"{x}_monthly_by_cat"] = DD.by_month_category(ev, s, partial)
         out[f"{x}_top_vendors"] = DD.dive_vendors(ev, s, 20, with_avg=material)
-        out[f"{x}_cooccur"] = DD.cooccurring(src, ev, s, x, 10)
+        out[f"{x}_cooccur"] = DD.cooccurring(src, s, x, 10)
     out["151_touch_dist"] = DD.touches_histogram(DD.events_of(m, s, 151), s)
-    out["exception_totals"] = DD.exception_totals([(91, f), (151, m), (29, m)], s)
+    out["exception_totals"] = DD.exception_totals(f, (91,), s).unionByName(
+        DD.exception_totals(m, (151, 29), s))
     out["vendor_exc_detail"] = DD.vendor_exception_detail(m, s)
     out["cc_fp"] = FP.first_pass_by(u, [s.channel, s.category], s, digits=1,
                                     count_name="FP_Count", rate_name="FP_Rate")
