@@ -3,9 +3,9 @@
 ``core_results`` and ``extended_results`` return the same named tables the
 original scripts write (frequencies, vendors, first-pass, sequences, monthly
 trend, concentration, the three deep dives, segment profiles, KPIs), as lazy
-DataFrames; ``run`` reads a full and a material CSV extract, builds them and
-writes each one with the sinks (CSV and JSON lines, one directory per
-result).
+DataFrames; ``run`` reads a full and a material CSV extract, computes each
+result once (Parquet) and writes it with the sinks (CSV and JSON lines, one
+directory per result, and the two result documents).
 
     python -m faultline.plans.report --full full.csv --material material.csv \
         --out results/ --channel <channel> --categories <category-a> <category-b>
@@ -14,8 +14,10 @@ result).
 from __future__ import annotations
 
 import argparse
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from faultline.config import LogSchema, Params
 from faultline.operators import clean as C
@@ -25,6 +27,7 @@ from faultline.operators import freq as FQ
 from faultline.operators import pareto as PA
 from faultline.operators import sequences as SQ
 from faultline.operators.relational import top_k
+from faultline.operators.shape import drop_named
 from faultline.sources import sinks
 from faultline.sources.csv_log import read_log_csv
 
@@ -80,46 +83,67 @@ def extended_results(f: DataFrame, m: DataFrame, u: DataFrame, s: LogSchema, p:
     return out
 
 
-# Fixed values of the original result document: its fields, the result each
-# one holds, and how many leading rows (None = all rows).
-DOCUMENT_FIELDS = (
-    ("kpi", "kpi", None),
-    ("exc_freq", "01_exception_frequency", 20),
-    ("vendor_top30", "02_top_vendors", 30),
-    ("vendor_intensity", "vendor_intensity", None),
-    ("cat_summary", "cat_summary", None),
-    ("cat_exc", "03_exception_by_category", 60),
-    ("channel_fp", "04_channel_firstpass", None),
-    ("channel_cat_fp", "04b_channel_cat_firstpass", None),
-    ("exc_dist", "05_exception_count_dist", None),
-    ("exc_pairs", "05_exception_pairs", 15),
-    ("exc_triples", "05_exception_triples", 10),
-    ("monthly", "06_monthly_trends", None),
-    ("workload_conc", "07_workload_concentration", 50),
+# Fixed values of the original's two result documents: each field, the result
+# it holds, its order (a leading "-" falls), its leading rows (None: all) and,
+# where they are not all, its columns. "doc", "exc" and so on are the roles of
+# ``LogSchema``; other names are columns of the result.
+CORE_FIELDS = (
+    ("kpi", "kpi", (), None, None),
+    ("exc_freq", "01_exception_frequency", ("-Count", "exc_id"), 20, None),
+    ("vendor_top30", "02_top_vendors", ("-Exception_Events", "supplier", "vendor_name"), 30, None),
+    ("vendor_intensity", "vendor_intensity", ("-Avg_Exc_Per_Inv", "supplier", "vendor_name"), None, None),
+    ("cat_summary", "cat_summary", ("-Exception_Events", "category"), None, None),
+    ("cat_exc", "03_exception_by_category", ("category", "-Count", "exc_id"), 60, None),
+    ("channel_fp", "04_channel_firstpass", ("channel",), None, None),
+    ("channel_cat_fp", "04b_channel_cat_firstpass", ("channel", "category"), None, None),
+    ("exc_dist", "05_exception_count_dist", ("N_Exceptions",), None, None),
+    ("exc_pairs", "05_exception_pairs", ("-Count", "Pair"), 15, None),
+    ("exc_triples", "05_exception_triples", ("-Count", "Triple"), 10, None),
+    ("monthly", "06_monthly_trends", ("Month_str",), None,
+     ("Month_str", "Total_Invoices", "Exc_Invoices", "First_Pass_Rate")),
+    ("workload_conc", "07_workload_concentration", ("-Exception_Events", "supplier", "vendor_name"), 50,
+     ("vendor_name", "supplier", "Exception_Events", "Unique_Invoices", "Cumulative_Pct")),
 )
+EXTENDED_FIELDS = (
+    *[field for x, dist in ((91, False), (151, True), (29, False)) for field in (
+        (f"e{x}_cat", f"{x}_by_category", ("-Events", "category"), None, None),
+        (f"e{x}_ch_cat", f"{x}_channel_category", ("channel", "category"), None, None),
+        (f"e{x}_vendors", f"{x}_top_vendors", ("-Events", "supplier", "vendor_name"), 20, None),
+        (f"e{x}_monthly", f"{x}_monthly_by_cat", ("month", "category"), None, None),
+        (f"e{x}_cooccur", f"{x}_cooccur", ("-Count", "exc_id"), None, None),
+        *([(f"e{x}_touch_dist", f"{x}_touch_dist", ("Touches",), None, None)] if dist else []))],
+    ("cc_fp", "cc_fp", ("channel", "category"), None, None),
+    ("segment_a_fail_exc", "segment_a_fail_exc", ("-Count", "exc_id"), None, None),
+    ("segment_a_pass_exc", "segment_a_pass_exc", ("-Count", "exc_id"), None, None),
+    ("segment_b_fail_exc", "segment_b_fail_exc", ("-Count", "exc_id"), None, None),
+    ("channel_monthly", "channel_monthly", ("month", "category"), None, None),
+    ("vendor_exc_detail", "vendor_exc_detail", ("supplier", "-Count", "exc_id"), None, None),
+    ("segment_a_scalars", "segment_a_scalars", (), None, None),
+    ("segment_b_scalars", "segment_b_scalars", (), None, None),
+    ("exception_totals", "exception_totals", ("exc_id",), None, None),
+)
+#: Vendor lists from which named vendors are taken out, after their cut.
+VENDOR_LISTS = ("vendor_top30", "e91_vendors", "e151_vendors", "e29_vendors")
 
 
-def document(results: dict[str, DataFrame], s: LogSchema) -> DataFrame:
-    """The result document, one row per field with its records as a JSON
-    array. Every field is bounded: a top-k list or a table over a small
-    dimension (channels, categories, months, event counts)."""
-    from pyspark.sql import functions as F
+def document(results: dict[str, DataFrame], s: LogSchema, fields=CORE_FIELDS,
+             exclude_vendors: Sequence[str] = ()) -> DataFrame:
+    """A result document, one row per field with its records as a JSON
+    array in the original's order. Every field is bounded: a top-k list or a
+    table over a small dimension (channels, categories, months, event counts)."""
+    def column(name: str) -> str:
+        return getattr(s, name, name)
 
-    order = {
-        "01_exception_frequency": [F.col("Count").desc(), F.col(s.exc_id)],
-        "02_top_vendors": FQ.vendor_order(s),
-        "03_exception_by_category": [F.col(s.category), F.col("Count").desc(), F.col(s.exc_id)],
-        "07_workload_concentration": FQ.vendor_order(s),
-    }
-    parts = {}
-    for field, name, k in DOCUMENT_FIELDS:
+    parts = []
+    for field, name, order, k, columns in fields:
         df = results[name]
-        if k is None:
-            parts[field] = df
-        elif name in order:
-            parts[field] = top_k(df, order[name], k)
-        else:  # already an ordered top-k (n-grams, first-seen ties): the limits combine
-            parts[field] = df.limit(k)
+        by = [F.col(f"`{column(c.lstrip('-'))}`") for c in order] or [F.lit(0)]
+        by = [c.desc() if o.startswith("-") else c.asc() for c, o in zip(by, order or ("",))]
+        if k is not None:
+            df = top_k(df, by, k)
+        if field in VENDOR_LISTS and exclude_vendors:
+            df = drop_named(df, s.vendor_name, exclude_vendors)
+        parts.append((field, df, by, [column(c) for c in columns] if columns else df.columns))
     return sinks.result_document(parts)
 
 
@@ -139,7 +163,8 @@ def build(full_log: DataFrame, material_log: DataFrame, s: LogSchema, p: Params,
 
 def run(spark: SparkSession, full_path: str, material_path: str, out_dir: str,
         channel: str, categories: tuple[str, str],
-        s: LogSchema | None = None, p: Params | None = None) -> dict[str, DataFrame]:
+        s: LogSchema | None = None, p: Params | None = None,
+        exclude_vendors: Sequence[str] = ()) -> dict[str, DataFrame]:
     """Read, clean once, write every result. The two cleaned logs are kept in
     executor memory/disk for the run (about 40 results read them); lost
     blocks are recomputed from the extracts."""
@@ -150,10 +175,15 @@ def run(spark: SparkSession, full_path: str, material_path: str, out_dir: str,
     f = C.full_posted(read_log_csv(spark, full_path), s, p).persist(StorageLevel.MEMORY_AND_DISK)
     m = C.full_posted(read_log_csv(spark, material_path), s, p).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        out = out_dir.rstrip("/")
         results = build_from_views(f, m, s, p, channel, categories)
-        sinks.write_results(results, f"{out_dir.rstrip('/')}/csv", fmt="csv")
-        sinks.write_results(results, f"{out_dir.rstrip('/')}/json", fmt="json")
-        document(results, s).write.mode("overwrite").json(f"{out_dir.rstrip('/')}/document")
+        # Computed once, as Parquet; the other forms are read from there.
+        sinks.write_results(results, f"{out}/tables", fmt="parquet")
+        results = {n: spark.read.schema(df.schema).parquet(f"{out}/tables/{n}") for n, df in results.items()}
+        sinks.write_results(results, f"{out}/csv", fmt="csv")
+        sinks.write_results(results, f"{out}/json", fmt="json")
+        document(results, s, CORE_FIELDS, exclude_vendors).write.mode("overwrite").json(f"{out}/document")
+        document(results, s, EXTENDED_FIELDS, exclude_vendors).write.mode("overwrite").json(f"{out}/document_extended")
     finally:
         f.unpersist()
         m.unpersist()
@@ -167,13 +197,14 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--out", required=True)
     ap.add_argument("--channel", required=True, help="channel of the segment dives")
     ap.add_argument("--categories", nargs=2, required=True, help="two categories of that channel")
+    ap.add_argument("--exclude-vendors", nargs="*", default=[], help="names taken out of the served vendor lists")
     ap.add_argument("--partial-month", default=Params().partial_month)
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName("faultline-report").getOrCreate()
     from faultline.session import tune
     tune(spark)
     run(spark, args.full, args.material, args.out, args.channel, tuple(args.categories),
-        p=Params(partial_month=args.partial_month))
+        p=Params(partial_month=args.partial_month), exclude_vendors=args.exclude_vendors)
     spark.stop()
 
 

@@ -6,9 +6,9 @@ part files per result); nothing is funnelled through the driver.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -36,18 +36,21 @@ def write_results(results: Mapping[str, DataFrame], root: str, fmt: str = "json"
             w.option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss").json(target)
 
 
-def result_document(results: Mapping[str, DataFrame]) -> DataFrame:
+def result_document(parts: Sequence[tuple[str, DataFrame, Sequence[Column], Sequence[str]]]) -> DataFrame:
     """S5 single-document form for bounded results (top-k lists, grouped
-    tables over small dimensions): one row per result, its records as a JSON
-    array. Each result is gathered by one aggregate, so only use this for
-    results whose size is bounded by their own definition."""
-    parts = [df.agg(F.to_json(F.collect_list(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
-                    .alias("records")).select(F.lit(name).alias("name"), "records")
-             for name, df in results.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    tables over small dimensions): one row per (field, result, order,
+    columns), its records as a JSON array in that order. Each result is
+    gathered by one aggregate, so only use this for results whose size is
+    bounded by their own definition."""
+    rows = None
+    for name, df, order, columns in parts:
+        keyed = F.struct(F.row_number().over(Window.orderBy(*order)).alias("_at"),
+                         F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_r"))
+        one = (df.select(keyed.alias("_k")).agg(F.array_sort(F.collect_list("_k")).alias("_all"))
+               .select(F.lit(name).alias("name"),
+                       F.to_json(F.transform("_all", lambda x: x["_r"])).alias("records")))
+        rows = one if rows is None else rows.unionByName(one)
+    return rows
 
 
 def read_results(spark: SparkSession, root: str, name: str) -> DataFrame:

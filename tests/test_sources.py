@@ -93,7 +93,7 @@ def test_report_from_csv_extracts(spark, tmpdir_path):
     log = ctx.log()
     full_dir, mat_dir = os.path.join(tmpdir_path, "full"), os.path.join(tmpdir_path, "mat")
     log.write.option("header", True).csv(full_dir)
-    log.where(~F.col(s.exc_id).isin(0, 91)).write.option("header", True).csv(mat_dir)
+    log.where(F.col(s.exc_id).isNull() | ~F.col(s.exc_id).isin(0, 91)).write.option("header", True).csv(mat_dir)
     out = os.path.join(tmpdir_path, "results")
     res = report.run(spark, full_dir, mat_dir, out, "BUILDING", ("PROMO", "STANDARD"), s=s, p=p)
     assert len(res) > 30
@@ -111,8 +111,24 @@ def test_report_from_csv_extracts(spark, tmpdir_path):
     kpi = res["kpi"].first().asDict()
     assert kpi == q["g10_kpi_row"](spark, sf).first().asDict()
     doc = {r["name"]: r["records"] for r in spark.read.json(os.path.join(out, "document")).collect()}
-    assert len(doc) == 13 and doc["exc_freq"].startswith("[{")
     import json
+
+    assert len(doc) == 13
+    field = {k: json.loads(v) for k, v in doc.items()}
+    months = [r["Month_str"] for r in field["monthly"]]
+    assert months == sorted(months) and list(field["monthly"][0]) == [
+        "Month_str", "Total_Invoices", "Exc_Invoices", "First_Pass_Rate"]
+    assert [r["N_Exceptions"] for r in field["exc_dist"]] == sorted(r["N_Exceptions"] for r in field["exc_dist"])
+    counts = [r["Count"] for r in field["exc_freq"]]
+    assert counts == sorted(counts, reverse=True)
+    assert list(field["workload_conc"][0]) == [
+        "Name 1", "Supplier", "Exception_Events", "Unique_Invoices", "Cumulative_Pct"]
+    first = field["vendor_top30"][0]["Name 1"]
+    ext = {r["name"]: json.loads(r["records"]) for r in
+           spark.read.json(os.path.join(out, "document_extended")).collect()}
+    assert len(ext) == 25 and [r["Exception ID"] for r in ext["exception_totals"]] == [29, 91, 151]
+    again = report.document(res, s, report.CORE_FIELDS, [f" {first.lower()}\t"]).where("name = 'vendor_top30'").first()
+    assert [r["Name 1"] for r in json.loads(again["records"])] == [r["Name 1"] for r in field["vendor_top30"]][1:]
     assert len(json.loads(doc["workload_conc"])) == min(50, q["g07w_workload_concentration"](spark, sf).count())
     back = spark.read.option("header", True).csv(os.path.join(out, "csv", "07_workload_concentration"))
     assert back.count() == q["g07w_workload_concentration"](spark, sf).count()
