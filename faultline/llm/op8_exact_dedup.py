@@ -1,10 +1,11 @@
 """Exact deduplication as stateful streaming.
 
-Texts land as a stream of (digest, identifier, locator) records. A streaming
-aggregate keyed by digest, with RocksDB (disk-backed) state and no expiry,
-retains for each digest the largest identifier seen, the locator of that
-row's content and the number of rows. Each hit (a row that is not the
-retained one) is then checked against the full bytes of the retained row.
+Rows land as a stream of (digest, identifier, locator) records; the locator is
+the file and the row in it that hold the content. A streaming aggregate keyed
+by digest, with RocksDB (disk-backed) state and no expiry, retains for each
+digest the largest identifier seen, the locator of that row's content and the
+number of rows. Each hit (a row that is not the retained one) is then checked
+against the full bytes of the retained row.
 
 Everything is SQL functions and Structured Streaming; no Python runs on the
 executors.
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,7 +52,7 @@ def _keyed_state(landed: DataFrame, path: str, where: str) -> DataFrame:
         spark.conf.set(k, v)
     try:
         records = (spark.readStream.schema(landed.schema).parquet(path)
-                   .select("_digest", F.struct("_id", "_row").alias("_who")))
+                   .select("_digest", F.struct("_id", "_at").alias("_who")))
         state = records.groupBy("_digest").agg(F.max("_who").alias("_keep"), F.count(F.lit(1)).alias("_n"))
 
         def write(batch: DataFrame, epoch: int) -> None:
@@ -72,59 +74,73 @@ def _keyed_state(landed: DataFrame, path: str, where: str) -> DataFrame:
             .groupBy("_digest").agg(F.max("_keep").alias("_keep"), F.max("_n").alias("_n")))
 
 
+def _located(docs: DataFrame, id_col: str, text_col: str, digest: Callable[[Column], Column]) -> DataFrame:
+    """(_digest, _id, _at, _doc): ``_at`` is the file and the row of each
+    content. Rows that come from no file are written to one first; so must be,
+    by the caller, rows of which several come from one row of a file."""
+    def read(rows: DataFrame) -> DataFrame:
+        return rows.select(digest(F.coalesce(F.col(text_col), F.lit(""))).alias("_digest"),
+                           F.col(id_col).alias("_id"),  # in a struct a null id orders below every other
+                           F.struct(F.col("_metadata.file_path").alias("file"),
+                                    F.col("_metadata.row_index").alias("row")).alias("_at"),
+                           boxed(docs))
+
+    try:
+        return read(docs)
+    except AnalysisException:
+        return read(stored(docs, "documents"))
+
+
 def _decide(docs: DataFrame, id_col: str, text_col: str, digest: Callable[[Column], Column]):
-    """(landed rows, state, clash, mixed): the state holds for digests outside
+    """(rows, state, clash, mixed): the state holds for digests outside
     ``clash``; ``mixed`` has the rows of the others, grouped by their bytes."""
-    spark = docs.sparkSession
-    where = shared_path(spark, "exact-dedup")
+    where = shared_path(docs.sparkSession, "exact-dedup")
+    all_rows = _located(docs, id_col, text_col, digest)
     landing = f"{where}/landing"
-    docs.select(digest(F.coalesce(F.col(text_col), F.lit(""))).alias("_digest"),
-                F.col(id_col).alias("_id"),  # in a struct a null id orders below every other
-                F.monotonically_increasing_id().alias("_row"),
-                boxed(docs)).write.parquet(landing)
-    landed = spark.read.parquet(landing)
+    all_rows.select("_digest", "_id", "_at").write.parquet(landing)
+    landed = docs.sparkSession.read.parquet(landing)
     if landed.isEmpty():
-        state = landed.groupBy("_digest").agg(F.max(F.struct("_id", "_row")).alias("_keep"), F.count(F.lit(1)).alias("_n"))
+        state = landed.groupBy("_digest").agg(F.max(F.struct("_id", "_at")).alias("_keep"), F.count(F.lit(1)).alias("_n"))
     else:
         state = _keyed_state(landed, landing, where)
 
     # Full bytes: only rows of repeated digests carry their text on.
     body = F.coalesce(F.col("_doc").getField(text_col), F.lit(""))
-    rows = stored(landed.select("_digest", "_id", "_row", body.alias("_bytes"))
-                  .join(state.where("_n > 1").select("_digest", F.col("_keep._row").alias("_keep_row")), on="_digest"),
+    rows = stored(all_rows.select("_digest", "_id", "_at", body.alias("_bytes"))
+                  .join(state.where("_n > 1").select("_digest", F.col("_keep._at").alias("_keep_at")), on="_digest"),
                   "repeated")
-    kept = rows.where("_row = _keep_row").select("_digest", F.col("_bytes").alias("_kept_bytes"))
-    clash = (rows.where("_row <> _keep_row").join(kept, on="_digest")
+    kept = rows.where("_at = _keep_at").select("_digest", F.col("_bytes").alias("_kept_bytes"))
+    clash = (rows.where("_at <> _keep_at").join(kept, on="_digest")
              .where("_bytes <> _kept_bytes").select("_digest").distinct())
     same = Window.partitionBy("_digest", "_bytes")
     mixed = (rows.join(clash, on="_digest", how="left_semi")
-             .select("_row", F.max(F.struct("_id", "_row")).over(same).alias("_keep"),
+             .select("_at", F.max(F.struct("_id", "_at")).over(same).alias("_keep"),
                      F.count(F.lit(1)).over(same).alias("_n")))
-    return landed, state, clash, mixed
+    return all_rows, state, clash, mixed
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 digest: Callable[[Column], Column] = sha256) -> DataFrame:
     """All rows and columns of ``docs`` plus ``_digest``, ``_keep_id``,
     ``_group_size`` and ``_kept`` (true for the row that stays)."""
-    landed, state, clash, mixed = _decide(docs, id_col, text_col, digest)
-    plain = landed.join(state.join(clash, on="_digest", how="left_anti"), on="_digest")
-    rows = plain.unionByName(landed.join(mixed, on="_row"))
+    all_rows, state, clash, mixed = _decide(docs, id_col, text_col, digest)
+    plain = all_rows.join(state.join(clash, on="_digest", how="left_anti"), on="_digest")
+    rows = plain.unionByName(all_rows.join(mixed, on="_at"))
     return unboxed(rows, docs, {
         "_digest": F.col("_digest"), "_keep_id": F.col("_keep._id"),
-        "_group_size": F.col("_n"), "_kept": F.col("_keep._row") == F.col("_row")})
+        "_group_size": F.col("_n"), "_kept": F.col("_keep._at") == F.col("_at")})
 
 
 def kept_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
               digest: Callable[[Column], Column] = sha256) -> DataFrame:
     """The rows of ``docs`` that stay: those that go are found without their
     texts and left out."""
-    landed, state, clash, mixed = _decide(docs, id_col, text_col, digest)
-    plain = (landed.select("_digest", "_row")
+    all_rows, state, clash, mixed = _decide(docs, id_col, text_col, digest)
+    plain = (all_rows.select("_digest", "_at")
              .join(state.where("_n > 1").join(clash, on="_digest", how="left_anti"), on="_digest"))
-    gone = (plain.select("_row", "_keep").unionByName(mixed.select("_row", "_keep"))
-            .where("_row <> _keep._row").select("_row"))
-    return unboxed(landed.join(gone, on="_row", how="left_anti"), docs, {})
+    gone = (plain.select("_at", "_keep").unionByName(mixed.select("_at", "_keep"))
+            .where("_at <> _keep._at").select("_at"))
+    return unboxed(all_rows.join(gone, on="_at", how="left_anti"), docs, {})
 
 
 def query(spark, sf_dir):
