@@ -44,10 +44,11 @@ def byte_alphabet() -> dict[int, str]:
 
 
 class ChunkEncoder(dict):
-    """chunk -> ids as little-endian unsigned 32-bit bytes, filled as chunks are asked for."""
+    """chunk -> ids as little-endian unsigned bytes of ``width`` each, filled as chunks are asked for."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, width: int = 4):
         super().__init__()
+        self.code, self.dtype = {2: "H", 4: "I"}[width], f"<u{width}"
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -65,7 +66,7 @@ class ChunkEncoder(dict):
 
     def whole(self, text: str) -> bytes:
         ids = self.tok.encode(text, add_special_tokens=False).ids
-        return np.asarray(ids, dtype="<u4").tobytes()
+        return np.asarray(ids, dtype=self.dtype).tobytes()
 
     def __missing__(self, chunk: str) -> bytes:
         ids = self.old[0].get(chunk)
@@ -86,7 +87,7 @@ class ChunkEncoder(dict):
         ids = self.letters.get(word) or self.old[1].get(word)
         if ids is None:
             found = self.model.tokenize(word.translate(self.shown))
-            ids = self.letters[word] = array("I", [t.id for t in found]).tobytes()
+            ids = self.letters[word] = array(self.code, [t.id for t in found]).tobytes()
         if m[2]:
             marks = self.marks.get(m[2])
             if marks is None:
@@ -114,14 +115,21 @@ class ChunkEncoder(dict):
         return [self.ids(t) for t in texts]
 
 
-_ENCODERS: dict[str, ChunkEncoder] = {}
+_ENCODERS: dict[tuple[str, int], ChunkEncoder] = {}
 
 
-def encoder(path: str) -> ChunkEncoder:
+def encoder(path: str, width: int = 4) -> ChunkEncoder:
     """The worker's encoder for a vocabulary file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = ChunkEncoder(path)
-    return _ENCODERS[path]
+    if (path, width) not in _ENCODERS:
+        _ENCODERS[path, width] = ChunkEncoder(path, width)
+    return _ENCODERS[path, width]
+
+
+def id_width(path: str) -> int:
+    """Bytes that every id of a vocabulary file fits: 2 or 4."""
+    from tokenizers import Tokenizer
+
+    return 2 if Tokenizer.from_file(path).get_vocab_size() <= 1 << 16 else 4
 
 
 def vocabulary(name: str) -> str:

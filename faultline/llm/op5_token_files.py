@@ -26,7 +26,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from faultline.llm.encode import encoder, vocabulary
+from faultline.llm.encode import encoder, id_width, vocabulary
 from faultline.llm.util import id_bounds, id_range, n_parts, shared_path, table
 
 #: Ids in a block, from which a new one is begun.
@@ -112,18 +112,20 @@ def write_files(docs: DataFrame, vocab: str | None = None, end_id: int = 0, id_c
     spark = docs.sparkSession
     vocab = vocab or vocabulary("byte_bpe_50k.json")
     path = path or shared_path(spark, "token-files")
-    end = np.uint32(end_id).tobytes()
+    width = id_width(vocab)
+    end = np.array([end_id], dtype=f"<u{width}").tobytes()
     n = n_parts(spark)
 
     def encode(batches):
         import pyarrow as pa
 
-        enc = encoder(vocab)
-        for b in batches:
-            got = enc.batch(b.column("_text").to_pylist())
-            yield pa.RecordBatch.from_arrays([b.column("part"), b.column("doc_id"),
-                                              pa.array([x + end for x in got], pa.binary())],
-                                             names=["part", "doc_id", "ids"])
+        enc = encoder(vocab, width)
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1000):  # bounds the ids held at once
+                b = whole.slice(at, 1000)
+                got = [enc.ids(t) + end for t in b.column("_text").to_pylist()]
+                yield pa.RecordBatch.from_arrays([b.column("part"), b.column("doc_id"), pa.array(got, pa.binary())],
+                                                 names=["part", "doc_id", "ids"])
 
     def plain_blocks(batches):
         """Rows sorted by (part, id) to blocks of plain ids, with how often each id occurs."""
@@ -132,15 +134,15 @@ def write_files(docs: DataFrame, vocab: str | None = None, end_id: int = 0, id_c
         docs_, ids, size, part, block = [], [], 0, None, 0
 
         def flush():
-            flat = np.frombuffer(b"".join(ids), "<u4")
+            flat = np.frombuffer(b"".join(ids), f"<u{width}")
             found, count = np.unique(flat, return_counts=True)
             known = np.array([d is not None for d in docs_])
             return pa.RecordBatch.from_pylist([{
                 "part": part, "block": block, "n_ids": len(flat),
                 "docs": np.array([d or 0 for d in docs_], "<i8").tobytes(),
                 "known": np.packbits(known).tobytes(),
-                "lengths": np.array([len(x) // 4 for x in ids], "<i8").tobytes(),
-                "ids": flat.astype("<u2").tobytes() if flat.max() < 1 << 16 else flat.tobytes(),
+                "lengths": np.array([len(x) // width for x in ids], "<i8").tobytes(),
+                "ids": flat.tobytes(),
                 "found": found.tolist(), "count": count.tolist()}], schema=pa.schema([
                     ("part", pa.int32()), ("block", pa.int32()), ("n_ids", pa.int64()), ("docs", pa.binary()),
                     ("known", pa.binary()), ("lengths", pa.binary()), ("ids", pa.binary()),
@@ -154,7 +156,7 @@ def write_files(docs: DataFrame, vocab: str | None = None, end_id: int = 0, id_c
                 part = p
                 docs_.append(d)
                 ids.append(x)
-                size += len(x) // 4
+                size += len(x) // width
         if ids:
             yield flush()
 
@@ -182,8 +184,8 @@ def write_files(docs: DataFrame, vocab: str | None = None, end_id: int = 0, id_c
 
         for b in batches:
             coded = []
-            for raw, n_ids in zip(b.column("ids").to_pylist(), b.column("n_ids").to_pylist()):
-                coded.append(pack(rank[np.frombuffer(raw, "<u2" if len(raw) == 2 * n_ids else "<u4")]))
+            for raw in b.column("ids").to_pylist():
+                coded.append(pack(rank[np.frombuffer(raw, f"<u{width}")]))
             keep = ["part", "block", "n_ids", "docs", "known", "lengths"]
             yield pa.RecordBatch.from_arrays(
                 [*[b.column(c) for c in keep], pa.array([c for c, _ in coded], pa.binary()),

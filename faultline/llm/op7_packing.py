@@ -44,11 +44,11 @@ def token_pieces(docs: DataFrame, vocab: str, size: int = 2048, end_id: int = 0,
         enc = encoder(vocab)
         for b in batches:
             rows = [[], [], [], [], [], []]
-            for doc, ids in zip(b.column(0).to_pylist(), enc.batch(b.column(1).to_pylist())):
-                ids += end
+            for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                ids = enc.ids(text) + end
                 for k, at in enumerate(range(0, len(ids), 4 * size)):
                     part = ids[at:at + 4 * size]
-                    for col, v in zip(rows, (doc, k, at // 4, len(part) // 4, zlib.crc32(part), part)):
+                    for col, v in zip(rows, (doc, k, at // 4, len(part) // 4, zlib.crc32(part), part if with_ids else None)):
                         col.append(v)
             cols = [pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int32()),
                     *[pa.array(r, pa.int64()) for r in rows[2:5]]]
