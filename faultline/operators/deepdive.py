@@ -13,10 +13,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from faultline.config import LogSchema, Params
-from faultline.functions import clip_upper
+from faultline.functions import clip_upper, pct
 from faultline.operators.clean import is_material
 from faultline.operators.relational import (
-    attach_names, count_via_lookup, dense_grid, events_and_invoices, group_count, nonnull,
+    attach_names, count_via_lookup, events_and_invoices, grid_of_cells, group_count, nonnull,
     per_document_counts, semi, top_k, with_share,
 )
 
@@ -156,13 +156,17 @@ def segment_profile_single_pass(f: DataFrame, s: LogSchema, p: Params, channel:
     return _summed(rows if passed else rows.where(is_material(s, p)), s)
 
 
-def monthly_category_grid(ev: DataFrame, s: LogSchema, partial) -> DataFrame:
-    """Dense month x category grid of one exception's events, 0-filled.
-    Axes are the distinct months and categories (bounded dimensions)."""
-    cells = by_month_category(ev, s, partial)
-    months = nonnull(ev.select(s.month), [s.month]).distinct()
-    if partial is not None:
-        months = months.where(F.col(s.month) != partial)
-    cats = nonnull(ev, [s.category]).select(F.array_sort(F.collect_set(s.category))).scalar()
-    return dense_grid(months, s.month, cats, s.category, cells, {"Events": 0})
-
+def monthly_category_grid(f: DataFrame, s: LogSchema, p: Params, exc_id: int) -> DataFrame:
+    """Dense month x category grid of one exception: its events
+    (0-filled) and their share of all events of the cell (null where there
+    are none). Axes are the months, but for the partial one, and the
+    categories that the exception has; all from one aggregate of the log."""
+    hit = F.col(s.exc_id) == exc_id
+    cells = f.groupBy(s.month, s.category).agg(F.count_if(hit).alias("Events"), F.count(F.lit(1)).alias("_all"))
+    cells = cells.withColumn("_last", F.max(s.month).over(Window.partitionBy()))  # months x categories rows
+    grid = grid_of_cells(cells, s.month, s.category, keep=F.col("Events") > 0)
+    last = F.max("_last").over(Window.partitionBy()) if p.partial_month == "latest" else F.lit(p.partial_month)
+    if p.partial_month is not None:
+        grid = grid.withColumn("_partial", last).where(F.col(s.month) != F.col("_partial")).drop("_partial")
+    return grid.select(s.month, s.category, F.coalesce("Events", F.lit(0)).cast("long").alias("Events"),
+                       pct("Events", "_all", 1).alias("Share_Pct"))

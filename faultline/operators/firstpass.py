@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from faultline.config import LogSchema, Params
@@ -122,6 +122,30 @@ def channel_monthly(u: DataFrame, f: DataFrame, s: LogSchema, p: Params, channel
     return drop_partial_month(g, s, resolve_partial_month(f, s, p))
 
 
+def channel_monthly_single_pass(f: DataFrame, s: LogSchema, p: Params, channel: str, digits: int = 1) -> DataFrame:
+    """G28 when the material log is the full log minus the immaterial ids: one
+    aggregate per (document, channel, category) has the flag, the earliest
+    event and the last month; windows spread the first two over the document,
+    and the last month of the log is the greatest of the small result."""
+    first = F.struct(F.col(s.created_ts), *[F.col(c) for c in s.order_cols], F.col(s.month).alias("_m"))
+    pre = f.groupBy(s.doc, s.channel, s.category).agg(
+        F.max(is_material(s, p).cast("int")).alias("_mat"), F.min(first).alias("_first"),
+        F.max(s.month).alias("_last"))
+    w = Window.partitionBy(s.doc)
+    inside = F.col(s.doc).isNotNull() & (F.col(s.channel) == channel) & F.col(s.category).isNotNull()
+    rows = pre.select(F.min("_first").over(w)["_m"].alias(s.month), s.category, "_last",
+                      (F.max("_mat").over(w) == 0).alias("_fp"), F.coalesce(inside, F.lit(False)).alias("_in"))
+    g = rows.groupBy(s.month, s.category, "_in").agg(
+        F.count(F.lit(1)).alias("Total"), F.count_if("_fp").alias("FP_Count"), F.max("_last").alias("_last"))
+    # At most months x categories x 2 rows.
+    last = F.max("_last").over(Window.partitionBy())
+    g = g.withColumn("_partial", last if p.partial_month == "latest" else F.lit(p.partial_month).cast("string"))
+    g = g.where(F.col("_in") & F.col(s.month).isNotNull())
+    if p.partial_month is not None:
+        g = g.where(F.col(s.month) != F.col("_partial"))
+    return g.drop("_in", "_last", "_partial").withColumn("FP_Rate", pct("FP_Count", "Total", digits))
+
+
 def segment_scalars(u: DataFrame, s: LogSchema, channel: str, category: str,
                     digits: int = 1) -> DataFrame:
     """Total, first-pass count and rate of one channel x category."""

@@ -110,15 +110,24 @@ def first_by_order(df: DataFrame, key: str, value: str, order: Sequence[str],
     )
 
 
-def dense_grid(xs: DataFrame, x: str, series_values: Column, series: str,
-               cells: DataFrame, fill: dict) -> DataFrame:
-    """Every (x, series) pair with the cell value or a fill.
-
-    ``series_values`` is an array column holding the distinct series values
-    (for example a scalar subquery over ``collect_set``, bounded by the
-    dimension's domain). Each x row is expanded with ``explode`` over that
-    array, so the grid is built without a cross join, and its size is
-    |x| * |series values|.
-    """
-    grid = xs.select(F.col(x), F.explode(series_values).alias(series))
-    return grid.join(cells, on=[x, series], how="left").na.fill(fill)
+def grid_of_cells(cells: DataFrame, x: str, series: str, keep: Column | None = None) -> DataFrame:
+    """Every (x, series) pair of the cells' own values with its cell, or nulls
+    (G37). ``keep`` says which cells set the axes. The cells are one aggregate
+    over two dimensions, so one row holds them all, and both axes come from it
+    without another pass or a join."""
+    measures = [c for c in cells.columns if c not in (x, series)]
+    one = cells.withColumn("_axis", F.coalesce(keep, F.lit(False)) if keep is not None else F.lit(True)).agg(
+        F.collect_list(F.struct(F.col(x).alias("x"), F.col(series).alias("s"),
+                                F.struct(*measures).alias("v"), "_axis")).alias("_all"))
+    axis = F.filter("_all", lambda c: c["_axis"])
+    found = F.map_from_entries(F.transform(
+        F.filter("_all", lambda c: c["x"].isNotNull() & c["s"].isNotNull()),
+        lambda c: F.struct(F.struct(c["x"].alias("x"), c["s"].alias("s")), c["v"])))
+
+    def values(field: str) -> Column:
+        return F.array_distinct(F.transform(F.filter(axis, lambda c: c[field].isNotNull()), lambda c: c[field]))
+
+    return (one.select(found.alias("_f"), values("x").alias("_x"), values("s").alias("_s"))
+            .select("_f", F.explode("_x").alias(x), "_s").select("_f", x, F.explode("_s").alias(series))
+            .select(x, series, F.try_element_at("_f", F.struct(F.col(x).alias("x"), F.col(series).alias("s"))).alias("_v"))
+            .select(x, series, *[F.col("_v").getField(m).alias(m) for m in measures]))

@@ -189,9 +189,20 @@ SELECT mo."Month", ca."PO category decription", coalesce(ce."Events", 0) AS "Eve
 FROM mo CROSS JOIN ca LEFT JOIN ce ON mo."Month" = ce."Month" AND ca."PO category decription" = ce."PO category decription"
 """)
 def g37(ctx):
-    s = ctx.s
-    f = ctx.f(("category",))
-    return DD.monthly_category_grid(DD.events_of(f, s, 91), s, resolve_partial_month(ctx.f(()), s, ctx.p))
+    return DD.monthly_category_grid(ctx.f(("category",)), ctx.s, ctx.p, 91).drop("Share_Pct")
+
+
+@query("g37b_null_filled_rate_grid", sql="""
+, ev AS (SELECT * FROM f WHERE "Exception ID" = 91),
+mo AS (SELECT DISTINCT "Month" FROM ev WHERE "Month" IS NOT NULL AND "Month" <> (SELECT pm FROM pm)),
+ca AS (SELECT DISTINCT "PO category decription" FROM ev WHERE "PO category decription" IS NOT NULL),
+ce AS (SELECT "Month", "PO category decription", count(*) AS n, count(*) FILTER (WHERE "Exception ID" = 91) AS e
+       FROM f WHERE "Month" IS NOT NULL AND "PO category decription" IS NOT NULL GROUP BY 1, 2)
+SELECT mo."Month", ca."PO category decription", round_even(CAST(ce.e AS DOUBLE) / ce.n * 100, 1) AS "Share_Pct"
+FROM mo CROSS JOIN ca LEFT JOIN ce ON mo."Month" = ce."Month" AND ca."PO category decription" = ce."PO category decription"
+""")
+def g37b(ctx):
+    return DD.monthly_category_grid(ctx.f(("category",)), ctx.s, ctx.p, 91).drop("Events")
 
 
 @query("j03_semi_join", sql="""

@@ -130,7 +130,7 @@ SELECT "Month", "PO category decription", "Total", "FP_Count",
 FROM g WHERE "Month" IS NOT NULL AND "Month" <> (SELECT pm FROM pm)
 """)
 def g28(ctx):
-    return FP.channel_monthly(ctx.u, ctx.f(()), ctx.s, ctx.p, SEG_CHANNEL)
+    return FP.channel_monthly_single_pass(ctx.f(("channel", "category")), ctx.s, ctx.p, SEG_CHANNEL)
 
 
 @query("g29_segment_scalars", sql=f"""

@@ -7,7 +7,7 @@ import pytest
 import __spark_entry__ as E
 
 SF = "/root/testdata/sf0.001"
-QUERIES = E.queries()
+QUERIES = {n: q for n, q in E.queries().items() if not n.startswith("op") and n != "pipeline"}
 
 
 def _plan(df):
@@ -35,7 +35,7 @@ def test_topk_is_take_ordered(spark):
 
 def test_running_sum_does_not_depend_on_exchange_reuse(spark):
     """Ranks and running sums are the same whether or not the session reuses
-    exchanges (the range-split path numbers rows from a checkpointed copy)."""
+    exchanges."""
     import duckdb
 
     con = duckdb.connect()
@@ -90,3 +90,21 @@ def test_universe_needs_no_exchange_after_the_log_join(spark):
             spark.conf.set(k, v)
     hashed = [ln.strip() for ln in p.splitlines() if "Exchange hashpartitioning" in ln]
     assert not any("Document Id" in ln for ln in hashed), hashed
+
+
+ONE_PASS = ["g17_monthly_trend", "g22_dive151_cooccurring", "g25_vendor_exception_detail", "g26_failed_segment_profile",
+            "g27_passed_segment_profile", "g28_channel_monthly_by_category", "g30_exception_totals",
+            "g37_dense_month_category_grid", "g38_top_ids_over_vendor_set", "j02_left_join_fill", "j03_semi_join",
+            "p17_null_fill", "a02_list_length"]
+
+
+def test_one_pass_over_the_line_items(spark):
+    """As at scale, without broadcasts: each of these reads line items once."""
+    old = _no_broadcast(spark)
+    try:
+        scans = {n: sum("FileScan" in ln and "l_orderkey" in ln
+                        for ln in _plan(QUERIES[n](spark, SF)).splitlines()) for n in ONE_PASS}
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert scans == {n: 1 for n in ONE_PASS}
