@@ -29,7 +29,7 @@ import numpy as np
 
 #: Chunks kept per Python worker, in a new and an old half: a full new half
 #: becomes the old one, and what is asked for again moves back.
-CACHE_CHUNKS = 400_000
+CACHE_CHUNKS = 160_000
 #: Letters that Unicode normal form C leaves alone and that lower-case one to one.
 PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:]*)")
 BREAK = "\0"

@@ -30,10 +30,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from faultline.llm.encode import CACHE_CHUNKS, byte_alphabet, vocabulary
+from faultline.llm.encode import byte_alphabet, vocabulary
 from faultline.llm.util import boxed, table, unboxed
 
 ARRAY_MAX = 64
+#: Chunks kept per Python worker; the cache starts anew when it is full.
+CACHE_CHUNKS = 400_000
 NONE = np.iinfo(np.int64).max
 
 
