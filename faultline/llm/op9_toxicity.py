@@ -164,7 +164,8 @@ def train(texts: list[np.ndarray], y: np.ndarray, l1: float = 1e-2, seed: int =
     weight = np.full(len(t), 1 / len(t))
 
     # Weights: a strong pull chooses the terms, a weak one then fits them.
-    w, w0 = _weights(r, t, weight, len(keys), l1)
+    # In a small sample no term with less than about three texts' evidence is chosen.
+    w, w0 = _weights(r, t, weight, len(keys), max(l1, 2.5 / len(t)))
     chosen = np.flatnonzero(w)
     keys = keys[chosen]
     rows = [lookup(keys, x) for x in texts]
@@ -175,16 +176,16 @@ def train(texts: list[np.ndarray], y: np.ndarray, l1: float = 1e-2, seed: int =
     # Factors on top of the weights' logits.
     model = Model(w0, keys, np.append(w, 0.0), np.zeros((k + 1, FACTORS)))
     held = [x for x, c in zip(rows, check) if c]
-    base, v, sq = w0 + r.by_text(w[r.idx]), rng.normal(0, 0.05, (k, FACTORS)), np.full((k, FACTORS), 1e-6)
+    base, v, sq = w0 + r.by_text(w[r.idx]), rng.normal(0, 0.1, (k, FACTORS)), np.full((k, FACTORS), 1e-6)
     best = None
-    for _ in range(30):
+    for _ in range(200):
         vi = v[r.idx]
         s, q = r.by_text(vi), r.by_text(vi * vi)
         g = weight * (_sigmoid(base + 0.5 * (s * s - q).sum(axis=1) / r.size) - t) / r.size
         pair = g[r.who][:, None] * (s[r.who] - vi)
         dv = np.stack([np.bincount(r.idx, pair[:, f], k) for f in range(FACTORS)], axis=1) + 1e-5 * v
         sq += dv * dv
-        v -= 0.02 * dv / np.sqrt(sq)
+        v -= 0.1 * dv / np.sqrt(sq)
         if held:
             model.v[:-1] = v
             p = _sigmoid(model.logits(held))

@@ -120,18 +120,17 @@ def test_license_query_is_the_brute_force_scan(spark):
 # -- op9
 
 def test_pairs_are_learnt():
-    """Neither word alone is toxic; the two together are: linear weights cannot tell."""
+    """Insults 1 and 2, groups 3 and 4: toxic are 1 with 3 and 2 with 4, not 1
+    with 4 or 2 with 3. No sum of weights tells these apart."""
     rng = np.random.default_rng(4)
-    texts, y = [], []
-    for _ in range(800):
-        a, b = rng.integers(0, 2, 2)
-        texts.append(np.array(sorted({*rng.integers(10, 60, 8).tolist(), *([1] if a else []), *([2] if b else [])})))
-        y.append(float(a and b))
+    kinds, texts, y = [([1, 3], 1), ([2, 4], 1), ([1, 4], 0), ([2, 3], 0), *[([], 0)] * 4], [], []
+    for _ in range(1600):
+        own, toxic = kinds[rng.integers(len(kinds))]
+        texts.append(np.array(sorted({*rng.integers(10, 400, 8).tolist(), *own})))
+        y.append(float(toxic))
     m = op9_toxicity.train(texts, np.array(y))
-    assert np.abs(m.v).max() > 0
-    rows = [op9_toxicity.lookup(m.keys, t) for t in ([1, 2], [1], [2], [])]
-    p = 1 / (1 + np.exp(-m.logits([np.array(r, dtype=int) for r in rows])))
-    assert p[0] >= 0.7 and (p[1:] < 0.7).all()
+    z = m.logits([op9_toxicity.lookup(m.keys, np.array(k, dtype=np.int64)) for k, _ in kinds])
+    assert min(z[:2]) > np.log(0.7 / 0.3) > max(z[2:])
 
 
 def test_toxicity_held_out(spark):
@@ -204,7 +203,7 @@ def test_pipeline_stages(spark):
         assert now.columns == cols and [f.dataType for f in now.schema] == [f.dataType for f in docs.schema]
         kept.append(now)
     texts = [{r["doc_id"]: r["text"] for r in d.select("doc_id", "text").collect()} for d in kept]
-    assert set(texts[1]) < set(texts[0]) and len(texts[1]) > 0.9 * len(texts[0]) - 5
+    assert set(texts[1]) < set(texts[0]) and len(texts[1]) >= 0.9 * len(texts[0])
     last = {}
     for i in sorted(texts[1]):
         last[texts[1][i] or ""] = i
