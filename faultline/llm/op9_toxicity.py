@@ -3,7 +3,8 @@
 score = sigmoid(w0 + sum w_i x_i + sum_{i<j} <v_i, v_j> x_i x_j / n), x_i = 1
 if the text has term i, n the number of its terms. Terms are lower-cased runs of word characters, hashed
 to 62 bits. The pair part learns what a sum of weights cannot, such as an
-insult together with the mention of a group.
+insult together with the mention of a group. All terms of the model have
+factors, whether or not they have a weight.
 
 Fitted on a bounded sample of labelled rows (the ``MAX_ROWS`` first by a hash
 of the id, of those whose crc32(id as text) mod 3 is not 1), over at most ``MAX_TERMS`` terms (the most frequent that are
@@ -29,8 +30,12 @@ from pyspark.sql import types as T
 from faultline.llm.util import boxed, table, unboxed
 
 MAX_ROWS = 16_000
-MAX_TERMS = 32_768
+MAX_TERMS = 262_144
 FACTORS = 4
+#: Standard errors that a term's toxic texts must exceed, tried in turn.
+PULLS = (4, 3, 2)
+#: Texts in a batch of the factors, and batches taken (200 rounds at most).
+BATCH, STEPS = 256, 2_000
 THRESHOLD = 0.7
 WORD = re.compile(r"\w+")
 
@@ -107,14 +112,28 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 class _Rows:
     """Texts as flat arrays of model terms, for sums over each text and each term."""
 
-    def __init__(self, rows: list[np.ndarray]):
-        sizes = np.array([len(r) for r in rows])
-        self.n, self.have = len(rows), np.flatnonzero(sizes)
+    def __init__(self, idx: np.ndarray, who: np.ndarray, n: int):
+        sizes = np.bincount(who, minlength=n)
+        self.n, self.have = n, np.flatnonzero(sizes)
         self.at = np.concatenate([[0], np.cumsum(sizes[self.have])[:-1]]).astype(np.int64)
-        self.idx = np.concatenate([*rows, np.zeros(0, np.int64)]).astype(np.int64)
-        self.who = np.repeat(np.arange(len(rows)), sizes)
+        self.idx, self.who = idx, who
         self.size = np.maximum(sizes, 1)
 
+    @classmethod
+    def of(cls, rows: list[np.ndarray]) -> _Rows:
+        sizes = np.array([len(r) for r in rows], dtype=np.int64)
+        return cls(np.concatenate([*rows, np.zeros(0, np.int32)]).astype(np.int32),
+                   np.repeat(np.arange(len(rows), dtype=np.int32), sizes), len(rows))
+
+    def only(self, terms: np.ndarray) -> _Rows:
+        """The texts with these terms alone (a mask), numbered anew."""
+        kept, number = terms[self.idx], np.cumsum(terms, dtype=np.int32) - 1
+        return _Rows(number[self.idx[kept]], self.who[kept], self.n)
+
+    def part(self, first: int, last: int) -> _Rows:
+        a, b = np.searchsorted(self.who, [first, last])
+        return _Rows(self.idx[a:b], self.who[a:b] - first, last - first)
+
     def by_text(self, x: np.ndarray) -> np.ndarray:
         out = np.zeros((self.n, *x.shape[1:]))
         if len(self.have):
@@ -126,12 +145,19 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def _weights(r: _Rows, t: np.ndarray, weight: np.ndarray, k: int, l1: float) -> tuple[np.ndarray, float]:
-    """Logistic regression with an L1 pull: accelerated proximal gradient,
-    steps from the bound that a term's curvature has."""
+def _loss(z: np.ndarray, t: np.ndarray) -> float:
+    return float(np.mean(np.logaddexp(0, np.where(t == 1, -z, z))))
+
+
+def _weights(r: _Rows, t: np.ndarray, k: int, l1: np.ndarray) -> tuple[np.ndarray, float]:
+    """Logistic regression with an L1 pull for each term: accelerated proximal
+    gradient, steps from the bound that a term's curvature has."""
+    weight = np.full(len(t), 1 / len(t))
     curve = 0.25 * np.bincount(r.idx, (weight * (r.size + 1))[r.who], k) + 1e-9
     curve0 = 0.25 * (weight * (r.size + 1)).sum()
-    w, w0, m, m0, pace = np.zeros(k), 0.0, np.zeros(k), 0.0, 1.0
+    share = min(max(t.mean(), 1e-6), 1 - 1e-6)
+    w, w0 = np.zeros(k), float(np.log(share / (1 - share)))
+    m, m0, pace = w, w0, 1.0
     for _ in range(300):
         g = weight * (_sigmoid(m0 + r.by_text(m[r.idx])) - t)
         step = m - np.bincount(r.idx, g[r.who], k) / curve
@@ -143,65 +169,100 @@ def _weights(r: _Rows, t: np.ndarray, weight: np.ndarray, k: int, l1: float) ->
     return w, w0
 
 
-def train(texts: list[np.ndarray], y: np.ndarray, l1: float = 1e-2, seed: int = 9) -> Model:
-    """First the weights (logistic loss, L1 so that
-    terms of little evidence get none; accelerated proximal gradient), then the
-    factors on what the weights leave (Adagrad, stopped on a fifth of the
-    texts), then the threshold, on the same fifth."""
+def _chosen(r: _Rows, t: np.ndarray, k: int, l1: np.ndarray) -> np.ndarray:
+    """Mask of the terms that the pull leaves a weight. Terms come in as their
+    gradient exceeds the pull, until none does, so the others need no steps."""
+    inside, w, w0 = np.zeros(k, bool), np.zeros(k), 0.0
+    for turn in range(10):
+        if turn:
+            w[inside], w0 = _weights(r.only(inside), t, int(inside.sum()), l1[inside])
+        else:
+            w0 = float(np.log(t.mean() / (1 - t.mean()))) if 0 < t.mean() < 1 else 30.0
+        g = (_sigmoid(w0 + r.by_text(w[r.idx])) - t) / len(t)
+        more = (np.abs(np.bincount(r.idx, g[r.who], k)) > 1.01 * l1) & ~inside
+        if not more.any():
+            break
+        inside |= more
+    return w != 0
+
+
+def _factors(r: _Rows, t: np.ndarray, base: np.ndarray, held: _Rows, truth: np.ndarray, held_base: np.ndarray,
+             k: int, rng) -> tuple[np.ndarray, float]:
+    """Factors of all k terms on top of the weights' logits (Adagrad in
+    batches) and their loss on the held texts; zeros where none lowers it."""
+    parts = []
+    for a in range(0, r.n, BATCH):
+        p = r.part(a, min(a + BATCH, r.n))
+        terms, p.idx = np.unique(p.idx, return_inverse=True)
+        parts.append((p, terms, t[a:a + BATCH], base[a:a + BATCH]))
+    v, sq = rng.normal(0, 0.1, (k, FACTORS)), np.full((k, FACTORS), 1e-6)
+    best = np.zeros((k, FACTORS)), _loss(held_base, truth)
+    for _ in range(min(200, -(-STEPS // len(parts)))):
+        for i in rng.permutation(len(parts)):
+            p, terms, y, z = parts[i]
+            own = v[terms]
+            vi = own[p.idx]
+            s, q = p.by_text(vi), p.by_text(vi * vi)
+            g = (_sigmoid(z + 0.5 * (s * s - q).sum(axis=1) / p.size) - y) / p.size / p.n
+            pair = g[p.who][:, None] * (s[p.who] - vi)
+            dv = np.stack([np.bincount(p.idx, pair[:, f], len(terms)) for f in range(FACTORS)], axis=1) + 1e-5 * own
+            sq[terms] += dv * dv
+            v[terms] = own - 0.1 * dv / np.sqrt(sq[terms])
+        vi = v[held.idx]
+        s, q = held.by_text(vi), held.by_text(vi * vi)
+        loss = _loss(held_base + 0.5 * (s * s - q).sum(axis=1) / held.size, truth)
+        if loss < best[1]:
+            best = v.copy(), loss
+    return best
+
+
+def train(texts: list[np.ndarray], y: np.ndarray, seed: int = 9) -> Model:
+    """First the weights (logistic loss; an L1 pull of so many standard errors
+    of a term's toxic texts, so it shrinks as rows are added), then the factors
+    of all terms on what the weights leave, then the threshold. A fifth of the
+    texts decides on the pull, the factors and the threshold."""
     if not len(y) or not y.any():
         return Model(-30.0, np.zeros(0, np.int64), np.zeros(1), np.zeros((1, FACTORS)))
     keys, df = np.unique(np.concatenate(texts), return_counts=True)
     top = np.lexsort((keys, -df))[:MAX_TERMS]
     keys = np.sort(keys[top[df[top] >= 2]])
+    k = len(keys)
     rows = [lookup(keys, t) for t in texts]
     rng = np.random.default_rng(seed)
     check = np.zeros(len(y), bool)
     for c in (0, 1):  # a fifth of each class, if it has as many
         of = rng.permutation(np.flatnonzero(y == c))
         check[of[:len(of) // 5]] = True
-    fit_on = ~check
-    r, t = _Rows([x for x, f in zip(rows, fit_on) if f]), y[fit_on]
-    weight = np.full(len(t), 1 / len(t))
+    mixed = rng.permutation(np.flatnonzero(~check))
+    r, t = _Rows.of([rows[i] for i in mixed]), y[mixed]
+    held = [x for x, c in zip(rows, check) if c] or rows
+    truth = y[check] if check.any() else y
+    h = _Rows.of(held)
 
     # Weights: a strong pull chooses the terms, a weak one then fits them.
-    # In a small sample no term with less than about three texts' evidence is chosen.
-    w, w0 = _weights(r, t, weight, len(keys), max(l1, 2.5 / len(t)))
-    chosen = np.flatnonzero(w)
-    keys = keys[chosen]
-    rows = [lookup(keys, x) for x in texts]
-    r = _Rows([x for x, f in zip(rows, fit_on) if f])
-    k = len(keys)
-    w, w0 = _weights(r, t, weight, k, l1 / 100)
-
-    # Factors on top of the weights' logits.
-    model = Model(w0, keys, np.append(w, 0.0), np.zeros((k + 1, FACTORS)))
-    held = [x for x, c in zip(rows, check) if c]
-    base, v, sq = w0 + r.by_text(w[r.idx]), rng.normal(0, 0.1, (k, FACTORS)), np.full((k, FACTORS), 1e-6)
+    # No term with less than about three texts' evidence is chosen.
+    error = np.sqrt(np.bincount(r.idx, minlength=k) * t.mean() * (1 - t.mean()))
     best = None
-    for _ in range(200):
-        vi = v[r.idx]
-        s, q = r.by_text(vi), r.by_text(vi * vi)
-        g = weight * (_sigmoid(base + 0.5 * (s * s - q).sum(axis=1) / r.size) - t) / r.size
-        pair = g[r.who][:, None] * (s[r.who] - vi)
-        dv = np.stack([np.bincount(r.idx, pair[:, f], k) for f in range(FACTORS)], axis=1) + 1e-5 * v
-        sq += dv * dv
-        v -= 0.1 * dv / np.sqrt(sq)
-        if held:
-            model.v[:-1] = v
-            p = _sigmoid(model.logits(held))
-            loss = -np.mean(np.log(np.where(y[check] == 1, p, 1 - p) + 1e-9))
-            if best is None or loss < best[0]:
-                best = (loss, v.copy())
-    model.v[:-1] = best[1] if best else v
-
-    # Threshold: most hits less three times the false alarms, in the middle of the range that gives it.
-    some = held if held and y[check].any() else rows
-    truth = y[check] if some is held else y
-    z = model.logits(some)
-    order = np.argsort(-z)
-    gain = np.concatenate([[0], np.cumsum(np.where(truth[order] == 1, 1, -3))])
+    for c in PULLS:
+        l1 = np.maximum(c * error, 2.5) / len(t)
+        chosen, w = _chosen(r, t, k, l1), np.zeros(k)
+        w[chosen], w0 = _weights(r.only(chosen), t, int(chosen.sum()), l1[chosen] / 10)
+        loss = _loss(w0 + h.by_text(w[h.idx]), truth)
+        if best is None or loss < best[0]:
+            best = loss, w, w0
+    _, w, w0 = best
+    model = Model(w0, keys, np.append(w, 0.0), np.zeros((k + 1, FACTORS)))
+    if k:
+        base, held_base = w0 + r.by_text(w[r.idx]), w0 + h.by_text(w[h.idx])
+        model.v[:-1], _ = _factors(r, t, base, h, truth, held_base, k, rng)
+
+    # Threshold: most hits less three times the false alarms on the fifth, then on all rows.
+    z = model.logits(rows)
+    order = np.argsort(-z, kind="stable")
+    step = np.where(y[order] == 1, 1, -3)
     z = np.concatenate([[z.max() + 1], z[order], [z.min() - 1]])
-    gain[:-1][z[1:-1] == z[:-2]] = -len(truth) * 3  # no cut between equal scores
+    gain = np.concatenate([[0], np.cumsum(step * check[order] * (8 * len(y)) + step)])
+    gain[1:-1][z[1:-2] == z[2:-1]] = gain.min() - 1  # no cut between equal scores
     at = np.flatnonzero(gain == gain.max())
     cut = (z[at[0]] + z[at[-1] + 1]) / 2
     slope = 4.0

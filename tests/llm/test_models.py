@@ -133,6 +133,30 @@ def test_pairs_are_learnt():
     assert min(z[:2]) > np.log(0.7 / 0.3) > max(z[2:])
 
 
+def rare_toxic(n, seed):
+    """0.5% toxic: half by one of three insults (1-3), half by 6 with group 8. 6
+    is as often without 8, and 8 stands mostly alone, toxic at the base rate."""
+    rng = np.random.default_rng(seed)
+    texts, y = [], []
+    for u in rng.random(n):
+        own, toxic = (([1 + int(rng.integers(3))], 1) if u < 0.0025 else ([6, 8], 1) if u < 0.005 else
+                      ([6], 0) if u < 0.01 else ([8], 0) if u < 0.5 else ([], 0))
+        texts.append(np.array(sorted({*rng.integers(100, 3000, 12).tolist(), *own})))
+        y.append(float(toxic))
+    return texts, np.array(y)
+
+
+def test_rare_insults_and_a_group_without_a_weight_of_its_own():
+    texts, y = rare_toxic(16_000, 1)
+    group = np.array([8 in x for x in texts])
+    assert y.mean() <= 0.006 and abs(y[group].mean() - y.mean()) < 0.002
+    m = op9_toxicity.train(texts, y)
+    texts, y = rare_toxic(16_000, 2)
+    hit = m.logits([op9_toxicity.lookup(m.keys, x) for x in texts]) >= np.log(0.7 / 0.3)
+    pair = np.array([6 in x for x in texts]) & (y == 1)
+    assert hit[pair].mean() >= 0.9 and hit[(y == 1) & ~pair].mean() >= 0.9 and hit[y == 0].mean() <= 0.001
+
+
 def test_toxicity_held_out(spark):
     sf = "/root/testdata/sf0.01"
     rude = {"idiot", "moron", "loser", "clown", "stupid", "worthless", "trash", "pathetic", "disgusting", "scum"}
