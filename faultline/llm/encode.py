@@ -106,9 +106,11 @@ class ChunkEncoder(dict):
         get = self.__getitem__
         if self.words:
             return b"".join(map(get, text.replace("\n", " ").split(" ")))
-        chunks = text.replace("\n", " " + BREAK).split(" ")
-        if len(text.split()) != len(chunks) or BREAK in text or any(s in text for s in self.specials):
+        flat = text.replace("\n", " ")
+        # Equal only if all white space is single spaces and line feeds between words.
+        if " ".join(flat.split()) != flat or BREAK in text or any(s in text for s in self.specials):
             return self.whole(text)
+        chunks = text.replace("\n", " " + BREAK).split(" ")
         return self._piece(chunks[0], "") + b"".join(map(get, chunks[1:]))
 
     def batch(self, texts: list[str | None]) -> list[bytes]:

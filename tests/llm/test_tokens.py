@@ -40,6 +40,12 @@ def test_chunked_encoding_is_the_library_s(path):
     assert encoder(path).batch(texts) == [raw(ids_of(tok, t)) for t in texts]
 
 
+@pytest.mark.parametrize("text", ["Heading\n\n\nfoo\tbar\tbaz", "a  b\u00a0c", "a \t b\tc", "x\n\ny\u3000z", " a\tb", "a\x85b "])
+def test_runs_and_other_white_space_do_not_cancel(text):
+    for path in (WORD, BYTE):
+        assert encoder(path).batch([text]) == [raw(ids_of(path, text))]
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet=st.sampled_from(list("aAbB's.,!1 \n\t é́ßİΣ<|>  日😀")), max_size=40))
 def test_any_text(text):
