@@ -3,8 +3,9 @@
 A tree builder reads tags, supplies those that are implied (the end of a
 paragraph before a block, of a list item before the next, rows around cells)
 and ignores end tags without a start. Visibility rules then leave out what a
-browser does not show: head, scripts, styles, templates, form choices,
-``hidden``, ``display:none``, ``visibility:hidden``. What remains is written
+browser does not show: head, scripts, styles, templates, media, unselected
+form choices, ``hidden``, ``display:none`` and ``visibility:hidden`` (inherited,
+``visible`` further down ends it). Inline styles alone are read. What remains is written
 with line breaks between blocks, an empty line around paragraphs, headings,
 lists and tables, markers and indents for list items, and table cells padded
 to columns. Preformatted text keeps its white space.
@@ -36,12 +37,17 @@ TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>
                    r"""((?:[^"'>]++|"[^"]*+"|'[^']*+'|["'])*+)(?:>|\Z)""", re.S)
 ATTR = re.compile(r"""([^\s=/"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"']+)))?""")
 SPACE = re.compile(r"[ \t\n\r\f]+")
-HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+#: Declarations of an inline style; semicolons in strings and brackets are no ends.
+DECLARATION = re.compile(r"""((?:"[^"]*"|'[^']*'|\([^)]*\)|[^;"'(])+)""")
+COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-UNSEEN = frozenset("head script style template noscript title meta link iframe noembed noframes object "
-                   "audio video canvas svg math datalist select option textarea".split())
+UNSEEN = frozenset("head script style template noscript title meta link iframe noembed noframes "
+                   "audio video canvas datalist annotation annotation-xml".split())
+#: Not drawn inside svg, and start tags that leave an unclosed head open.
+SVG_UNSEEN = frozenset("defs symbol metadata desc clippath mask pattern marker".split())
+IN_HEAD = frozenset("head base basefont bgsound link meta title style script noscript noframes template".split())
 #: Blocks with an empty line around them, and those on lines of their own.
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table pre blockquote figure hr".split())
 BLOCK = SPACED | frozenset("html body div section article aside main nav header footer address center details summary "
@@ -71,14 +77,55 @@ class Node:
                 return html.unescape(m[2] or m[3] or m[4] or "")
         return None
 
-    def hidden(self) -> bool:
+    def style(self) -> dict[str, str]:
+        """Property -> value of the inline style, as the last or important declaration has it."""
+        out, firm = {}, set()
+        for m in DECLARATION.finditer(COMMENT.sub(" ", self.attr("style") or "")):
+            name, _, value = m[1].partition(":")
+            name, (value, bang, note) = name.strip().lower(), value.strip().lower().partition("!")
+            important = bool(bang) and note.strip() == "important"
+            if important or name not in firm:
+                out[name] = value.strip()
+            if important:
+                firm.add(name)
+        return out
+
+    def hidden(self) -> tuple[bool, str | None]:
+        """Whether the subtree is left out, and its own visibility if it has one."""
         if self.tag in UNSEEN:
-            return True
-        if not self.attrs or "hid" not in (low := self.attrs.lower()) and "none" not in low and "collapse" not in low:
-            return False
-        if self.attr("hidden") is not None or HIDING.search(self.attr("style") or ""):
-            return True
-        return False
+            return True, None
+        if not self.attrs:
+            return False, None
+        low = self.attrs.lower()
+        if "hidden" in low and self.attr("hidden") is not None:
+            return True, None
+        if "style" not in low:
+            return False, None
+        style = self.style()
+        seen = style.get("visibility")
+        return style.get("display") == "none", seen if seen in ("visible", "hidden", "collapse") else None
+
+    def walk(self, tags: tuple[str, ...]) -> list[Node]:
+        """Nodes of these tags below this one, in page order."""
+        out, todo = [], [self]
+        while todo:
+            x = todo.pop()
+            if x.tag in tags:
+                out.append(x)
+            todo += [k for k in reversed(x.kids) if isinstance(k, Node)]
+        return out
+
+
+def choices(select: Node) -> tuple[list, bool]:
+    """What a closed menu or a list box shows, and whether it is a list box."""
+    size = select.attr("size") or ""
+    box = select.attr("multiple") is not None or bool(re.fullmatch(r"\d{1,9}", size)) and int(size) > 1
+    if box:
+        return select.kids, True
+    options = [x for x in select.walk(("option",)) if not x.hidden()[0]]
+    marked = [x for x in options if x.attr("selected") is not None]
+    able = [x for x in options if x.attr("disabled") is None]
+    return (marked[-1:] or able[:1] or options[:1]), False
 
 
 def tree(page: str) -> Node:
@@ -101,7 +148,8 @@ def tree(page: str) -> Node:
     def start(tag: str, attrs: str) -> None:
         node = Node(tag, attrs)
         stack[-1].kids.append(node)
-        if tag not in VOID:
+        drawn = tag in ("svg", "math") or open_["svg"] or open_["math"]
+        if tag not in VOID and not (drawn and attrs.rstrip().endswith("/")):
             stack.append(node)
             open_[tag] += 1
 
@@ -114,7 +162,10 @@ def tree(page: str) -> Node:
             m = TOKEN.match(page, lt) if lt >= 0 else None
         stop = lt if m else end
         if stop > at:
-            stack[-1].kids.append(html.unescape(page[at:stop]))
+            text = html.unescape(page[at:stop])
+            if stack[-1].tag == "head" and text.strip():
+                close(("head",), ())
+            stack[-1].kids.append(text)
         if not m:
             break
         at = max(m.end(), lt + 1)
@@ -132,7 +183,7 @@ def tree(page: str) -> Node:
             continue
         if tag in ("html", "body", "head") and open_[tag]:
             continue
-        if tag == "body" or tag in BLOCK and tag != "html":
+        if tag == "body" or tag in BLOCK and tag != "html" or stack[-1].tag == "head" and tag not in IN_HEAD:
             close(("head",), ())
         if tag in P_ENDERS:
             close(("p",), P_SHIELDS)
@@ -141,11 +192,12 @@ def tree(page: str) -> Node:
         if tag in ("td", "th") and stack[-1].tag in ("table", "thead", "tbody", "tfoot"):
             start("tr", "")
         start(tag, attrs)
-        if tag in RAW:
+        if tag in RAW and stack[-1].tag == tag:
             m = re.compile(f"</{tag}(?=[\\s/>])[^>]*>?", re.I).search(page, at)
             body_end = m.start() if m else end
             if body_end > at:
-                stack[-1].kids.append(page[at:body_end])
+                raw = page[at:body_end]
+                stack[-1].kids.append(html.unescape(raw) if tag in ("textarea", "title") else raw)
             at = m.end() if m else end
             close((tag,), ())
     return root
@@ -228,33 +280,65 @@ def _aligned(rows: list[list[tuple[list[str], int]]]) -> list[str]:
 def visible_text(page: str | None) -> str | None:
     if page is None:
         return None
-    pages, tables, lists = [Page()], [], []
+    pages, tables, lists, boxes = [Page()], [], [], []
     # Work left: a node or a text to write, or what to do when a node ends.
     todo: list = [tree(page)]
-    pre = 0
+    pre = svg = 0
+    shown = True
     while todo:
         x = todo.pop()
         if isinstance(x, str):
             if tables and tables[-1][1] is pages[-1] and not x.strip():
                 continue  # white space between rows and cells
-            pages[-1].text(x, pre > 0)
+            if shown:
+                pages[-1].text(x, pre > 0)
             continue
         if callable(x):
             x()
             continue
-        if x.hidden():
+        gone, seen = x.hidden()
+        if gone or svg and x.tag in SVG_UNSEEN:
             continue
-        tag, then = x.tag, []
+        tag, then, kids = x.tag, [], x.kids
         if tag == "br":
-            pages[-1].end(force=True)
+            pages[-1].end(force=shown)
             continue
+        if seen is not None and (seen == "visible") != shown:
+            shown = not shown
+
+            def turn():
+                nonlocal shown
+                shown = not shown
+
+            then.append(turn)
+        if tag == "svg":
+            svg += 1
+
+            def drawn():
+                nonlocal svg
+                svg -= 1
+
+            then.append(drawn)
+        elif tag == "select":
+            kids, box = choices(x)
+            if box:
+                pages[-1].end()
+                boxes.append(x)
+                then.append(lambda: (boxes.pop(), pages[-1].end()))
+        elif tag in ("option", "optgroup") and x.attr("label"):
+            kids = [x.attr("label"), *(x.kids if tag == "optgroup" else [])]
+        if tag == "text" and svg or tag in ("option", "optgroup") and boxes:
+            pages[-1].end()
+            then.append(lambda: pages[-1].end())
         if tag in BLOCK:
             gap = int(tag in SPACED and not (tag in ("ul", "ol") and lists))
             pages[-1].end(gap)
             then.append(lambda gap=gap: pages[-1].end(gap))
         if tag == "hr":
             continue
-        if tag == "pre":
+        if tag in ("pre", "textarea"):
+            if tag == "textarea" and kids:
+                kids = [re.sub(r"\A\r?\n", "", kids[0])]  # the line feed after the start tag
             pre += 1
 
             def leave():
@@ -301,7 +385,7 @@ def visible_text(page: str | None) -> str | None:
 
             then.append(cell)
         # The end of the node comes after its children: the last pushed is the first done.
-        todo += [*then, *reversed(x.kids)]
+        todo += [*then, *reversed(kids)]
     return "\n".join(pages[0].done()).strip("\n")
 
 

@@ -202,6 +202,23 @@ def test_visible_text(page, text):
     assert op10_html.visible_text(page) == text
 
 
+@pytest.mark.parametrize("page,text", [
+    ("<p style='backface-visibility:hidden'>seen", "seen"), ("<p style='x:\"display:none\"; color:red'>seen", "seen"),
+    ("<p style='display:none; display:block'>seen", "seen"), ("<p style='DISPLAY : none !important; display:block'>no</p>x", "x"),
+    ("a<math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>no</annotation></math>b", "ax=2b"),
+    ("<svg><title>no</title><defs><text>no</text></defs><path d='M0'/><text>A</text><text>B</text></svg>c", "A\nB\nc"),
+    ("<textarea>\n a &amp;\n b</textarea>", " a &\n b"), ("<object data=x><param name=y>fallback</object>", "fallback"),
+    ("x <select><option>one<option selected>two<option>three</select> y", "x two y"),
+    ("<select><option disabled>pick<option>one</select>", "one"), ("<select multiple><option>a<option>b</select>c", "a\nb\nc"),
+    ("<div style='visibility:hidden'>no<b style='visibility:visible'>seen<i style='visibility:collapse'>no</i></b>no</div>x", "seen\nx"),
+    ("<ul><li style='visibility:hidden'>no<br><li>b</ul>", "- b"),
+    ("<head><title>t</title>text <b>bold</b>", "text bold"), ("<head><meta x><a href=y>link</a><p>p", "link\n\np"),
+    ("<head> <style>no</style> <script>no</script></head>x", "x"),
+])
+def test_text_that_browsers_show(page, text):
+    assert op10_html.visible_text(page) == text
+
+
 def test_html_query_and_edges(spark):
     pages = duckdb.sql(f"select page_id, url, html from '{SF}/pages.parquet'").fetchall()
     got = sorted(map(tuple, op10_html.query(spark, SF).collect()))
