@@ -1,15 +1,19 @@
 """Licence scan: a trained paragraph classifier, confirmed against templates.
 
-A paragraph (non-empty line) is read as word 1- to 3-grams. Multinomial
+Non-empty lines, and the blocks of consecutive non-empty lines that a wrapped
+text takes (comment marks at line starts are no words, and a line of them alone
+ends a block), are paragraphs, read as word 1- to 3-grams. Multinomial
 logistic regression over them, fitted on the templates below, their variants
 and negative sentences, gives each licence family and the class "none" a
 probability. The class unknown is calibrated on variants that the fit has not
 seen: the least probability that no negative reaches. A prediction counts
 only if the paragraph also holds ``MIN_SHARE`` of the word 3-grams of one of
-that family's templates.
+that family's templates. A block counts besides its lines if none of them has
+its family; a block that looks like a licence, but has no confirmed one in it
+or its lines, is unknown.
 
 Only paragraphs with at least one template 3-gram can be confirmed, so only
-those are scored; that test is exact and cheap. The data path is DataFrame
+those are scored (unknown ones are found among them too); that test is exact and cheap. The data path is DataFrame
 functions alone; the fit runs on the fixed sentences below, on the driver.
 
 Edge cases: a null or empty text has no paragraphs; null ids and repeated
@@ -108,6 +112,10 @@ BEFORE = ["", "Copyright (c) 2021 The Authors. ", "Note: ", "Unless stated other
 AFTER = ["", " All rights reserved.", " See the LICENSE file.", " Thank you for reading."]
 
 
+#: Lines without a letter or digit between two blocks.
+BLANK = r"\n(?:[^\p{L}\p{N}\n]*\n)+"
+
+
 def words(text: str) -> list[str]:
     return [w for w in re.sub(r"[^a-z0-9.]+", " ", text.lower()).replace(". ", " ").strip(" .").split(" ") if w]
 
@@ -172,8 +180,9 @@ def gram_array(w: Column, n: int) -> Column:
     ).otherwise(F.array().cast("array<string>"))
 
 
-def scan(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """``docs`` plus ``_n_paragraphs``, ``_n_licensed`` and ``_licenses`` (sorted, comma-joined families)."""
+def scan(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", unknown: bool = False) -> DataFrame:
+    """``docs`` plus ``_n_paragraphs`` (non-empty lines), ``_n_licensed``, ``_licenses`` (sorted,
+    comma-joined families) and, if asked for, ``_n_unknown`` (blocks)."""
     spark = docs.sparkSession
     families, vocab, w, least = model()
     known = [(f"{f}/{i}", f, g, len(t)) for f, ts in TEMPLATES.items()
@@ -187,13 +196,17 @@ def scan(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> Dat
     text = F.coalesce(F.col(text_col), F.lit(""))
     # Rows equal in id and text have equal results, so this is key enough.
     key = [F.col(id_col).alias("_id"), F.xxhash64(text).alias("_h"), F.md5(text).alias("_m")]
-    lines = docs.select(*key, F.posexplode(F.split(text, "\n")).alias("_p", "_line"))
-    read = lines.select("_id", "_h", "_m", "_p", word_array(F.col("_line")).alias("_w"))
+    blocks = docs.select(*key, F.posexplode(F.split(text, BLANK)).alias("_b", "_block"))
+    # Place 0 is the block as a whole, if it has several lines.
+    its = F.split(F.col("_block"), "\n")
+    whole = F.when(F.size(its) > 1, F.col("_block"))
+    lines = blocks.select("_id", "_h", "_m", "_b", F.posexplode(F.concat(F.array(whole), its)).alias("_p", "_line"))
+    read = lines.select("_id", "_h", "_m", "_b", "_p", word_array(F.col("_line")).alias("_w"))
     hit = F.filter(gram_array(F.col("_w"), 3), lambda g: g.isin(sorted({g for _, _, g, _ in known})))
     # At most one row a paragraph: its first template 3-gram, if any.
-    some = (read.select("_id", "_h", "_m", "_p", "_w", F.explode(F.slice(hit, 1, 1)).alias("_hit"))
-            .drop("_hit").dropDuplicates(["_id", "_h", "_m", "_p"]))
-    at = ["_id", "_h", "_m", "_p"]
+    some = (read.select("_id", "_h", "_m", "_b", "_p", "_w", F.explode(F.slice(hit, 1, 1)).alias("_hit"))
+            .drop("_hit").dropDuplicates(["_id", "_h", "_m", "_b", "_p"]))
+    at = ["_id", "_h", "_m", "_b", "_p"]
     all_grams = F.array_distinct(F.concat(*[gram_array(F.col("_w"), n) for n in (1, 2, 3)]))
     found = some.select(*at, F.explode(all_grams).alias("gram"))
     sums = found.join(weights, on="gram").groupBy(*at).agg(
@@ -201,25 +214,36 @@ def scan(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> Dat
     best = F.greatest(*[F.col(f"z{c}") for c in range(len(families))])
     total = sum((F.exp(F.col(f"z{c}") - best) for c in range(1, len(families))), F.exp(F.col("z0") - best))
     name = F.coalesce(*[F.when(F.col(f"z{c}") == best, F.lit(f)) for c, f in enumerate(families)])
-    predicted = sums.select(*at, name.alias("family"), (1 / total).alias("p")).where(
-        (F.col("family") != NONE) & (F.col("p") >= least))
+    predicted = sums.select(*at, name.alias("family"), (1 / total).alias("p")).where(F.col("family") != NONE)
     shares = (found.join(templates, on="gram").groupBy(*at, "family", "template")
               .agg((F.count(F.lit(1)) / F.max("n")).alias("share"))
               .where(F.col("share") >= MIN_SHARE).select(*at, "family").distinct())
     same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in [*at, "family"]]
-    sure = predicted.alias("a").join(shares.alias("b"), on=same, how="left_semi")
-    per_doc = sure.groupBy("_id", "_h", "_m").agg(
-        F.count(F.lit(1)).alias("_n"), F.array_join(F.array_sort(F.collect_set("family")), ",").alias("_f"))
+    # A paragraph has one prediction, so the join adds no rows.
+    sure = (F.col("p") >= least) & F.col("b.family").isNotNull()
+    line = F.col("a._p") > 0
+    per_block = (predicted.alias("a").join(shares.alias("b"), on=same, how="left")
+                 .groupBy(*[F.col(f"a.{c}") for c in ("_id", "_h", "_m", "_b")]).agg(
+        F.count(F.when(sure & line, 1)).alias("_lines"),
+        F.collect_set(F.when(sure & line, F.col("a.family"))).alias("_on_lines"),
+        F.collect_set(F.when(sure & ~line, F.col("a.family"))).alias("_wrapped")))
+    extra = F.array_except("_wrapped", "_on_lines")
+    per_doc = per_block.groupBy("_id", "_h", "_m").agg(
+        F.sum(F.col("_lines") + F.size(extra)).alias("_n"),
+        F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.concat("_on_lines", extra))))), ",").alias("_f"),
+        F.count(F.when((F.col("_lines") == 0) & (F.size("_wrapped") == 0), 1)).alias("_u"))
     rows = docs.select(*key, F.size(F.filter(F.split(text, "\n"), lambda x: F.trim(x) != "")).cast("long").alias("_all"),
                        boxed(docs))
     same = [F.col(f"d.{c}").eqNullSafe(F.col(f"r.{c}")) for c in ("_id", "_h", "_m")]
     out = rows.alias("d").join(per_doc.alias("r"), on=same, how="left").select(
         "d._doc", "d._all", F.coalesce("r._n", F.lit(0).cast("long")).alias("_n"),
-        F.coalesce("r._f", F.lit("")).alias("_f"))
-    return unboxed(out, docs, {"_n_paragraphs": F.col("_all"), "_n_licensed": F.col("_n"), "_licenses": F.col("_f")})
+        F.coalesce("r._f", F.lit("")).alias("_f"), F.coalesce("r._u", F.lit(0).cast("long")).alias("_u"))
+    added = {"_n_paragraphs": F.col("_all"), "_n_licensed": F.col("_n"), "_licenses": F.col("_f")}
+    return unboxed(out, docs, added | ({"_n_unknown": F.col("_u")} if unknown else {}))
 
 
 def query(spark, sf_dir):
-    r = scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    r = scan(table(spark, sf_dir, "documents").select("doc_id", "text"), unknown=True)
     return r.select("doc_id", F.col("_n_paragraphs").alias("n_paragraphs"),
-                    F.col("_n_licensed").alias("n_licensed"), F.col("_licenses").alias("licenses"))
+                    F.col("_n_licensed").alias("n_licensed"), F.col("_licenses").alias("licenses"),
+                    F.col("_n_unknown").alias("n_unknown"))

@@ -94,6 +94,41 @@ def test_license_families(spark):
     assert op3_licenses.scan(df.limit(0)).collect() == []
 
 
+MIT_FILE = """The MIT License (MIT)
+
+Copyright (c) 2020 Some One
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+"""
+BSD_FILE = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions
+are met:
+"""
+GPL_FILE = """This program is free software; you can redistribute it and/or modify it
+under the terms of the GNU General Public License as published by the
+Free Software Foundation; either version 2 of the License, or (at your
+option) any later version.
+
+This program is distributed in the hope that it will be useful,
+"""
+
+
+def test_wrapped_licenses_and_the_unknown_class(spark):
+    texts = [MIT_FILE, BSD_FILE, GPL_FILE]
+    marked = ["".join(f"{m} {x}".rstrip() + "\n" for x in t.splitlines()) for t, m in zip(texts, ["#", " *", "//"])]
+    odd = "This work is licensed under the Foo General Public Grant."
+    rows = [*enumerate([*texts, *marked, "Released under the MIT License.\nand\n" + BSD_FILE, odd])]
+    out = op3_licenses.scan(spark.createDataFrame(rows, "doc_id long, text string"), unknown=True).collect()
+    got = {r["doc_id"]: (r["_licenses"], r["_n_licensed"], r["_n_unknown"]) for r in out}
+    assert [got[i][0] for i in range(6)] == ["MIT", "BSD", "GPL-2.0"] * 2
+    assert got[7] == ("", 0, 1)
+
+
 def brute_license(text):
     families, vocab, w, least = op3_licenses.model()
     index = {g: i for i, g in enumerate(vocab)}
