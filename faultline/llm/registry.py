@@ -17,6 +17,8 @@ MODULES = {
     "op8_exact_dedup": "op8_exact_dedup",
     "op9_toxicity": "op9_toxicity",
     "op10_html_extraction": "op10_html",
+    "op12_whitening": "op12_whitening",
+    "op13_quality": "op13_quality",
 }
 
 

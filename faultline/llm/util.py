@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import pickle
 import shutil
 import tempfile
 import uuid
@@ -93,3 +94,43 @@ def unboxed(rows: DataFrame, docs: DataFrame, made: dict[str, Column]) -> DataFr
     taken = {c.lower() for c in made}
     kept = [F.col("_doc").getField(c).alias(c) for c in docs.columns if c.lower() not in taken]
     return rows.select(*kept, *[col.alias(c) for c, col in made.items()])
+
+
+#: Values that one task of ``folded`` merges.
+FAN = 16
+
+
+def folded(rows: DataFrame, parts, start, take, merge):
+    """One value from all rows. Every partition folds its ``parts`` (a function
+    from Arrow batches to an iterator) into a value by ``take``; then ``FAN``
+    values at a time are merged in grouped tasks until one is left, which
+    comes to the driver. ``start`` gives the value of no rows."""
+    kind = "slot int, value binary"
+
+    def partition(batches):
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        state, found = start(), False
+        for x in parts(batches):
+            state, found = take(state, x), True
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()),
+                                              pa.array([pickle.dumps(state)], pa.binary())], names=["slot", "value"])
+
+    def group(t):
+        import pyarrow as pa
+
+        t = t.sort_by("slot")
+        state = start()
+        for v in t.column("value").to_pylist():
+            state = merge(state, pickle.loads(v))
+        return pa.table({"slot": pa.array([t.column("slot")[0].as_py() // FAN], pa.int32()),
+                         "value": pa.array([pickle.dumps(state)], pa.binary())})
+
+    values, left = rows.mapInArrow(partition, kind), rows.rdd.getNumPartitions()
+    while left > 1:
+        values = values.groupBy(F.floor(F.col("slot") / FAN).alias("_g")).applyInArrow(group, kind)
+        left = -(-left // FAN)
+    got = values.first()
+    return pickle.loads(got["value"]) if got else start()
