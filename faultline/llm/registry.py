@@ -17,6 +17,7 @@ MODULES = {
     "op8_exact_dedup": "op8_exact_dedup",
     "op9_toxicity": "op9_toxicity",
     "op10_html_extraction": "op10_html",
+    "op11_hard_negatives": "op11_hard_negatives",
     "op12_whitening": "op12_whitening",
     "op13_quality": "op13_quality",
 }
