@@ -10,8 +10,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _c(c: str | Column) -> Column:
@@ -28,11 +29,6 @@ def pct(num: str | Column, den: str | Column, digits: int = 2) -> Column:
     return F.bround(ratio(num, den) * F.lit(100.0), digits)
 
 
-def parse_amount(c: str | Column) -> Column:
-    """Lenient number parse: drop thousands separators and quotes, else null."""
-    return F.regexp_replace(_c(c).cast("string"), '[,"]', "").try_cast("double")
-
-
 #: The characters that Unicode (and a text editor's "trim") counts as white space.
 WHITE_SPACE = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
                                 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
@@ -43,10 +39,43 @@ def strip(c: str | Column) -> Column:
     return F.btrim(_c(c).cast("string"), F.lit(WHITE_SPACE))
 
 
-def whole_number(c: str | Column) -> Column:
-    """Integer written as text, also as ``91.0``; null if it has a fraction or is no number."""
-    d = strip(c).try_cast("decimal(38,6)")
-    return F.when(d == F.floor(d), d).try_cast("int")
+#: Numbers as amounts may spell them: digits in groups joined by single
+#: underscores, with or without a point, an exponent, or infinity by name.
+NUMBER = (r"^[+-]?(([0-9](_?[0-9])*(\.([0-9](_?[0-9])*)?)?|\.[0-9](_?[0-9])*)([eE][+-]?[0-9](_?[0-9])*)?"
+          r"|[iI][nN][fF]([iI][nN][iI][tT][yY])?)$")
+
+
+def parse_amount(c: str | Column) -> Column:
+    """Lenient number parse (P7): thousands separators, quotes and white space
+    at the ends go; what is then no number of ``NUMBER`` is null, also where a
+    cast would read it (``1000d``, ``12f``)."""
+    text = strip(F.regexp_replace(_c(c).cast("string"), '[,"]', ""))
+    return F.when(text.rlike(NUMBER), F.translate(text, "_", "").try_cast("double"))
+
+
+def whole_number(df: DataFrame, col: str) -> Column:
+    """A column as whole numbers: an integer column as it is (predicates on it
+    reach the scan unchanged); text such as ``91`` or ``91.0`` by one cast;
+    null if it has a fraction or is no number."""
+    kind = df.schema[col].dataType
+    if isinstance(kind, T.IntegralType):
+        return F.col(col)
+    return F.regexp_replace(strip(col), r"\.0*$", "").try_cast("int")
+
+
+def order_key(df: DataFrame, col: str) -> Column:
+    """What a column sorts by. Text of an extract holds numbers or other
+    codes: numbers come first, by value (``999`` before ``1000``, digits of
+    any length), then the rest as text. Other types sort as they are."""
+    c = F.col(col)
+    if not isinstance(df.schema[col].dataType, T.StringType):
+        return c
+    text = strip(col)
+    number = text.try_cast("decimal(38,6)")
+    digits = F.when(number.isNull() & text.rlike("^[0-9]+$"), F.ltrim(text, F.lit("0")))
+    kind = F.when(c.isNull(), None).when(number.isNotNull(), 0).when(digits.isNotNull(), 1).otherwise(2)
+    return F.struct(kind.alias("kind"), number.alias("number"), F.length(digits).alias("size"), digits.alias("digits"),
+                    c.alias("text"))
 
 
 def parse_timestamp(c: str | Column, formats: Sequence[str]) -> Column:

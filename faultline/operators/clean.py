@@ -34,14 +34,14 @@ def clean(log: DataFrame, s: LogSchema, p: Params, filter_po: bool = True) -> Da
     df = log.withColumns({
         s.supplier: normalized_supplier(s, p),
         s.po_type: normalized_po(s),
-        # Typed as the source's reader infers them (text extracts hold digits).
-        s.exc_id: whole_number(s.exc_id),
+        # Typed as the source's reader infers it (text extracts hold digits).
+        s.exc_id: whole_number(log, s.exc_id),
     })
     df = df.where(~F.col(s.supplier).startswith(p.transport_prefix))  # P2
     if filter_po:
         df = df.where(F.col(s.po_type).isin(*p.valid_po_types))  # P4
     if s.touches in df.columns:
-        df = df.withColumn(s.touches, whole_number(s.touches))
+        df = df.withColumn(s.touches, whole_number(df, s.touches))
     df = df.withColumns(
         {
             s.amount: parse_amount(s.amount_raw),  # P7
@@ -124,6 +124,28 @@ def universe_single_pass(f: DataFrame, s: LogSchema, p: Params) -> DataFrame:
             .drop("_mat"))
 
 
+def two_extracts(f: DataFrame, m: DataFrame, s: LogSchema) -> DataFrame:
+    """Both extracts counted per (document, channel, category, exception),
+    ``_material`` telling which: what whole-document questions about two logs
+    need, in one shuffle by document. A document with very many events
+    shrinks map-side to its distinct keys."""
+    keys = [s.doc, s.channel, s.category, *s.exc]
+    both = (f.select(*keys, F.lit(False).alias("_material"))
+            .unionByName(m.select(*keys, F.lit(True).alias("_material"))))
+    return (both.where(F.col(s.doc).isNotNull()).groupBy(*keys, "_material")
+            .agg(F.count(F.lit(1)).alias("_n")))
+
+
+def universe_of_two(both: DataFrame, s: LogSchema) -> DataFrame:
+    """U from ``two_extracts``: the material flag is spread over the document
+    by a window instead of joining the logs."""
+    g = both.groupBy(s.doc, s.channel, s.category).agg(
+        F.max(~F.col("_material")).alias("_full"), F.max("_material").alias("_mat"))
+    first = ~F.max("_mat").over(Window.partitionBy(s.doc))
+    return (g.withColumn("First_Pass", first).where(
+        F.col("_full") & F.col(s.channel).isNotNull() & F.col(s.category).isNotNull()).drop("_full", "_mat"))
+
+
 def cleaning_funnel(log: DataFrame, s: LogSchema, p: Params) -> DataFrame:
     """Rows at each stage, for the full and the material log, in one pass."""
     sup = normalized_supplier(s, p)

@@ -16,8 +16,8 @@ from faultline.config import LogSchema, Params
 from faultline.functions import clip_upper, pct
 from faultline.operators.clean import is_material
 from faultline.operators.relational import (
-    attach_names, count_via_lookup, events_and_invoices, grid_of_cells, group_count, nonnull,
-    per_document_counts, semi, top_k, with_share,
+    attach_names, count_via_lookup, dense_grid, events_and_invoices, group_count, nonnull,
+    per_document_counts, top_k, with_share,
 )
 
 
@@ -48,6 +48,24 @@ def by_month_category(ev: DataFrame, s: LogSchema, partial,
     return g if partial is None else g.where(F.col(s.month) != partial)
 
 
+def by_month_category_single_pass(f: DataFrame, s: LogSchema, p: Params, exc_id: int,
+                                  lookup: tuple[str, DataFrame]) -> DataFrame:
+    """G20 from one pass over the full log: events of the id are counted per
+    (month, lookup key), all others per month alone, which is enough for the
+    last month of the log."""
+    key, names = lookup
+    hit = F.coalesce(F.col(s.exc_id) == exc_id, F.lit(False))
+    pre = (nonnull(f.drop(s.category), [s.month]).groupBy(s.month, F.when(hit, F.col(key)).alias(key))
+           .agg(F.count_if(hit).alias("_n")))
+    g = (pre.join(names, on=key, how="left").groupBy(s.month, s.category)
+         .agg(F.sum("_n").cast("long").alias("Events")))
+    if p.partial_month is not None:
+        # At most months x categories rows.
+        last = F.max(s.month).over(Window.partitionBy()) if p.partial_month == "latest" else F.lit(p.partial_month)
+        g = g.withColumn("_partial", last).where(F.col(s.month) != F.col("_partial")).drop("_partial")
+    return nonnull(g, [s.category]).where(F.col("Events") > 0)
+
+
 def dive_vendors(ev: DataFrame, s: LogSchema, k: int = 20, with_avg: bool = True,
                  names: DataFrame | None = None) -> DataFrame:
     """Top-k vendors of one exception by events (names attached to the
@@ -133,14 +151,15 @@ def top_ids_over_vendor_set(detail: DataFrame, s: LogSchema, k: int = 10) -> Dat
     return top_k(g, [F.col("Count").desc(), F.col(s.exc_id)], k)
 
 
-def segment_profile(u: DataFrame, rows: DataFrame, s: LogSchema, channel: str, category: str,
-                    passed: bool) -> DataFrame:
+def segment_profile(both: DataFrame, s: LogSchema, channel: str, category: str, passed: bool) -> DataFrame:
     """G26 / G27 for two extracts: exception counts on the documents of one
-    channel x category segment that failed (``passed=False``, read from the
-    material log) or passed (``passed=True``, read from the full log)."""
-    docs = u.where((F.col(s.channel) == channel) & (F.col(s.category) == category)
-                   & (F.col("First_Pass") == F.lit(passed))).select(s.doc).distinct()
-    return exception_counts(semi(rows, docs, s.doc), s)
+    channel x category segment that failed (``passed=False``, counted in the
+    material log) or passed (``passed=True``, counted in the full log).
+    ``both``: ``clean.two_extracts``; no row of a log is joined."""
+    w = Window.partitionBy(s.doc)
+    inside = F.coalesce(~F.col("_material") & (F.col(s.channel) == channel) & (F.col(s.category) == category), F.lit(False))
+    rows = both.withColumns({"_in": F.max(inside).over(w), "_failed": F.max("_material").over(w)})
+    return _summed(rows.where(F.col("_in") & (F.col("_failed") != F.lit(passed)) & (F.col("_material") != F.lit(passed))), s)
 
 
 def segment_profile_single_pass(f: DataFrame, s: LogSchema, p: Params, channel: str, category: str,
@@ -163,10 +182,7 @@ def monthly_category_grid(f: DataFrame, s: LogSchema, p: Params, exc_id: int) ->
     categories that the exception has; all from one aggregate of the log."""
     hit = F.col(s.exc_id) == exc_id
     cells = f.groupBy(s.month, s.category).agg(F.count_if(hit).alias("Events"), F.count(F.lit(1)).alias("_all"))
-    cells = cells.withColumn("_last", F.max(s.month).over(Window.partitionBy()))  # months x categories rows
-    grid = grid_of_cells(cells, s.month, s.category, keep=F.col("Events") > 0)
-    last = F.max("_last").over(Window.partitionBy()) if p.partial_month == "latest" else F.lit(p.partial_month)
-    if p.partial_month is not None:
-        grid = grid.withColumn("_partial", last).where(F.col(s.month) != F.col("_partial")).drop("_partial")
+    # Both measures in the condition: every use of the cells is then the same aggregate, computed once.
+    grid = dense_grid(cells, s.category, s.month, keep=(F.col("Events") > 0) & (F.col("_all") > 0), last=p.partial_month)
     return grid.select(s.month, s.category, F.coalesce("Events", F.lit(0)).cast("long").alias("Events"),
                        pct("Events", "_all", 1).alias("Share_Pct"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from faultline.config import LogSchema, Params
-from faultline.functions import pct
+from faultline.functions import order_key, pct
 from faultline.operators.clean import is_material
 from faultline.operators.relational import first_by_order, nonnull
 
@@ -127,7 +127,8 @@ def channel_monthly_single_pass(f: DataFrame, s: LogSchema, p: Params, channel:
     aggregate per (document, channel, category) has the flag, the earliest
     event and the last month; windows spread the first two over the document,
     and the last month of the log is the greatest of the small result."""
-    first = F.struct(F.col(s.created_ts), *[F.col(c) for c in s.order_cols], F.col(s.month).alias("_m"))
+    first = F.struct(F.col(s.created_ts), *[order_key(f, c).alias(c) for c in s.order_cols],
+                     F.col(s.month).alias("_m"))
     pre = f.groupBy(s.doc, s.channel, s.category).agg(
         F.max(is_material(s, p).cast("int")).alias("_mat"), F.min(first).alias("_first"),
         F.max(s.month).alias("_last"))

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from faultline.config import LogSchema
+from faultline.config import LogSchema, Params
 from faultline.functions import pct
+from faultline.operators.clean import is_material
 from faultline.operators.relational import (
     attach_names, count_via_lookup, grand_total, group_count, nonnull, top_k, with_share,
 )
@@ -126,6 +127,41 @@ def kpi_row(u: DataFrame, m: DataFrame, s: LogSchema, names: DataFrame | None =
     )
 
 
+def kpi_row_single_pass(f: DataFrame, s: LogSchema, p: Params, names: DataFrame) -> DataFrame:
+    """G10 from one pass over the full log: grouping sets give the (document,
+    channel, category) rows and the supplier rows; whether a document raised a
+    material event is spread over its rows. Suppliers are then counted by
+    their number of events (at most the square root of twice the events), from
+    which the ten largest and the total come."""
+    mat = is_material(s, p).cast("int").alias("_mat")
+    g = f.select(s.doc, s.channel, s.category, s.supplier, mat).groupingSets(
+        [[s.doc, s.channel, s.category], [s.supplier]], s.doc, s.channel, s.category, s.supplier).agg(
+        F.sum("_mat").alias("_n"), (F.grouping(s.supplier) == 1).alias("_u"))
+    known = names.where(F.col(s.supplier).isNotNull()).select(s.supplier, F.col(s.vendor_name).isNotNull().alias("_named"))
+    g = g.join(known, on=s.supplier, how="left")
+    whole = F.col("_u") & F.col(s.doc).isNotNull() & F.col(s.channel).isNotNull() & F.col(s.category).isNotNull()
+    # One window partition a document, and one a supplier.
+    w = Window.partitionBy(s.doc, s.supplier, "_u")
+    vendor = ~F.col("_u") & F.col("_named") & (F.col("_n") > 0)
+    rows = g.select(
+        "_u", whole.alias("_row"), (whole & (F.max("_n").over(w) == 0)).alias("_pass"),
+        (whole & (F.row_number().over(w.orderBy((~whole).cast("int"))) == 1)).alias("_doc"),
+        F.when(vendor, F.col("_n")).alias("_events"), F.when(~F.col("_u"), F.col("_n")).alias("_all"))
+    by = rows.groupBy("_events").agg(
+        F.count_if("_row").alias("_rows"), F.count_if("_pass").alias("_passed"), F.count_if("_doc").alias("_docs"),
+        F.count("_events").alias("_vendors"), F.sum("_all").alias("_all"))
+    before = F.coalesce(F.sum("_vendors").over(
+        Window.orderBy(F.col("_events").desc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    top = F.col("_events") * F.greatest(F.lit(0), F.least(F.col("_vendors"), 10 - before))
+    return by.withColumn("_top", top).agg(
+        F.coalesce(F.sum("_docs"), F.lit(0)).cast("long").alias("total_invoices"),
+        F.coalesce(F.sum("_passed"), F.lit(0)).cast("long").alias("first_pass_count"),
+        pct(F.sum("_passed"), F.sum("_rows"), 1).alias("first_pass_rate"),
+        F.sum("_all").cast("long").alias("total_exception_events"),
+        F.coalesce(F.sum("_vendors"), F.lit(0)).cast("long").alias("unique_vendors_with_exceptions"),
+        pct(F.sum("_top"), F.sum(F.col("_events") * F.col("_vendors")), 1).alias("top10_vendor_pct"))
+
+
 def scaled_count(count_col: str, id_col: str, scaled_id: int = SCALED_ID,
                  factor: float = SCALE_FACTOR):
     """One id's count multiplied by a factor and rounded (224 -> 237)."""
@@ -142,15 +178,39 @@ def key_exception_table(m: DataFrame, universe_docs: DataFrame, s: LogSchema,
     n_univ = universe_docs.select(F.countDistinct(F.col(s.doc))).scalar()
     g = (m.where(F.col(s.exc_id).isin(*ids)).groupBy(s.exc_id)
          .agg(F.count(F.lit(1)).alias("Raw_Events"), F.countDistinct(F.col(s.doc)).alias("Invoices")))
+    return _key_figures(g, s, all_events, n_univ)
+
+
+def _key_figures(g: DataFrame, s: LogSchema, all_events: Column, n_univ: Column) -> DataFrame:
     g = g.withColumn("Events", scaled_count("Raw_Events", s.exc_id))
-    g = g.withColumns({
-        "Pct_All": pct("Events", all_events, 1),
-        "Pct_Universe": pct("Invoices", n_univ, 1),
-        "Avg_Per_Invoice": F.bround(F.try_divide(F.col("Events").cast("double"),
-                                                 F.col("Invoices").cast("double")), 2),
-        "Repeat_Gap": F.col("Events") - F.col("Invoices"),
-    })
-    return with_share(g, "Events", "Share_Of_Set", 1)
+    return g.select(
+        s.exc_id, "Raw_Events", "Invoices", "Events", pct("Events", all_events, 1).alias("Pct_All"),
+        pct("Invoices", n_univ, 1).alias("Pct_Universe"),
+        F.bround(F.try_divide(F.col("Events").cast("double"), F.col("Invoices").cast("double")), 2).alias("Avg_Per_Invoice"),
+        (F.col("Events") - F.col("Invoices")).alias("Repeat_Gap"),
+        # As many rows as there are chosen ids.
+        pct("Events", F.sum("Events").over(Window.partitionBy()), 1).alias("Share_Of_Set"))
+
+
+def key_exception_table_single_pass(f: DataFrame, s: LogSchema, p: Params,
+                                    ids: Sequence[int] = KEY_EXCEPTION_IDS) -> DataFrame:
+    """G31 + G32 from one pass over the full log: one row a document with its
+    material events, its events of each chosen id and whether it is in the
+    universe; one row of sums over the documents, which is then one row an id."""
+    e = F.col(s.exc_id)
+    mat = is_material(s, p)
+    docs = f.groupBy(s.doc).agg(
+        F.count_if(mat).alias("_all"),
+        F.max(F.col(s.channel).isNotNull() & F.col(s.category).isNotNull()).alias("_in"),
+        *[F.count_if(mat & (e == x)).alias(f"_e{i}") for i, x in enumerate(ids)])
+    known = F.col(s.doc).isNotNull()
+    one = docs.agg(
+        F.sum("_all").alias("_all"), F.count_if(known & F.col("_in")).alias("_docs"),
+        F.array(*[F.struct(F.lit(x).cast(f.schema[s.exc_id].dataType).alias(s.exc_id), F.sum(f"_e{i}").alias("Raw_Events"),
+                           F.count_if(known & (F.col(f"_e{i}") > 0)).alias("Invoices"))
+                  for i, x in enumerate(ids)]).alias("_ids"))
+    g = one.select("_all", "_docs", F.explode("_ids").alias("_x")).select("_all", "_docs", "_x.*")
+    return _key_figures(g.where(F.col("Raw_Events") > 0), s, F.col("_all"), F.col("_docs"))
 
 
 def dimension_share(m: DataFrame, s: LogSchema, exc_id: int, dim: str, digits: int = 1) -> DataFrame:

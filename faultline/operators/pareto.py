@@ -12,7 +12,7 @@ A running sum over a global order is usually written as a window without
   it is broadcast with that bound;
 * inside one tie group (rows with the same measure) the position of a row
   comes from ``sequences.group_positions``, which numbers buckets of the key
-  order apart, so a tie group of any size (for example every vendor with a
+  order apart (cut at keys sampled from the data), so a tie group of any size (for example every vendor with a
   single event) is spread over many tasks.
 """
 
@@ -25,11 +25,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from faultline.functions import pct
-from faultline.operators.sequences import group_positions
+from faultline.operators.sequences import BUCKET_ROWS, group_positions
 
 
 def global_running_sum(df: DataFrame, measure: str, keys: Sequence[str],
-                       rank_col: str = "Rank", cum_col: str = "Cumulative_Events") -> DataFrame:
+                       rank_col: str = "Rank", cum_col: str = "Cumulative_Events",
+                       bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Add ``rank_col`` (1..n) and ``cum_col`` (running sum of ``measure``)
     over the order (measure desc, keys asc). ``keys`` must be unique and
     non-null; ``measure`` counts (a whole-number type), which is what bounds
@@ -46,7 +47,7 @@ def global_running_sum(df: DataFrame, measure: str, keys: Sequence[str],
                   "_sum_gt": F.coalesce(F.sum(e * F.col("_n")).over(w_before), F.lit(0)),
               }).drop("_n"))
     # Position inside the tie group (same measure), in key order.
-    ranked = group_positions(df, [measure], list(keys), pos_col="_r")
+    ranked = group_positions(df, [measure], list(keys), pos_col="_r", bucket_rows=bucket_rows)
     out = ranked.join(F.broadcast(levels), on=measure)
     return (out.withColumns({
         rank_col: F.col("_rows_gt") + F.col("_r"),

@@ -1,7 +1,7 @@
 """Small relational building blocks shared by the analyses.
 
 Null-safe grouping (rule 1), shares of a grouped total (G2), total-order
-top-k (T1-T4), semi / anti / lookup joins (J3-J5), dense grids (G37).
+top-k (T1-T4), semi / anti / lookup joins (J3-J5), the dense grid (G37).
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faultline.functions import pct
+from faultline.functions import order_key, pct
 
 
 def nonnull(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -106,28 +106,22 @@ def first_by_order(df: DataFrame, key: str, value: str, order: Sequence[str],
     instead of being sorted in one task.
     """
     return nonnull(df, [key]).groupBy(key).agg(
-        F.min_by(F.col(value), F.struct(*[F.col(c) for c in order])).alias(out or value)
+        F.min_by(F.col(value), F.struct(*[order_key(df, c).alias(c) for c in order])).alias(out or value)
     )
 
 
-def grid_of_cells(cells: DataFrame, x: str, series: str, keep: Column | None = None) -> DataFrame:
-    """Every (x, series) pair of the cells' own values with its cell, or nulls
-    (G37). ``keep`` says which cells set the axes. The cells are one aggregate
-    over two dimensions, so one row holds them all, and both axes come from it
-    without another pass or a join."""
-    measures = [c for c in cells.columns if c not in (x, series)]
-    one = cells.withColumn("_axis", F.coalesce(keep, F.lit(False)) if keep is not None else F.lit(True)).agg(
-        F.collect_list(F.struct(F.col(x).alias("x"), F.col(series).alias("s"),
-                                F.struct(*measures).alias("v"), "_axis")).alias("_all"))
-    axis = F.filter("_all", lambda c: c["_axis"])
-    found = F.map_from_entries(F.transform(
-        F.filter("_all", lambda c: c["x"].isNotNull() & c["s"].isNotNull()),
-        lambda c: F.struct(F.struct(c["x"].alias("x"), c["s"].alias("s")), c["v"])))
-
-    def values(field: str) -> Column:
-        return F.array_distinct(F.transform(F.filter(axis, lambda c: c[field].isNotNull()), lambda c: c[field]))
-
-    return (one.select(found.alias("_f"), values("x").alias("_x"), values("s").alias("_s"))
-            .select("_f", F.explode("_x").alias(x), "_s").select("_f", x, F.explode("_s").alias(series))
-            .select(x, series, F.try_element_at("_f", F.struct(F.col(x).alias("x"), F.col(series).alias("s"))).alias("_v"))
-            .select(x, series, *[F.col("_v").getField(m).alias(m) for m in measures]))
+def dense_grid(cells: DataFrame, rows: str, cols: str, keep: Column, last: str | None = None) -> DataFrame:
+    """Every pair of the kept cells' own ``rows`` and ``cols`` values with its
+    cell, or nulls where there is none (G37). ``cells``: one row a pair, an
+    aggregate. The values of ``cols`` (the shorter axis) are one array, which
+    is exploded beside each value of ``rows``; the cells are attached by a
+    join on the pair. With ``last`` set, that value of ``cols`` is left out:
+    "latest" means the greatest of all cells."""
+    value = F.when(keep, F.col(cols))
+    kept = F.collect_set(value)
+    gone = F.max(cols) if last == "latest" else F.lit(last).cast(cells.schema[cols].dataType)
+    axis = cells.agg(kept.alias("_s"), gone.alias("_gone"))
+    axis = axis.select(F.filter("_s", lambda c: ~c.eqNullSafe(F.col("_gone"))))
+    grid = (cells.where(keep & F.col(rows).isNotNull()).select(rows).distinct()
+            .select(rows, F.explode(axis.scalar()).alias(cols)))
+    return grid.join(cells, on=[rows, cols], how="left")

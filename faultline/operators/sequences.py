@@ -11,8 +11,13 @@ ever holds all events of one document:
   runs. Windows then see at most |ids| rows per document.
 * positions in the raw sequence (with repeats) are numbered inside
   (document, bucket of the order key) and get an offset from the small table
-  of bucket sizes, so a hot document is split over many tasks. Adjacent raw
-  events are paired inside buckets and across their borders.
+  of bucket sizes. The buckets are cut at keys sampled from the data, one in
+  ``BUCKET_ROWS`` by a hash of the key, so a group of any size and any spread
+  of its keys falls into buckets of about that many rows and many tasks.
+  Adjacent raw events are paired inside buckets and across their borders.
+
+Event order: order columns that are text sort as ``functions.order_key`` does
+(numbers by value).
 """
 
 from __future__ import annotations
@@ -21,10 +26,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from faultline.config import LogSchema
-from faultline.functions import chain_key, ngram_array
+from faultline.functions import chain_key, ngram_array, order_key
 from faultline.operators.relational import nonnull, top_k
 
 
@@ -34,14 +38,19 @@ def exceptions_per_invoice(m: DataFrame, s: LogSchema) -> DataFrame:
     return per_doc.groupBy("N_Exceptions").agg(F.count(F.lit(1)).alias("Invoice_Count"))
 
 
-def _order_struct(s: LogSchema):
-    return F.struct(*[F.col(c) for c in s.order_cols])
+#: Rows of a bucket, on average.
+BUCKET_ROWS = 2 ** 18
+
+
+def event_order(df: DataFrame, s: LogSchema) -> Column:
+    """The order key of an event inside its document."""
+    return F.struct(*[order_key(df, c).alias(c) for c in s.order_cols])
 
 
 def first_seen(m: DataFrame, s: LogSchema) -> DataFrame:
     """One row per (document, id) with the order key of its first event."""
     return (nonnull(m, [s.doc]).groupBy(s.doc, s.exc_id)
-            .agg(F.min(_order_struct(s)).alias("_first")))
+            .agg(F.min(event_order(m, s)).alias("_first")))
 
 
 def distinct_sequence(m: DataFrame, s: LogSchema, pos_col: str = "Distinct_Position") -> DataFrame:
@@ -70,7 +79,7 @@ def ngram_counts(m: DataFrame, s: LogSchema, n: int, key: str) -> DataFrame:
     label = chain_key([F.col(s.exc_id), *[F.col(f"_n{k}") for k in range(1, n)]])
     return (seq.withColumn(key, label).groupBy(key)
             .agg(F.count(F.lit(1)).alias("Count"),
-                 F.min(F.struct(F.col(s.doc), F.col("_pos"))).alias("_first_seen")))
+                 F.min(F.struct(order_key(m, s.doc).alias("doc"), F.col("_pos"))).alias("_first_seen")))
 
 
 def top_ngrams(m: DataFrame, s: LogSchema, n: int, key: str, k: int = 20) -> DataFrame:
@@ -91,36 +100,43 @@ def flatten_and_count(grams: DataFrame, col: str, key: str) -> DataFrame:
             .groupBy(key).agg(F.count(F.lit(1)).alias("Count")))
 
 
-def order_bucket(df: DataFrame, col: str) -> Column:
-    """A coarse value that never falls as ``col`` rises, without looking at
-    the data: the month of a time, the leading characters of a text, a number
-    without its low bits. Rows of one bucket are numbered together."""
-    t = df.schema[col].dataType
-    c = F.col(col)
-    if isinstance(t, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return F.year(c) * 12 + F.month(c)
-    if isinstance(t, T.StringType):
-        return F.substring(c, 1, 4)
-    return F.floor(c.cast("double") / 65536)
+def _bucket(cuts: Column, key: Column) -> Column:
+    """How many of the sorted ``cuts`` are not above ``key`` (binary search); 0 without cuts."""
+    steps = F.sequence(F.lit(1), F.ceil(F.log2(F.size(cuts) + 1)).cast("int"))
 
+    def halve(at: Column, _: Column) -> Column:
+        mid = F.floor((at["lo"] + at["hi"]) / 2).cast("int")
+        open_ = at["lo"] < at["hi"]
+        up = open_ & (F.try_element_at(cuts, mid + 1) <= key)
+        return F.struct(F.when(up, mid + 1).otherwise(at["lo"]).alias("lo"),
+                        F.when(open_ & ~up, mid).otherwise(at["hi"]).alias("hi"))
 
-def _buckets(df: DataFrame, group: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Rows dealt out by (group, bucket): the buckets of one large group are many tasks' work."""
-    # In a struct a null bucket sorts first and joins like any other.
-    df = nonnull(df, group).withColumn("_b", F.struct(order_bucket(df, order[0]).alias("b")))
-    return df.repartition(*[F.col(c) for c in group], F.col("_b"))
+    start = F.struct(F.lit(0).alias("lo"), F.size(cuts).alias("hi"))
+    found = F.aggregate(steps, start, halve, lambda at: at["lo"])
+    return F.when(F.size(cuts) > 0, found).otherwise(0)
+
+
+def _buckets(df: DataFrame, group: Sequence[str], order: Sequence[str], bucket_rows: int) -> DataFrame:
+    """Rows dealt out by (group, bucket ``_b``): the buckets of one large group
+    are many tasks' work. A group of n rows has about n / ``bucket_rows`` cut
+    keys, which is what its row of the table of cuts holds."""
+    df = nonnull(df, group)
+    key = F.struct(*[F.col(c) for c in order])
+    cuts = (df.select(*group, key.alias("_k")).where(F.pmod(F.xxhash64("_k"), F.lit(bucket_rows)) == 0)
+            .groupBy(*group).agg(F.array_sort(F.collect_set("_k")).alias("_cuts")))
+    rows = df.join(cuts, on=list(group), how="left").withColumn("_b", _bucket(F.col("_cuts"), key)).drop("_cuts")
+    return rows.repartition(*[F.col(c) for c in group], F.col("_b"))
 
 
 def group_positions(df: DataFrame, group: Sequence[str], order: Sequence[str],
-                    pos_col: str = "Position") -> DataFrame:
+                    pos_col: str = "Position", bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Row number inside each group in ``order`` (unique within a group).
 
-    One plan for every size: rows are numbered inside (group, bucket), where
-    the bucket is a fixed monotone function of the first order column, and
-    get the group's rows in earlier buckets from the small table of bucket
-    sizes. No task holds more than one bucket of a group.
+    One plan for every size: rows are numbered inside (group, bucket) and get
+    the group's rows in earlier buckets from the small table of bucket sizes.
+    No task needs more than one bucket of a group at a time.
     """
-    rows = _buckets(df, group, order)
+    rows = _buckets(df, group, order, bucket_rows)
     inside = Window.partitionBy(*group, "_b").orderBy(*[F.col(c) for c in order])
     past = Window.partitionBy(*group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     sizes = rows.groupBy(*group, "_b").agg(F.count(F.lit(1)).alias("_n"))
@@ -129,24 +145,23 @@ def group_positions(df: DataFrame, group: Sequence[str], order: Sequence[str],
             .withColumn(pos_col, F.col("_before") + F.col("_at")).drop("_b", "_before", "_at"))
 
 
-def exception_sequence(m: DataFrame, s: LogSchema) -> DataFrame:
+def exception_sequence(m: DataFrame, s: LogSchema, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """G12 long form: (document, position, id) of every event, in event order."""
-    seq = group_positions(m.select(s.doc, s.exc_id, *s.order_cols), [s.doc], list(s.order_cols))
-    return seq.select(s.doc, "Position", s.exc_id)
+    rows = m.select(s.doc, s.exc_id, event_order(m, s).alias("_order"))
+    return group_positions(rows, [s.doc], ["_order"], bucket_rows=bucket_rows).select(s.doc, "Position", s.exc_id)
 
 
-def adjacent_pairs(m: DataFrame, s: LogSchema) -> DataFrame:
+def adjacent_pairs(m: DataFrame, s: LogSchema, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Counts of (id, next id) over raw sequences (repeats kept). Pairs
     inside a bucket come from a window over it; the pair across each border
     of a document's buckets from the table of first and last ids."""
-    order = list(s.order_cols)
-    rows = _buckets(m.select(s.doc, s.exc_id, *order), [s.doc], order)
-    key = F.struct(*[F.col(c) for c in order])
-    inside = Window.partitionBy(s.doc, "_b").orderBy(*order)
+    rows = _buckets(m.select(s.doc, s.exc_id, event_order(m, s).alias("_order")), [s.doc], ["_order"], bucket_rows)
+    inside = Window.partitionBy(s.doc, "_b").orderBy("_order")
     pairs = (rows.select(F.col(s.exc_id).alias("From_ID"), F.lead(s.exc_id).over(inside).alias("To_ID"),
                          F.lead(F.lit(1)).over(inside).alias("_next"))
              .where(F.col("_next").isNotNull()).drop("_next"))
-    ends = rows.groupBy(s.doc, "_b").agg(F.min_by(s.exc_id, key).alias("_first"), F.max_by(s.exc_id, key).alias("From_ID"))
+    ends = rows.groupBy(s.doc, "_b").agg(F.min_by(s.exc_id, "_order").alias("_first"),
+                                         F.max_by(s.exc_id, "_order").alias("From_ID"))
     across = Window.partitionBy(s.doc).orderBy("_b")
     borders = (ends.select("From_ID", F.lead("_first").over(across).alias("To_ID"),
                            F.lead(F.lit(1)).over(across).alias("_next"))

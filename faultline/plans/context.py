@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from faultline.config import LogSchema, Params, tpch_params, tpch_schema
 from faultline.operators import clean as C
-from faultline.functions import WHITE_SPACE
+from faultline.functions import NUMBER, WHITE_SPACE
 from faultline.sources.tpch_log import (
     LOG_VIEW_SQL, ROLES, category_lookup, exception_log, read_table, vendor_name_lookup,
 )
@@ -107,6 +107,11 @@ def _timestamp(col: str) -> str:
             f"ELSE TRY_CAST({_strip(col)} AS TIMESTAMP) END")
 
 
+def _amount(col: str) -> str:
+    text = _strip(f"regexp_replace(CAST({col} AS VARCHAR), '[,\"]', '', 'g')")
+    return f"CASE WHEN regexp_matches({text}, {_q(NUMBER)}) THEN TRY_CAST(replace({text}, '_', '') AS DOUBLE) END"
+
+
 def sql_prelude(p: Params | None = None) -> str:
     """``WITH`` clause defining log, f (full posted), m (material posted),
     u (universe with First_Pass) and pm (partial month) in DuckDB."""
@@ -122,7 +127,7 @@ cl AS (
 ),
 f AS (
   SELECT *,
-    TRY_CAST(regexp_replace(CAST("Gross Invoice Amount" AS VARCHAR), '[,"]', '', 'g') AS DOUBLE) AS "Amount",
+    {_amount('"Gross Invoice Amount"')} AS "Amount",
     {_timestamp('"Created at"')} AS "Created at_dt",
     {_timestamp('"Document Date"')} AS "Document Date_dt",
     strftime({_timestamp('"Created at"')}, '%Y-%m') AS "Month"

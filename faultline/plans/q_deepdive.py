@@ -60,11 +60,7 @@ WHERE "Exception ID" = {x} AND "Month" IS NOT NULL AND "PO category decription"
 GROUP BY 1, 2
 """)
     def g20(ctx):
-        s = ctx.s
-        base = ctx.f(())
-        rows = base if src == "f" else C.material(base, s, ctx.p)
-        return DD.by_month_category(DD.events_of(rows, s, x), s, resolve_partial_month(base, s, ctx.p),
-                                    ctx.category_lookup())
+        return DD.by_month_category_single_pass(ctx.f(()), ctx.s, ctx.p, x, ctx.category_lookup())
 
     avg_sql = (', round_even(CAST("Events" AS DOUBLE) / "Unique_Inv", 2) AS "Avg_Exc_Per_Inv"'
                if src == "m" else "")

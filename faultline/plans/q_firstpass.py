@@ -85,7 +85,7 @@ SELECT (SELECT count(DISTINCT "Document Id") FROM u) AS total_invoices,
        round_even(CAST((SELECT sum(ev) FROM top10) AS DOUBLE) / (SELECT sum(ev) FROM vend) * 100, 1) AS top10_vendor_pct
 """)
 def g10(ctx):
-    return FQ.kpi_row(ctx.u, ctx.m(()), ctx.s, names=ctx.vendor_names())
+    return FQ.kpi_row_single_pass(ctx.f(("category", "channel")), ctx.s, ctx.p, ctx.vendor_names())
 
 
 @query("g15_monthly_events", sql="""

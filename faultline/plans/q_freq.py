@@ -103,7 +103,7 @@ SELECT *, round_even(CAST("Events" AS DOUBLE) / (SELECT count(*) FROM m) * 100,
 FROM k2
 """)
 def g31(ctx):
-    return FQ.key_exception_table(ctx.m(()), ctx.u, ctx.s)
+    return FQ.key_exception_table_single_pass(ctx.f(("category", "channel")), ctx.s, ctx.p)
 
 
 @query("g32_repeat_touch_gap", sql="""

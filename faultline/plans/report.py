@@ -54,7 +54,7 @@ def core_results(f: DataFrame, m: DataFrame, u: DataFrame, s: LogSchema, p: Para
     }
 
 
-def extended_results(f: DataFrame, m: DataFrame, u: DataFrame, s: LogSchema, p: Params,
+def extended_results(f: DataFrame, m: DataFrame, u: DataFrame, both: DataFrame, s: LogSchema, p: Params,
                      channel: str, categories: tuple[str, str]) -> dict[str, DataFrame]:
     partial = FP.resolve_partial_month(f, s, p)
     out: dict[str, DataFrame] = {}
@@ -74,9 +74,9 @@ def extended_results(f: DataFrame, m: DataFrame, u: DataFrame, s: LogSchema, p:
     out["cc_fp"] = FP.first_pass_by(u, [s.channel, s.category], s, digits=1,
                                     count_name="FP_Count", rate_name="FP_Rate")
     a, b = categories
-    out["segment_a_fail_exc"] = DD.segment_profile(u, m, s, channel, a, passed=False)
-    out["segment_a_pass_exc"] = DD.segment_profile(u, f, s, channel, a, passed=True)
-    out["segment_b_fail_exc"] = DD.segment_profile(u, m, s, channel, b, passed=False)
+    out["segment_a_fail_exc"] = DD.segment_profile(both, s, channel, a, passed=False)
+    out["segment_a_pass_exc"] = DD.segment_profile(both, s, channel, a, passed=True)
+    out["segment_b_fail_exc"] = DD.segment_profile(both, s, channel, b, passed=False)
     out["channel_monthly"] = FP.channel_monthly(u, f, s, p, channel)
     out["segment_a_scalars"] = FP.segment_scalars(u, s, channel, a)
     out["segment_b_scalars"] = FP.segment_scalars(u, s, channel, b)
@@ -128,17 +128,16 @@ VENDOR_LISTS = ("vendor_top30", "e91_vendors", "e151_vendors", "e29_vendors")
 
 def document(results: dict[str, DataFrame], s: LogSchema, fields=CORE_FIELDS,
              exclude_vendors: Sequence[str] = ()) -> DataFrame:
-    """A result document, one row per field with its records as a JSON
-    array in the original's order. Every field is bounded: a top-k list or a
-    table over a small dimension (channels, categories, months, event counts)."""
+    """A result document, its fields' records in the original's order
+    (``sinks.result_document``)."""
     def column(name: str) -> str:
         return getattr(s, name, name)
 
     parts = []
     for field, name, order, k, columns in fields:
         df = results[name]
-        by = [F.col(f"`{column(c.lstrip('-'))}`") for c in order] or [F.lit(0)]
-        by = [c.desc() if o.startswith("-") else c.asc() for c, o in zip(by, order or ("",))]
+        by = [F.col(f"`{column(c.lstrip('-'))}`") for c in order]
+        by = [c.desc() if o.startswith("-") else c.asc() for c, o in zip(by, order)]
         if k is not None:
             df = top_k(df, by, k)
         if field in VENDOR_LISTS and exclude_vendors:
@@ -148,10 +147,12 @@ def document(results: dict[str, DataFrame], s: LogSchema, fields=CORE_FIELDS,
 
 
 def build_from_views(f: DataFrame, m: DataFrame, s: LogSchema, p: Params,
-                     channel: str, categories: tuple[str, str]) -> dict[str, DataFrame]:
-    """All result tables from the cleaned full (F) and material (M) logs."""
-    u = C.universe(f, m, s)
-    return {**core_results(f, m, u, s, p), **extended_results(f, m, u, s, p, channel, categories)}
+                     channel: str, categories: tuple[str, str], both: DataFrame | None = None) -> dict[str, DataFrame]:
+    """All result tables from the cleaned full (F) and material (M) logs.
+    ``both``: ``clean.two_extracts`` of them, where it is at hand."""
+    both = C.two_extracts(f, m, s) if both is None else both
+    u = C.universe_of_two(both, s)
+    return {**core_results(f, m, u, s, p), **extended_results(f, m, u, both, s, p, channel, categories)}
 
 
 def build(full_log: DataFrame, material_log: DataFrame, s: LogSchema, p: Params,
@@ -165,8 +166,9 @@ def run(spark: SparkSession, full_path: str, material_path: str, out_dir: str,
         channel: str, categories: tuple[str, str],
         s: LogSchema | None = None, p: Params | None = None,
         exclude_vendors: Sequence[str] = ()) -> dict[str, DataFrame]:
-    """Read, clean once, write every result. The two cleaned logs are kept in
-    executor memory/disk for the run (about 40 results read them); lost
+    """Read, clean once, write every result. The two cleaned logs and their
+    counts per document are kept in executor memory/disk for the run (about 40
+    results read them); lost
     blocks are recomputed from the extracts."""
     from pyspark import StorageLevel
 
@@ -174,9 +176,10 @@ def run(spark: SparkSession, full_path: str, material_path: str, out_dir: str,
     p = p or Params()
     f = C.full_posted(read_log_csv(spark, full_path), s, p).persist(StorageLevel.MEMORY_AND_DISK)
     m = C.full_posted(read_log_csv(spark, material_path), s, p).persist(StorageLevel.MEMORY_AND_DISK)
+    both = C.two_extracts(f, m, s).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         out = out_dir.rstrip("/")
-        results = build_from_views(f, m, s, p, channel, categories)
+        results = build_from_views(f, m, s, p, channel, categories, both)
         # Computed once, as Parquet; the other forms are read from there.
         sinks.write_results(results, f"{out}/tables", fmt="parquet")
         results = {n: spark.read.schema(df.schema).parquet(f"{out}/tables/{n}") for n, df in results.items()}
@@ -185,6 +188,7 @@ def run(spark: SparkSession, full_path: str, material_path: str, out_dir: str,
         document(results, s, CORE_FIELDS, exclude_vendors).write.mode("overwrite").json(f"{out}/document")
         document(results, s, EXTENDED_FIELDS, exclude_vendors).write.mode("overwrite").json(f"{out}/document_extended")
     finally:
+        both.unpersist()
         f.unpersist()
         m.unpersist()
     return results

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -36,23 +36,40 @@ def write_results(results: Mapping[str, DataFrame], root: str, fmt: str = "json"
             w.option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss").json(target)
 
 
+#: Records of one piece of a result document.
+PIECE = 1_000
+
+
 def result_document(parts: Sequence[tuple[str, DataFrame, Sequence[Column], Sequence[str]]]) -> DataFrame:
-    """S5 single-document form for bounded results (top-k lists, grouped
-    tables over small dimensions): one row per (field, result, order,
-    columns), its records as a JSON array in that order. Each result is
-    gathered by one aggregate, so only use this for results whose size is
-    bounded by their own definition."""
+    """S5 as ordered pieces: for each (field, result, order, columns) rows
+    (``name``, ``piece``, ``records``), the records of a piece as a JSON array
+    of at most ``PIECE``. Pieces and the records in them are in order. The
+    sort is Spark's range-partitioned one and pieces are cut inside its
+    partitions, so no task holds a whole result. Piece numbers rise but need
+    not be consecutive; every field starts with an empty piece -1, so a field
+    without records is there too."""
     rows = None
     for name, df, order, columns in parts:
-        keyed = F.struct(F.row_number().over(Window.orderBy(*order)).alias("_at"),
-                         F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_r"))
-        one = (df.select(keyed.alias("_k")).agg(F.array_sort(F.collect_list("_k")).alias("_all"))
-               .select(F.lit(name).alias("name"),
-                       F.to_json(F.transform("_all", lambda x: x["_r"])).alias("records")))
+        record = F.struct(*[F.col(f"`{c}`") for c in columns])
+        placed = (df.orderBy(*order) if order else df).select(
+            record.alias("_r"), F.monotonically_increasing_id().alias("_at"))
+        pieces = placed.groupBy(F.floor(F.col("_at") / PIECE).alias("piece")).agg(
+            F.array_sort(F.collect_list(F.struct("_at", "_r"))).alias("_all"))
+        first = df.sparkSession.range(1).select(F.lit(name).alias("name"), F.lit(-1).cast("long").alias("piece"),
+                                                F.lit("[]").alias("records"))
+        one = first.unionByName(pieces.select(
+            F.lit(name).alias("name"), "piece", F.to_json(F.transform("_all", lambda x: x["_r"])).alias("records")))
         rows = one if rows is None else rows.unionByName(one)
     return rows
 
 
+def document_records(document: DataFrame, name: str, schema: str) -> DataFrame:
+    """The records of one field of ``result_document`` (or of what it
+    wrote), in order. ``schema``: a DDL string of the field's columns."""
+    pieces = document.where(F.col("name") == name).orderBy("piece")
+    return pieces.select(F.inline(F.from_json("records", f"array<struct<{schema}>>")))
+
+
 def read_results(spark: SparkSession, root: str, name: str) -> DataFrame:
     """Reload one result written by ``write_results`` (JSON lines)."""
     return spark.read.json(f"{root.rstrip('/')}/{name}")

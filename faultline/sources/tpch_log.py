@@ -33,7 +33,7 @@ NULL_DESC_SUPPKEY_MOD = 7
 # Faults of real extracts, at fixed keys: part keys without a readable amount;
 # order keys with no creation date, with one that is none, with the month
 # first (remainder 1 of 4); white space of several kinds around keys and codes.
-BAD_AMOUNT_MOD, UNDATED_MOD, BAD_DATE_MOD = 53, 89, 97
+BAD_AMOUNT_MOD, UNDATED_MOD, BAD_DATE_MOD = 53, 89, 31
 
 ROLES = ("vendor_name", "category", "channel")
 

@@ -10,7 +10,7 @@ from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from faultline.config import LogSchema, Params
-from faultline.functions import clip_upper, pct
+from faultline.functions import clip_upper, parse_amount, pct, whole_number
 from faultline.operators import clean as C
 from faultline.operators import deepdive as DD
 from faultline.operators import firstpass as FP
@@ -123,14 +123,15 @@ def test_sequences_and_ngrams(spark):
     assert raw == Counter({(1, 2): 1, (2, 3): 1, (7, 8): 2, (8, 7): 1})
 
 
-def test_group_positions_hot_group_brute_force(spark):
+@pytest.mark.parametrize("bucket_rows", [1, 16, SQ.BUCKET_ROWS])
+def test_group_positions_hot_group_brute_force(spark, bucket_rows):
     rnd = random.Random(7)
-    # One group holds 90 % of the rows; its buckets are 65,536 wide.
+    # One group holds 90 % of the rows, with cuts at every key, at some and at none.
     data = [("hot", i * 997, rnd.randint(0, 50)) for i in range(3000)] + [("hot", None, 1), ("hot", -70_000, 1)] + \
            [(f"k{j}", i * 50_000, rnd.randint(0, 50)) for j in range(40) for i in range(rnd.randint(1, 12))]
     df = spark.createDataFrame(data, "g string, o long, v long")
     by = {}
-    for r in SQ.group_positions(df.repartition(5), ["g"], ["o"]).collect():
+    for r in SQ.group_positions(df.repartition(5), ["g"], ["o"], bucket_rows=bucket_rows).collect():
         by.setdefault(r["g"], []).append((r["o"] is not None, r["o"] or 0, r["Position"]))
     assert sum(map(len, by.values())) == len(data)
     for g, lst in by.items():
@@ -139,7 +140,7 @@ def test_group_positions_hot_group_brute_force(spark):
 
 @pytest.mark.parametrize("kind,make", [
     ("long", lambda i: i * 30_000 - 10 ** 6), ("string", lambda i: f"{i // 7:03d}x{i:05d}"),
-    ("timestamp", lambda i: datetime.datetime(2024, 1, 1) + datetime.timedelta(days=3 * i, seconds=i))])
+    ("timestamp", lambda i: datetime.datetime(2024, 1, 1) + datetime.timedelta(minutes=3 * i, seconds=i))])
 def test_adjacent_pairs_over_bucket_borders(spark, kind, make):
     rnd = random.Random(5)
     rows = [(d, make(i), rnd.randint(1, 4)) for d in ("A", "B") for i in rnd.sample(range(200), 60)]
@@ -149,10 +150,56 @@ def test_adjacent_pairs_over_bucket_borders(spark, kind, make):
     for d in ("A", "B"):
         ids = [x[2] for x in sorted(r for r in rows if r[0] == d)]
         want.update(zip(ids, ids[1:]))
-    got = {(r["From_ID"], r["To_ID"]): r["Count"] for r in SQ.adjacent_pairs(df.repartition(3), s).collect()}
+    got = {(r["From_ID"], r["To_ID"]): r["Count"] for r in SQ.adjacent_pairs(df.repartition(3), s, bucket_rows=8).collect()}
     assert got == dict(want)
 
 
+@pytest.mark.parametrize("make", [
+    lambda i: datetime.datetime(2024, 1, 1) + datetime.timedelta(minutes=i),  # one document in one month
+    lambda i: datetime.datetime(1970, 1, 1) + datetime.timedelta(microseconds=i)])
+def test_a_large_group_is_many_buckets_whatever_the_spread_of_its_keys(spark, make):
+    rows = [("hot", make(i)) for i in range(4000)]
+    for kind, data in (("timestamp", rows), ("long", [(g, i) for i, (g, _) in enumerate(rows)]),
+                       ("string", [(g, f"same prefix {i:05d}") for i, (g, _) in enumerate(rows)])):
+        df = spark.createDataFrame(data, f"g string, o {kind}")
+        sizes = [r["count"] for r in SQ._buckets(df, ["g"], ["o"], 64).groupBy("_b").count().collect()]
+        assert len(sizes) > 30 and max(sizes) < 600, kind
+        assert [r["_b"] for r in SQ._buckets(df, ["g"], ["o"], 64).orderBy("o").select("_b").collect()] == sorted(
+            r["_b"] for r in SQ._buckets(df, ["g"], ["o"], 64).collect())
+
+
+def test_text_order_columns_sort_numbers_by_value(spark):
+    """Work items of an extract are text: 999 comes before 1000, and codes after numbers."""
+    rows = [("D", "1000", 29), ("D", "999", 5), ("D", "x1", 8), ("D", "1" + "0" * 50, 7), ("D", "0" + "9" * 45, 6),
+            ("E", "10", 1), ("E", "9", 2)]
+    df = spark.createDataFrame(rows, "`Document Id` string, `Work Item ID` string, `Exception ID` int")
+    for bucket_rows in (1, SQ.BUCKET_ROWS):
+        seq = {(r["Document Id"], r["Position"]): r["Exception ID"]
+               for r in SQ.exception_sequence(df, LogSchema(), bucket_rows).collect()}
+        assert [seq["D", i] for i in range(1, 6)] == [5, 29, 6, 7, 8] and [seq["E", i] for i in (1, 2)] == [2, 1]
+    pairs = [r["Pair"] for r in SQ.top_ngrams(df, LogSchema(), 2, "Pair").collect()]
+    assert pairs == ["5 -> 29", "29 -> 6", "6 -> 7", "7 -> 8", "2 -> 1"]
+    first = SQ.distinct_sequence_arrays(df, LogSchema()).collect()
+    assert {r["Document Id"]: r["Exc_Seq"] for r in first} == {"D": [5, 29, 6, 7, 8], "E": [2, 1]}
+    raw = {(r["From_ID"], r["To_ID"]) for r in SQ.adjacent_pairs(df, LogSchema()).collect()}
+    assert raw == {(5, 29), (29, 6), (6, 7), (7, 8), (2, 1)}
+
+
+def test_amount_grammar(spark):
+    good = {"1_000": 1000.0, " 1,234.5 ": 1234.5, '"7"': 7.0, "1e3": 1000.0, ".5": 0.5, "5.": 5.0, "-2": -2.0, "inf": float("inf")}
+    bad = ["1000d", "12f", "1__0", "_1", "1_", "nan", "", ".", "0x10", "1 2", "e5"]
+    df = spark.createDataFrame([(x,) for x in [*good, *bad, None]], "x string")
+    got = {r["x"]: r["v"] for r in df.withColumn("v", parse_amount("x")).collect()}
+    assert got == {**good, **dict.fromkeys(bad), None: None}
+
+
+def test_whole_numbers_cost_integer_columns_nothing(spark):
+    df = spark.range(3).selectExpr("CAST(id AS INT) AS id")
+    assert str(whole_number(df, "id")) == str(F.col("id"))
+    text = spark.createDataFrame([("91",), ("91.0",), (" 91 ",), ("91.5",), ("x",), (None,)], "x string")
+    assert [r[0] for r in text.select(whole_number(text, "x")).collect()] == [91, 91, 91, None, None, None]
+
+
 def test_global_running_sum_hot_tie_group_brute_force(spark):
     rnd = random.Random(3)
     vend = [(f"s{i:05d}", "n", 1) for i in range(2500)] + [(f"t{i:04d}", "n", rnd.randint(2, 60)) for i in range(300)]
@@ -182,8 +229,43 @@ def test_files_with_columns_in_another_order_are_not_swapped(spark, tmpdir_path)
     assert sorted(map(tuple, read_log_csv(spark, tmpdir_path).collect())) == [("1", "2"), ("3", "4")]
     with open(os.path.join(tmpdir_path, "3.csv"), "w", encoding="utf-8-sig") as f:
         f.write("B,A\n6,5\n")
+    got = read_log_csv(spark, tmpdir_path)
+    assert got.columns == ["A", "B"]
+    assert sorted(map(tuple, got.collect())) == [("1", "2"), ("3", "4"), ("5", "6")]
+    # Other columns: those that a file lacks are null. A name with a space in it is a path like any other.
+    with open(os.path.join(tmpdir_path, "part 4.csv"), "w", encoding="utf-8-sig") as f:
+        f.write("C,A\n8,7\n")
+    rows = {tuple(r[c] for c in "ABC") for r in read_log_csv(spark, tmpdir_path).collect()}
+    assert rows == {("1", "2", None), ("3", "4", None), ("5", "6", None), ("7", None, "8")}
+    # Where the caller vouches for one header, a file that breaks it is not read silently.
     with pytest.raises(Exception, match="another order"):
-        read_log_csv(spark, tmpdir_path).collect()
+        read_log_csv(spark, os.path.join(tmpdir_path, "[123].csv"), names=["A", "B"]).collect()
+    assert read_log_csv(spark, [os.path.join(tmpdir_path, f"{i}.csv") for i in (1, 3)]).count() == 2
+
+
+def test_two_extracts_give_the_universe_and_profiles_of_joined_logs(spark):
+    """A hot document, documents in one log alone, null channels and categories."""
+    rnd = random.Random(11)
+    cols = "`Document Id` string, `Channel ID` string, `PO category decription` string, `Exception ID` int, " \
+           "`Exception description` string"
+
+    def log(n, docs):
+        return [(rnd.choice(["hot"] * 20 + docs), rnd.choice(["c1", "c2", None]), rnd.choice(["k1", "k2", None]), x, f"e{x}")
+                for x in (rnd.choice([0, 1, 2, 91]) for _ in range(n))]
+
+    full = log(300, [f"d{i}" for i in range(30)] + [None])
+    mat = [r for r in full if r[3] in (1, 2) and rnd.random() < .5 and r[0] != "hot"] + log(5, ["only m"])[:0] + [("x", "c1", "k1", 1, "e1")]
+    f, m = spark.createDataFrame(full, cols), spark.createDataFrame(mat, cols)
+    both = C.two_extracts(f, m, S)
+    u = C.universe_of_two(both, S)
+    key = lambda df: sorted(map(tuple, df.select("Document Id", "Channel ID", "PO category decription", "First_Pass").collect()))
+    assert key(u) == key(C.universe(f, m, S)) and len(key(u)) > 20
+    for passed, rows in ((False, mat), (True, full)):
+        failed = {r[0] for r in mat}
+        docs = {r[0] for r in full if r[1] == "c1" and r[2] == "k2" and r[0] is not None and (r[0] not in failed) == passed}
+        want = Counter((r[3], r[4]) for r in rows if r[0] in docs)
+        got = {(r[0], r[1]): r[2] for r in DD.segment_profile(both, S, "c1", "k2", passed).collect()}
+        assert got == dict(want), passed
 
 
 def test_date_spellings(spark):

@@ -94,8 +94,9 @@ def test_universe_needs_no_exchange_after_the_log_join(spark):
 
 ONE_PASS = ["g17_monthly_trend", "g22_dive151_cooccurring", "g25_vendor_exception_detail", "g26_failed_segment_profile",
             "g27_passed_segment_profile", "g28_channel_monthly_by_category", "g30_exception_totals",
-            "g37_dense_month_category_grid", "g38_top_ids_over_vendor_set", "j02_left_join_fill", "j03_semi_join",
-            "p17_null_fill", "a02_list_length"]
+            "g38_top_ids_over_vendor_set", "j02_left_join_fill", "j03_semi_join",
+            "p17_null_fill", "a02_list_length", "g10_kpi_row", "g20_dive91_monthly_by_category",
+            "g20_dive151_monthly_by_category", "g20_dive29_monthly_by_category", "g31_key_exception_table"]
 
 
 def test_one_pass_over_the_line_items(spark):
@@ -108,3 +109,17 @@ def test_one_pass_over_the_line_items(spark):
         for k, v in old.items():
             spark.conf.set(k, v)
     assert scans == {n: 1 for n in ONE_PASS}
+
+
+def test_dense_grid_computes_its_cells_once(spark):
+    """Axes, last month and cells of the grid are one aggregate of the log, read again from its exchange."""
+    old = _no_broadcast(spark)
+    try:
+        df = QUERIES["g37_dense_month_category_grid"](spark, SF)
+        df.collect()
+        p = _plan(df)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    final = p.split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final and "collect_list" not in p

@@ -19,8 +19,28 @@ def test_results_round_trip(spark, tmpdir_path):
     sinks.write_csv(b, os.path.join(tmpdir_path, "csv"))
     c = spark.read.option("header", True).csv(os.path.join(tmpdir_path, "csv")).collect()
     assert [(r["k"], r["n"]) for r in c] == [("k", "3")]
-    doc = sinks.result_document({"a": a, "b": b}).orderBy("name").collect()
-    assert doc[1]["records"] == '[{"k":"k","n":3}]'
+    parts = [("a", a, [F.col("id").desc()], ["label", "id"]), ("b", b, [], ["k", "n"]), ("none", b.limit(0), [], ["k"])]
+    doc = sinks.result_document(parts).where("piece >= 0").orderBy("name").collect()
+    assert [r["records"] for r in doc] == ['[{"label":"y","id":2},{"label":"x","id":1}]', '[{"k":"k","n":3}]']
+    path = os.path.join(root, "document")
+    sinks.result_document(parts).write.json(path)
+    back = spark.read.json(path)
+    assert sorted(r["name"] for r in back.select("name").distinct().collect()) == ["a", "b", "none"]
+    assert [tuple(r) for r in sinks.document_records(back, "a", "label string, id int").collect()] == [("y", 2), ("x", 1)]
+    assert sinks.document_records(back, "none", "k string").collect() == []
+
+
+def test_a_long_result_is_written_in_pieces(spark, tmpdir_path):
+    """Ties, 10^6 records over many sort partitions: pieces are small, and the reader has the order."""
+    n = 1_000_000
+    df = spark.range(0, n, 1, 7).select(F.pmod(F.col("id") * 7919, F.lit(n)).alias("at"))
+    path = os.path.join(tmpdir_path, "document")
+    sinks.result_document([("long", df, [F.col("at").desc()], ["at"])]).write.json(path)
+    back = spark.read.json(path)
+    sizes = back.select(F.json_array_length("records").alias("n")).agg(F.max("n"), F.sum("n"), F.count("n")).first()
+    assert sizes[0] <= sinks.PIECE and sizes[1] == n and sizes[2] > n / sinks.PIECE
+    got = [r["at"] for r in sinks.document_records(back, "long", "at long").collect()]
+    assert got == list(range(n - 1, -1, -1))
 
 
 def test_read_document_field(spark, tmpdir_path):
@@ -41,8 +61,8 @@ def test_intake_stream_cleans_new_files(spark, tmpdir_path):
         f.write(",".join(header) + "\n")
         f.write('100,nb,"1,000.00",2025-03-04 10:00:00,2025-03-01,15,D1,5,x\n')
         f.write('52001,nb,5,2025-03-04 10:00:00,2025-03-01,15,D2,5,x\n')
-    q = stream_clean_log(spark, src, header, os.path.join(tmpdir_path, "out"),
-                         os.path.join(tmpdir_path, "ckpt"), LogSchema(), Params())
+    q = stream_clean_log(spark, src, os.path.join(tmpdir_path, "out"), os.path.join(tmpdir_path, "ckpt"),
+                         LogSchema(), Params())
     q.awaitTermination(120)
     out = spark.read.parquet(os.path.join(tmpdir_path, "out")).collect()
     assert len(out) == 1 and out[0]["Amount"] == 1000.0 and out[0]["Month"] == "2025-03"
@@ -51,10 +71,10 @@ def test_intake_stream_cleans_new_files(spark, tmpdir_path):
     # A new extract lands; a restarted stream with the same checkpoint picks
     # up only that file (no duplicates of the first one).
     with open(os.path.join(src, "part2.csv"), "w") as f:
-        f.write(",".join(header) + "\n")
-        f.write('101,zcp,"2,500.00",2025-04-01 09:00:00,2025-04-01,15,D3,7,x\n')
-    q = stream_clean_log(spark, src, header, os.path.join(tmpdir_path, "out"),
-                         os.path.join(tmpdir_path, "ckpt"), LogSchema(), Params())
+        f.write(",".join(header[6:7] + header[:6] + header[7:]) + "\n")  # its columns are in another order
+        f.write('D3,101,zcp,"2,500.00",2025-04-01 09:00:00,2025-04-01,15,7,x\n')
+    q = stream_clean_log(spark, src, os.path.join(tmpdir_path, "out"), os.path.join(tmpdir_path, "ckpt"),
+                         LogSchema(), Params())
     q.awaitTermination(120)
     out = spark.read.parquet(os.path.join(tmpdir_path, "out"))
     assert sorted((r["Document Id"], r["Month"]) for r in out.collect()) == [("D1", "2025-03"), ("D3", "2025-04")]
@@ -110,7 +130,7 @@ def test_report_from_csv_extracts(spark, tmpdir_path):
     assert rows(res["06_monthly_trends"], cols) == rows(q["g17_monthly_trend"](spark, sf), cols)
     kpi = res["kpi"].first().asDict()
     assert kpi == q["g10_kpi_row"](spark, sf).first().asDict()
-    doc = {r["name"]: r["records"] for r in spark.read.json(os.path.join(out, "document")).collect()}
+    doc = {r["name"]: r["records"] for r in spark.read.json(os.path.join(out, "document")).orderBy("piece").collect()}
     import json
 
     assert len(doc) == 13
@@ -125,9 +145,9 @@ def test_report_from_csv_extracts(spark, tmpdir_path):
         "Name 1", "Supplier", "Exception_Events", "Unique_Invoices", "Cumulative_Pct"]
     first = field["vendor_top30"][0]["Name 1"]
     ext = {r["name"]: json.loads(r["records"]) for r in
-           spark.read.json(os.path.join(out, "document_extended")).collect()}
+           spark.read.json(os.path.join(out, "document_extended")).orderBy("piece").collect()}
     assert len(ext) == 25 and [r["Exception ID"] for r in ext["exception_totals"]] == [29, 91, 151]
-    again = report.document(res, s, report.CORE_FIELDS, [f" {first.lower()}\t"]).where("name = 'vendor_top30'").first()
+    again = report.document(res, s, report.CORE_FIELDS, [f" {first.lower()}\t"]).where("name = 'vendor_top30' AND piece >= 0").first()
     assert [r["Name 1"] for r in json.loads(again["records"])] == [r["Name 1"] for r in field["vendor_top30"]][1:]
     assert len(json.loads(doc["workload_conc"])) == min(50, q["g07w_workload_concentration"](spark, sf).count())
     back = spark.read.option("header", True).csv(os.path.join(out, "csv", "07_workload_concentration"))
