@@ -12,9 +12,10 @@ of the chunks gives the ids of the whole text:
   to the library whole. A chunk stands for itself after a space; after a line
   feed it has ``BREAK`` before it.
 
-A chunk of Latin letters with a mark or two after them has two pre-tokens
-whatever the tokenizer: its letters go to the library's model as they are,
-without the general normalizer and pre-tokenizer before it.
+In a chunk of Latin letters with marks after them the letters are a pre-token
+whatever the tokenizer: they go to the library's model as they are, without
+the general normalizer and pre-tokenizer before it, and the marks to the
+library by themselves.
 
 ``tests/llm`` holds all this against the library on whole texts.
 """
@@ -23,6 +24,7 @@ from __future__ import annotations
 
 import os
 import re
+import string
 from array import array
 
 import numpy as np
@@ -31,7 +33,9 @@ import numpy as np
 #: becomes the old one, and what is asked for again moves back.
 CACHE_CHUNKS = 160_000
 #: Letters that Unicode normal form C leaves alone and that lower-case one to one.
-PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:]*)")
+PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+#: Marks that are pre-tokens apart from letters before them (an apostrophe is not always).
+MARKS = string.punctuation.replace("'", "")
 BREAK = "\0"
 
 
@@ -46,8 +50,9 @@ def byte_alphabet() -> dict[int, str]:
 class ChunkEncoder(dict):
     """chunk -> ids as little-endian unsigned bytes of ``width`` each, filled as chunks are asked for."""
 
-    def __init__(self, path: str, width: int = 4):
+    def __init__(self, path: str, width: int = 4, chunks: int | None = None):
         super().__init__()
+        self.chunks = chunks or CACHE_CHUNKS
         self.code, self.dtype = {2: "H", 4: "I"}[width], f"<u{width}"
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -60,49 +65,64 @@ class ChunkEncoder(dict):
         self.words = self.tok.normalizer is not None  # this kind lower-cases and drops white space
         alphabet = byte_alphabet()
         self.shown = {i: "".join(alphabet[b] for b in chr(i).encode()) for i in range(256)}
-        self.letters: dict[str, bytes] = {}
+        self.line_feed = b"" if self.words else self.whole("\n")
         self.marks: dict[str, bytes] = {}
-        self.old: tuple[dict, dict] = {}, {}
+        self.old: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         ids = self.tok.encode(text, add_special_tokens=False).ids
         return np.asarray(ids, dtype=self.dtype).tobytes()
 
     def __missing__(self, chunk: str) -> bytes:
-        ids = self.old[0].get(chunk)
-        if ids is not None:
-            self[chunk] = ids
-            return ids
-        if not self.words and chunk[:1] == BREAK:
-            self[chunk] = ids = self._piece("\n", "") + self._piece(chunk[1:], "")
-        else:
-            self[chunk] = ids = self._piece(chunk, "" if self.words else " ")
+        ids = self.old.get(chunk)
+        if ids is None:
+            if chunk.isascii() and chunk.isalpha():
+                ids = self._letters(chunk)
+            elif not self.words and chunk[:1] == BREAK:
+                ids = self.line_feed + self._start(chunk[1:])
+            else:
+                letters = chunk.rstrip(MARKS)
+                if not PLAIN.fullmatch(letters):
+                    ids = self.whole(chunk if self.words else " " + chunk)
+                elif len(letters) < len(chunk):
+                    ids = self[letters] + self._after(chunk[len(letters):])
+                else:
+                    ids = self._letters(letters)
+        self[chunk] = ids
         return ids
 
-    def _piece(self, chunk: str, before: str) -> bytes:
-        m = PLAIN.fullmatch(chunk)
-        if m is None:
-            return self.whole(before + chunk)
-        word = m[1].lower() if self.words else before + m[1]
-        ids = self.letters.get(word) or self.old[1].get(word)
+    def _letters(self, word: str) -> bytes:
+        """Ids of a chunk of letters alone."""
+        if self.words:
+            low = word.lower()
+            return self._model(low) if low == word else self[low]
+        return self._model(word, self.shown[32])
+
+    def _model(self, word: str, before: str = "") -> bytes:
+        shown = before + (word if word.isascii() else word.translate(self.shown))
+        return array(self.code, [t.id for t in self.model.tokenize(shown)]).tobytes()
+
+    def _after(self, marks: str) -> bytes:
+        ids = self.marks.get(marks)
         if ids is None:
-            found = self.model.tokenize(word.translate(self.shown))
-            ids = self.letters[word] = array(self.code, [t.id for t in found]).tobytes()
-        if m[2]:
-            marks = self.marks.get(m[2])
-            if marks is None:
-                marks = self.marks[m[2]] = self.whole(m[2])
-            ids += marks
+            ids = self.marks[marks] = self.whole(marks)
         return ids
 
+    def _start(self, chunk: str) -> bytes:
+        """Ids of a chunk without a space before it."""
+        letters = chunk.rstrip(MARKS)
+        if not PLAIN.fullmatch(letters):
+            return self.whole(chunk)
+        return self._model(letters) + (self._after(chunk[len(letters):]) if len(letters) < len(chunk) else b"")
+
     def ids(self, text: str | None) -> bytes:
         """Ids of a whole text; null is empty."""
         if not text:
             return b""
-        if 2 * len(self) > CACHE_CHUNKS:
-            self.old = dict(self), self.letters
+        if 2 * len(self) > self.chunks:
+            self.old = dict(self)
             self.clear()
-            self.letters, self.marks = {}, {}
+            self.marks = {}
         get = self.__getitem__
         if self.words:
             return b"".join(map(get, text.replace("\n", " ").split(" ")))
@@ -111,7 +131,7 @@ class ChunkEncoder(dict):
         if " ".join(flat.split()) != flat or BREAK in text or any(s in text for s in self.specials):
             return self.whole(text)
         chunks = text.replace("\n", " " + BREAK).split(" ")
-        return self._piece(chunks[0], "") + b"".join(map(get, chunks[1:]))
+        return self._start(chunks[0]) + b"".join(map(get, chunks[1:]))
 
     def batch(self, texts: list[str | None]) -> list[bytes]:
         return [self.ids(t) for t in texts]
@@ -120,10 +140,10 @@ class ChunkEncoder(dict):
 _ENCODERS: dict[tuple[str, int], ChunkEncoder] = {}
 
 
-def encoder(path: str, width: int = 4) -> ChunkEncoder:
-    """The worker's encoder for a vocabulary file."""
+def encoder(path: str, width: int = 4, chunks: int | None = None) -> ChunkEncoder:
+    """The worker's encoder for a vocabulary file; ``chunks``: how many it may keep."""
     if (path, width) not in _ENCODERS:
-        _ENCODERS[path, width] = ChunkEncoder(path, width)
+        _ENCODERS[path, width] = ChunkEncoder(path, width, chunks)
     return _ENCODERS[path, width]
 
 
