@@ -13,13 +13,13 @@ at most the size of the vocabulary) is a file beside them. Files are Parquet,
 written and read by Spark, in the shared folder.
 
 Edge cases: a null text encodes to the end id alone; null ids come last;
-documents of equal id stand side by side; an empty table gives files without
+documents of equal id stand side by side; a very long text is encoded whole and
+makes a block of its own size; an empty table gives files without
 records; other columns of the input are not written.
 """
 
 from __future__ import annotations
 
-import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,7 +30,11 @@ from faultline.llm.encode import encoder, id_width, vocabulary
 from faultline.llm.util import id_bounds, id_range, n_parts, shared_path, table
 
 #: Ids in a block, from which a new one is begun.
-BLOCK_IDS = 1 << 20
+BLOCK_IDS = 1 << 18
+#: Chunks of text whose ids a worker keeps (some 200 bytes each).
+CACHE_CHUNKS = 480_000
+#: Row groups of a few blocks: what a writer holds before it flushes.
+GROUPS = {"parquet.block.size": str(16 << 20), "compression": "none"}
 LENGTHS = np.array([[(c >> s & 3) + 1 for s in (0, 2, 4, 6)] for c in range(256)], dtype=np.int64)
 MASKS = np.array([0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], dtype=np.uint32)
 
@@ -78,7 +82,8 @@ class TokenFiles:
             import pyarrow as pa
 
             for b in batches:
-                for row in b.to_pylist():
+                for i in range(b.num_rows):  # one block in memory at a time
+                    row = b.slice(i, 1).to_pylist()[0]
                     lengths = np.frombuffer(row["lengths"], "<i8")
                     got = ids[unpack(row["control"], row["data"], int(lengths.sum()))] if len(ids) else ids
                     ends = np.cumsum(lengths)
@@ -119,7 +124,7 @@ def write_files(docs: DataFrame, vocab: str | None = None, end_id: int = 0, id_c
     def encode(batches):
         import pyarrow as pa
 
-        enc = encoder(vocab, width)
+        enc = encoder(vocab, width, CACHE_CHUNKS)
         for whole in batches:
             for at in range(0, whole.num_rows, 1000):  # bounds the ids held at once
                 b = whole.slice(at, 1000)
@@ -135,7 +140,12 @@ def write_files(docs: DataFrame, vocab: str | None = None, end_id: int = 0, id_c
 
         def flush():
             flat = np.frombuffer(b"".join(ids), f"<u{width}")
-            found, count = np.unique(flat, return_counts=True)
+            if width == 2:
+                times = np.bincount(flat, minlength=1 << 16)
+                found = np.flatnonzero(times)
+                count = times[found]
+            else:
+                found, count = np.unique(flat, return_counts=True)
             known = np.array([d is not None for d in docs_])
             return pa.RecordBatch.from_pylist([{
                 "part": part, "block": block, "n_ids": len(flat),
@@ -148,15 +158,17 @@ def write_files(docs: DataFrame, vocab: str | None = None, end_id: int = 0, id_c
                     ("known", pa.binary()), ("lengths", pa.binary()), ("ids", pa.binary()),
                     ("found", pa.list_(pa.int64())), ("count", pa.list_(pa.int64()))]))
 
-        for b in batches:
-            for p, d, x in zip(*[b.column(i).to_pylist() for i in range(3)]):
-                if ids and (p != part or size >= BLOCK_IDS):
-                    yield flush()
-                    docs_, ids, size, block = [], [], 0, block + 1 if p == part else 0
-                part = p
-                docs_.append(d)
-                ids.append(x)
-                size += len(x) // width
+        for whole in batches:
+            for at in range(0, whole.num_rows, 500):
+                b = whole.slice(at, 500)
+                for p, d, x in zip(*[b.column(i).to_pylist() for i in range(3)]):
+                    if ids and (p != part or size >= BLOCK_IDS):
+                        yield flush()
+                        docs_, ids, size, block = [], [], 0, block + 1 if p == part else 0
+                    part = p
+                    docs_.append(d)
+                    ids.append(x)
+                    size += len(x) // width
         if ids:
             yield flush()
 
@@ -166,7 +178,7 @@ def write_files(docs: DataFrame, vocab: str | None = None, end_id: int = 0, id_c
             .repartition(n, "part").sortWithinPartitions("part", F.col("doc_id").asc_nulls_last()))
     plain = ("part int, block int, n_ids long, docs binary, known binary, lengths binary, ids binary, "
              "found array<long>, count array<long>")
-    rows.mapInArrow(plain_blocks, plain).write.parquet(f"{path}/plain")
+    rows.mapInArrow(plain_blocks, plain).write.options(**GROUPS).parquet(f"{path}/plain")
     staged = spark.read.parquet(f"{path}/plain")
 
     # Ranks over the whole corpus, summed from the blocks' counts.
@@ -182,35 +194,25 @@ def write_files(docs: DataFrame, vocab: str | None = None, end_id: int = 0, id_c
     def ranked(batches):
         import pyarrow as pa
 
-        for b in batches:
-            coded = []
-            for raw in b.column("ids").to_pylist():
-                coded.append(pack(rank[np.frombuffer(raw, f"<u{width}")]))
-            keep = ["part", "block", "n_ids", "docs", "known", "lengths"]
-            yield pa.RecordBatch.from_arrays(
-                [*[b.column(c) for c in keep], pa.array([c for c, _ in coded], pa.binary()),
-                 pa.array([d for _, d in coded], pa.binary())], names=[*keep, "control", "data"])
+        keep = ["part", "block", "n_ids", "docs", "known", "lengths"]
+        for whole in batches:
+            for i in range(whole.num_rows):  # one block in memory at a time
+                b = whole.slice(i, 1)
+                control, data = pack(rank[np.frombuffer(b.column("ids")[0].as_py(), f"<u{width}")])
+                yield pa.RecordBatch.from_arrays(
+                    [*[b.column(c) for c in keep], pa.array([control], pa.binary()), pa.array([data], pa.binary())],
+                    names=[*keep, "control", "data"])
 
     (staged.drop("found", "count")
      .mapInArrow(ranked, "part int, block int, n_ids long, docs binary, known binary, lengths binary, "
-                         "control binary, data binary").write.parquet(f"{path}/blocks"))
+                         "control binary, data binary").write.options(**GROUPS).parquet(f"{path}/blocks"))
     return files
 
 
 def query(spark, sf_dir):
     files = write_files(table(spark, sf_dir, "documents"))
 
-    def digest(batches):
-        import pyarrow as pa
-
-        for b in batches:
-            raw = b.column("ids").to_pylist()
-            yield pa.RecordBatch.from_arrays(
-                [*b.columns[:4], pa.array([len(x) // 4 for x in raw], pa.int64()),
-                 pa.array([zlib.crc32(x) for x in raw], pa.int64())],
-                names=["part", "block", "at", "doc_id", "n_tokens", "ids_crc32"])
-
-    read = files.read().mapInArrow(
-        digest, "part int, block int, at long, doc_id long, n_tokens long, ids_crc32 long")
+    read = files.read().select("part", "block", "at", "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+                               F.crc32("ids").alias("ids_crc32"))
     return (read.join(files.starts(), on=["part", "block"])
             .select("doc_id", (F.col("before") + F.col("at")).alias("start"), "n_tokens", "ids_crc32"))

@@ -15,7 +15,8 @@ Ranks come from (length, hash bucket) groups and an offset table, so that one
 very common length is spread over all tasks.
 
 Edge cases: a null text is empty (one piece: the end id); null ids and
-repeated rows are pieces of their own; an empty table gives no rows; other
+repeated rows are pieces of their own; a very long text is encoded whole and
+cut into as many pieces as it needs; an empty table gives no rows; other
 columns of the input are not read.
 """
 

@@ -111,6 +111,25 @@ def test_token_files_edges(spark):
     assert op5_token_files.write_files(df.limit(0)).read().collect() == []
 
 
+LONG = "".join(f"Word{i % 977} and{',' if i % 5 else '  '} {'x' * (i % 13)}%%\n" for i in range(60_000))
+
+
+def test_token_files_of_a_very_long_text(spark, monkeypatch):
+    monkeypatch.setattr(op5_token_files, "BLOCK_IDS", 1000)
+    df = spark.createDataFrame([(1, "short"), (2, LONG), (3, "b")], "doc_id long, text string")
+    got = {r["doc_id"]: bytes(r["ids"]) for r in op5_token_files.write_files(df).read().collect()}
+    assert got == {i: raw([*ids_of(_TOKS[1], t), 0]) for i, t in ((1, "short"), (2, LONG), (3, "b"))}
+
+
+def test_packing_of_a_very_long_text(spark):
+    df = spark.createDataFrame([(1, "short"), (2, LONG)], "doc_id long, text string")
+    rows = op7_packing.packed_pieces(df).collect()
+    ids = [*ids_of(_TOKS[0], LONG), 0]
+    mine = sorted((r["start"], r["length"], r["ids_crc32"]) for r in rows if r["doc_id"] == 2)
+    assert mine == [(at, len(ids[at:at + 2048]), zlib.crc32(raw(ids[at:at + 2048]))) for at in range(0, len(ids), 2048)]
+    check_packing(rows)
+
+
 def check_packing(rows, size=2048):
     by = defaultdict(list)
     for r in rows:
