@@ -58,20 +58,20 @@ def _roots(lam: np.ndarray, z2: np.ndarray, rho: float) -> tuple[np.ndarray, np.
     gap = np.append(np.diff(lam), rho * z2.sum())
     f_mid = 1 + rho * (z2 / (lam - (lam + gap / 2)[:, None])).sum(axis=1)
     right = (f_mid < 0) & (np.arange(k) < k - 1)  # f rises from -inf to inf between poles
-    pole = lam[np.arange(k) + right]
-    lo = np.where(right, -gap / 2, np.where(f_mid < 0, gap / 2, 0.0))
-    hi = np.where(right, 0.0, np.where(f_mid < 0, gap, gap / 2))
+    pole, side = lam[np.arange(k) + right], np.where(right, -1.0, 1.0)
+    last = (f_mid < 0) & ~right
+    # Halved in the exponent first, so that even a root next to its pole is exact in its distance.
+    lo, hi = np.where(last, gap / 2, gap * 2.0 ** -140), np.where(last, gap, gap / 2)
     away = lam - pole[:, None]
     buf = np.empty_like(away)
     with np.errstate(divide="ignore", invalid="ignore"):
-        for _ in range(56):
-            t = (lo + hi) / 2
-            np.divide(z2, np.subtract(away, t[:, None], out=buf), out=buf)
-            low = buf.sum(axis=1) * rho < -1
-            np.copyto(lo, t, where=low)
-            np.copyto(hi, t, where=~low)
-    t = (lo + hi) / 2
-    return pole, np.where(t == 0, np.where(right, -1, 1) * np.finfo(float).tiny, t)
+        for turn in range(62):
+            t = np.sqrt(lo) * np.sqrt(hi) if turn < 8 else (lo + hi) / 2
+            np.divide(z2, np.subtract(away, (side * t)[:, None], out=buf), out=buf)
+            farther = (buf.sum(axis=1) * rho < -1) == (side > 0)
+            np.copyto(lo, t, where=farther)
+            np.copyto(hi, t, where=~farther)
+    return pole, side * (lo + hi) / 2
 
 
 def rank_one(q: np.ndarray, lam: np.ndarray, v: np.ndarray, rho: float = 1.0) -> tuple[np.ndarray, np.ndarray]:

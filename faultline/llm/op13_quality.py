@@ -169,7 +169,8 @@ def shrunk(cov: np.ndarray, n: int) -> np.ndarray:
 class Model:
     """``center``, ``spread``: standardisation; for the bad and the good class
     its mean, the inverse of the Cholesky factor of its covariance and the
-    factor's log determinant; ``slope`` and ``shift`` of the logistic."""
+    factor's log determinant; ``slope`` and ``shift`` of the logistic (without
+    classes, ``shift`` is every score)."""
     center: np.ndarray
     spread: np.ndarray
     means: list[np.ndarray]
@@ -185,9 +186,11 @@ class Model:
         for mean, factor, logdet in zip(self.means, self.factors, self.logdets):
             m = (z - mean) @ factor.T
             log.append(-0.5 * (m * m).sum(axis=1) - logdet)
-        return log[1] - log[0] if log else np.zeros(len(f))
+        return log[1] - log[0]
 
     def score(self, f: np.ndarray) -> np.ndarray:
+        if not self.means:
+            return np.full(len(f), self.shift)
         return 1 / (1 + np.exp(-np.clip(self.slope * self.difference(f) + self.shift, -500, 500)))
 
 
@@ -225,7 +228,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     model = Model(total.mean, np.where(spread > 1e-9, spread, 1.0), [], [], [], 0.0, 0.0)
     bad, good = classes
     if not bad.n or not good.n:
-        model.shift = -500.0 if not good.n else 500.0
+        model.shift = float(good.n > 0)
         return model
     for m in classes:
         chol = np.linalg.cholesky(shrunk(m.products / m.n / np.outer(model.spread, model.spread), m.n))
