@@ -17,7 +17,8 @@ it finds and not the links themselves: few rows, same components.
 
 Edge cases: a null or empty text has fingerprint zero and is linked like any
 other; null ids take part, but a component is named by its smallest id that
-is not null; repeated rows get the same answer; an empty table gives no rows;
+is not null; repeated rows get the same answer, but only one of them is kept; a
+very long text is read whole, in one pass over its words; an empty table gives no rows;
 an input column with the name of an output gives way to it.
 """
 
@@ -149,7 +150,8 @@ def _thin(pairs: np.ndarray, label: np.ndarray) -> np.ndarray:
 def links(fps: DataFrame, t: int = 2, block: int = BLOCK) -> DataFrame:
     """Links (a, b) that join the same fingerprints as all pairs at distance
     <= t do. ``fps``: one long column, distinct."""
-    visits = stored(_visits(fps, t), "visits")
+    # Visiting costs far more than reading: dealt out evenly, not by file.
+    visits = stored(_visits(fps.repartition(n_parts(fps.sparkSession)), t), "visits")
     # At most 2^CODE_DIM rows of three numbers, whatever the corpus: broadcast.
     sizes = visits.groupBy("anchor").agg(
         F.ceil(F.sum(F.col("home").cast("int")) / block).cast("int").alias("nh"),
@@ -208,19 +210,24 @@ def links(fps: DataFrame, t: int = 2, block: int = BLOCK) -> DataFrame:
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                k: int = 3, t: int = 2) -> DataFrame:
-    """``docs`` plus ``_fingerprint`` (16 hex digits) and ``_component_id``:
-    the smallest id reachable over links of at most ``t`` differing bits."""
+    """``docs`` plus ``_fingerprint`` (16 hex digits), ``_component_id`` (the
+    smallest id reachable over links of at most ``t`` differing bits) and
+    ``_keep``: true for one row of each component, that of the smallest id
+    (null ids last; of several, the first by its place in the stored rows)."""
     rows = stored(fingerprints(docs, text_col, k), "fingerprints")
-    keyed = rows.select("_fp", F.col("_doc").getField(id_col).alias("_id"))
-    distinct = stored(keyed.groupBy("_fp").agg(F.min("_id").alias("_low")), "distinct-fingerprints")
+    at = F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    rows = rows.select("_doc", "_fp", at.alias("_at"))
+    doc_id = F.col("_doc").getField(id_col)
+    first = F.struct(doc_id.isNull().alias("none"), doc_id.alias("id"), F.col("_at").alias("at"))
+    distinct = stored(rows.groupBy("_fp").agg(F.min(first).alias("_first")), "distinct-fingerprints")
     found = components(links(distinct.select("_fp"), t), "a", "b")
     named = distinct.join(found.withColumnRenamed("node", "_fp"), on="_fp", how="left") \
         .withColumn("_c", F.coalesce("component", "_fp"))
-    lows = named.groupBy("_c").agg(F.min("_low").alias("_component"))
-    answer = named.join(lows, on="_c").select("_fp", "_component")
+    lows = named.groupBy("_c").agg(F.min("_first").alias("_best"))
+    answer = named.join(lows, on="_c").select("_fp", "_best")
     out = rows.join(answer, on="_fp")
     return unboxed(out, docs, {"_fingerprint": F.lower(F.lpad(F.hex("_fp"), 16, "0")),
-                               "_component_id": F.col("_component")})
+                               "_component_id": F.col("_best.id"), "_keep": F.col("_at") == F.col("_best.at")})
 
 
 def query(spark, sf_dir):

@@ -3,12 +3,15 @@
 Documents in ascending id order are cut into blocks (id ranges). Each block
 is a reference: its index is the sorted list of the hashes of its windows of
 ``window`` words. A document is factored, left to right and greedily, against
-the indexes of all blocks before its own and against the smaller ids of its
-own block: a factor starts where the window at that word occurs in a
-reference and grows while the next window does too. A factor of r windows is
-``r + window - 1`` words, and every window at and across a factor's ends is
-looked up as well, so what two references share a part of is not missed.
-Factors become spans of removed words.
+the indexes of all blocks before its own and the smaller ids of its own block:
+a factor starts where the window at that word occurs in any of them and grows
+while the next window does too. So a factor is a maximal run of found windows
+and may draw on several references; parts that two references have, and the
+windows across their border, are each looked up, so none is missed. A factor
+of r windows is ``r + window - 1`` words. Factors become spans of removed
+words. This departs from parsing against one block's text after another,
+which is quadratic in the blocks; equal windows are told by their hashes, and
+words are not compared once more.
 
 "Against every block" is one exchange: each block deals its sorted index out
 by hash range, a task merges one hash range of all blocks, and a block gets
@@ -18,7 +21,8 @@ hashes have 64 bits (13 words: XXH64 of each in a polynomial modulo 2^64).
 
 Edge cases: a null text has no words; ids that are null come after all others
 and are not earlier than each other; rows of equal id do not count as earlier
-than each other; an empty table gives no rows; an input column with the name
+than each other; a very long text is read whole, its windows as numpy arrays;
+an empty table gives no rows; an input column with the name
 of an output gives way to it.
 """
 
@@ -77,7 +81,7 @@ def _from_planes(b: bytes) -> np.ndarray:
 
 
 def factors(found: np.ndarray, window: int) -> list[tuple[int, int]]:
-    """Greedy factors (first word, number of words) from which windows were found."""
+    """Greedy factors (first word, number of words): the maximal runs of found windows."""
     edge = np.flatnonzero(np.diff(np.concatenate([[0], found.astype(np.int8), [0]])))
     return [(int(a), int(b - a) + window - 1) for a, b in zip(edge[::2], edge[1::2])]
 
@@ -181,3 +185,26 @@ def query(spark, sf_dir):
     r = substring_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return r.select("doc_id", F.col("_n_words").alias("n_words"), F.col("_n_removed").alias("n_removed"),
                     F.sha2("_kept_text", 256).alias("kept_sha256"))
+
+
+SQL = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+),
+win AS (
+  SELECT doc_id, k, array_to_string(ws[k:k + 12], ' ') AS passage
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS k FROM w)
+),
+first AS (SELECT passage, min(doc_id) AS first_id FROM win GROUP BY passage),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(k, k + 13)) AS p FROM win JOIN first USING (passage) WHERE first_id < doc_id
+),
+word AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS p FROM w),
+left_over AS (
+  SELECT doc_id, count(g.p) AS n_removed, string_agg(word, ' ' ORDER BY p) FILTER (WHERE g.p IS NULL) AS kept
+  FROM word LEFT JOIN gone g USING (doc_id, p) GROUP BY doc_id
+)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN left_over l ON l.doc_id = w.doc_id
+"""

@@ -86,7 +86,12 @@ def test_simhash_edges(spark):
             (9, "one TWO", "x", "y", 3), (None, "one two", "n", "n", None), (1, "x" * 50_000 + " a b c", "", "", 0)]
     df = spark.createDataFrame(rows, SCHEMA)
     out = op4_simhash.near_dedup(df)
-    assert out.columns == [*df.columns, "_fingerprint", "_component_id"]
+    assert out.columns == [*df.columns, "_fingerprint", "_component_id", "_keep"]
+    kept = sorted((r["_component_id"], r["doc_id"]) for r in out.collect() if r["_keep"])
+    assert kept == [(1, 1), (3, 3), (7, 7)]  # one row of each group
+    nulls = op4_simhash.near_dedup(spark.createDataFrame(
+        [(None, "p q"), (None, "p q"), (4, "r s"), (4, "r s"), (None, "r s")], "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"] or -1, r["text"]) for r in nulls if r["_keep"]) == [(-1, "p q"), (4, "r s")]
     got = sorted(((r["doc_id"] or -1), r["_component_id"], r["_fingerprint"]) for r in out.collect())
     low = f"{fingerprint('one two'):016x}"
     assert got == sorted([(5, 3, "0" * 16), (3, 3, "0" * 16), (7, 7, low), (9, 7, low), (9, 7, low), (-1, 7, low),
@@ -116,6 +121,18 @@ def test_substring_query(spark):
     got = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"])
            for r in op6_substring_dedup.query(spark, SF).collect()}
     assert got == expect and sum(x[1] for x in expect.values()) > 0
+    duckdb.sql(f"CREATE OR REPLACE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    assert {r[0]: tuple(r[1:]) for r in duckdb.sql(op6_substring_dedup.SQL).fetchall()} == expect
+
+
+def test_substring_of_a_very_long_text(spark):
+    """One document of 200,000 words that repeats a passage of an earlier one, and itself."""
+    passage = " ".join(f"p{i}" for i in range(60))
+    docs = {1: "x y " + passage, 2: " ".join(f"w{i}" for i in range(200_000)) + " " + passage + " end " + passage, 3: passage}
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    got = {r["doc_id"]: (r["_n_words"], r["_n_removed"], r["_kept_text"])
+           for r in op6_substring_dedup.substring_dedup(df).collect()}
+    assert got == brute_substring(docs) and got[2][1] == 120 and got[3][1] == 60
 
 
 def test_substring_at_factor_borders(spark):
