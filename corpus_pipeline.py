@@ -31,9 +31,9 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked fingerprints the smallest doc_id stays."""
-    grouped = op4_simhash.near_dedup(docs)
-    return grouped.where(F.col("_component_id").eqNullSafe(F.col("doc_id"))).select(*docs.columns)
+    """Of each group of linked fingerprints one row stays, that of the smallest
+    doc_id (a null id only where the group has no other)."""
+    return op4_simhash.near_dedup(docs).where("_keep").select(*docs.columns)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
