@@ -145,23 +145,29 @@ def group_positions(df: DataFrame, group: Sequence[str], order: Sequence[str],
             .withColumn(pos_col, F.col("_before") + F.col("_at")).drop("_b", "_before", "_at"))
 
 
+def _ordered(m: DataFrame, s: LogSchema) -> tuple[DataFrame, list[str]]:
+    """Document, id and the order keys as columns of their own (numbers and times sort by prefix), and their names."""
+    keys = {f"_o{i}": order_key(m, c) for i, c in enumerate(s.order_cols)}
+    return m.select(s.doc, s.exc_id, *[c.alias(n) for n, c in keys.items()]), list(keys)
+
+
 def exception_sequence(m: DataFrame, s: LogSchema, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """G12 long form: (document, position, id) of every event, in event order."""
-    rows = m.select(s.doc, s.exc_id, event_order(m, s).alias("_order"))
-    return group_positions(rows, [s.doc], ["_order"], bucket_rows=bucket_rows).select(s.doc, "Position", s.exc_id)
+    rows, order = _ordered(m, s)
+    return group_positions(rows, [s.doc], order, bucket_rows=bucket_rows).select(s.doc, "Position", s.exc_id)
 
 
 def adjacent_pairs(m: DataFrame, s: LogSchema, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Counts of (id, next id) over raw sequences (repeats kept). Pairs
     inside a bucket come from a window over it; the pair across each border
     of a document's buckets from the table of first and last ids."""
-    rows = _buckets(m.select(s.doc, s.exc_id, event_order(m, s).alias("_order")), [s.doc], ["_order"], bucket_rows)
-    inside = Window.partitionBy(s.doc, "_b").orderBy("_order")
+    rows, order = _ordered(m, s)
+    rows, key = _buckets(rows, [s.doc], order, bucket_rows), F.struct(*order)
+    inside = Window.partitionBy(s.doc, "_b").orderBy(*order)
     pairs = (rows.select(F.col(s.exc_id).alias("From_ID"), F.lead(s.exc_id).over(inside).alias("To_ID"),
                          F.lead(F.lit(1)).over(inside).alias("_next"))
              .where(F.col("_next").isNotNull()).drop("_next"))
-    ends = rows.groupBy(s.doc, "_b").agg(F.min_by(s.exc_id, "_order").alias("_first"),
-                                         F.max_by(s.exc_id, "_order").alias("From_ID"))
+    ends = rows.groupBy(s.doc, "_b").agg(F.min_by(s.exc_id, key).alias("_first"), F.max_by(s.exc_id, key).alias("From_ID"))
     across = Window.partitionBy(s.doc).orderBy("_b")
     borders = (ends.select("From_ID", F.lead("_first").over(across).alias("To_ID"),
                            F.lead(F.lit(1)).over(across).alias("_next"))
