@@ -13,14 +13,24 @@ until the leaves visited hold enough vectors. Calibration: the exact nearest
 of ``CALIBRATION`` queries among all rows, computed in blocks, give the
 number of visits by which ``RECALL`` of them are in a visited leaf.
 
-A leaf's vectors and its visitors are cut into blocks of bounded size, and
-each pair of blocks is scored in one task, so neither a leaf that holds a
-third of all vectors nor one that every query visits is one task's work.
+Neighbouring leaves make a bin of at most about ``VECTORS`` vectors; a larger
+leaf is cut into several bins. A query is sent once to each bin that has a
+leaf it visits, with the leaves, and a bin's visitors are cut into blocks of
+about ``QUERIES``. Each (bin, block) is scored in one task, which keeps the
+best k of each query, so neither a leaf that holds a third of all vectors nor
+one that every query visits is one task's work. A product of matrices finds
+the rows that may be among the best; those are scored anew, in one order of
+summing.
+
+Cost: queries and vectors both grow with the table, and the share of leaves
+that calibration asks for depends on the data alone (on vectors without any
+clusters it is most of them), so the work grows with up to the square.
 
 Edge cases: vectors that are null, zero, hold null or non-finite components,
 or whose length is not the table's most common one take no part; null ids
-take no part; a row is no neighbour of a row with its own id; ties go to the
-smaller id; with fewer candidates than k, all are returned; an empty table
+take no part; a row is no neighbour of a row with its own id; a query id that
+several rows have is one query, by the first of its vectors; such rows are
+several candidates; ties go to the smaller id; with fewer candidates than k, all are returned; an empty table
 gives no rows; other columns are not read.
 """
 
@@ -33,7 +43,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from faultline.llm.util import n_parts, stored, table
+from faultline.llm.util import stored, table
 
 SAMPLE, BRANCH, LEAF = 20_000, 16, 64
 CALIBRATION, RECALL = 200, 0.97
@@ -113,25 +123,36 @@ def fit_tree(x: np.ndarray, scale: float, branch: int = BRANCH, leaf: int = LEAF
 
 
 def scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Inner products in double precision, each summed in one order: equal vectors score equal."""
-    return np.einsum("ij,kj->ik", q, x, optimize=False)
+    """Inner product of each pair of rows in double precision, each summed in
+    one order: equal vectors score equal."""
+    return np.einsum("ij,ij->i", q, x, optimize=False)
 
 
-def top(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int):
-    """Best k (query id, id, score) of each query among the vectors."""
+def top(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int, allowed: np.ndarray | None = None):
+    """Best k (query id, id, score) of each query among the vectors, those
+    marked in ``allowed`` (query x vector) if given."""
     out = [], [], []
+    slack = 1e-12 * np.sqrt((x * x).sum(axis=1).max(initial=0) * (q * q).sum(axis=1).max(initial=0)) * q.shape[1]
     for lo in range(0, len(q), 128):
-        for qi, s in zip(q_ids[lo:lo + 128], scores(q[lo:lo + 128], x)):
-            s = np.where(ids == qi, -np.inf, s)
-            if len(s) > k:  # all that reach the k-th score, so that ties are cut by id
-                rows = np.flatnonzero(s >= np.partition(s, len(s) - k)[len(s) - k])
-            else:
-                rows = np.arange(len(s))
-            rows = rows[s[rows] > -np.inf]
-            rows = rows[np.lexsort((ids[rows], -s[rows]))][:k]
-            out[0].append(np.full(len(rows), qi))
-            out[1].append(ids[rows])
-            out[2].append(s[rows])
+        part = slice(lo, lo + 128)
+        near = q[part] @ x.T
+        near[q_ids[part, None] == ids] = -np.inf
+        if allowed is not None:
+            near[~allowed[part]] = -np.inf
+        if near.shape[1] > k:  # whatever can reach the k-th score, so that ties are cut by id
+            least = np.partition(near, near.shape[1] - k, axis=1)[:, near.shape[1] - k]
+            who, row = np.nonzero((near >= least[:, None] - slack) & (near > -np.inf))
+        else:
+            who, row = np.nonzero(near > -np.inf)
+        s = np.concatenate([scores(q[part][who[i:i + 65_536]], x[row[i:i + 65_536]])
+                            for i in range(0, len(who), 65_536)] or [np.zeros(0)])
+        order = np.lexsort((ids[row], -s, who))
+        who, row, s = who[order], row[order], s[order]
+        first = np.searchsorted(who, np.arange(len(near)))
+        keep = np.arange(len(who)) - first[who] < k
+        out[0].append(q_ids[part][who[keep]])
+        out[1].append(ids[row[keep]])
+        out[2].append(s[keep])
     return [np.concatenate([*c, np.zeros(0)]) for c in out]
 
 
@@ -160,6 +181,18 @@ def _usable(df: DataFrame, id_col: str, vec_col: str) -> tuple[DataFrame, int]:
     return (rows.where(F.size("v") == dim["d"]), dim["d"]) if dim else (rows, 0)
 
 
+def bins_of(size: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """For each leaf its first bin and how many it is cut into; the number of bins."""
+    first, parts, n, room = np.zeros(len(size), np.int64), np.ones(len(size), np.int64), 0, 0
+    for at, held in enumerate(size.tolist()):
+        parts[at] = max(-(-held // VECTORS), 1)
+        if parts[at] > 1 or held > room or not n:
+            first[at], n, room = n, n + parts[at], VECTORS - held if parts[at] == 1 else 0
+        else:
+            first[at], room = n - 1, room - held
+    return first, parts, n
+
+
 def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id",
            vec_col: str = "embedding", recall: float = RECALL) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of each row whose id (as ``vec_id``) ``is_query``."""
@@ -183,7 +216,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec
 
     kind = rows.schema["v"].dataType.simpleString()
     placed = stored(rows.mapInArrow(to_leaf, f"vec_id long, v {kind}, leaf int"), "leaves")
-    queries = placed.where(is_query).select(F.col("vec_id").alias("query_id"), "v")
+    queries = placed.where(is_query).groupBy(F.col("vec_id").alias("query_id")).agg(F.min("v").alias("v"))
 
     # Visits by which enough of the exact neighbours of some queries are reached.
     some = queries.orderBy(F.xxhash64("query_id"), "query_id").limit(CALIBRATION).toArrow()
@@ -206,42 +239,51 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec
     seen = np.sort([order[i][leaf] for i, leaf in zip(near.column(0).to_pylist(), near.column(1).to_pylist())])
     n_visits = int(seen[int(np.ceil(recall * len(seen))) - 1]) + 1 if len(seen) else n_leaves
 
-    # Vectors in each leaf: as many numbers as the tree has leaves.
+    # Vectors in each leaf: as many numbers as the tree has leaves, which the sample bounds.
     size = np.zeros(n_leaves, dtype=np.int64)
     for r in placed.groupBy("leaf").count().collect():
         size[r["leaf"]] = r["count"]
-    blocks = np.maximum(-(-size // VECTORS), 1)
+    first, parts, _ = bins_of(size)
 
     def visit(batches):
         import pyarrow as pa
 
         for b in batches:
-            leaf, who = [], []
-            if not b.num_rows:
-                continue
-            for i, x in enumerate(_matrix(b.column("v"), dim)):
-                held = 0
-                for n, at in enumerate(tree.visits(x)):
-                    if n >= n_visits and held > k:
-                        break
-                    held += size[at]
-                    leaf.append(at)
-                    who.append(i)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(leaf, pa.int32()), *[c.take(pa.array(who)) for c in b.columns]], names=["leaf", "query_id", "v"])
-
-    visiting = queries.mapInArrow(visit, f"leaf int, query_id long, v {kind}")
-    visitors = visiting.groupBy("leaf").count()
-    # Both counts have a row for each leaf, which the sample bounds.
-    per_leaf = F.broadcast(visitors.select("leaf", F.ceil(F.col("count") / QUERIES).cast("int").alias("nq"))
-                           .join(spark.createDataFrame([(i, int(n)) for i, n in enumerate(blocks)],
-                                                       "leaf int, nv int"), on="leaf"))
-    left = (placed.join(per_leaf, on="leaf")
-            .select("leaf", F.pmod(F.xxhash64("vec_id"), F.col("nv")).cast("int").alias("vb"),
-                    F.explode(F.sequence(F.lit(0), F.col("nq") - 1)).alias("qb"), "vec_id", "v"))
-    right = (visiting.join(per_leaf, on="leaf")
-             .select("leaf", F.explode(F.sequence(F.lit(0), F.col("nv") - 1)).alias("vb"),
-                     F.pmod(F.xxhash64("query_id"), F.col("nq")).cast("int").alias("qb"), "query_id", "v"))
+            for lo in range(0, b.num_rows, 256):
+                part = b.slice(lo, 256)
+                bin_, who, leaves = [], [], []
+                for i, x in enumerate(_matrix(part.column("v"), dim)):
+                    held, seen = 0, {}
+                    for n, at in enumerate(tree.visits(x)):
+                        if n >= n_visits and held > k:
+                            break
+                        held += size[at]
+                        for p in range(parts[at]):
+                            seen.setdefault(int(first[at]) + p, []).append(at)
+                    bin_ += seen
+                    leaves += seen.values()
+                    who += [i] * len(seen)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(bin_, pa.int32()), part.column("query_id").take(pa.array(who, pa.int64())),
+                     pa.array(leaves, pa.list_(pa.int32()))], names=["bin", "query_id", "leaves"])
+
+    visiting = stored(queries.mapInArrow(visit, "bin int, query_id long, leaves array<int>"), "visits")
+    per_bin = visiting.groupBy("bin").agg(F.ceil(F.count(F.lit(1)) / QUERIES).cast("int").alias("nq"))
+
+    def to_bin(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            leaf, ids = b.column("leaf").to_numpy(), b.column("vec_id").to_numpy()
+            mixed = (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)
+            at = first[leaf] + (mixed % parts[leaf].astype(np.uint64)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), *b.columns], names=["bin", *b.schema.names])
+
+    binned = placed.mapInArrow(to_bin, f"bin int, vec_id long, v {kind}, leaf int")
+    left = (binned.join(per_bin, on="bin")
+            .select("bin", F.explode(F.sequence(F.lit(0), F.col("nq") - 1)).alias("qb"), "vec_id", "leaf", "v"))
+    right = (visiting.join(per_bin, on="bin").join(queries, on="query_id")
+             .select("bin", F.pmod(F.xxhash64("query_id"), F.col("nq")).cast("int").alias("qb"), "query_id", "leaves", "v"))
 
     def score_block(vecs, visitors):
         import pyarrow as pa
@@ -249,11 +291,20 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec
         if not vecs.num_rows or not visitors.num_rows:
             return pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()),
                              "score": pa.array([], pa.float64())})
+        leaf = vecs.column("leaf").to_numpy()
+        here, place = np.unique(leaf, return_inverse=True)
+        asked = visitors.column("leaves").combine_chunks()
+        who = np.repeat(np.arange(len(asked)), asked.value_lengths().to_numpy(zero_copy_only=False))
+        want = asked.flatten().to_numpy()
+        known = np.isin(want, here)
+        visited = np.zeros((len(asked), len(here)), bool)
+        visited[who[known], np.searchsorted(here, want[known])] = True
         found = top(visitors.column("query_id").to_numpy(), _matrix(visitors.column("v").combine_chunks(), dim),
-                    vecs.column("vec_id").to_numpy(), _matrix(vecs.column("v").combine_chunks(), dim), k)
+                    vecs.column("vec_id").to_numpy(), _matrix(vecs.column("v").combine_chunks(), dim), k,
+                    None if visited.all() else visited[:, place])
         return pa.table(_result(found), names=["query_id", "vec_id", "score"])
 
-    keys = ["leaf", "vb", "qb"]
+    keys = ["bin", "qb"]
     scored = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(score_block, RESULT)
     return _best(scored, k).select("query_id", "rank", "vec_id", "score")
 
