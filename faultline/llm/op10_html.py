@@ -4,18 +4,16 @@ A tree builder reads tags, supplies those that are implied (the end of a
 paragraph before a block, of a list item before the next, rows around cells)
 and ignores end tags without a start. Visibility rules then leave out what a
 browser does not show: head, scripts, styles, templates, media, unselected
-form choices, ``hidden``, ``display:none`` and ``visibility:hidden`` (inherited,
+form choices, closed dialogs, ``hidden``, ``display:none`` and ``visibility:hidden`` (inherited,
 ``visible`` further down ends it). Inline styles alone are read. What remains is written
 with line breaks between blocks, an empty line around paragraphs, headings,
 lists and tables, markers and indents for list items, and table cells padded
-to columns. Preformatted text keeps its white space.
-
-Cells are padded up to ``MAX_PAD`` characters; longer ones are written whole.
-Both passes use explicit stacks, so nesting of any depth is no problem.
+to columns, with cells that span columns or rows. Preformatted text keeps its
+white space. Both passes use explicit stacks, so nesting of any depth is no problem.
 
 Edge cases: a null page gives a null text, an empty one an empty text;
 unclosed tags, comments and quotes end with the page; null ids, repeated rows
-and extra columns pass through; an empty table gives no rows; an input column
+and extra columns pass through; very long pages are read whole; an empty table gives no rows; an input column
 with the name of an output gives way to it.
 """
 
@@ -31,7 +29,6 @@ from pyspark.sql import types as T
 
 from faultline.llm.util import boxed, table, unboxed
 
-MAX_PAD = 40
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)"""
                    r"""((?:[^"'>]++|"[^"]*+"|'[^']*+'|["'])*+)(?:>|\Z)""", re.S)
@@ -92,7 +89,7 @@ class Node:
 
     def hidden(self) -> tuple[bool, str | None]:
         """Whether the subtree is left out, and its own visibility if it has one."""
-        if self.tag in UNSEEN:
+        if self.tag in UNSEEN or self.tag == "dialog" and self.attr("open") is None:
             return True, None
         if not self.attrs:
             return False, None
@@ -256,24 +253,48 @@ class Page:
         return [x.rstrip() for x in self.lines]
 
 
-def _aligned(rows: list[list[tuple[list[str], int]]]) -> list[str]:
-    """Rows of (cell lines, columns it spans) as lines with padded columns."""
-    width = Counter()
+def _placed(rows: list[list[tuple[list[str], int, int]]]) -> list[list[tuple[int, list[str], int]]]:
+    """Rows of (cell lines, columns, rows it spans) as rows of (first column,
+    cell lines, columns): a cell takes the next column that no cell from a row
+    above still holds."""
+    held: dict[int, int] = {}
+    out = []
     for row in rows:
-        col = 0
-        for lines, span in row:
-            if span == 1:
-                width[col] = max(width[col], max([min(len(x), MAX_PAD) for x in lines], default=0))
+        taken, held = held, {c: n - 1 for c, n in held.items() if n > 1}
+        col, cells = 0, []
+        for lines, span, down in row:
+            while col in taken:
+                col += 1
+            cells.append((col, lines, span))
+            if down > 1:
+                held |= dict.fromkeys(range(col, col + span), down - 1)
             col += span
+        out.append(cells)
+    return out
+
+
+def _aligned(rows: list[list[tuple[list[str], int, int]]]) -> list[str]:
+    """Lines of a table. Columns are as wide as their widest cell, two spaces
+    apart; of several columns under one wide cell, the last takes up the rest."""
+    placed = _placed(rows)
+    width: dict[int, int] = {}
+    cells = [(span, col, max(map(len, lines), default=0)) for row in placed for col, lines, span in row]
+    for span, col, size in sorted(cells):
+        last = col + span - 1
+        before = sum(width.get(c, 0) for c in range(col, last)) + 2 * (span - 1)
+        width[last] = max(width.get(last, 0), size - before)
+    start, at = {}, 0
+    for c in range(max(width, default=-1) + 1):
+        start[c] = at
+        at += width.get(c, 0) + 2
     out = []
-    for row in rows:
-        for k in range(max([len(lines) for lines, _ in row], default=0)):
-            line, col = "", 0
-            for lines, span in row:
-                pad = sum(width[c] for c in range(col, col + span)) + 2 * (span - 1)
-                line += (lines[k] if k < len(lines) else "").ljust(pad) + "  "
-                col += span
-            out.append(line.rstrip())
+    for row in placed:
+        for k in range(max([len(lines) for _, lines, _ in row], default=0)):
+            line = ""
+            for col, lines, _ in row:
+                if k < len(lines) and lines[k]:
+                    line = line.ljust(start[col]) + lines[k]
+            out.append(line)
     return out
 
 
@@ -376,12 +397,13 @@ def visible_text(page: str | None) -> str | None:
         elif tag == "tr" and tables:
             tables[-1][0].append([])
         elif tag in ("td", "th") and tables and tables[-1][0]:
-            span = x.attr("colspan") or "1"
-            span = min(max(int(span), 1), 1000) if re.fullmatch(r"\d{1,9}", span) else 1
+            # The least and greatest spans that browsers take; 0 rows means all that follow.
+            span, down = (int(v) if re.fullmatch(r"\d{1,9}", v) else 1 for v in (x.attr(a) or "1" for a in ("colspan", "rowspan")))
+            span, down = min(max(span, 1), 1000), min(down, 65534) or 65534
             pages.append(Page())
 
-            def cell(row=tables[-1][0][-1], span=span):
-                row.append((pages.pop().done(), span))
+            def cell(row=tables[-1][0][-1], span=span, down=down):
+                row.append((pages.pop().done(), span, down))
 
             then.append(cell)
         # The end of the node comes after its children: the last pushed is the first done.
