@@ -7,14 +7,16 @@ insult together with the mention of a group. All terms of the model have
 factors, whether or not they have a weight.
 
 Fitted on a bounded sample of labelled rows (the ``MAX_ROWS`` first by a hash
-of the id, of those whose crc32(id as text) mod 3 is not 1), over at most ``MAX_TERMS`` terms (the most frequent that are
-in two sampled texts or more). Terms outside the model have no weight. The
+of the id, of those whose crc32(id as text) mod 3 is not 1), over all terms
+that are in two sampled texts or more; a term of one text says nothing about
+others, and it and unseen terms have no weight. The
 label, language, source and id of a document are no inputs of its score.
 
 Edge cases: a null or empty text scores the model's bias; a null id counts as
 not held out; a null label is no label, and of several labels for one id the
 larger counts; without any labelled row, every score is 0; an empty table
-gives no rows; an input column with the name of an output gives way to it.
+gives no rows; a very long text is read whole, as the set of its terms; an input
+column with the name of an output gives way to it.
 """
 
 from __future__ import annotations
@@ -30,7 +32,6 @@ from pyspark.sql import types as T
 from faultline.llm.util import boxed, table, unboxed
 
 MAX_ROWS = 16_000
-MAX_TERMS = 262_144
 FACTORS = 4
 #: Standard errors that a term's toxic texts must exceed, tried in turn.
 PULLS = (4, 3, 2)
@@ -224,8 +225,7 @@ def train(texts: list[np.ndarray], y: np.ndarray, seed: int = 9) -> Model:
     if not len(y) or not y.any():
         return Model(-30.0, np.zeros(0, np.int64), np.zeros(1), np.zeros((1, FACTORS)))
     keys, df = np.unique(np.concatenate(texts), return_counts=True)
-    top = np.lexsort((keys, -df))[:MAX_TERMS]
-    keys = np.sort(keys[top[df[top] >= 2]])
+    keys = keys[df >= 2]
     k = len(keys)
     rows = [lookup(keys, t) for t in texts]
     rng = np.random.default_rng(seed)
