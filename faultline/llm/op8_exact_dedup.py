@@ -12,7 +12,8 @@ executors.
 
 Edge cases: a null text counts as empty; null ids are smaller than any id;
 of rows equal in id and text exactly one stays; an empty table gives an
-empty result; extra columns travel along untouched, and one that has
+empty result; very long texts are hashed and compared whole, and a digest's
+state has none of the text; extra columns travel along untouched, and one that has
 the name of an output column gives way to it. Two
 different texts with one digest (not known to happen with SHA-256, tested
 with a weak digest) form two groups.
