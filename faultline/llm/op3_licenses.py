@@ -12,12 +12,16 @@ that family's templates. A block counts besides its lines if none of them has
 its family; a block that looks like a licence, but has no confirmed one in it
 or its lines, is unknown.
 
-Only paragraphs with at least one template 3-gram can be confirmed, so only
-those are scored (unknown ones are found among them too); that test is exact and cheap. The data path is DataFrame
-functions alone; the fit runs on the fixed sentences below, on the driver.
+Only paragraphs with a cue are scored: one of the words of ``CUES``, or of the
+words that the templates need so that no paragraph which can be confirmed is
+without one (``cues``); that test is exact and cheap. So unknown licences are
+found whether or not they share a phrase with a template. The paragraphs with
+a cue are written once. The data path is DataFrame functions alone; the fit
+runs on the fixed sentences below, on the driver.
 
 Edge cases: a null or empty text has no paragraphs; null ids and repeated
-rows each get their row; an empty table gives no rows; an input column with
+rows each get their row; a very long text is split into its lines, and one very
+long line into its words, as arrays in one row; an empty table gives no rows; an input column with
 the name of an output gives way to it.
 """
 
@@ -30,9 +34,13 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faultline.llm.util import boxed, table, unboxed
+from faultline.llm.util import boxed, stored, table, unboxed
 
 MIN_SHARE = 0.5
+# Words by which a paragraph is looked at as a possible licence.
+CUES = ("license", "licenses", "licensed", "licence", "licences", "licensor", "licensee", "sublicense", "spdx", "copyleft",
+        "warranties", "redistribution", "redistributions", "redistribute", "merchantability", "released", "software", "arising",
+        "cc", "nc", "gnu", "bsd")
 
 # How the families are usually stated.
 TEMPLATES = {
@@ -95,6 +103,66 @@ TEMPLATES = {
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
     ],
 }
+# Fixed values, as above, for families whose notices are less often wrapped into prose.
+TEMPLATES |= {
+    "Artistic-2.0": ["This is free software, licensed under the Artistic License 2.0."],
+    "BSL-1.0": [
+        "Distributed under the Boost Software License, Version 1.0.",
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software "
+        "and accompanying documentation covered by this license",
+    ],
+    "CDDL-1.0": ["The contents of this file are subject to the terms of the Common Development and Distribution License"],
+    "EPL-2.0": ["This program and the accompanying materials are made available under the terms of the Eclipse Public "
+                "License 2.0"],
+    "EUPL-1.2": ["Licensed under the EUPL, Version 1.2 or as soon they will be approved by the European Commission"],
+    "ISC": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+            "hereby granted, provided that the above copyright notice and this permission notice appear in all copies."],
+    "MS-PL": ["This license governs use of the accompanying software. If you use the software, you accept this license."],
+    "ODbL-1.0": ["This database is made available under the Open Database License"],
+    "OFL-1.1": ["This Font Software is licensed under the SIL Open Font License, Version 1.1."],
+    "PostgreSQL": ["Permission to use, copy, modify, and distribute this software and its documentation for any "
+                   "purpose, without fee, and without a written agreement is hereby granted"],
+    "Python-2.0": ["Python Software Foundation License Version 2"],
+    "Unlicense": [
+        "This is free and unencumbered software released into the public domain.",
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source "
+        "code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    ],
+    "Zlib": [
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be "
+        "held liable for any damages arising from the use of this software.",
+    ],
+}
+# The names and registered tags of each family.
+NAMES = {
+    "AGPL-3.0": ("GNU AGPLv3", "GNU Affero General Public License v3.0"), "Apache-2.0": ("Apache License 2.0",),
+    "Artistic-2.0": ("Artistic License 2.0",), "BSD": ("BSD License", "BSD 2-Clause License", "BSD 3-Clause License"),
+    "BSL-1.0": ("Boost Software License 1.0",), "CC-BY-NC-ND-4.0": ("CC BY-NC-ND 4.0",),
+    "CC-BY-NC-SA-4.0": ("CC BY-NC-SA 4.0",), "CC-BY-ND-4.0": ("CC BY-ND 4.0",), "CC0": ("CC0 1.0",),
+    "CDDL-1.0": ("Common Development and Distribution License 1.0",), "EPL-2.0": ("Eclipse Public License 2.0",),
+    "EUPL-1.2": ("European Union Public Licence 1.2",), "GPL-2.0": ("GPLv2", "GNU General Public License v2.0"),
+    "GPL-3.0": ("GPLv3", "GNU General Public License v3.0"), "ISC": ("ISC License",),
+    "LGPL": ("LGPLv2.1", "LGPLv3", "GNU Lesser General Public License"), "MIT": ("MIT License",),
+    "MPL-2.0": ("Mozilla Public License 2.0",), "MS-PL": ("Microsoft Public License",),
+    "ODbL-1.0": ("Open Database License",), "OFL-1.1": ("SIL Open Font License 1.1",),
+    "PostgreSQL": ("PostgreSQL License",), "Unlicense": ("Unlicense",), "Zlib": ("zlib License",),
+}
+TAGS = {
+    "AGPL-3.0": ("AGPL-3.0", "AGPL-3.0-only", "AGPL-3.0-or-later"), "Apache-2.0": ("Apache-2.0",),
+    "Artistic-2.0": ("Artistic-2.0",), "BSD": ("BSD-2-Clause", "BSD-3-Clause"), "BSL-1.0": ("BSL-1.0",),
+    "CC-BY-4.0": ("CC-BY-4.0",), "CC-BY-NC-4.0": ("CC-BY-NC-4.0",), "CC-BY-NC-ND-4.0": ("CC-BY-NC-ND-4.0",),
+    "CC-BY-NC-SA-4.0": ("CC-BY-NC-SA-4.0",), "CC-BY-ND-4.0": ("CC-BY-ND-4.0",), "CC-BY-SA-4.0": ("CC-BY-SA-4.0",),
+    "CC0": ("CC0-1.0",), "CDDL-1.0": ("CDDL-1.0",), "EPL-2.0": ("EPL-2.0",), "EUPL-1.2": ("EUPL-1.2",),
+    "GPL-2.0": ("GPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later"), "GPL-3.0": ("GPL-3.0", "GPL-3.0-only", "GPL-3.0-or-later"),
+    "ISC": ("ISC",), "LGPL": ("LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later"), "MIT": ("MIT",),
+    "MPL-2.0": ("MPL-2.0",), "MS-PL": ("MS-PL",), "ODbL-1.0": ("ODbL-1.0",), "OFL-1.1": ("OFL-1.1",),
+    "PostgreSQL": ("PostgreSQL",), "Python-2.0": ("Python-2.0",), "Unlicense": ("Unlicense",), "Zlib": ("Zlib",),
+}
+for _family in sorted({*NAMES, *TAGS}):
+    TEMPLATES[_family] = [*dict.fromkeys([
+        *TEMPLATES.get(_family, ()), *[f"Licensed under the {n}." for n in NAMES.get(_family, ())],
+        *[f"Released under the {n}." for n in NAMES.get(_family, ())], *[f"The {n}" for n in NAMES.get(_family, ())],
+        *[f"SPDX-License-Identifier: {t}" for t in TAGS.get(_family, ())]])]
 NONE = "none"
 NEGATIVES = [
     "All rights reserved.", "See the license for details.", "Her driving license was renewed last year.",
@@ -106,10 +174,14 @@ NEGATIVES = [
     "A public license hearing will be held, version 3 of the agenda is attached.",
     "The foundation published a report on free software in schools.", "Creative work needs time and commons.",
     "Licensed under a private agreement.", "This work is licensed under terms agreed with the author.",
+    "A fishing license is needed at the lake.", "The license plate was found by the road.", "Licensed premises close at ten.",
+    "He lost his pilot's licence.", "The warranties of the seller end after two years.", "The seller gives no warranties.",
+    "She is a licensed electrician.", "Licenses for shops are issued by the council.", "The bus was built under license.",
     "Distributed under commercial licence terms only.", "It is of the to and in that is for.",
 ]
-BEFORE = ["", "Copyright (c) 2021 The Authors. ", "Note: ", "Unless stated otherwise, ", "License: "]
-AFTER = ["", " All rights reserved.", " See the LICENSE file.", " Thank you for reading."]
+#: What stands around a sentence in its variants.
+AROUND = [("", ""), ("Copyright (c) 2021 The Authors. ", ""), ("Note: ", " Thank you for reading."), ("", " All rights reserved."),
+          ("Unless stated otherwise, ", ""), ("License: ", " See the LICENSE file.")]
 
 
 #: Lines without a letter or digit between two blocks.
@@ -129,41 +201,70 @@ def trigrams(text: str) -> set[str]:
     return grams(w, (min(3, len(w)),))
 
 
-@cache
-def model() -> tuple[list[str], list[str], np.ndarray, float]:
-    """(families with NONE first, n-grams, weights with the biases as last row, least probability)."""
-    families = [NONE, *TEMPLATES]
+def variants() -> tuple[list[str], list[set[str]], np.ndarray, np.ndarray]:
+    """(families with NONE first, n-grams of each variant, its family, whether it is kept from the fit)."""
+    families = [NONE, *sorted(TEMPLATES)]
     rows, y, unseen = [], [], []
     for c, family in enumerate(families):
         for s, sentence in enumerate(NEGATIVES if family == NONE else TEMPLATES[family]):
-            for b, before in enumerate(BEFORE):
-                for a, after in enumerate(AFTER):
-                    rows.append(grams(words(before + sentence + after)))
-                    y.append(c)
-                    unseen.append((s + b + a) % 4 == 3 or family == NONE and s % 4 == 3)
-    y, unseen = np.array(y), np.array(unseen)
+            for v, (before, after) in enumerate(AROUND):
+                rows.append(grams(words(before + sentence + after)))
+                y.append(c)
+                unseen.append((s + v) % 4 == 3 or family == NONE and s % 4 == 3)
+    return families, rows, np.array(y), np.array(unseen)
+
+
+@cache
+def model() -> tuple[list[str], list[str], np.ndarray, float]:
+    """(families with NONE first, n-grams, weights with the biases as last row, least probability)."""
+    families, rows, y, unseen = variants()
     vocab = sorted(set().union(*[r for r, u in zip(rows, unseen) if not u]))
+    x = features(rows, vocab)
+    truth = np.eye(len(families), dtype=np.float32)[y]
+    w = np.zeros((len(vocab) + 1, len(families)), dtype=np.float32)
+    fit, aim = x[~unseen], truth[~unseen]
+    step = 2.0 / fit.sum(axis=1).mean()
+    for _ in range(300):
+        w -= step * (fit.T @ (probabilities(fit @ w) - aim) / len(fit) * len(families) / 2 + 1e-4 * w)
+    # Calibration: half way between the surest negative and certainty, never under one half.
+    p = probabilities(x[unseen] @ w)
+    worst = max([float(r[1:].max()) for r, c in zip(p, y[unseen]) if c == 0], default=0.0)
+    return families, vocab, w.astype(np.float64), max(0.5, min(0.95, (1 + worst) / 2))
+
+
+def features(rows: list[set[str]], vocab: list[str]) -> np.ndarray:
     index = {g: i for i, g in enumerate(vocab)}
-    x = np.zeros((len(rows), len(vocab) + 1))
+    x = np.zeros((len(rows), len(vocab) + 1), dtype=np.float32)
     for i, r in enumerate(rows):
         x[i, [index[g] for g in r if g in index]] = 1
     x[:, -1] = 1
-    truth = np.eye(len(families))[y]
-    w = np.zeros((len(vocab) + 1, len(families)))
+    return x
 
-    def probability(v: np.ndarray) -> np.ndarray:
-        z = v @ w
-        e = np.exp(z - z.max(axis=1, keepdims=True))
-        return e / e.sum(axis=1, keepdims=True)
 
-    fit = x[~unseen]
-    step = 2.0 / fit.sum(axis=1).mean()
-    for _ in range(300):
-        w -= step * (fit.T @ (probability(fit) - truth[~unseen]) / len(fit) * len(families) / 2 + 1e-4 * w)
-    # Calibration: half way between the surest negative and certainty, never under one half.
-    p = probability(x[unseen])
-    worst = max([float(r[1:].max()) for r, c in zip(p, y[unseen]) if c == 0], default=0.0)
-    return families, vocab, w, max(0.5, min(0.95, (1 + worst) / 2))
+def probabilities(z: np.ndarray) -> np.ndarray:
+    e = np.exp(z - z.max(axis=1, keepdims=True))
+    return e / e.sum(axis=1, keepdims=True)
+
+
+@cache
+def cues() -> list[str]:
+    """Words of which every paragraph that can be confirmed has at least one:
+    for each template, the words that leave less than ``MIN_SHARE`` of its
+    3-grams without a cue, rare ones among the sentences first."""
+    common = {w for sentence in NEGATIVES for w in set(words(sentence))}
+    out: set[str] = set(CUES)
+    for sentences in TEMPLATES.values():
+        for sentence in sentences:
+            all_ = trigrams(sentence)
+            while True:
+                bare = [g.split(" ") for g in all_ if not out & set(g.split(" "))]
+                if len(bare) < MIN_SHARE * len(all_):
+                    break
+                count: dict[str, int] = {}
+                for w in {w for g in bare for w in g}:
+                    count[w] = sum(w in g for g in bare)
+                out.add(max(count, key=lambda w: (w not in common and len(w) > 3, w not in common, count[w], w)))
+    return sorted(out)
 
 
 def word_array(paragraph: Column) -> Column:
@@ -202,11 +303,10 @@ def scan(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", unknow
     whole = F.when(F.size(its) > 1, F.col("_block"))
     lines = blocks.select("_id", "_h", "_m", "_b", F.posexplode(F.concat(F.array(whole), its)).alias("_p", "_line"))
     read = lines.select("_id", "_h", "_m", "_b", "_p", word_array(F.col("_line")).alias("_w"))
-    hit = F.filter(gram_array(F.col("_w"), 3), lambda g: g.isin(sorted({g for _, _, g, _ in known})))
-    # At most one row a paragraph: its first template 3-gram, if any.
-    some = (read.select("_id", "_h", "_m", "_b", "_p", "_w", F.explode(F.slice(hit, 1, 1)).alias("_hit"))
-            .drop("_hit").dropDuplicates(["_id", "_h", "_m", "_b", "_p"]))
     at = ["_id", "_h", "_m", "_b", "_p"]
+    cued = F.arrays_overlap("_w", F.array(*[F.lit(w) for w in cues()]))
+    # The paragraphs with a cue, written once: all that follows reads those few, not the texts.
+    some = stored(read.where(cued).dropDuplicates(at).select(*at, "_w"), "license-paragraphs")
     all_grams = F.array_distinct(F.concat(*[gram_array(F.col("_w"), n) for n in (1, 2, 3)]))
     found = some.select(*at, F.explode(all_grams).alias("gram"))
     sums = found.join(weights, on="gram").groupBy(*at).agg(
