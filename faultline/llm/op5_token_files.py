@@ -32,7 +32,7 @@ from faultline.llm.util import id_bounds, id_range, n_parts, shared_path, table
 #: Ids in a block, from which a new one is begun.
 BLOCK_IDS = 1 << 18
 #: Chunks of text whose ids a worker keeps (some 200 bytes each).
-CACHE_CHUNKS = 480_000
+CACHE_CHUNKS = 1_200_000
 #: Row groups of a few blocks: what a writer holds before it flushes.
 GROUPS = {"parquet.block.size": str(16 << 20), "compression": "none"}
 LENGTHS = np.array([[(c >> s & 3) + 1 for s in (0, 2, 4, 6)] for c in range(256)], dtype=np.int64)
