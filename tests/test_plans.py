@@ -123,3 +123,16 @@ def test_dense_grid_computes_its_cells_once(spark):
             spark.conf.set(k, v)
     final = p.split("== Initial Plan ==")[0]
     assert "ReusedExchange" in final and "collect_list" not in p
+
+
+def test_order_keys_of_sixty_times_the_data_are_not_broadcast_on_a_guess(spark):
+    """Files 60 times as large: nine million order keys are guessed at some
+    30 MB, compressed, and are 144 MB of rows, too much for a small driver."""
+    key = "spark.sql.sources.fileCompressionFactor"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "60")
+    try:
+        p = _plan(QUERIES["p02_prefix_exclusion"](spark, "/root/testdata/sf0.1"))
+    finally:
+        spark.conf.set(key, old)
+    assert "SortMergeJoin" in p and "BroadcastExchange" not in p, p
