@@ -82,6 +82,35 @@ def test_neighbour_edges(spark):
 
 # -- op3
 
+def test_license_cues_are_searched_before_words_are_made(spark):
+    """The search passes every paragraph with a cue, whatever stands around it,
+    and stands before the words in the plan."""
+    import re
+
+    cues, found = set(op3_licenses.cues()), re.compile(op3_licenses.cue_pattern()).search
+    around = ["", " ", ".", ". ", "..", "...", "-", "\n", "x ", " x", "x. ", ".x", "é", "(", ") ", "1", "x"]
+    for cue in cues:
+        for before in around:
+            for after in around:
+                text = before + cue.upper() + after
+                assert found(text.lower()) or not cues & set(op3_licenses.words(text)), text
+    assert not found("accord since software1 xlicense")
+    rows = [(i, b + c + a) for i, (c, b, a) in enumerate(
+        (c, b, a) for c in sorted(cues)[::5] for b in around for a in around)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    cued = F.arrays_overlap(op3_licenses.word_array(F.col("text")), F.array(*[F.lit(c) for c in sorted(cues)]))
+    assert df.where(cued & ~F.lower("text").rlike(op3_licenses.cue_pattern())).count() == 0
+    plans = []
+    keep, op3_licenses.stored = op3_licenses.stored, lambda d, name: plans.append(d) or keep(d, name)
+    try:
+        op3_licenses.scan(df)
+    finally:
+        op3_licenses.stored = keep
+    plan = plans[0]._jdf.queryExecution().optimizedPlan().toString()
+    below = [x for x in plan.splitlines() if "Filter" in x and "RLIKE" in x and "arrays_overlap" not in x]
+    assert below, plan[:2000]
+
+
 def test_license_families(spark):
     rows = [(i, f"Some words first.\n{t}\nand after") for i, t in enumerate(
         ["Released under the MIT License.", "This work is licensed under the GNU General Public License, version 3.",
