@@ -86,10 +86,11 @@ def factors(found: np.ndarray, window: int) -> list[tuple[int, int]]:
     return [(int(a), int(b - a) + window - 1) for a, b in zip(edge[::2], edge[1::2])]
 
 
-def _texts(rows, text_col: str) -> list[str | None]:
+def _texts(rows, text_col: str):
+    """The texts one after another: they stay in Arrow, one at a time is a Python object."""
     import pyarrow.compute as pc
 
-    return pc.struct_field(rows.column("_doc"), text_col).to_pylist()
+    return (t.as_py() for t in pc.struct_field(rows.column("_doc"), text_col))
 
 
 def _index_block(text_col: str, window: int, parts: int):
@@ -132,14 +133,17 @@ def _parse_block(text_col: str, window: int):
     def run(rows, answers):
         import pyarrow as pa
 
-        words = [words_of(t) for t in _texts(rows, text_col)]
+        # The words of a block take many times the room of its texts, so none are
+        # kept: the texts are split a second time when their hashes are looked up.
         ids = rows.column("_id").fill_null(int(NULL_ID)).to_numpy()
-        hashes = [window_hashes(w, window) for w in words]
+        hashes = [window_hashes(words_of(t), window) for t in _texts(rows, text_col)]
         sizes = np.array([len(x) for x in hashes], dtype=np.int64)
         h = np.concatenate(hashes)
+        del hashes
         found = np.zeros(0, bool)
         if len(h):
             u, inv = np.unique(h, return_inverse=True)
+            del h
             of = np.repeat(ids, sizes)
             first = np.full(len(u), NULL_ID)
             np.minimum.at(first, inv, of)
@@ -148,15 +152,18 @@ def _parse_block(text_col: str, window: int):
             earlier = np.concatenate([np.unpackbits(np.frombuffer(bits[i], np.uint8), count=int(c))
                                       for i, c in zip(order, n)]).astype(bool)
             found = earlier[inv] | (first[inv] < of)
-        kept, removed = [], []
-        for w, f in zip(words, np.split(found, np.cumsum(sizes)[:-1])):
+            del u, inv, of, first, earlier
+        kept, removed, n_words = [], [], []
+        for t, f in zip(_texts(rows, text_col), np.split(found, np.cumsum(sizes)[:-1])):
+            w = words_of(t)
+            n_words.append(len(w))
             keep = np.ones(len(w), bool)
             for at, length in factors(f, window):
                 keep[at:at + length] = False
             removed.append(len(w) - int(keep.sum()))
             kept.append(b" ".join(compress(w, keep)).decode("utf-8", "surrogatepass"))
         return pa.table({"_doc": rows.column("_doc"),
-                         "_n_words": pa.array([len(w) for w in words], pa.int64()),
+                         "_n_words": pa.array(n_words, pa.int64()),
                          "_n_removed": pa.array(removed, pa.int64()),
                          "_kept_text": pa.array(kept, pa.string())})
 

@@ -202,3 +202,26 @@ def test_components_edges(spark):
     got = {r["node"]: r["component"] for r in components.components(e, "a", "b").collect()}
     assert got == {2: 1, 3: 1, 8: 7, 9: 7, 20: 7, 30: 7, 31: 7}
     assert components.components(e.limit(0), "a", "b").collect() == []
+
+
+def test_substring_dedup_keeps_no_words_of_a_whole_block():
+    """A block's words take several times the room of its texts: only one text
+    is split at a time, so memory beyond the hashes does not grow with them."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from faultline.llm import op6_substring_dedup as op6
+
+    n, each = 400, 500
+    texts = [" ".join(f"w{(7 * i + k) % 9973}" for k in range(each)) for i in range(n)]
+    rows = pa.table({"_doc": pa.array([{"text": t} for t in texts]), "_id": pa.array(range(n), pa.int64()),
+                     "_g": pa.array([0] * n, pa.int32())})
+    index = op6._index_block("text", 13, 1)(rows)
+    parse, answers = op6._parse_block("text", 13), op6._merge_range(index)
+    parse(rows, answers)
+    tracemalloc.start()
+    parse(rows, answers)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 70 * n * each, peak / (n * each)
