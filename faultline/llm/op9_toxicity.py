@@ -9,7 +9,8 @@ factors, whether or not they have a weight.
 Fitted on a bounded sample of labelled rows (the ``MAX_ROWS`` first by a hash
 of the id, of those whose crc32(id as text) mod 3 is not 1), over all terms
 that are in two sampled texts or more; a term of one text says nothing about
-others, and it and unseen terms have no weight. The
+others, and it and unseen terms have no weight. One task fits, so the driver
+holds the model and not the sample. The
 label, language, source and id of a document are no inputs of its score.
 
 Edge cases: a null or empty text scores the model's bias; a null id counts as
@@ -37,6 +38,9 @@ FACTORS = 4
 PULLS = (4, 3, 2)
 #: Texts in a batch of the factors, and batches taken (200 rounds at most).
 BATCH, STEPS = 256, 2_000
+#: Terms whose factors are summed at once (one text's at least), so that
+#: memory follows neither the texts of the sample nor those of an Arrow batch.
+TERMS = 1 << 16
 THRESHOLD = 0.7
 WORD = re.compile(r"\w+")
 
@@ -53,17 +57,28 @@ class Model:
         """``rows``: indices into ``w`` and ``v`` of each text's terms."""
         out = np.full(len(rows), self.w0)
         sizes = np.array([len(r) for r in rows], dtype=np.int64)
-        have = np.flatnonzero(sizes)
-        if len(have):
-            idx = np.concatenate(rows)
-            at = np.concatenate([[0], np.cumsum(sizes[have])[:-1]])
-            v = self.v[idx]
-            s, q = np.add.reduceat(v, at), np.add.reduceat(v * v, at)
-            # Pairs are averaged over the text's terms, or their number would drown the weights.
-            out[have] += np.add.reduceat(self.w[idx], at) + 0.5 * (s * s - q).sum(axis=1) / sizes[have]
+        for first, last in _spans(sizes):
+            have = first + np.flatnonzero(sizes[first:last])
+            if len(have):
+                idx = np.concatenate(rows[first:last])
+                at = np.concatenate([[0], np.cumsum(sizes[have])[:-1]])
+                v = self.v[idx]
+                s, q = np.add.reduceat(v, at), np.add.reduceat(v * v, at)
+                # Pairs are averaged over the text's terms, or their number would drown the weights.
+                out[have] += np.add.reduceat(self.w[idx], at) + 0.5 * (s * s - q).sum(axis=1) / sizes[have]
         return out
 
 
+def _spans(sizes: np.ndarray):
+    """Ranges (first, last) of texts in a row with at most ``TERMS`` terms together, or one text."""
+    ends, first = np.cumsum(sizes), 0
+    while first < len(ends):
+        before = ends[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, before + TERMS, side="right")))
+        yield first, last
+        first = last
+
+
 def terms(text: str | None) -> set[str]:
     return set(WORD.findall((text or "").lower()))
 
@@ -78,8 +93,8 @@ def held_out(id_col: str):
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 3 == 1, F.lit(False))
 
 
-def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> tuple[list[np.ndarray], np.ndarray]:
-    """Hashed terms and labels of the bounded training sample."""
+def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The bounded training sample: ``_id``, ``_y`` and ``_terms`` (the sorted hashes' bytes)."""
     known = (labels.select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("_y"))
              .where(F.col("_y").isNotNull() & F.col("_id").isNotNull() & ~held_out("_id"))
              .groupBy("_id").agg(F.max("_y").alias("_y")))
@@ -99,15 +114,29 @@ def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> t
 
     schema = T.StructType([rows.schema["_id"], rows.schema["_y"], T.StructField("_terms", T.BinaryType())])
     # One text for each sampled id, whatever rows the table repeats.
-    got = (rows.select("_id", "_y", "_text").mapInArrow(hashed, schema)
-           .groupBy("_id").agg(F.max("_y").alias("_y"), F.max("_terms").alias("_terms")).toArrow())
-    got = got.sort_by("_id")
-    return ([np.frombuffer(x, np.int64) for x in got.column("_terms").to_pylist()],
-            np.array(got.column("_y").to_pylist(), dtype=np.float64))
+    return (rows.select("_id", "_y", "_text").mapInArrow(hashed, schema)
+            .groupBy("_id").agg(F.max("_y").alias("_y"), F.max("_terms").alias("_terms")))
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
-    return train(*_sample(docs, labels, id_col, text_col))
+    def one(sample):
+        import pyarrow as pa
+
+        order = np.argsort(sample.column("_id").to_numpy())
+        y = sample.column("_y").to_numpy()[order].astype(np.float64)
+        texts = [np.frombuffer(x.as_buffer(), np.int64) for x in sample.column("_terms")]  # views, no copies
+        keys, rows = _coded([texts[i] for i in order])
+        del sample, texts  # hashes are not needed beside their places
+        m = _trained(keys, rows, y)
+        return pa.table({"w0": pa.array([m.w0], pa.float64()),
+                         **{n: pa.array([getattr(m, n).tobytes()], pa.binary()) for n in ("keys", "w", "v")}})
+
+    sample = _sample(docs, labels, id_col, text_col).groupBy(F.lit(0).alias("_all"))
+    got = sample.applyInArrow(one, "w0 double, keys binary, w binary, v binary").collect()
+    if not got:
+        return _trained(*_coded([]), np.zeros(0))
+    w0, keys, w, v = got[0]
+    return Model(w0, np.frombuffer(keys, np.int64), np.frombuffer(w), np.frombuffer(v).reshape(-1, FACTORS))
 
 
 class _Rows:
@@ -123,7 +152,7 @@ class _Rows:
     @classmethod
     def of(cls, rows: list[np.ndarray]) -> _Rows:
         sizes = np.array([len(r) for r in rows], dtype=np.int64)
-        return cls(np.concatenate([*rows, np.zeros(0, np.int32)]).astype(np.int32),
+        return cls(np.concatenate([*rows, np.zeros(0, np.int32)]).astype(np.int32, copy=False),
                    np.repeat(np.arange(len(rows), dtype=np.int32), sizes), len(rows))
 
     def only(self, terms: np.ndarray) -> _Rows:
@@ -141,6 +170,12 @@ class _Rows:
             out[self.have] = np.add.reduceat(x, self.at)
         return out
 
+    def pairs(self, v: np.ndarray) -> np.ndarray:
+        """The pair part of each text's logit."""
+        vi = v[self.idx]
+        s, q = self.by_text(vi), self.by_text(vi * vi)
+        return 0.5 * (s * s - q).sum(axis=1) / self.size
+
 
 def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
@@ -194,8 +229,10 @@ def _factors(r: _Rows, t: np.ndarray, base: np.ndarray, held: _Rows, truth: np.n
     parts = []
     for a in range(0, r.n, BATCH):
         p = r.part(a, min(a + BATCH, r.n))
-        terms, p.idx = np.unique(p.idx, return_inverse=True)
+        terms, idx = np.unique(p.idx, return_inverse=True)
+        p.idx = idx.astype(np.int32)
         parts.append((p, terms, t[a:a + BATCH], base[a:a + BATCH]))
+    held_parts = [held.part(a, b) for a, b in _spans(held.size)]
     v, sq = rng.normal(0, 0.1, (k, FACTORS)), np.full((k, FACTORS), 1e-6)
     best = np.zeros((k, FACTORS)), _loss(held_base, truth)
     for _ in range(min(200, -(-STEPS // len(parts)))):
@@ -209,9 +246,7 @@ def _factors(r: _Rows, t: np.ndarray, base: np.ndarray, held: _Rows, truth: np.n
             dv = np.stack([np.bincount(p.idx, pair[:, f], len(terms)) for f in range(FACTORS)], axis=1) + 1e-5 * own
             sq[terms] += dv * dv
             v[terms] = own - 0.1 * dv / np.sqrt(sq[terms])
-        vi = v[held.idx]
-        s, q = held.by_text(vi), held.by_text(vi * vi)
-        loss = _loss(held_base + 0.5 * (s * s - q).sum(axis=1) / held.size, truth)
+        loss = _loss(held_base + np.concatenate([p.pairs(v) for p in held_parts]), truth)
         if loss < best[1]:
             best = v.copy(), loss
     return best
@@ -222,12 +257,22 @@ def train(texts: list[np.ndarray], y: np.ndarray, seed: int = 9) -> Model:
     of a term's toxic texts, so it shrinks as rows are added), then the factors
     of all terms on what the weights leave, then the threshold. A fifth of the
     texts decides on the pull, the factors and the threshold."""
+    return _trained(*_coded(texts), y, seed)
+
+
+def _coded(texts: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The hashes that two texts or more have, sorted, and each text's as places among them."""
+    flat = np.concatenate([*texts, np.zeros(0, np.int64)])
+    flat.sort()
+    again = flat[1:] == flat[:-1]  # a text has each of its terms once
+    keys = flat[:-1][again & np.concatenate([[True], ~again])[:len(again)]]
+    return keys, [lookup(keys, t).astype(np.int32) for t in texts]
+
+
+def _trained(keys: np.ndarray, rows: list[np.ndarray], y: np.ndarray, seed: int = 9) -> Model:
     if not len(y) or not y.any():
         return Model(-30.0, np.zeros(0, np.int64), np.zeros(1), np.zeros((1, FACTORS)))
-    keys, df = np.unique(np.concatenate(texts), return_counts=True)
-    keys = keys[df >= 2]
     k = len(keys)
-    rows = [lookup(keys, t) for t in texts]
     rng = np.random.default_rng(seed)
     check = np.zeros(len(y), bool)
     for c in (0, 1):  # a fifth of each class, if it has as many
@@ -282,11 +327,10 @@ def lookup(keys: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` plus ``_held_out``, ``_score`` and ``_predicted``."""
-    index = {int(k): i for i, k in enumerate(model.keys)}
-
     def run(batches):
         import pyarrow as pa
 
+        index = dict(zip(model.keys.tolist(), range(len(model.keys))))
         known: dict[str, int] = {}  # words seen by this task, with their place in the model or -1
         for b in batches:
             rows = []

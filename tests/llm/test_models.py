@@ -1,5 +1,7 @@
 """op1 recall, op3 and op9 on held-out cases, op10 by hand, the pipeline against its stages."""
 
+import tracemalloc
+
 import duckdb
 import numpy as np
 import pytest
@@ -258,6 +260,36 @@ def test_rare_insults_and_a_group_without_a_weight_of_its_own():
     assert hit[pair].mean() >= 0.9 and hit[(y == 1) & ~pair].mean() >= 0.9 and hit[y == 0].mean() <= 0.001
 
 
+def peak_mb(run):
+    """What ``run`` returns and the most that Python and numpy held in this process meanwhile."""
+    tracemalloc.start()
+    try:
+        return run(), tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_the_driver_holds_the_model_and_not_its_sample(spark):
+    rng = np.random.default_rng(5)
+    docs = [(i, " ".join(f"w{x}" for x in rng.choice(2_000, 600, replace=False)) + " idiot" * (i % 2)) for i in range(300)]
+    docs = spark.createDataFrame(docs, "doc_id long, text string").cache()
+    labels = spark.createDataFrame([(i, i % 2) for i in range(300)], "doc_id long, toxic int")
+    assert docs.count() == 300
+    m, mb = peak_mb(lambda: op9_toxicity.fit(docs, labels))
+    assert len(m.keys) == 2_001 and mb < 3  # its sample: about 200 texts, 120,000 hashes
+    got = op9_toxicity.score(docs, m).collect()
+    assert all(r["_predicted"] == r["doc_id"] % 2 for r in got)
+
+
+def test_logits_of_many_texts_need_no_more_memory_than_a_few():
+    rng = np.random.default_rng(6)
+    m = op9_toxicity.Model(0.5, np.arange(5_000), rng.normal(size=5_001), rng.normal(size=(5_001, 4)))
+    rows = [np.sort(rng.choice(5_000, n, replace=False)) for n in rng.integers(0, 900, 2_000)]
+    rows[7:9] = [np.zeros(0, np.int64)] * 2
+    z, mb = peak_mb(lambda: m.logits(rows))
+    assert mb < 10 and np.array_equal(z, [m.logits([r])[0] for r in rows]) and set(z[7:9]) == {0.5}
+
+
 def test_toxicity_held_out(spark):
     sf = "/root/testdata/sf0.01"
     rude = {"idiot", "moron", "loser", "clown", "stupid", "worthless", "trash", "pathetic", "disgusting", "scum"}
