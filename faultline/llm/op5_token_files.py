@@ -9,8 +9,8 @@ lengths -> positions, bytes -> ranks, rank -> id.
 A file record is a block: consecutive documents in ascending id order, their
 ids and lengths, the control bytes and the data bytes. Blocks are numbered
 ``part`` (a range of ids) and ``block`` within it. The codebook (rank -> id,
-at most the size of the vocabulary) is a file beside them. Files are Parquet,
-written and read by Spark, in the shared folder.
+at most the size of the vocabulary) is a file beside them. Files are Parquet
+(pages in zstd), written and read by Spark, in the shared folder.
 
 Edge cases: a null text encodes to the end id alone; null ids come last;
 documents of equal id stand side by side; a very long text is encoded whole and
@@ -33,10 +33,10 @@ from faultline.llm.util import id_bounds, id_range, n_parts, shared_path, table
 BLOCK_IDS = 1 << 18
 #: Chunks of text whose ids a worker keeps (some 200 bytes each).
 CACHE_CHUNKS = 1_200_000
-#: Row groups of a few blocks: what a writer holds before it flushes.
-GROUPS = {"parquet.block.size": str(16 << 20), "compression": "none"}
-LENGTHS = np.array([[(c >> s & 3) + 1 for s in (0, 2, 4, 6)] for c in range(256)], dtype=np.int64)
-MASKS = np.array([0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], dtype=np.uint32)
+#: Row groups of some blocks: what a writer holds before it flushes. Compressed, as the plain
+#: ids and the blocks, and often the shuffle between texts and plain ids, are on disk at one time.
+GROUPS = {"parquet.block.size": str(16 << 20), "compression": "zstd", "parquet.compression.codec.zstd.level": "1"}
+LENGTHS = np.array([[(c >> s & 3) + 1 for s in (0, 2, 4, 6)] for c in range(256)], dtype=np.uint8)
 
 
 def pack(ranks: np.ndarray) -> tuple[bytes, bytes]:
@@ -47,7 +47,13 @@ def pack(ranks: np.ndarray) -> tuple[bytes, bytes]:
     codes[:len(r)] = size - 1
     codes = codes.reshape(-1, 4)
     control = codes[:, 0] | codes[:, 1] << 2 | codes[:, 2] << 4 | codes[:, 3] << 6
-    data = r.view(np.uint8).reshape(-1, 4)[np.arange(4) < size[:, None]]
+    at = np.cumsum(size, dtype=np.int64)
+    data = np.empty(int(at[-1]) if len(at) else 0, dtype=np.uint8)
+    at -= size
+    data[at] = r & 0xFF
+    for k in range(1, int(size.max(initial=1))):  # the rarer later bytes
+        more = np.flatnonzero(size > k)
+        data[at[more] + k] = r[more] >> 8 * k & 0xFF
     return control.astype(np.uint8).tobytes(), data.tobytes()
 
 
@@ -56,10 +62,13 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
     if not n:
         return np.zeros(0, dtype=np.uint32)
     size = LENGTHS[np.frombuffer(control, np.uint8)].ravel()[:n]
-    at = np.cumsum(size) - size
-    raw = np.frombuffer(data + b"\0\0\0", np.uint8).astype(np.uint32)
-    word = raw[at] | raw[at + 1] << 8 | raw[at + 2] << 16 | raw[at + 3] << 24
-    return word & MASKS[size - 1]
+    at = np.cumsum(size, dtype=np.int64) - size
+    raw = np.frombuffer(data, np.uint8)
+    ranks = raw[at].astype(np.uint32)
+    for k in range(1, int(size.max())):
+        more = np.flatnonzero(size > k)
+        ranks[more] |= raw[at[more] + k].astype(np.uint32) << 8 * k
+    return ranks
 
 
 @dataclass

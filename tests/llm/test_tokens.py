@@ -3,6 +3,7 @@
 import hashlib
 import zlib
 from collections import defaultdict
+from pathlib import Path
 
 import duckdb
 import numpy as np
@@ -111,6 +112,14 @@ def test_token_files_edges(spark):
     assert op5_token_files.write_files(df.limit(0)).read().collect() == []
 
 
+def test_token_files_are_compressed(spark):
+    files = op5_token_files.write_files(spark.read.parquet(f"{SF}/documents.parquet"))
+    blocks = spark.read.parquet(f"{files.path}/blocks").selectExpr(
+        "sum(n_ids)", "sum(octet_length(control) + octet_length(data))").first()
+    for kind, plain in (("plain", 2 * blocks[0]), ("blocks", blocks[1])):
+        assert sum(p.stat().st_size for p in Path(files.path.removeprefix("file:"), kind).glob("part-*")) < 0.9 * plain
+
+
 LONG = "".join(f"Word{i % 977} and{',' if i % 5 else '  '} {'x' * (i % 13)}%%\n" for i in range(60_000))
 
 
